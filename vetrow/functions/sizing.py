@@ -1,0 +1,30 @@
+"""Size checks in front of every explicit broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def broadcast_budget_bytes(spark: SparkSession) -> int:
+    """The session's own broadcast threshold (``-1`` disables broadcasting)."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")).strip().lower()
+    digits = raw.rstrip("abcdefghijklmnopqrstuvwxyz")
+    unit = raw[len(digits):] or "b"
+    value = int(float(digits)) * _UNITS.get(unit, 1)
+    return value
+
+
+def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int, *, max_rows: int | None = None) -> DataFrame:
+    """Hint a broadcast only when ``rows`` (already counted, e.g. on a
+    checkpointed frame) times a per-row width fits the session budget;
+    otherwise leave the join to a shuffle, where AQE splits skewed partitions."""
+    budget = broadcast_budget_bytes(df.sparkSession)
+    if budget <= 0:
+        return df
+    limit = budget // max(row_bytes, 1)
+    if max_rows is not None:
+        limit = min(limit, max_rows)
+    return F.broadcast(df) if rows <= limit else df
