@@ -1,0 +1,108 @@
+"""Compare a Spark query with its DuckDB oracle the way the driver does:
+row count, column names (sorted) and an order-insensitive comparison of values.
+
+Usage: python tests/oracle_compare.py [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+          "benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return round(v, 9)
+    if hasattr(v, "item") and not isinstance(v, (str, bytes)):
+        try:
+            return _norm(v.item())
+        except Exception:
+            return str(v)
+    if isinstance(v, (bytes, bytearray)):
+        return bytes(v).hex()
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    return v
+
+
+def canon(rows, cols):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    out = [tuple(_norm(r[i]) for i in order) for r in rows]
+    return sorted(out, key=lambda t: tuple((x is None, str(type(x)), str(x)) for x in t))
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    df = fn(spark, sf_dir)
+    srows = [tuple(r) for r in df.collect()]
+    scols = df.columns
+    t1 = time.time()
+    rel = con.execute(sql)
+    dcols = [d[0] for d in rel.description]
+    drows = rel.fetchall()
+    t2 = time.time()
+    ok_cols = sorted(scols) == sorted(dcols)
+    ok_n = len(srows) == len(drows)
+    a, b = canon(srows, scols), canon(drows, dcols)
+    ok_v = ok_cols and ok_n and a == b
+    status = "OK " if ok_v else "BAD"
+    print(f"{status} {name:24s} rows spark={len(srows)} duck={len(drows)} cols={'ok' if ok_cols else (sorted(scols), sorted(dcols))} "
+          f"spark={t1 - t0:.1f}s duck={t2 - t1:.1f}s", flush=True)
+    if ok_cols and ok_n and not ok_v:
+        diffs = [(x, y) for x, y in zip(a, b) if x != y][:3]
+        for x, y in diffs:
+            print("   spark:", x)
+            print("   duck :", y)
+    return ok_v
+
+
+def main(argv):
+    from vetrow.session import local_session
+    import __spark_entry__ as entry
+
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    names = argv[1:]
+    spark = local_session()
+    con = duck(sf_dir)
+    qs, oracles = entry.queries(), entry.oracle_sql()
+    bad = []
+    for name, fn in qs.items():
+        if names and name not in names:
+            continue
+        if name not in oracles:
+            df = fn(spark, sf_dir)
+            print(f"-- {name:24s} rows-only: {df.count()} rows", flush=True)
+            continue
+        try:
+            if not compare(spark, duck(sf_dir), name, fn, oracles[name], sf_dir):
+                bad.append(name)
+        except Exception as exc:  # report and go on
+            print(f"ERR {name}: {type(exc).__name__}: {str(exc)[:400]}", flush=True)
+            bad.append(name)
+    print("FAILED:", bad)
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1:]))
