@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vetrow.plans.catalog import SURVEY_QUERIES
 from vetrow.plans.oracle import SURVEY_ORACLES
+from vetrow.plans.tables_catalog import TABLE_ORACLES, TABLE_QUERIES
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     out.update(SURVEY_QUERIES)
+    out.update(TABLE_QUERIES)
     return out
 
 
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(SURVEY_ORACLES)
+    out.update(TABLE_ORACLES)
     return out
