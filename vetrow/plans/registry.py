@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vetrow.plans.catalog import SURVEY_QUERIES
+from vetrow.plans.files_catalog import MANIFEST_ORACLES, MANIFEST_QUERIES
 from vetrow.plans.oracle import SURVEY_ORACLES
 from vetrow.plans.tables_catalog import TABLE_ORACLES, TABLE_QUERIES
 
@@ -15,6 +16,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     out.update(SURVEY_QUERIES)
     out.update(TABLE_QUERIES)
+    out.update(MANIFEST_QUERIES)
     return out
 
 
@@ -22,4 +24,5 @@ def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(SURVEY_ORACLES)
     out.update(TABLE_ORACLES)
+    out.update(MANIFEST_ORACLES)
     return out

@@ -137,3 +137,40 @@ def survey_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[lineage[c].alias(c) for c in LINEAGE_COLUMNS],
         row_id.alias(ROW_ID),
     )
+
+
+# --- published file names, one per order (FIXTURES.md section 3, "file-name
+# classification"): the order picks one of the name shapes the publisher uses,
+# its date gives year / month / semester, its key goes into the host name so
+# every URL is distinct.
+NAME_SHAPES = 12
+GROUP_BY_KEY_MOD3 = ("gasolina-etanol", "diesel-gnv", "glp")
+
+
+def published_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
+    y = F.year("o_orderdate").cast("string")
+    m = F.lpad(F.month("o_orderdate").cast("string"), 2, "0")
+    s = F.when(F.month("o_orderdate") <= 6, F.lit("01")).otherwise(F.lit("02"))
+    g = _pick(F.col("o_orderkey") % 3, GROUP_BY_KEY_MOD3)
+    base = F.concat(F.lit("https://h"), F.col("o_orderkey").cast("string"), F.lit(".example.gov/arquivos/shpc/"))
+    shape = F.col("o_orderkey") % NAME_SHAPES
+    dsan = F.concat(base, F.lit("dsan/"), y, F.lit("/"))
+    shapes = [
+        F.concat(dsan, F.lit("precos-"), g, F.lit("-"), m, F.lit(".csv")),
+        F.concat(dsan, m, F.lit("-dados-abertos-precos-"), g, F.lit(".csv")),
+        F.concat(dsan, m, F.lit("-cados-abertos-preco-"), g, F.lit(".csv")),
+        F.concat(dsan, m, F.lit("-dados-abertos-precos-"), y, F.lit("-"), m, F.lit("-"), g, F.lit(".csv")),
+        F.concat(base, F.lit("dsas/ca/ca-"), y, F.lit("-"), s, F.lit(".csv")),
+        F.concat(base, F.lit("dsas/ca/ca-"), y, F.lit("-"), s, F.lit(".zip")),
+        F.concat(base, F.lit("dsas/glp/precos-semestrais-glp-"), y, F.lit("-"), s, F.lit(".csv")),
+        F.concat(base, F.lit("dsas/glp/precos-semestrais-glp"), y, F.lit("-"), s, F.lit(".csv")),
+        F.concat(base, F.lit("qus/ultimas-4-semanas-"), g, F.lit(".csv")),
+        F.concat(base, F.lit("outros/relatorio-"), y, F.lit(".csv")),
+        F.concat(dsan, F.lit("precos-"), g, F.lit(".csv")),
+        F.concat(dsan, F.lit("precos-"), g, F.lit("-"), m, F.lit(".CSV")),
+    ]
+    url = None
+    for i, expr in enumerate(shapes):
+        url = F.when(shape == i, expr) if url is None else url.when(shape == i, expr)
+    return o.select(F.year("o_orderdate").alias("order_year"), url.alias("url"))
