@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vetrow.plans.catalog import SURVEY_QUERIES
-from vetrow.plans.files_catalog import MANIFEST_ORACLES, MANIFEST_QUERIES
+from vetrow.plans.files_catalog import AUDIT_ORACLES, AUDIT_QUERIES, MANIFEST_ORACLES, MANIFEST_QUERIES
 from vetrow.plans.oracle import SURVEY_ORACLES
 from vetrow.plans.tables_catalog import TABLE_ORACLES, TABLE_QUERIES
 
@@ -17,6 +17,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out.update(SURVEY_QUERIES)
     out.update(TABLE_QUERIES)
     out.update(MANIFEST_QUERIES)
+    out.update(AUDIT_QUERIES)
     return out
 
 
@@ -25,4 +26,5 @@ def all_oracles() -> dict[str, str]:
     out.update(SURVEY_ORACLES)
     out.update(TABLE_ORACLES)
     out.update(MANIFEST_ORACLES)
+    out.update(AUDIT_ORACLES)
     return out
