@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vetrow.plans.catalog import SURVEY_QUERIES
 from vetrow.plans.files_catalog import AUDIT_ORACLES, AUDIT_QUERIES, MANIFEST_ORACLES, MANIFEST_QUERIES
 from vetrow.plans.oracle import SURVEY_ORACLES
+from vetrow.plans.raw_catalog import RAW_ORACLES, RAW_QUERIES
 from vetrow.plans.tables_catalog import TABLE_ORACLES, TABLE_QUERIES
 
 
@@ -18,6 +19,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out.update(TABLE_QUERIES)
     out.update(MANIFEST_QUERIES)
     out.update(AUDIT_QUERIES)
+    out.update(RAW_QUERIES)
     return out
 
 
@@ -27,4 +29,5 @@ def all_oracles() -> dict[str, str]:
     out.update(TABLE_ORACLES)
     out.update(MANIFEST_ORACLES)
     out.update(AUDIT_ORACLES)
+    out.update(RAW_ORACLES)
     return out
