@@ -23,6 +23,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from vetrow.functions import fs
 
@@ -135,7 +136,10 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     from the file footers, in a distributed job)."""
     if not fs.exists(spark, path):
         return None
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException:  # folder left with no data file
+        return None
 
 
 def replace_where(spark: SparkSession, path: str, new: DataFrame, predicate: Column,
@@ -144,7 +148,8 @@ def replace_where(spark: SparkSession, path: str, new: DataFrame, predicate: Col
     partitions that hold either. Partitions left with no row are removed."""
     current = read_table(spark, path)
     if current is None:
-        write_partitions(new, path, partition_by)
+        if not new.isEmpty():
+            write_partitions(new, path, partition_by)
         return
     hit = F.coalesce(predicate, F.lit(False))
     touched = _partitions(current.filter(hit), partition_by) | _partitions(new, partition_by)
