@@ -38,7 +38,7 @@ SCHEMA = ", ".join(
     [f"{c} string" for c in RAW_COLUMNS]
     + [
         "_source_file string", "_source_series string", "_source_year int", "_source_encoding string",
-        "_header_signature string", "_ingested_at timestamp", "_ingestion_run_id string", f"{ROW_ID} bigint",
+        "_header_signature string", "_ingested_at timestamp", "_ingestion_run_id string", f"{ROW_ID} string",
     ]
 )
 
@@ -47,7 +47,7 @@ def rows(spark, *overrides):
     """One bronze row per override dict (applied on top of VALID), ids 1..n."""
     data = []
     for i, o in enumerate(overrides, start=1):
-        r = {**VALID, **LINEAGE, ROW_ID: i}
+        r = {**VALID, **LINEAGE, ROW_ID: f"{i:04d}"}
         r.update(o)
         data.append(tuple(r[c] for c in (*RAW_COLUMNS, *LINEAGE_COLUMNS, ROW_ID)))
     return spark.createDataFrame(data, SCHEMA)

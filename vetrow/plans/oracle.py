@@ -67,7 +67,9 @@ raw AS (
     '{BINDING_SIGNATURE}' AS _header_signature,
     TIMESTAMP '{INGESTED_AT}' AS _ingested_at,
     '{RUN_ID}' AS _ingestion_run_id,
-    CAST((l_orderkey * 8 + l_linenumber) * 2 + copy_no - 1 AS BIGINT) AS _source_row
+    concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
+              CAST(l_suppkey AS VARCHAR), CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR),
+              strftime(l_shipdate, '%Y%m%d'), l_returnflag, CAST(copy_no AS VARCHAR)) AS _source_row
   FROM cp
 )"""
 

@@ -131,7 +131,19 @@ def survey_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_ingested_at": F.lit(INGESTED_AT).cast("timestamp"),
         "_ingestion_run_id": F.lit(RUN_ID),
     }
-    row_id = ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 2 + F.col("_copy") - 1).cast("bigint")
+    # The line item's own fields are unique per row in every scale factor, and
+    # the copy number separates the planted twins: an id that needs no sort.
+    row_id = F.concat_ws(
+        "-",
+        F.col("l_orderkey").cast("string"),
+        F.col("l_linenumber").cast("string"),
+        F.col("l_partkey").cast("string"),
+        F.col("l_suppkey").cast("string"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"),
+        F.date_format("l_shipdate", "yyyyMMdd"),
+        F.col("l_returnflag"),
+        F.col("_copy").cast("string"),
+    )
     return rows.select(
         *[raw[c].alias(c) for c in RAW_COLUMNS],
         *[lineage[c].alias(c) for c in LINEAGE_COLUMNS],

@@ -224,7 +224,7 @@ def read_group(spark: SparkSession, group: HeaderGroup, *, group_index: int, roo
         F.lit(group.signature).alias("_header_signature"),
         F.lit(ingested_at).cast("timestamp").alias("_ingested_at"),
         F.lit(run_id).alias("_ingestion_run_id"),
-        (F.lit(group_index).cast("bigint") * F.lit(1 << 54) + F.monotonically_increasing_id()).alias(ROW_ID),
+        F.format_string("%04d-%019d", F.lit(group_index), F.monotonically_increasing_id()).alias(ROW_ID),
     )
 
 

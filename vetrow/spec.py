@@ -126,7 +126,8 @@ REASONS = (
 DUPLICATE_CONFLICT = "duplicate_key_conflict"
 EXACT_DUPLICATE = "exact_duplicate"
 
-# Column that identifies a bronze row physically (file + position). It lets the
+# Column (string) that identifies a bronze row physically: ingestion stamps it
+# once (group + position in the scan) and it is stored with the row. It lets the
 # duplicate check keep exactly one copy of byte-identical rows without ordering
 # a whole key inside one task.
 ROW_ID = "_source_row"
