@@ -9,8 +9,8 @@ Scale form, no window over a key (a hot key could hold a third of the data):
 
 1. ``valid.groupBy(key).count()`` - partial aggregation, so the shuffle carries
    only keys and a hot key collapses map-side. Keys seen more than once are
-   written to the checkpoint folder and counted. The usual answer is "none",
-   and then nothing else runs.
+   written to the shared checkpoint folder (parquet, computed once) and
+   counted. The usual answer is "none", and then nothing else runs.
 2. Rows of those keys (semi join) are aggregated again per key:
    ``min(struct) <=> max(struct)`` over the fingerprint says whether all copies
    agree (exact, no hash collisions), ``min(row id)`` names the copy kept.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from vetrow.functions.sizing import broadcast_if_small
 from vetrow.operators.contract import REASONS_COL, is_valid
-from vetrow.session import reliable_checkpoint
+from vetrow.session import materialize
 from vetrow.spec import DUPLICATE_CONFLICT, EXACT_DUPLICATE, ContractSpec, SURVEY
 
 KEY_ROW_BYTES = 96
@@ -59,11 +59,11 @@ def key_verdicts(contracted: DataFrame, keys: DataFrame, n_keys: int, spec: Cont
 
 def flag_duplicates(contracted: DataFrame, spec: ContractSpec = SURVEY, *, broadcast_rows: int | None = None) -> DataFrame:
     key = list(spec.natural_key)
-    keys = reliable_checkpoint(repeated_keys(contracted, spec))
+    keys = materialize(repeated_keys(contracted, spec), "repeated-keys")
     n_keys = keys.count()
     if n_keys == 0:
         return contracted
-    verdicts = reliable_checkpoint(key_verdicts(contracted, keys, n_keys, spec))
+    verdicts = materialize(key_verdicts(contracted, keys, n_keys, spec), "key-verdicts")
     joined = contracted.join(
         broadcast_if_small(verdicts, n_keys, VERDICT_ROW_BYTES, max_rows=broadcast_rows), key, "left"
     )

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetrow.operators import marts, quality
-from vetrow.operators.contract import REASONS_COL, apply_contract, evaluate
+from vetrow.operators.contract import REASONS_COL, apply_contract
 from vetrow.operators.duplicates import flag_duplicates
 from vetrow.operators.quarantine import Split, layer_counts, reason_histogram, split
+from vetrow.plans.layers import evaluate_once
 from vetrow.sources.binding import survey_rows
 from vetrow.spec import ACCEPTED_TYPED, BINDING, LINEAGE_COLUMNS, RAW_COLUMNS, ROW_ID
 
@@ -39,7 +40,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (id(spark), sf_dir)
     if key not in _EVALUATED:
-        _EVALUATED[key] = evaluate(raw(spark, sf_dir), BINDING)
+        _EVALUATED[key] = evaluate_once(raw(spark, sf_dir), BINDING)
     return _EVALUATED[key]
 
 
@@ -87,8 +88,7 @@ def q_rejected_rows(spark, sf_dir):
 
 def q_duplicate_flags(spark, sf_dir):
     """Valid rows that the duplicate check flags, with the flag."""
-    contracted = apply_contract(raw(spark, sf_dir), BINDING)
-    flagged = flag_duplicates(contracted, BINDING)
+    flagged = evaluated(spark, sf_dir)
     flag = F.element_at(REASONS_COL, -1)
     return flagged.filter(
         (F.size(REASONS_COL) == 1) & flag.isin("duplicate_key_conflict", "exact_duplicate")

@@ -2,10 +2,10 @@
 reconcile, rules, quarantine, gate, upsert), gold (marts).
 
 Every run reads and writes tables by path; the caller owns the session. The
-silver run evaluates the slice once and writes both outcomes to a staging
-table in the shared checkpoint folder; every later step (counts, rules,
-quarantine, upsert) reads that table, so nothing is evaluated twice and a lost
-executor costs a re-read, not a recomputation.
+silver run types and checks the slice once into a table in the shared
+checkpoint folder; every later step (duplicates, counts, rules, quarantine,
+upsert) reads that table, so nothing is parsed twice and a lost executor costs
+a re-read, not a recomputation.
 """
 
 from __future__ import annotations
@@ -20,12 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetrow.operators import marts, quality, tables
-from vetrow.operators.contract import REASONS_COL, evaluate
-from vetrow.operators.quarantine import Reconciliation, Split, reconcile
-from vetrow.session import scratch_path
+from vetrow.operators.contract import apply_contract
+from vetrow.operators.duplicates import flag_duplicates
+from vetrow.operators.quarantine import Reconciliation, reconcile, split
+from vetrow.session import materialize
 from vetrow.sources import audit as au
 from vetrow.sources import raw as rw
-from vetrow.spec import ACCEPTED_TYPED, LINEAGE_COLUMNS, RAW_COLUMNS, ROW_ID, SURVEY, ContractSpec
+from vetrow.spec import SURVEY, ContractSpec
 
 BRONZE_PARTITIONS = ("_source_series", "_source_year")
 QUARANTINE_PARTITIONS = ("_source_series", "_source_year")
@@ -81,7 +82,6 @@ class SilverRun:
     reconciliation: Reconciliation
     report: list[str]
     metrics: dict[str, int]
-    staging: str
     published: bool = False
     warnings: list[str] = field(default_factory=list)
 
@@ -93,20 +93,13 @@ def read_slice(spark: SparkSession, bronze_path: str, series: str | None = None,
     return bronze.filter(tables.slice_predicate(series, years))
 
 
-def stage(evaluated: DataFrame, path: str, *, rejected_at: datetime) -> Split:
-    """Write both outcomes of one evaluation in one job (partitioned by
-    outcome) and return the two sides read back from it."""
-    lineage = [*LINEAGE_COLUMNS, *([ROW_ID] if ROW_ID in evaluated.columns else [])]
-    outcome = F.when(F.size(REASONS_COL) > 0, F.lit("rejected")).otherwise(F.lit("accepted"))
-    evaluated.select(
-        *RAW_COLUMNS, *[c for c in ACCEPTED_TYPED], *lineage, REASONS_COL, outcome.alias("_outcome")
-    ).write.partitionBy("_outcome").parquet(path)
-    staged = evaluated.sparkSession.read.parquet(path)
-    accepted = staged.filter(F.col("_outcome") == "accepted").select(*ACCEPTED_TYPED, *lineage)
-    rejected = staged.filter(F.col("_outcome") == "rejected").select(
-        *RAW_COLUMNS, *lineage, REASONS_COL, F.lit(rejected_at).cast("timestamp").alias("_rejected_at")
-    )
-    return Split(accepted, rejected)
+def evaluate_once(source: DataFrame, spec: ContractSpec = SURVEY) -> DataFrame:
+    """Typing and the 15 checks run once, into a parquet table in the shared
+    checkpoint folder; the duplicate check and every consumer of the split
+    then re-read only the columns they need from it (plus a broadcast of the
+    small per-key verdicts), never the regex and date parsing again."""
+    contracted = materialize(apply_contract(source, spec), "contracted")
+    return flag_duplicates(contracted, spec)
 
 
 def prepare_silver(accepted: DataFrame, *, updated_at: datetime) -> DataFrame:
@@ -120,7 +113,7 @@ def prepare_silver(accepted: DataFrame, *, updated_at: datetime) -> DataFrame:
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, quarantine_path: str, *,
                series: str | None = None, years: Sequence[int] | None = None, spec: ContractSpec = SURVEY,
                rules: list[dict[str, Any]] | None = None, now: datetime | None = None) -> SilverRun:
-    """slice -> evaluate -> stage -> reconcile -> rules -> quarantine -> gate -> upsert.
+    """slice -> evaluate -> split -> reconcile -> rules -> quarantine -> gate -> upsert.
 
     The quarantine is written before the gate on purpose: when the gate stops
     the run, the rejected rows are the evidence. Nothing reaches silver then.
@@ -129,8 +122,7 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
     source = read_slice(spark, bronze_path, series, years)
     if series is None:
         source = source.filter(F.col("_source_series") != "qus")
-    staging = scratch_path(spark, f"silver-staging-{uuid.uuid4().hex}")
-    parts = stage(evaluate(source, spec), staging, rejected_at=stamp)
+    parts = split(evaluate_once(source, spec), rejected_at=stamp)
 
     recon = reconcile(source, parts)
     metrics_df = quality.layer_metrics(source, parts.accepted, parts.rejected)
@@ -146,7 +138,7 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
     tables.upsert_table(spark, silver_path, prepare_silver(parts.accepted, updated_at=stamp), spec.natural_key,
                         SILVER_PARTITIONS)
     warnings = [line for line in report if line.startswith("[FAILED]")]
-    return SilverRun(recon, report, metrics, staging, published=True, warnings=warnings)
+    return SilverRun(recon, report, metrics, published=True, warnings=warnings)
 
 
 def _replace_quarantine(spark: SparkSession, path: str, rejected: DataFrame, scope) -> None:
