@@ -41,7 +41,7 @@ def main() -> None:
     spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoint")
 
     from vetrow.operators import marts, quality
-    from vetrow.operators.quarantine import reconcile, split
+    from vetrow.operators.quarantine import check_balance, split
     from vetrow.plans import layers
     from vetrow.plans.files_catalog import q_classify_names, q_payload_audit
     from vetrow.plans.raw_catalog import q_raw_scan
@@ -75,9 +75,9 @@ def main() -> None:
 
     def reconcile_rules():
         parts = state["parts"]
-        reconcile(state["raw"], parts)
-        metrics = quality.layer_metrics(state["raw"], parts.accepted, parts.rejected)
-        quality.run_rules({"accepted": parts.accepted}, metrics).collect()
+        counts = quality.layer_metrics(state["raw"], parts.accepted, parts.rejected).first().asDict()
+        check_balance(counts["source"], counts["accepted"], counts["rejected"])
+        quality.run_rules({"accepted": parts.accepted}, quality.metrics_frame(spark, counts)).collect()
 
     def gold():
         accepted = state["parts"].accepted

@@ -41,8 +41,12 @@ def failing(valid: Column) -> Column:
 
 
 def reason_array(checks: Iterable[tuple[str, Column]]) -> Column:
-    """Names of the failed checks, in check order, NULL slots removed."""
-    return F.array_compact(F.array(*[F.when(failing(ok), F.lit(name)) for name, ok in checks]))
+    """Names of the failed checks, in check order.
+
+    Empty slots are dropped with ``array_remove``, which is code-generated;
+    ``array_compact`` is a lambda ``filter`` and would push the whole check
+    tree under it (regex, date and decimal parsing) into interpreted mode."""
+    return F.array_remove(F.array(*[F.when(failing(ok), F.lit(name)).otherwise(F.lit("")) for name, ok in checks]), "")
 
 
 def null_safe_keys(left: str, right: str, keys: Iterable[str]) -> Column:

@@ -70,13 +70,14 @@ def flag_duplicates(contracted: DataFrame, spec: ContractSpec = SURVEY, *, broad
     matched = is_valid() & F.col("_keeper").isNotNull()
     conflict = matched & F.col("_conflict")
     surplus = matched & ~F.col("_conflict") & (F.col(spec.row_id) != F.col("_keeper"))
-    flagged = F.array_compact(
+    flagged = F.array_remove(
         F.concat(
             F.col(REASONS_COL),
             F.array(
-                F.when(conflict, F.lit(DUPLICATE_CONFLICT)),
-                F.when(surplus, F.lit(EXACT_DUPLICATE)),
+                F.when(conflict, F.lit(DUPLICATE_CONFLICT)).otherwise(F.lit("")),
+                F.when(surplus, F.lit(EXACT_DUPLICATE)).otherwise(F.lit("")),
             ),
-        )
+        ),
+        "",
     )
     return joined.withColumn(REASONS_COL, flagged).drop("_conflict", "_keeper")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from vetrow.operators import marts, quality, tables
 from vetrow.operators.contract import apply_contract
 from vetrow.operators.duplicates import flag_duplicates
-from vetrow.operators.quarantine import Reconciliation, reconcile, split
+from vetrow.operators.quarantine import Reconciliation, check_balance, split
 from vetrow.session import materialize
 from vetrow.sources import audit as au
 from vetrow.sources import raw as rw
@@ -124,10 +124,10 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
         source = source.filter(F.col("_source_series") != "qus")
     parts = split(evaluate_once(source, spec), rejected_at=stamp)
 
-    recon = reconcile(source, parts)
-    metrics_df = quality.layer_metrics(source, parts.accepted, parts.rejected)
-    metrics = {k: int(v) for k, v in metrics_df.first().asDict().items()}
-    report_df = quality.run_rules({"accepted": parts.accepted}, metrics_df, rules)
+    # one job counts all three sides (and the priced rows) independently
+    metrics = {k: int(v) for k, v in quality.layer_metrics(source, parts.accepted, parts.rejected).first().asDict().items()}
+    recon = check_balance(metrics["source"], metrics["accepted"], metrics["rejected"])
+    report_df = quality.run_rules({"accepted": parts.accepted}, quality.metrics_frame(spark, metrics), rules)
 
     scope = tables.slice_predicate(series, years)
     if series is None:
