@@ -28,3 +28,12 @@ def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int, *, max_rows: in
     if max_rows is not None:
         limit = min(limit, max_rows)
     return F.broadcast(df) if rows <= limit else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a source over the cluster's cores when its scan yields fewer
+    partitions than that (e.g. a table stored as one parquet row group) and
+    CPU-heavy projections follow. A scan of a large table already has more
+    partitions than cores, so there this is a no-op and adds no shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
