@@ -57,13 +57,14 @@ def key_verdicts(contracted: DataFrame, keys: DataFrame, n_keys: int, spec: Cont
     )
 
 
-def flag_duplicates(contracted: DataFrame, spec: ContractSpec = SURVEY, *, broadcast_rows: int | None = None) -> DataFrame:
+def flag_duplicates(contracted: DataFrame, spec: ContractSpec = SURVEY, *, broadcast_rows: int | None = None,
+                    folder: str | None = None) -> DataFrame:
     key = list(spec.natural_key)
-    keys = materialize(repeated_keys(contracted, spec), "repeated-keys")
+    keys = materialize(repeated_keys(contracted, spec), "repeated-keys", folder)
     n_keys = keys.count()
     if n_keys == 0:
         return contracted
-    verdicts = materialize(key_verdicts(contracted, keys, n_keys, spec), "key-verdicts")
+    verdicts = materialize(key_verdicts(contracted, keys, n_keys, spec), "key-verdicts", folder)
     joined = contracted.join(
         broadcast_if_small(verdicts, n_keys, VERDICT_ROW_BYTES, max_rows=broadcast_rows), key, "left"
     )

@@ -143,16 +143,26 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def replace_where(spark: SparkSession, path: str, new: DataFrame, predicate: Column,
-                  partition_by: Sequence[str]) -> None:
+                  partition_by: Sequence[str], *, scope: Iterable[tuple] | None = None) -> None:
     """Swap the rows matching ``predicate`` for ``new``, touching only the
-    partitions that hold either. Partitions left with no row are removed."""
+    partitions that hold either. Partitions left with no row are removed.
+
+    ``scope`` names the partitions the predicate can match when the caller
+    knows them (a file's series and year); otherwise they are found with a
+    scan, which partition pruning keeps cheap when the predicate is on
+    partition columns."""
     current = read_table(spark, path)
     if current is None:
         if not new.isEmpty():
             write_partitions(new, path, partition_by)
         return
     hit = F.coalesce(predicate, F.lit(False))
-    touched = _partitions(current.filter(hit), partition_by) | _partitions(new, partition_by)
+    if scope is not None:
+        scoped = {tuple(v) for v in scope}
+        pruned = current.filter(_in_partitions(scoped, partition_by)) if scoped else current.limit(0)
+        touched = _partitions(pruned.filter(hit), partition_by) | _partitions(new, partition_by)
+    else:
+        touched = _partitions(current.filter(hit), partition_by) | _partitions(new, partition_by)
     if not touched:
         return
     in_touched = _in_partitions(touched, partition_by)

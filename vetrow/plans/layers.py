@@ -10,6 +10,7 @@ a re-read, not a recomputation.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
@@ -23,7 +24,8 @@ from vetrow.operators import marts, quality, tables
 from vetrow.operators.contract import apply_contract
 from vetrow.operators.duplicates import flag_duplicates
 from vetrow.operators.quarantine import Reconciliation, check_balance, split
-from vetrow.session import materialize
+from vetrow.functions import fs
+from vetrow.session import materialize, scratch_path
 from vetrow.sources import audit as au
 from vetrow.sources import raw as rw
 from vetrow.spec import SURVEY, ContractSpec
@@ -69,11 +71,21 @@ def run_bronze(spark: SparkSession, raw_root: str, bronze_path: str, *, audited:
     groups = rw.header_groups(rw.file_headers(spark, by_charset))
     frame = rw.read_raw(spark, groups, root=raw_root, run_id=run_id or str(uuid.uuid4()),
                         ingested_at=ingested_at or _now())
-    tables.replace_where(spark, bronze_path, frame, F.col("_source_file").isin(keys), BRONZE_PARTITIONS)
+    # the files' partitions follow from their raw keys, so finding them needs no scan of bronze
+    scope = {raw_key_partition(k) for k in keys}
+    tables.replace_where(spark, bronze_path, frame, F.col("_source_file").isin(keys), BRONZE_PARTITIONS, scope=scope)
     written = spark.read.option("mergeSchema", "true").parquet(bronze_path)
     return rw.rows_per_file(written.filter(F.col("_source_file").isin(keys)))
 
 
+def raw_key_partition(raw_key: str) -> tuple[str, int | None]:
+    """(series, year) of a raw key ``series/sub/year/file`` - the same rule
+    ``raw.read_group`` applies to the paths it reads."""
+    parts = raw_key.split("/")
+    m = re.search(r"(\d{4})$", parts[2]) if len(parts) > 2 else None
+    return parts[0], int(m.group(1)) if m else None
+
+
 # --- silver --------------------------------------------------------------------------
 
 
@@ -93,13 +105,13 @@ def read_slice(spark: SparkSession, bronze_path: str, series: str | None = None,
     return bronze.filter(tables.slice_predicate(series, years))
 
 
-def evaluate_once(source: DataFrame, spec: ContractSpec = SURVEY) -> DataFrame:
+def evaluate_once(source: DataFrame, spec: ContractSpec = SURVEY, folder: str | None = None) -> DataFrame:
     """Typing and the 15 checks run once, into a parquet table in the shared
     checkpoint folder; the duplicate check and every consumer of the split
     then re-read only the columns they need from it (plus a broadcast of the
     small per-key verdicts), never the regex and date parsing again."""
-    contracted = materialize(apply_contract(source, spec), "contracted")
-    return flag_duplicates(contracted, spec)
+    contracted = materialize(apply_contract(source, spec), "contracted", folder)
+    return flag_duplicates(contracted, spec, folder=folder)
 
 
 def prepare_silver(accepted: DataFrame, *, updated_at: datetime) -> DataFrame:
@@ -122,7 +134,15 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
     source = read_slice(spark, bronze_path, series, years)
     if series is None:
         source = source.filter(F.col("_source_series") != "qus")
-    parts = split(evaluate_once(source, spec), rejected_at=stamp)
+    folder = scratch_path(spark, f"runs/silver-{uuid.uuid4().hex}")
+    try:
+        return _silver_steps(spark, source, silver_path, quarantine_path, series, years, spec, rules, stamp, folder)
+    finally:
+        fs.remove(spark, folder)  # the run's intermediate tables
+
+
+def _silver_steps(spark, source, silver_path, quarantine_path, series, years, spec, rules, stamp, folder) -> SilverRun:
+    parts = split(evaluate_once(source, spec, folder), rejected_at=stamp)
 
     # one job counts all three sides (and the priced rows) independently
     metrics = {k: int(v) for k, v in quality.layer_metrics(source, parts.accepted, parts.rejected).first().asDict().items()}

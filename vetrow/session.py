@@ -30,13 +30,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return chosen
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", folder: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: the lineage is cut at a file (a lost executor re-reads it instead of
     recomputing upstream stages) and, unlike ``Dataset.checkpoint``, the
     upstream plan runs once, not twice."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"materialized/{name}-{uuid.uuid4().hex}")
+    base = folder or scratch_path(spark, "materialized")
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
 
