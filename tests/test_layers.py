@@ -42,8 +42,10 @@ def test_clean_run_publishes_and_reruns_to_same_content(spark, bronze_paths):
     assert first.metrics["accepted"] == 5351
     silver = spark.read.parquet(f"{base}/silver")
     snapshot = silver.drop("_updated_at").collect()
-    layers.run_silver(spark, f"{base}/clean", f"{base}/silver", f"{base}/quarantine", spec=BINDING,
-                      now=datetime(2010, 1, 3))
+    second = layers.run_silver(spark, f"{base}/clean", f"{base}/silver", f"{base}/quarantine", spec=BINDING,
+                               now=datetime(2010, 1, 3))
+    assert second.upsert == {"inserted": 0, "updated": 5351, "updated_with_changes": 0, "unchanged": 5351}
+    assert first.upsert["inserted"] == -1  # first write creates the table
     again = spark.read.parquet(f"{base}/silver").drop("_updated_at")
     before = spark.createDataFrame(snapshot, again.schema)
     assert tables.content_diff(again, before).count() == 0

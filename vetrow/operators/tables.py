@@ -86,6 +86,30 @@ def upsert_by_key(target: DataFrame, source: DataFrame, key: Sequence[str], *, c
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+def upsert_report(target: DataFrame, source: DataFrame, key: Sequence[str],
+                  columns: Sequence[str] | None = None) -> DataFrame:
+    """What an upsert will do, in one row: keys inserted, keys updated, and of
+    those how many carry different values (a later slice overriding an earlier
+    one, possibly with a conflicting price) or the same ones. Keys are unique
+    on both sides, so the join has no hot key."""
+    cols = list(columns or [c for c in source.columns if c not in key and c in target.columns])
+    new = source.select(*key, F.struct(*cols).alias("_new"))
+    old = target.select(*[F.col(k).alias(f"_t_{k}") for k in key], F.struct(*cols).alias("_old"))
+    cond = None
+    for k in key:
+        term = new[k].eqNullSafe(old[f"_t_{k}"])
+        cond = term if cond is None else cond & term
+    joined = new.join(old, cond, "left")
+    hit = F.col("_old").isNotNull()
+    same = F.col("_new").eqNullSafe(F.col("_old"))
+    return joined.agg(
+        F.count_if(~hit).alias("inserted"),
+        F.count_if(hit).alias("updated"),
+        F.count_if(hit & ~same).alias("updated_with_changes"),
+        F.count_if(hit & same).alias("unchanged"),
+    )
+
+
 def content_diff(left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows (with multiplicity) present on one side only, tagged by side.
     Empty means the two tables hold the same content."""

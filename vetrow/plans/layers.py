@@ -28,7 +28,7 @@ from vetrow.functions import fs
 from vetrow.session import materialize, scratch_path
 from vetrow.sources import audit as au
 from vetrow.sources import raw as rw
-from vetrow.spec import SURVEY, ContractSpec
+from vetrow.spec import FINGERPRINT, SURVEY, ContractSpec
 
 BRONZE_PARTITIONS = ("_source_series", "_source_year")
 QUARANTINE_PARTITIONS = ("_source_series", "_source_year")
@@ -96,6 +96,7 @@ class SilverRun:
     metrics: dict[str, int]
     published: bool = False
     warnings: list[str] = field(default_factory=list)
+    upsert: dict[str, int] = field(default_factory=dict)
 
 
 def read_slice(spark: SparkSession, bronze_path: str, series: str | None = None,
@@ -155,10 +156,24 @@ def _silver_steps(spark, source, silver_path, quarantine_path, series, years, sp
     _replace_quarantine(spark, quarantine_path, parts.rejected, scope)
 
     report = quality.gate(report_df)  # raises DataQualityError on a critical breach
-    tables.upsert_table(spark, silver_path, prepare_silver(parts.accepted, updated_at=stamp), spec.natural_key,
-                        SILVER_PARTITIONS)
+    prepared = prepare_silver(parts.accepted, updated_at=stamp)
+    upsert = _upsert_counts(spark, silver_path, prepared, spec)
+    tables.upsert_table(spark, silver_path, prepared, spec.natural_key, SILVER_PARTITIONS)
     warnings = [line for line in report if line.startswith("[FAILED]")]
-    return SilverRun(recon, report, metrics, published=True, warnings=warnings)
+    return SilverRun(recon, report, metrics, published=True, warnings=warnings, upsert=upsert)
+
+
+def _upsert_counts(spark: SparkSession, silver_path: str, prepared: DataFrame, spec: ContractSpec) -> dict[str, int]:
+    """Keys inserted / updated / updated with different business values (the
+    last slice wins across slices; this says how often it changed something)."""
+    current = tables.read_table(spark, silver_path)
+    if current is None:
+        return {"inserted": -1, "updated": 0, "updated_with_changes": 0, "unchanged": 0}
+    years = [r[0] for r in prepared.select("collection_year").distinct().collect()]  # bounded by the calendar
+    touched = current.filter(F.col("collection_year").isin(years))
+    business = [c for c in FINGERPRINT if c not in spec.natural_key]
+    row = tables.upsert_report(touched, prepared, spec.natural_key, business).first()
+    return {k: int(v) for k, v in row.asDict().items()}
 
 
 def _replace_quarantine(spark: SparkSession, path: str, rejected: DataFrame, scope) -> None:

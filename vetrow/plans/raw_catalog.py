@@ -68,13 +68,19 @@ def _audited_files(spark, root) -> DataFrame:
     return au.audit(objects)
 
 
-def _groups(spark, sf_dir):
+def _headers(spark, sf_dir):
     root = write_survey_files(spark, sf_dir)
     files = rw.recorded_charsets(rw.list_files(spark, root), _audited_files(spark, root))
     by_charset: dict[str, list[str]] = {}
-    for row in files.select("path", "encoding").collect():
+    for row in files.select("path", "encoding").collect():  # one row per file
         by_charset.setdefault(row["encoding"], []).append(row["path"])
-    return root, rw.header_groups(rw.file_headers(spark, by_charset))
+    headers = rw.file_headers(spark, by_charset)
+    return root, headers, rw.header_groups(headers)
+
+
+def _groups(spark, sf_dir):
+    root, _, groups = _headers(spark, sf_dir)
+    return root, groups
 
 
 def q_raw_scan(spark, sf_dir):
@@ -91,10 +97,11 @@ def q_charset_scan(spark, sf_dir):
 
 
 def q_header_audit(spark, sf_dir):
-    _, groups = _groups(spark, sf_dir)
-    rows = rw.header_report(groups)
-    schema = "path string, encoding string, signature string, columns int, missing string, status string"
-    return spark.createDataFrame(rows, schema)
+    """Header verdict per year of files (each year's files share one header)."""
+    _, headers, groups = _headers(spark, sf_dir)
+    report = rw.header_report(spark, headers, groups)
+    year = F.regexp_extract("path", r"/year=(\d{4})/", 1).cast("int")
+    return report.select(year.alias("year"), "encoding", "signature", "columns", "missing", "status").distinct()
 
 
 RAW_QUERIES = {
@@ -117,6 +124,14 @@ def _raw_oracles() -> dict[str, str]:
             f"CASE WHEN _source_year = 1998 THEN 'ISO-8859-1' ELSE 'UTF-8' END AS _source_encoding, "
             f"CASE WHEN _source_year >= 1999 THEN '{extra}' ELSE '{plain}' END AS _header_signature FROM raw",
         ),
+        "header_audit": with_ctes(
+            RAW_CTE,
+            body="SELECT DISTINCT _source_year AS year, "
+            "CASE WHEN _source_year = 1998 THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding, "
+            f"CASE WHEN _source_year >= 1999 THEN '{extra}' ELSE '{plain}' END AS signature, "
+            "CAST(CASE WHEN _source_year >= 1999 THEN 17 ELSE 16 END AS INTEGER) AS columns, "
+            "'' AS missing, 'ok' AS status FROM raw",
+        ),
         "charset_scan": with_ctes(
             RAW_CTE,
             body="SELECT DISTINCT _source_year AS year, "

@@ -56,6 +56,10 @@ def q_idempotence_diff(spark, sf_dir):
     return tables.content_diff(twice, once)
 
 
+def q_upsert_report(spark, sf_dir):
+    return tables.upsert_report(target(spark, sf_dir), source(spark, sf_dir), KEY)
+
+
 def q_replace_slice(spark, sf_dir):
     return tables.replace_slice(orders(spark, sf_dir), revised_1997(spark, sf_dir), F.col("order_year") == 1997)
 
@@ -84,6 +88,7 @@ def q_replace_table(spark, sf_dir):
 TABLE_QUERIES = {
     "upsert": q_upsert,
     "upsert_changes": q_upsert_changes,
+    "upsert_report": q_upsert_report,
     "idempotence_diff": q_idempotence_diff,
     "replace_slice": q_replace_slice,
     "slice_read": q_slice_read,
@@ -122,6 +127,18 @@ TABLE_ORACLES = {
         body="(SELECT *, 'left_only' AS _side FROM (SELECT * FROM u EXCEPT ALL SELECT * FROM t)) "
         "UNION ALL (SELECT *, 'right_only' AS _side FROM (SELECT * FROM t EXCEPT ALL SELECT * FROM u))",
     ),
+    "upsert_report": _with(
+        _O, _T, _S,
+        body="SELECT count(*) FILTER (WHERE t.o_orderkey IS NULL) AS inserted, "
+        "count(*) FILTER (WHERE t.o_orderkey IS NOT NULL) AS updated, "
+        "count(*) FILTER (WHERE t.o_orderkey IS NOT NULL AND (s.o_custkey, s.o_orderstatus, s.o_totalprice, "
+        "s.o_orderdate, s.o_orderpriority, s.order_year) IS DISTINCT FROM (t.o_custkey, t.o_orderstatus, "
+        "t.o_totalprice, t.o_orderdate, t.o_orderpriority, t.order_year)) AS updated_with_changes, "
+        "count(*) FILTER (WHERE t.o_orderkey IS NOT NULL AND (s.o_custkey, s.o_orderstatus, s.o_totalprice, "
+        "s.o_orderdate, s.o_orderpriority, s.order_year) IS NOT DISTINCT FROM (t.o_custkey, t.o_orderstatus, "
+        "t.o_totalprice, t.o_orderdate, t.o_orderpriority, t.order_year)) AS unchanged "
+        "FROM s LEFT JOIN t ON s.o_orderkey IS NOT DISTINCT FROM t.o_orderkey",
+    ),
     "idempotence_diff": _with(
         _O, _T, _S, _U, _U2,
         body="(SELECT *, 'left_only' AS _side FROM (SELECT * FROM u2 EXCEPT ALL SELECT * FROM u)) "

@@ -165,12 +165,23 @@ def header_groups(headers: DataFrame, contract: Sequence[str] = RAW_COLUMNS) ->
     return groups
 
 
-def header_report(groups: Iterable[HeaderGroup]) -> list[tuple]:
-    return [
-        (p, g.encoding, g.signature, len(g.names), ",".join(g.missing), "ok" if not g.missing else "missing_columns")
-        for g in groups
-        for p in g.paths
-    ]
+HEADER_REPORT_SCHEMA = "encoding string, header_line string, signature string, columns int, missing string, status string"
+
+
+def header_report(spark: SparkSession, headers: DataFrame, groups: Iterable[HeaderGroup]) -> DataFrame:
+    """Per file: charset, header signature, column count and contract status.
+    The per-header verdicts (one row per distinct header line, computed on the
+    driver where the names were normalised) are broadcast onto the file list."""
+    verdicts = spark.createDataFrame(
+        [
+            (g.encoding, ";".join(g.raw_names), g.signature, len(g.names), ",".join(g.missing),
+             "ok" if not g.missing else "missing_columns")
+            for g in groups
+        ],
+        HEADER_REPORT_SCHEMA,
+    )
+    files = headers.select("path", "encoding", F.coalesce(F.col("header_line"), F.lit("")).alias("header_line"))
+    return files.join(F.broadcast(verdicts), ["encoding", "header_line"], "left").drop("header_line")
 
 
 def check_headers(groups: Iterable[HeaderGroup]) -> None:
