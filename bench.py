@@ -40,7 +40,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoint")
 
-    from vetrow.operators import marts, quality
+    from vetrow.operators import marts, quality, tables
     from vetrow.operators.quarantine import check_balance, split
     from vetrow.plans import layers
     from vetrow.plans.files_catalog import q_classify_names, q_payload_audit
@@ -79,16 +79,25 @@ def main() -> None:
         check_balance(counts["source"], counts["accepted"], counts["rejected"])
         quality.run_rules({"accepted": parts.accepted}, quality.metrics_frame(spark, counts)).collect()
 
+    def quarantine_and_upsert():
+        parts = state["parts"]
+        tables.replace_where(spark, f"{scratch}/quarantine", parts.rejected, tables.slice_predicate(),
+                             layers.QUARANTINE_PARTITIONS)
+        prepared = layers.prepare_silver(parts.accepted, updated_at=layers._now())
+        tables.upsert_table(spark, f"{scratch}/silver", prepared, BINDING.natural_key, layers.SILVER_PARTITIONS)
+        # a rerun of the same slice: every touched partition is merged and rewritten
+        tables.upsert_table(spark, f"{scratch}/silver", prepared, BINDING.natural_key, layers.SILVER_PARTITIONS,
+                            assume_unique=True)
+
     def gold():
-        accepted = state["parts"].accepted
-        for df in layers.build_gold(accepted).values():
-            noop(df)
-        cov = marts.coverage(accepted)
+        layers.run_gold(spark, f"{scratch}/silver", f"{scratch}/gold")
+        cov = marts.coverage(spark.read.parquet(f"{scratch}/silver"))
         marts.year_runs(marts.yearly_coverage(cov)).collect()
 
     step("bronze_table", bronze)
     step("silver_evaluate_split", silver_evaluate)
     step("reconcile_and_rules", reconcile_rules)
+    step("quarantine_and_upsert", quarantine_and_upsert)
     step("gold_marts", gold)
     step("upsert_orders", lambda: noop(q_upsert(spark, sf_dir)))
     step("manifest_classify", lambda: noop(q_classify_names(spark, sf_dir)))

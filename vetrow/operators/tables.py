@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -197,22 +197,63 @@ def replace_where(spark: SparkSession, path: str, new: DataFrame, predicate: Col
         fs.remove(spark, _partition_dir(path, partition_by, values))
 
 
+def merge_by_key(target: DataFrame, source: DataFrame, key: Sequence[str],
+                 compare: Sequence[str] | None = None) -> tuple[DataFrame, list[Column], list[Column]]:
+    """Upsert as one full outer join on the key (unique on both sides, so no
+    hot key): source rows win, target rows the source does not mention stay.
+
+    Returns the joined frame, the projection of the merged rows, and the count
+    expressions (inserted / updated / updated with changes / unchanged) to
+    ``observe`` while the result is written, so the report costs no extra pass."""
+    cols = [c for c in target.columns]
+    compare = list(compare or [c for c in source.columns if c not in key and c in target.columns])
+    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_in_source"))
+    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_target"))
+    cond = None
+    for k in key:
+        term = s[f"_s_{k}"].eqNullSafe(t[f"_t_{k}"])
+        cond = term if cond is None else cond & term
+    joined = s.join(t, cond, "full_outer")
+    from_source = F.col("_in_source").isNotNull()
+    merged = [
+        F.when(from_source, F.col(f"_s_{c}") if c in source.columns else F.lit(None)).otherwise(F.col(f"_t_{c}")).alias(c)
+        for c in cols
+    ]
+    both = from_source & F.col("_in_target").isNotNull()
+    same = F.struct(*[F.col(f"_s_{c}") for c in compare]).eqNullSafe(F.struct(*[F.col(f"_t_{c}") for c in compare]))
+    counts = [
+        F.count_if(from_source & F.col("_in_target").isNull()).alias("inserted"),
+        F.count_if(both).alias("updated"),
+        F.count_if(both & ~same).alias("updated_with_changes"),
+        F.count_if(both & same).alias("unchanged"),
+    ]
+    return joined, merged, counts
+
+
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: Sequence[str],
-                 partition_by: Sequence[str]) -> None:
+                 partition_by: Sequence[str], *, compare: Sequence[str] | None = None,
+                 assume_unique: bool = False) -> dict[str, int]:
     """First write creates the table; later writes rewrite only the partitions
     the source touches. The partition columns must be functions of the key
-    (e.g. year of the collection date), so a key never moves partition."""
-    assert_unique_key(source, key)
+    (e.g. year of the collection date), so a key never moves partition.
+    Returns what the write did (keys inserted, updated, updated with
+    different values); ``inserted`` is -1 for the write that creates the table.
+    ``assume_unique`` skips the source-key check when a data-quality rule has
+    just proved it."""
+    if not assume_unique:
+        assert_unique_key(source, key)
     current = read_table(spark, path)
     if current is None:
         source.write.partitionBy(*partition_by).parquet(path)
-        return
+        return {"inserted": -1, "updated": 0, "updated_with_changes": 0, "unchanged": 0}
     touched = _partitions(source, partition_by)
     in_touched = _in_partitions(touched, partition_by)
     if in_touched is None:
-        return
-    merged = upsert_by_key(current.filter(in_touched), source, key)
-    write_partitions(merged.select(*current.columns), path, partition_by)
+        return {"inserted": 0, "updated": 0, "updated_with_changes": 0, "unchanged": 0}
+    joined, merged, counts = merge_by_key(current.filter(in_touched), source, key, compare)
+    observation = Observation("upsert")
+    write_partitions(joined.observe(observation, *counts).select(*merged), path, partition_by)
+    return {k: int(v) for k, v in observation.get.items()}
 
 
 def publish_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:

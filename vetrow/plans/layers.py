@@ -148,32 +148,32 @@ def _silver_steps(spark, source, silver_path, quarantine_path, series, years, sp
     # one job counts all three sides (and the priced rows) independently
     metrics = {k: int(v) for k, v in quality.layer_metrics(source, parts.accepted, parts.rejected).first().asDict().items()}
     recon = check_balance(metrics["source"], metrics["accepted"], metrics["rejected"])
-    report_df = quality.run_rules({"accepted": parts.accepted}, quality.metrics_frame(spark, metrics), rules)
+    rule_list = quality.load_rules() if rules is None else list(rules)
+    report_df = quality.run_rules({"accepted": parts.accepted}, quality.metrics_frame(spark, metrics), rule_list)
 
     scope = tables.slice_predicate(series, years)
     if series is None:
         scope = scope & (F.col("_source_series") != "qus")
     _replace_quarantine(spark, quarantine_path, parts.rejected, scope)
 
-    report = quality.gate(report_df)  # raises DataQualityError on a critical breach
+    report_df_rows = report_df.collect()  # one row per rule
+    report = quality.gate_rows(report_df_rows)  # raises DataQualityError on a critical breach
     prepared = prepare_silver(parts.accepted, updated_at=stamp)
-    upsert = _upsert_counts(spark, silver_path, prepared, spec)
-    tables.upsert_table(spark, silver_path, prepared, spec.natural_key, SILVER_PARTITIONS)
+    business = [c for c in FINGERPRINT if c not in spec.natural_key]
+    upsert = tables.upsert_table(spark, silver_path, prepared, spec.natural_key, SILVER_PARTITIONS,
+                                 compare=business, assume_unique=_key_proven(report_df_rows, rule_list, spec))
     warnings = [line for line in report if line.startswith("[FAILED]")]
     return SilverRun(recon, report, metrics, published=True, warnings=warnings, upsert=upsert)
 
 
-def _upsert_counts(spark: SparkSession, silver_path: str, prepared: DataFrame, spec: ContractSpec) -> dict[str, int]:
-    """Keys inserted / updated / updated with different business values (the
-    last slice wins across slices; this says how often it changed something)."""
-    current = tables.read_table(spark, silver_path)
-    if current is None:
-        return {"inserted": -1, "updated": 0, "updated_with_changes": 0, "unchanged": 0}
-    years = [r[0] for r in prepared.select("collection_year").distinct().collect()]  # bounded by the calendar
-    touched = current.filter(F.col("collection_year").isin(years))
-    business = [c for c in FINGERPRINT if c not in spec.natural_key]
-    row = tables.upsert_report(touched, prepared, spec.natural_key, business).first()
-    return {k: int(v) for k, v in row.asDict().items()}
+def _key_proven(rows, rule_list, spec: ContractSpec) -> bool:
+    """True when a passed ``unique_key`` rule covered exactly the natural key."""
+    key = set(spec.natural_key)
+    return any(
+        r["passed"] and rule_list[r["ordinal"]]["type"] == "unique_key"
+        and set(rule_list[r["ordinal"]].get("columns", ())) == key
+        for r in rows
+    )
 
 
 def _replace_quarantine(spark: SparkSession, path: str, rejected: DataFrame, scope) -> None:
