@@ -129,7 +129,7 @@ def survey_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_source_year": F.col("_year").cast("int"),
         "_source_encoding": F.lit(ENCODING),
         "_header_signature": F.lit(BINDING_SIGNATURE),
-        "_ingested_at": F.lit(INGESTED_AT).cast("timestamp"),
+        "_ingested_at": F.lit(INGESTED_AT).cast("timestamp_ntz"),  # same wall time in any session zone
         "_ingestion_run_id": F.lit(RUN_ID),
     }
     # The line item's own fields are unique per row in every scale factor, and
