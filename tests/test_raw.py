@@ -93,3 +93,16 @@ def test_same_filename_in_two_years_keeps_both(spark, tmp_dir):
     tables.replace_where(spark, bronze, only, F.col("_source_file") == "dsan/all/2024/precos-glp-01.csv", ["_source_series", "_source_year"])
     got = sorted(r._source_file for r in spark.read.parquet(bronze).collect())
     assert got == ["dsan/all/2023/precos-glp-01.csv", "dsan/all/2024/precos-glp-01.csv"]
+
+
+def test_stamp_lineage_projects_and_signs(spark):
+    import datetime
+
+    cols = list(rw.RAW_COLUMNS) + ["extra"]
+    frame = spark.createDataFrame([tuple(["x"] * len(cols))], ", ".join(f"{c} string" for c in cols))
+    out = rw.stamp_lineage(frame, source_file="dsan/all/2024/a.csv", series="dsan", year=2024, encoding="UTF-8",
+                           run_id="r", ingested_at=datetime.datetime(2024, 5, 1))
+    row = out.first()
+    assert "extra" not in out.columns and len(out.columns) == 23
+    assert row._header_signature == rw.header_signature(cols)  # extras count in the signature
+    assert row._ingested_at == datetime.datetime(2024, 5, 1) and row._source_year == 2024

@@ -239,6 +239,23 @@ def read_group(spark: SparkSession, group: HeaderGroup, *, group_index: int, roo
     )
 
 
+def stamp_lineage(frame: DataFrame, *, source_file: str, series: str, year: int | None, encoding: str,
+                  run_id: str, ingested_at: datetime, contract: Sequence[str] = RAW_COLUMNS) -> DataFrame:
+    """One already-loaded file's frame: the contract columns (extras dropped,
+    but counted in the signature, taken before the projection) plus lineage."""
+    signature = header_signature(list(frame.columns))
+    return frame.select(
+        *contract,
+        F.lit(source_file).alias("_source_file"),
+        F.lit(series).alias("_source_series"),
+        F.lit(year).cast("int").alias("_source_year"),
+        F.lit(encoding).alias("_source_encoding"),
+        F.lit(signature).alias("_header_signature"),
+        F.lit(ingested_at).cast("timestamp").alias("_ingested_at"),
+        F.lit(run_id).alias("_ingestion_run_id"),
+    )
+
+
 def read_raw(spark: SparkSession, groups: Sequence[HeaderGroup], *, root: str, run_id: str,
              ingested_at: datetime, contract: Sequence[str] = RAW_COLUMNS) -> DataFrame:
     """Bronze frame for every file of every group (header contract enforced)."""
