@@ -19,11 +19,12 @@ def write(path, text, encoding="utf-8", bom=False, crlf=True):
 
 
 def load(spark, root, charset_of=None):
-    files = rw.list_files(spark, root).collect()
-    by = {}
-    for f in files:
-        by.setdefault((charset_of or {}).get(f.raw_key, "UTF-8"), []).append(f.path)
-    groups = rw.header_groups(rw.file_headers(spark, by))
+    from pyspark.sql import functions as F
+
+    files = rw.list_files(spark, root)
+    mapping = F.create_map(*[x for k, v in (charset_of or {}).items() for x in (F.lit(k), F.lit(v))]) if charset_of else None
+    enc = F.coalesce(mapping[F.col("raw_key")], F.lit("UTF-8")) if mapping is not None else F.lit("UTF-8")
+    groups = rw.header_groups(rw.file_headers(files.withColumn("encoding", enc)))
     return groups, rw.read_raw(spark, groups, root=root, run_id="r1", ingested_at=__import__("datetime").datetime(2025, 1, 1))
 
 

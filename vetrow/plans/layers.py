@@ -61,14 +61,12 @@ def run_bronze(spark: SparkSession, raw_root: str, bronze_path: str, *, audited:
     if raw_keys is not None:
         files = files.filter(F.col("raw_key").isin(list(raw_keys)))
     files = rw.recorded_charsets(files, audited)
-    by_charset: dict[str, list[str]] = {}
-    keys: list[str] = []
-    for row in files.select("path", "encoding", "raw_key").collect():  # one row per file
-        by_charset.setdefault(row["encoding"], []).append(row["path"])
-        keys.append(row["raw_key"])
-    if not keys:
+    headers = rw.file_headers(files).join(files.select("path", "raw_key"), "path")
+    rows = headers.collect()  # one row per file: metadata, bounded by the manifest
+    if not rows:
         raise FileNotFoundError(f"no raw file to load under {raw_root}")
-    groups = rw.header_groups(rw.file_headers(spark, by_charset))
+    keys = [r["raw_key"] for r in rows]
+    groups = rw.groups_from_rows(rows)
     frame = rw.read_raw(spark, groups, root=raw_root, run_id=run_id or str(uuid.uuid4()),
                         ingested_at=ingested_at or _now())
     # the files' partitions follow from their raw keys, so finding them needs no scan of bronze

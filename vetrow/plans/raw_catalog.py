@@ -71,10 +71,7 @@ def _audited_files(spark, root) -> DataFrame:
 def _headers(spark, sf_dir):
     root = write_survey_files(spark, sf_dir)
     files = rw.recorded_charsets(rw.list_files(spark, root), _audited_files(spark, root))
-    by_charset: dict[str, list[str]] = {}
-    for row in files.select("path", "encoding").collect():  # one row per file
-        by_charset.setdefault(row["encoding"], []).append(row["path"])
-    headers = rw.file_headers(spark, by_charset)
+    headers = rw.file_headers(files)
     return root, headers, rw.header_groups(headers)
 
 

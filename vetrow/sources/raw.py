@@ -6,8 +6,9 @@ One job per (charset, header shape) group, however many files the group has:
    content column pruned, so nothing but the listing is read).
 2. charsets come from the download audit (``recorded_charsets``); files the
    audit never saw default to UTF-8.
-3. ``file_headers`` - the first line of every file, in one job: each file's
-   first split is scanned and the row with the smallest id is kept per file.
+3. ``file_headers`` - the first line of every file, in one job over the file
+   list: each task reads only the first bytes of its files (up to the first
+   newline), so finding headers costs kilobytes per file, not a scan.
 4. header names are normalised on the driver (they are metadata: one line per
    distinct header), checked against the contract and fingerprinted.
 5. ``read_raw`` - per group, one ``spark.read.csv`` over all its files with the
@@ -102,33 +103,41 @@ def recorded_charsets(files: DataFrame, audited: DataFrame | None) -> DataFrame:
     )
 
 
-def file_headers(spark: SparkSession, paths_by_charset: dict[str, list[str]]) -> DataFrame:
-    """(path, encoding, header_line): the first line of each file, decoded
-    with the file's charset. One scan per charset over the files' first splits."""
-    parts = []
-    for charset, paths in paths_by_charset.items():
-        if not paths:
-            continue
-        lines = (
-            spark.read.option("header", "false")
-            .option("sep", "\u0001")
-            .option("quote", "\u0000")
-            .option("encoding", charset)
-            .schema("line string")
-            .csv(paths)
-            .select(
-                "line",
-                F.col("_metadata.file_path").alias("path"),
-                F.col("_metadata.file_block_start").alias("_start"),
-                F.monotonically_increasing_id().alias("_rid"),
-            )
-        )
-        first = lines.filter(F.col("_start") == 0).groupBy("path").agg(F.min_by("line", "_rid").alias("header_line"))
-        parts.append(first.withColumn("encoding", F.lit(charset)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+HEAD_CHUNK = 65536
+
+
+def _read_heads(batches):
+    """mapInPandas body: first line of every file in the batch, read through
+    Arrow's file systems (local, HDFS, object stores) a chunk at a time until
+    the first newline - never the whole file."""
+    import pandas as pd
+    from pyarrow import fs as pafs
+
+    for pdf in batches:
+        lines = []
+        for path, charset in zip(pdf["path"], pdf["encoding"]):
+            filesystem, inner = pafs.FileSystem.from_uri(path)
+            head = b""
+            with filesystem.open_input_stream(inner) as stream:
+                while b"\n" not in head:
+                    chunk = stream.read(HEAD_CHUNK)
+                    if not chunk:
+                        break
+                    head += chunk
+            first = head.split(b"\n", 1)[0].rstrip(b"\r")
+            # a UTF-8 BOM is dropped, as Spark's CSV reader drops it before its header check
+            codec = "utf-8-sig" if charset.replace("-", "").lower() == "utf8" else charset
+            lines.append(first.decode(codec, errors="replace"))
+        yield pd.DataFrame({"path": pdf["path"], "encoding": pdf["encoding"], "header_line": lines})
+
+
+def file_headers(files: DataFrame) -> DataFrame:
+    """(path, encoding, header_line) for a DataFrame of (path, encoding): the
+    first line of each file, decoded with its charset. The file list stays a
+    DataFrame; each task reads only the heads of its files."""
+    return files.select("path", "encoding").mapInPandas(
+        _read_heads, "path string, encoding string, header_line string"
+    )
 
 
 @dataclass(frozen=True)
@@ -153,8 +162,12 @@ def split_header(line: str, sep: str = SEPARATOR, quote: str = QUOTE) -> list[st
 def header_groups(headers: DataFrame, contract: Sequence[str] = RAW_COLUMNS) -> list[HeaderGroup]:
     """Files grouped by (charset, header line). Collects one row per file
     (the file list is metadata, bounded by the manifest)."""
+    return groups_from_rows(headers.select("encoding", "header_line", "path").collect(), contract)
+
+
+def groups_from_rows(rows, contract: Sequence[str] = RAW_COLUMNS) -> list[HeaderGroup]:
     by_key: dict[tuple[str, str], list[str]] = {}
-    for row in headers.select("encoding", "header_line", "path").collect():
+    for row in rows:
         by_key.setdefault((row["encoding"], row["header_line"] or ""), []).append(row["path"])
     groups = []
     for (encoding, line), paths in sorted(by_key.items()):
