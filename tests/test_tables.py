@@ -84,3 +84,13 @@ def test_content_diff_sides(spark):
     b = frame(spark, [("a", None, 1.0, 1), ("b", None, 1.0, 1)])
     got = sorted((r.k, r._side) for r in tables.content_diff(a, b).collect())
     assert got == [("a", "left_only"), ("b", "right_only")]
+
+
+def test_replace_where_data_column_predicate_keeps_other_rows(spark, tmp_dir):
+    # the predicate hits part of a partition: the rest of it must survive
+    path = f"{tmp_dir}/q3"
+    tables.write_partitions(frame(spark, [("a", None, 1.0, 2024), ("b", None, 1.0, 2024), ("c", None, 1.0, 2025)]), path, ["y"])
+    tables.replace_where(spark, path, frame(spark, []).limit(0), F.col("k") == "a", ["y"])
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["b", "c"]
+    tables.replace_where(spark, path, frame(spark, [("d", None, 1.0, 2026)]), F.col("k") == "b", ["y"], scope=[(2024,)])
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["c", "d"]

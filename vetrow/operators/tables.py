@@ -172,27 +172,39 @@ def replace_where(spark: SparkSession, path: str, new: DataFrame, predicate: Col
     partitions that hold either. Partitions left with no row are removed.
 
     ``scope`` names the partitions the predicate can match when the caller
-    knows them (a file's series and year); otherwise they are found with a
-    scan, which partition pruning keeps cheap when the predicate is on
-    partition columns."""
+    knows them (a file's series and year) and must cover every matching row;
+    otherwise they are found with a scan, which partition pruning keeps cheap
+    when the predicate is on partition columns."""
     current = read_table(spark, path)
     if current is None:
         if not new.isEmpty():
             write_partitions(new, path, partition_by)
         return
     hit = F.coalesce(predicate, F.lit(False))
-    if scope is not None:
-        scoped = {tuple(v) for v in scope}
-        pruned = current.filter(_in_partitions(scoped, partition_by)) if scoped else current.limit(0)
-        touched = _partitions(pruned.filter(hit), partition_by) | _partitions(new, partition_by)
-    else:
-        touched = _partitions(current.filter(hit), partition_by) | _partitions(new, partition_by)
+    new_parts = _partitions(new, partition_by)
+    if scope is None:
+        # pruned to the matching partitions when the predicate is on partition columns
+        scope = _partitions(current.filter(hit), partition_by)
+    scoped = {tuple(v) for v in scope} | new_parts
+    if not scoped:
+        return
+    # whole partitions only: which ones the predicate hits, and which of them
+    # keep rows after the replacement (those must not be removed)
+    candidates = current.filter(_in_partitions(scoped, partition_by))
+    stats = (
+        candidates.groupBy(*partition_by)
+        .agg(F.count_if(hit).alias("_hits"), F.count_if(~hit).alias("_kept"))
+        .collect()  # one row per partition
+    )
+    hits = {tuple(r[c] for c in partition_by): (r["_hits"], r["_kept"]) for r in stats}
+    touched = {p for p, (h, _) in hits.items() if h > 0} | new_parts
     if not touched:
         return
     in_touched = _in_partitions(touched, partition_by)
     content = current.filter(in_touched & ~hit).unionByName(new, allowMissingColumns=True)
-    written = _partitions(content, partition_by)
-    write_partitions(content, path, partition_by)
+    written = new_parts | {p for p in touched if hits.get(p, (0, 0))[1] > 0}
+    if written:
+        write_partitions(content, path, partition_by)
     for values in touched - written:
         fs.remove(spark, _partition_dir(path, partition_by, values))
 
