@@ -77,3 +77,16 @@ def test_bronze_run_from_files(spark, tmp_path):
     # reloading the same files replaces their rows instead of appending
     layers.run_bronze(spark, root, str(tmp_path / "bronze"), audited=audited, run_id="t2")
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == 6010
+
+
+def test_rerun_after_gate_failure_cleans_the_slice(spark, bronze_paths):
+    base = bronze_paths
+    q, s = f"{base}/quarantine_r", f"{base}/silver_r"
+    with pytest.raises(DataQualityError):
+        layers.run_silver(spark, f"{base}/bronze", s, q, spec=BINDING, now=NOW)
+    assert spark.read.parquet(q).count() == 659 and not tables.fs.exists(spark, s)
+    run = layers.run_silver(spark, f"{base}/clean", s, q, spec=BINDING, now=NOW)
+    assert run.published and run.reconciliation.rejected == 0
+    left = tables.read_table(spark, q)
+    assert left is None or left.count() == 0  # the slice became clean: its quarantine is empty
+    assert spark.read.parquet(s).count() == 5351
