@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from vetrow.functions.sizing import broadcast_if_small
 from vetrow.operators.contract import REASONS_COL, is_valid
-from vetrow.session import materialize
+from vetrow.session import materialize, materialize_counted
 from vetrow.spec import DUPLICATE_CONFLICT, EXACT_DUPLICATE, ContractSpec, SURVEY
 
 KEY_ROW_BYTES = 96
@@ -60,8 +60,7 @@ def key_verdicts(contracted: DataFrame, keys: DataFrame, n_keys: int, spec: Cont
 def flag_duplicates(contracted: DataFrame, spec: ContractSpec = SURVEY, *, broadcast_rows: int | None = None,
                     folder: str | None = None) -> DataFrame:
     key = list(spec.natural_key)
-    keys = materialize(repeated_keys(contracted, spec), "repeated-keys", folder)
-    n_keys = keys.count()
+    keys, n_keys = materialize_counted(repeated_keys(contracted, spec), "repeated-keys", folder)
     if n_keys == 0:
         return contracted
     verdicts = materialize(key_verdicts(contracted, keys, n_keys, spec), "key-verdicts", folder)

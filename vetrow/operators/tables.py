@@ -155,13 +155,14 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> N
     )
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """Read a table whose partitions may carry added columns (schema merged
-    from the file footers, in a distributed job)."""
+def read_table(spark: SparkSession, path: str, *, merge_schema: bool = True) -> DataFrame | None:
+    """Read a table; ``merge_schema`` for tables whose partitions may carry
+    added columns (bronze, quarantine: schema merged from the file footers in
+    a distributed job). Silver has a fixed schema and skips that job."""
     if not fs.exists(spark, path):
         return None
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return spark.read.option("mergeSchema", "true" if merge_schema else "false").parquet(path)
     except AnalysisException:  # folder left with no data file
         return None
 
@@ -254,7 +255,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: Sequenc
     just proved it."""
     if not assume_unique:
         assert_unique_key(source, key)
-    current = read_table(spark, path)
+    current = read_table(spark, path, merge_schema=False)
     if current is None:
         source.write.partitionBy(*partition_by).parquet(path)
         return {"inserted": -1, "updated": 0, "updated_with_changes": 0, "unchanged": 0}

@@ -6,7 +6,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -35,11 +36,19 @@ def materialize(df: DataFrame, name: str = "table", folder: str | None = None) -
     back: the lineage is cut at a file (a lost executor re-reads it instead of
     recomputing upstream stages) and, unlike ``Dataset.checkpoint``, the
     upstream plan runs once, not twice."""
+    return materialize_counted(df, name, folder)[0]
+
+
+def materialize_counted(df: DataFrame, name: str = "table", folder: str | None = None) -> tuple[DataFrame, int]:
+    """``materialize`` plus the number of rows written, observed during the
+    write itself (no second pass to count). The table is read back with the
+    schema it was written with, so no footer has to be read to infer it."""
     spark = df.sparkSession
     base = folder or scratch_path(spark, "materialized")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    observation = Observation(f"{name}-rows")
+    df.observe(observation, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(observation.get["rows"])
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
