@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from vetrow.operators import marts, quality
 from vetrow.operators.contract import REASONS_COL, apply_contract
-from vetrow.operators.duplicates import flag_duplicates
 from vetrow.operators.quarantine import Split, layer_counts, reason_histogram, split
 from vetrow.plans.layers import evaluate_once
 from vetrow.sources.binding import survey_rows
@@ -24,8 +23,8 @@ REJECTED_AT = datetime(2010, 1, 1)
 _DECIMALS = ("sale_price", "purchase_price", "avg_price", "median_price", "min_price", "max_price",
              "avg_margin", "avg_margin_ratio")
 
-# evaluated frames per (session, sf_dir): the duplicate check checkpoints its
-# small key tables, so several queries over one scale factor share that work.
+# evaluated frames per (session, sf_dir): the contract and the duplicate check
+# materialize their tables once, so the queries of one scale factor share them.
 _EVALUATED: dict[tuple[int, str], DataFrame] = {}
 
 
