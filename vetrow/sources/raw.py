@@ -106,38 +106,35 @@ def recorded_charsets(files: DataFrame, audited: DataFrame | None) -> DataFrame:
 HEAD_CHUNK = 65536
 
 
-def _read_heads(batches):
-    """mapInPandas body: first line of every file in the batch, read through
-    Arrow's file systems (local, HDFS, object stores) a chunk at a time until
-    the first newline - never the whole file."""
-    import pandas as pd
-    from pyarrow import fs as pafs
-
-    for pdf in batches:
-        lines = []
-        for path, charset in zip(pdf["path"], pdf["encoding"]):
-            filesystem, inner = pafs.FileSystem.from_uri(path)
-            head = b""
-            with filesystem.open_input_stream(inner) as stream:
-                while b"\n" not in head:
-                    chunk = stream.read(HEAD_CHUNK)
-                    if not chunk:
-                        break
-                    head += chunk
-            first = head.split(b"\n", 1)[0].rstrip(b"\r")
-            # a UTF-8 BOM is dropped, as Spark's CSV reader drops it before its header check
-            codec = "utf-8-sig" if charset.replace("-", "").lower() == "utf8" else charset
-            lines.append(first.decode(codec, errors="replace"))
-        yield pd.DataFrame({"path": pdf["path"], "encoding": pdf["encoding"], "header_line": lines})
-
-
-def file_headers(files: DataFrame) -> DataFrame:
+def file_headers(files: DataFrame, chunk: int = HEAD_CHUNK) -> DataFrame:
     """(path, encoding, header_line) for a DataFrame of (path, encoding): the
     first line of each file, decoded with its charset. The file list stays a
     DataFrame; each task reads only the heads of its files."""
-    return files.select("path", "encoding").mapInPandas(
-        _read_heads, "path string, encoding string, header_line string"
-    )
+
+    # Defined here so it is shipped to the Python workers by value: they need
+    # pandas and pyarrow, not this package on their path.
+    def read_heads(batches):
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        for pdf in batches:
+            lines = []
+            for path, charset in zip(pdf["path"], pdf["encoding"]):
+                filesystem, inner = pafs.FileSystem.from_uri(path)
+                head = b""
+                with filesystem.open_input_stream(inner) as stream:
+                    while b"\n" not in head:  # a chunk at a time, never the whole file
+                        part = stream.read(chunk)
+                        if not part:
+                            break
+                        head += part
+                first = head.split(b"\n", 1)[0].rstrip(b"\r")
+                # a UTF-8 BOM is dropped, as Spark's CSV reader drops it before its header check
+                codec = "utf-8-sig" if charset.replace("-", "").lower() == "utf8" else charset
+                lines.append(first.decode(codec, errors="replace"))
+            yield pd.DataFrame({"path": pdf["path"], "encoding": pdf["encoding"], "header_line": lines})
+
+    return files.select("path", "encoding").mapInPandas(read_heads, "path string, encoding string, header_line string")
 
 
 @dataclass(frozen=True)
