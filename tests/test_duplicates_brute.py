@@ -48,3 +48,30 @@ def test_small_broadcast_budget_gives_same_flags(spark):
     wide = flag_duplicates(contracted, BINDING).select(ROW_ID, REASONS_COL)
     narrow = flag_duplicates(contracted, BINDING, broadcast_rows=0).select(ROW_ID, REASONS_COL)  # shuffle join
     assert wide.exceptAll(narrow).count() == 0 and narrow.exceptAll(wide).count() == 0
+
+
+def test_hot_key_keeps_exactly_one(spark):
+    """One key holds most of the rows (the skew case): still one copy kept."""
+    from samples import VALID, LINEAGE
+    from vetrow.spec import LINEAGE_COLUMNS, RAW_COLUMNS
+
+    def replicated(n, prefix, overrides):
+        values = {**VALID, **LINEAGE, **overrides}
+        cols = [F.lit(values[c]).cast("int" if c == "_source_year" else "timestamp" if c == "_ingested_at" else "string").alias(c)
+                for c in (*RAW_COLUMNS, *LINEAGE_COLUMNS)]
+        return spark.range(n).select(*cols, F.format_string(prefix + "%06d", "id").alias(ROW_ID))
+
+    hot = replicated(5000, "h", {})
+    conflicting = replicated(3000, "c", {"data_da_coleta": "13/03/2025"}).withColumn(
+        "valor_de_venda", F.format_string("%d,00", (F.substring(ROW_ID, 2, 6).cast("int") % 7) + 1)
+    )
+    rows = hot.unionByName(conflicting)
+    from datetime import date
+    from vetrow.spec import SURVEY
+
+    spec = SURVEY.with_dates(SURVEY.series_start, date(2026, 1, 1))
+    out = flag_duplicates(apply_contract(rows, spec), spec)
+    counts = {r["r"]: r["n"] for r in out.groupBy(F.array_join(REASONS_COL, ",").alias("r")).agg(F.count("*").alias("n")).collect()}
+    assert counts == {"": 1, "exact_duplicate": 4999, "duplicate_key_conflict": 3000}
+    kept = out.filter(F.size(REASONS_COL) == 0).first()
+    assert kept[ROW_ID] == "h000000"
