@@ -107,3 +107,11 @@ def test_stamp_lineage_projects_and_signs(spark):
     assert "extra" not in out.columns and len(out.columns) == 23
     assert row._header_signature == rw.header_signature(cols)  # extras count in the signature
     assert row._ingested_at == datetime.datetime(2024, 5, 1) and row._source_year == 2024
+
+
+def test_header_fallback_scan_reads_first_lines(spark, tmp_dir):
+    root = f"{tmp_dir}/raw"
+    write(f"{root}/dsan/all/2004/a.csv", [HEADER, ROW1, ROW2])
+    files = rw.list_files(spark, root).collect()
+    got = rw._first_lines_by_scan(spark, [(f.path, "UTF-8") for f in files]).collect()
+    assert [r.header_line for r in got] == [HEADER]

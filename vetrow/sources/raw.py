@@ -120,21 +120,52 @@ def file_headers(files: DataFrame, chunk: int = HEAD_CHUNK) -> DataFrame:
         for pdf in batches:
             lines = []
             for path, charset in zip(pdf["path"], pdf["encoding"]):
-                filesystem, inner = pafs.FileSystem.from_uri(path)
-                head = b""
-                with filesystem.open_input_stream(inner) as stream:
-                    while b"\n" not in head:  # a chunk at a time, never the whole file
-                        part = stream.read(chunk)
-                        if not part:
-                            break
-                        head += part
+                try:
+                    filesystem, inner = pafs.FileSystem.from_uri(path)
+                    head = b""
+                    with filesystem.open_input_stream(inner) as stream:
+                        while b"\n" not in head:  # a chunk at a time, never the whole file
+                            part = stream.read(chunk)
+                            if not part:
+                                break
+                            head += part
+                except (OSError, ValueError, ImportError):
+                    lines.append(None)  # store Arrow cannot open here: Spark reads it below
+                    continue
                 first = head.split(b"\n", 1)[0].rstrip(b"\r")
                 # a UTF-8 BOM is dropped, as Spark's CSV reader drops it before its header check
                 codec = "utf-8-sig" if charset.replace("-", "").lower() == "utf8" else charset
                 lines.append(first.decode(codec, errors="replace"))
             yield pd.DataFrame({"path": pdf["path"], "encoding": pdf["encoding"], "header_line": lines})
 
-    return files.select("path", "encoding").mapInPandas(read_heads, "path string, encoding string, header_line string")
+    heads = files.select("path", "encoding").mapInPandas(read_heads, "path string, encoding string, header_line string")
+    unread = [(r["path"], r["encoding"]) for r in heads.filter(F.col("header_line").isNull()).collect()]
+    if not unread:
+        return heads
+    return heads.filter(F.col("header_line").isNotNull()).unionByName(_first_lines_by_scan(files.sparkSession, unread))
+
+
+def _first_lines_by_scan(spark: SparkSession, files: list[tuple[str, str]]) -> DataFrame:
+    """Fallback for files the head reader could not open: a Spark scan of
+    their first splits, keeping the first row of each file."""
+    by_charset: dict[str, list[str]] = {}
+    for path, charset in files:
+        by_charset.setdefault(charset, []).append(path)
+    parts = []
+    for charset, paths in by_charset.items():
+        lines = (
+            spark.read.option("header", "false").option("sep", "\u0001").option("quote", "\u0000")
+            .option("encoding", charset).schema("line string").csv(paths)
+            .select("line", F.col("_metadata.file_path").alias("path"),
+                    F.col("_metadata.file_block_start").alias("_start"),
+                    F.monotonically_increasing_id().alias("_rid"))
+        )
+        first = lines.filter(F.col("_start") == 0).groupBy("path").agg(F.min_by("line", "_rid").alias("header_line"))
+        parts.append(first.select("path", F.lit(charset).alias("encoding"), "header_line"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @dataclass(frozen=True)
