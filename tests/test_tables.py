@@ -94,3 +94,13 @@ def test_replace_where_data_column_predicate_keeps_other_rows(spark, tmp_dir):
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["b", "c"]
     tables.replace_where(spark, path, frame(spark, [("d", None, 1.0, 2026)]), F.col("k") == "b", ["y"], scope=[(2024,)])
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["c", "d"]
+
+
+def test_prune_snapshots_keeps_newest(spark, tmp_dir):
+    root = f"{tmp_dir}/g"
+    for k in "abc":
+        tables.publish_snapshot(frame(spark, [(k, None, 1.0, 2024)]), root)
+    removed = tables.prune_snapshots(spark, root, keep=1)
+    assert removed == ["v000001", "v000002"]
+    assert [r.k for r in tables.latest_snapshot(spark, root).collect()] == ["c"]
+    assert tables.prune_snapshots(spark, root, keep=0) == []  # the newest is never removed

@@ -291,3 +291,15 @@ def latest_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
         if fs.exists(spark, f"{root}/{v}/_SUCCESS"):
             return spark.read.parquet(f"{root}/{v}")
     return None
+
+
+def prune_snapshots(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Remove all but the newest ``keep`` complete versions (at least one is
+    always kept); unfinished newer versions are left alone. Returns what was removed."""
+    keep = max(keep, 1)
+    versions = sorted(d for d in fs.list_dirs(spark, root) if d.startswith("v") and d[1:].isdigit())
+    complete = [v for v in versions if fs.exists(spark, f"{root}/{v}/_SUCCESS")]
+    doomed = complete[:-keep]
+    for v in doomed:
+        fs.remove(spark, f"{root}/{v}")
+    return doomed

@@ -196,7 +196,12 @@ def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def run_gold(spark: SparkSession, silver_path: str, gold_root: str) -> dict[str, str]:
-    """Rebuild every mart as a new snapshot version; returns their paths."""
+def run_gold(spark: SparkSession, silver_path: str, gold_root: str, *, keep_versions: int | None = None) -> dict[str, str]:
+    """Rebuild every mart as a new snapshot version; returns their paths.
+    ``keep_versions`` prunes older versions once the new ones are complete."""
     silver = spark.read.parquet(silver_path)
-    return {name: tables.publish_snapshot(df, f"{gold_root}/{name}") for name, df in build_gold(silver).items()}
+    paths = {name: tables.publish_snapshot(df, f"{gold_root}/{name}") for name, df in build_gold(silver).items()}
+    if keep_versions is not None:
+        for name in paths:
+            tables.prune_snapshots(spark, f"{gold_root}/{name}", keep_versions)
+    return paths
