@@ -211,36 +211,34 @@ def replace_where(spark: SparkSession, path: str, new: DataFrame, predicate: Col
 
 
 def merge_by_key(target: DataFrame, source: DataFrame, key: Sequence[str],
-                 compare: Sequence[str] | None = None) -> tuple[DataFrame, list[Column], list[Column]]:
-    """Upsert as one full outer join on the key (unique on both sides, so no
-    hot key): source rows win, target rows the source does not mention stay.
-
-    Returns the joined frame, the projection of the merged rows, and the count
-    expressions (inserted / updated / updated with changes / unchanged) to
-    ``observe`` while the result is written, so the report costs no extra pass."""
-    cols = [c for c in target.columns]
+                 compare: Sequence[str] | None = None) -> tuple[DataFrame, list[Column], Column]:
+    """Upsert without moving the source: the target (wide) is joined to the
+    source's key and compared columns only (narrow), matched target rows are
+    dropped, and the source rows are appended as they are read - one shuffle
+    of the target, none of the full source rows.
+
+    Returns the merged frame, the count expressions to ``observe`` on it
+    (target rows replaced, replaced with different values) and the marker of
+    target rows that survive, so the report costs no extra pass. Keys are
+    unique on both sides, so the join has no hot key."""
     compare = list(compare or [c for c in source.columns if c not in key and c in target.columns])
-    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_in_source"))
-    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_target"))
+    narrow = source.select(
+        *[F.col(k).alias(f"_s_{k}") for k in key],
+        F.struct(*compare).alias("_s_values"),
+        F.lit(True).alias("_replaced"),
+    )
     cond = None
     for k in key:
-        term = s[f"_s_{k}"].eqNullSafe(t[f"_t_{k}"])
+        term = target[k].eqNullSafe(narrow[f"_s_{k}"])
         cond = term if cond is None else cond & term
-    joined = s.join(t, cond, "full_outer")
-    from_source = F.col("_in_source").isNotNull()
-    merged = [
-        F.when(from_source, F.col(f"_s_{c}") if c in source.columns else F.lit(None)).otherwise(F.col(f"_t_{c}")).alias(c)
-        for c in cols
-    ]
-    both = from_source & F.col("_in_target").isNotNull()
-    same = F.struct(*[F.col(f"_s_{c}") for c in compare]).eqNullSafe(F.struct(*[F.col(f"_t_{c}") for c in compare]))
+    joined = target.join(narrow, cond, "left")
+    replaced = F.col("_replaced").isNotNull()
+    same = F.col("_s_values").eqNullSafe(F.struct(*compare))
     counts = [
-        F.count_if(from_source & F.col("_in_target").isNull()).alias("inserted"),
-        F.count_if(both).alias("updated"),
-        F.count_if(both & ~same).alias("updated_with_changes"),
-        F.count_if(both & same).alias("unchanged"),
+        F.count_if(replaced).alias("updated"),
+        F.count_if(replaced & ~same).alias("updated_with_changes"),
     ]
-    return joined, merged, counts
+    return joined, counts, ~replaced
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: Sequence[str],
@@ -263,10 +261,16 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: Sequenc
     in_touched = _in_partitions(touched, partition_by)
     if in_touched is None:
         return {"inserted": 0, "updated": 0, "updated_with_changes": 0, "unchanged": 0}
-    joined, merged, counts = merge_by_key(current.filter(in_touched), source, key, compare)
-    observation = Observation("upsert")
-    write_partitions(joined.observe(observation, *counts).select(*merged), path, partition_by)
-    return {k: int(v) for k, v in observation.get.items()}
+    target = current.filter(in_touched)
+    joined, counts, survives = merge_by_key(target, source, key, compare)
+    replaced, arrived = Observation("upsert-replaced"), Observation("upsert-source")
+    kept = joined.observe(replaced, *counts).filter(survives).select(*target.columns)
+    incoming = source.observe(arrived, F.count(F.lit(1)).alias("rows")).select(*target.columns)
+    write_partitions(kept.unionByName(incoming), path, partition_by)
+    updated = int(replaced.get["updated"])
+    changed = int(replaced.get["updated_with_changes"])
+    return {"inserted": int(arrived.get["rows"]) - updated, "updated": updated,
+            "updated_with_changes": changed, "unchanged": updated - changed}
 
 
 def publish_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
