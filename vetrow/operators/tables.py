@@ -217,10 +217,10 @@ def merge_by_key(target: DataFrame, source: DataFrame, key: Sequence[str],
     dropped, and the source rows are appended as they are read - one shuffle
     of the target, none of the full source rows.
 
-    Returns the merged frame, the count expressions to ``observe`` on it
-    (target rows replaced, replaced with different values) and the marker of
-    target rows that survive, so the report costs no extra pass. Keys are
-    unique on both sides, so the join has no hot key."""
+    Returns the joined frame, the count expressions to ``observe`` on it
+    (target rows replaced, replaced with different values) and the predicate
+    of the target rows that survive, so the report costs no extra pass. Keys
+    are unique on both sides, so the join has no hot key."""
     compare = list(compare or [c for c in source.columns if c not in key and c in target.columns])
     narrow = source.select(
         *[F.col(k).alias(f"_s_{k}") for k in key],
