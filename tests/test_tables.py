@@ -104,3 +104,11 @@ def test_prune_snapshots_keeps_newest(spark, tmp_dir):
     assert removed == ["v000001", "v000002"]
     assert [r.k for r in tables.latest_snapshot(spark, root).collect()] == ["c"]
     assert tables.prune_snapshots(spark, root, keep=0) == []  # the newest is never removed
+
+
+def test_replace_where_on_new_table_with_no_rows(spark, tmp_dir):
+    path = f"{tmp_dir}/fresh"
+    tables.replace_where(spark, path, frame(spark, []).limit(0), F.col("y") == 2024, ["y"])
+    assert tables.read_table(spark, path) is None
+    tables.replace_where(spark, path, frame(spark, [("a", None, 1.0, 2024)]), F.col("y") == 2024, ["y"])
+    assert [r.k for r in tables.read_table(spark, path).collect()] == ["a"]

@@ -178,8 +178,8 @@ def replace_where(spark: SparkSession, path: str, new: DataFrame, predicate: Col
     when the predicate is on partition columns."""
     current = read_table(spark, path)
     if current is None:
-        if not new.isEmpty():
-            write_partitions(new, path, partition_by)
+        # an empty frame writes no data file; read_table then still sees no table
+        write_partitions(new, path, partition_by)
         return
     hit = F.coalesce(predicate, F.lit(False))
     new_parts = _partitions(new, partition_by)
