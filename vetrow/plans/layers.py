@@ -184,23 +184,28 @@ def _replace_quarantine(spark: SparkSession, path: str, rejected: DataFrame, sco
 # --- gold ------------------------------------------------------------------------------
 
 
-def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
+def build_gold(silver: DataFrame, *, exact_resellers: bool = True) -> dict[str, DataFrame]:
+    """The three marts over the columns they need. ``exact_resellers=False``
+    counts resellers with a mergeable sketch (``approx_count_distinct``)
+    instead of an exact distinct, which saves the second exchange."""
     needed = silver.select(
         "state", "product", "unit", "collection_week", "collection_date", "sale_price", "purchase_price",
         "reseller_cnpj",
     )
     return {
-        "price_by_state_product_week": marts.weekly_price(needed),
+        "price_by_state_product_week": marts.weekly_price(needed, exact_resellers=exact_resellers),
         "purchase_price_coverage": marts.coverage(needed),
         "margin_by_state_week": marts.margin(needed),
     }
 
 
-def run_gold(spark: SparkSession, silver_path: str, gold_root: str, *, keep_versions: int | None = None) -> dict[str, str]:
+def run_gold(spark: SparkSession, silver_path: str, gold_root: str, *, keep_versions: int | None = None,
+             exact_resellers: bool = True) -> dict[str, str]:
     """Rebuild every mart as a new snapshot version; returns their paths.
     ``keep_versions`` prunes older versions once the new ones are complete."""
     silver = spark.read.parquet(silver_path)
-    paths = {name: tables.publish_snapshot(df, f"{gold_root}/{name}") for name, df in build_gold(silver).items()}
+    marts_ = build_gold(silver, exact_resellers=exact_resellers)
+    paths = {name: tables.publish_snapshot(df, f"{gold_root}/{name}") for name, df in marts_.items()}
     if keep_versions is not None:
         for name in paths:
             tables.prune_snapshots(spark, f"{gold_root}/{name}", keep_versions)
