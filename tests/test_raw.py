@@ -104,7 +104,8 @@ def test_stamp_lineage_projects_and_signs(spark):
     out = rw.stamp_lineage(frame, source_file="dsan/all/2024/a.csv", series="dsan", year=2024, encoding="UTF-8",
                            run_id="r", ingested_at=datetime.datetime(2024, 5, 1))
     row = out.first()
-    assert "extra" not in out.columns and len(out.columns) == 23
+    assert "extra" not in out.columns and len(out.columns) == 24
+    assert row._source_row.startswith("dsan/all/2024/a.csv:")
     assert row._header_signature == rw.header_signature(cols)  # extras count in the signature
     assert row._ingested_at == datetime.datetime(2024, 5, 1) and row._source_year == 2024
 

@@ -294,6 +294,8 @@ def stamp_lineage(frame: DataFrame, *, source_file: str, series: str, year: int
         F.lit(signature).alias("_header_signature"),
         F.lit(ingested_at).cast("timestamp").alias("_ingested_at"),
         F.lit(run_id).alias("_ingestion_run_id"),
+        # file key + position: unique across files, stamped once with the row
+        F.format_string("%s:%019d", F.lit(source_file), F.monotonically_increasing_id()).alias(ROW_ID),
     )
 
 
