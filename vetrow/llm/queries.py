@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetrow.llm import langid, line_dedup, packing, sharding, spm_codec, toxicity
-from vetrow.llm.common import crc_remainder, documents
+from vetrow.llm import ann, embed_dedup, langid, line_dedup, ngram_join, packing, sharding, spm_codec, toxicity
+from vetrow.llm.common import crc_remainder, documents, embeddings
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(embeddings(spark, sf_dir)).select("vec_id", "n_links", "component_id", "kept", "class_id")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_documents(documents(spark, sf_dir), 16)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -49,5 +53,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= toxicity.PREDICT_AT).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_packing, op4_language, op6_line_dedup, op7_sentencepiece, op8_toxicity)}
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(embeddings(spark, sf_dir), F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_sharding, op3_packing, op4_language, op6_line_dedup, op7_sentencepiece, op8_toxicity,
+                                op9_ngram_join, op10_nearest)}
 ORACLES: dict[str, str] = {}
