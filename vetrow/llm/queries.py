@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetrow.llm import ann, embed_dedup, langid, line_dedup, ngram_join, packing, sharding, spm_codec, toxicity
+from vetrow.llm import ann, embed_dedup, langid, line_dedup, ngram_join, packing, sharding, spm_codec, suffix_dedup, toxicity
 from vetrow.llm.common import crc_remainder, documents, embeddings
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,6 +35,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(crc_remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_units(documents(spark, sf_dir)).select(
         "doc_id", "text", F.col("_n_units").alias("n_units"), F.col("_n_removed").alias("n_removed"),
@@ -61,6 +65,6 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(embeddings(spark, sf_dir), F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_sharding, op3_packing, op4_language, op6_line_dedup, op7_sentencepiece, op8_toxicity,
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_sharding, op3_packing, op4_language, op5_suffix_dedup, op6_line_dedup, op7_sentencepiece, op8_toxicity,
                                 op9_ngram_join, op10_nearest)}
 ORACLES: dict[str, str] = {}
