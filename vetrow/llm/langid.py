@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vetrow.llm.common import map_batches, text_blocks
 
@@ -152,19 +153,29 @@ def train(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     return fit([t for t, _ in sample], [y for _, y in sample])
 
 
-def predict(docs: DataFrame, model: KernelModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` are dropped but the id: ``doc_id, lang_pred, score``.
+def predict(docs: DataFrame, model: KernelModel, *, id_col: str = "doc_id", text_col: str = "text",
+            keep_columns: bool = False) -> DataFrame:
+    """``doc_id, lang_pred, score`` of every whole text, or all columns and ``_lang_pred, _score`` (replacing any of
+    these names).
 
     A null text, one without a letter, or any text when nothing was learned gets
     ``und`` with score 0; ties go to the language that sorts first; repeated
     rows are scored alike, whole texts are read at any length."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # slots x languages floats
+    rows = docs.drop("_lang_pred", "_score") if keep_columns else docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    place = rows.columns.index(text_col if keep_columns else "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = shared.value.score([t or "" for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "lang_pred", "score"])
-
-    return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col)), run, "doc_id long, lang_pred string, score double")
+            names, scores = shared.value.score([t or "" for t in batch.column(place).to_pylist()])
+            found = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            if keep_columns:
+                yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, "_lang_pred", "_score"])
+            else:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["doc_id", "lang_pred", "score"])
+
+    if keep_columns:
+        return map_batches(rows, run, T.StructType(
+            [*rows.schema.fields, T.StructField("_lang_pred", T.StringType()), T.StructField("_score", T.DoubleType())]))
+    return map_batches(rows, run, "doc_id long, lang_pred string, score double")

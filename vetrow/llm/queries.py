@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,4 +68,5 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_sharding, op3_packing, op4_language, op5_suffix_dedup, op6_line_dedup, op7_sentencepiece, op8_toxicity,
                                 op9_ngram_join, op10_nearest)}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = {}

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vetrow.llm.common import map_batches, text_blocks
 
@@ -277,16 +278,26 @@ def text_score(text: str, table: TokenTable, base: float) -> float:
     return 1 - clear
 
 
-def score(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score`` (0 to 1) of every whole text. A null or empty text has the base score; repeated
-    rows score alike; with no labelled rows the lexicon is empty and every text has the base score."""
+def score(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text",
+          keep_columns: bool = False) -> DataFrame:
+    """``doc_id, score`` (0 to 1) of every whole text, or all columns and ``_score`` (replacing one of that name).
+
+    A null or empty text has the base score; repeated rows score alike; with no labelled rows
+    the lexicon is empty and every text has the base score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # SYMBOLS^3 counts and MAX_ENTRIES entries
+    rows = docs.drop("_score") if keep_columns else docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    place = rows.columns.index(text_col if keep_columns else "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = TokenTable(shared.value)
         base = shared.value.base
         for batch in batches:
-            scores = [text_score(t.as_py() or "", table, base) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(scores, pa.float64())], ["doc_id", "score"])
+            scores = pa.array([text_score(t.as_py() or "", table, base) for t in batch.column(place)], pa.float64())
+            if keep_columns:
+                yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "_score"])
+            else:
+                yield pa.RecordBatch.from_arrays([batch.column(0), scores], ["doc_id", "score"])
 
-    return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col)), run, "doc_id long, score double")
+    if keep_columns:
+        return map_batches(rows, run, T.StructType([*rows.schema.fields, T.StructField("_score", T.DoubleType())]))
+    return map_batches(rows, run, "doc_id long, score double")
