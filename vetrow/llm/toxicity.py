@@ -153,9 +153,10 @@ class Restorer:
 
 
 def join_spaced(text: str) -> str:
-    """Tokens of one sign each, three or more in a row, written together besides: spaced-out words."""
-    found = _SPACED.findall(text)
-    return text + " " + " ".join(f.replace(" ", "") for f in found) if found else text
+    """Tokens of one sign each, three or more in a row, written together besides: spaced-out words, also without
+    the first or last sign, which may be a word of one letter."""
+    found = [f.replace(" ", "") for f in _SPACED.findall(text)]
+    return " ".join([text, *(v for f in found for v in (f, f[1:], f[:-1], f[1:-1]))]) if found else text
 
 
 def entries(word: str) -> list[str]:
