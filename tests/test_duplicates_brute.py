@@ -1,6 +1,7 @@
 """The scale form of the duplicate check against a plain window formulation
 (the whole key in one window, fine for a fixture) on the binding rows."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -43,11 +44,12 @@ def test_scale_form_equals_window_form(spark):
     assert scale.filter(F.col("flag").isNotNull()).count() == 517  # 509 conflicts + 8 copies at sf0.001
 
 
-def test_small_broadcast_budget_gives_same_flags(spark):
-    contracted = apply_contract(survey_rows(spark, SF_SMALL), BINDING)
-    wide = flag_duplicates(contracted, BINDING).select(ROW_ID, REASONS_COL)
-    narrow = flag_duplicates(contracted, BINDING, broadcast_rows=0).select(ROW_ID, REASONS_COL)  # shuffle join
-    assert wide.exceptAll(narrow).count() == 0 and narrow.exceptAll(wide).count() == 0
+def test_row_ids_that_repeat_are_refused(spark):
+    from vetrow.operators.duplicates import RowIdError
+
+    contracted = apply_contract(survey_rows(spark, SF_SMALL), BINDING).withColumn(ROW_ID, F.lit("same"))
+    with pytest.raises(RowIdError):
+        flag_duplicates(contracted, BINDING)
 
 
 def test_hot_key_keeps_exactly_one(spark):

@@ -28,3 +28,9 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> bool:
     fs, hpath = _fs(spark, path)
     return bool(fs.delete(hpath, True))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and authority, as the file system names it."""
+    fs, hpath = _fs(spark, path)
+    return fs.makeQualified(hpath).toString()

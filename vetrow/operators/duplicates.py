@@ -14,9 +14,9 @@ Scale form, no window over a key (a hot key could hold a third of the data):
 2. Rows of those keys (semi join) are aggregated again per key:
    ``min(struct) <=> max(struct)`` over the fingerprint says whether all copies
    agree (exact, no hash collisions), ``min(row id)`` names the copy kept.
-3. The per-key verdicts are joined back. Steps 2-3 broadcast the key table only
-   after its row count has been checked against the session budget; beyond it
-   they are shuffle joins and AQE splits a skewed key's partition.
+3. The per-key verdicts are joined to the valid rows; rejected rows pass by
+   untouched. Spark broadcasts the written tables only by their real size;
+   beyond its threshold the joins shuffle and AQE splits a skewed key.
 """
 
 from __future__ import annotations
@@ -24,60 +24,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vetrow.functions.sizing import broadcast_if_small
 from vetrow.operators.contract import REASONS_COL, is_valid
 from vetrow.session import materialize, materialize_counted
 from vetrow.spec import DUPLICATE_CONFLICT, EXACT_DUPLICATE, ContractSpec, SURVEY
 
-KEY_ROW_BYTES = 96
-VERDICT_ROW_BYTES = 128
+
+class RowIdError(RuntimeError):
+    """Two rows of one key carry the same row id, so no copy can be named as the one kept."""
 
 
 def repeated_keys(contracted: DataFrame, spec: ContractSpec = SURVEY) -> DataFrame:
-    """Natural keys held by more than one valid row, with their row count."""
-    key = list(spec.natural_key)
-    return (
-        contracted.filter(is_valid())
-        .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_key_rows"))
-        .filter(F.col("_key_rows") > 1)
-    )
+    """Natural keys held by more than one valid row."""
+    counted = contracted.where(is_valid()).groupBy(*spec.natural_key).agg(F.count(F.lit(1)).alias("_key_rows"))
+    return counted.where("_key_rows > 1").drop("_key_rows")
 
 
-def key_verdicts(contracted: DataFrame, keys: DataFrame, n_keys: int, spec: ContractSpec = SURVEY) -> DataFrame:
-    """One row per repeated key: conflict or not, and the row id kept."""
+def key_verdicts(contracted: DataFrame, keys: DataFrame, spec: ContractSpec = SURVEY) -> DataFrame:
+    """One row per repeated key: conflict or not, the row id kept, and whether row ids repeat."""
     key = list(spec.natural_key)
     fingerprint = F.struct(*spec.fingerprint)
-    rows = contracted.filter(is_valid()).join(
-        broadcast_if_small(keys.select(*key), n_keys, KEY_ROW_BYTES), key, "left_semi"
-    )
-    return rows.groupBy(*key).agg(
-        (~F.min(fingerprint).eqNullSafe(F.max(fingerprint))).alias("_conflict"),
-        F.min(spec.row_id).alias("_keeper"),
-    )
+    rows = contracted.where(is_valid()).select(*dict.fromkeys([*key, *spec.fingerprint, spec.row_id])).join(keys, key, "left_semi")
+    # one row for each (key, row id) first: a hot key is counted in every map task
+    by_id = rows.groupBy(*key, spec.row_id).agg(
+        F.min(fingerprint).alias("_low"), F.max(fingerprint).alias("_high"), F.count(F.lit(1)).alias("_rows"))
+    return by_id.groupBy(*key).agg(
+        (~F.min("_low").eqNullSafe(F.max("_high"))).alias("_conflict"), F.min(spec.row_id).alias("_keeper"),
+        F.max("_rows").alias("_same_id"))
 
 
-def flag_duplicates(contracted: DataFrame, spec: ContractSpec = SURVEY, *, broadcast_rows: int | None = None,
-                    folder: str | None = None) -> DataFrame:
+def flag_duplicates(contracted: DataFrame, spec: ContractSpec = SURVEY, *, folder: str | None = None) -> DataFrame:
+    """Adds the duplicate flags to the reasons. Raises ``RowIdError`` if the row id does not tell the copies apart."""
     key = list(spec.natural_key)
-    keys, n_keys = materialize_counted(repeated_keys(contracted, spec), "repeated-keys", folder)
-    if n_keys == 0:
+    keys, repeated = materialize_counted(repeated_keys(contracted, spec), "repeated-keys", folder)
+    if not repeated:
         return contracted
-    verdicts = materialize(key_verdicts(contracted, keys, n_keys, spec), "key-verdicts", folder)
-    joined = contracted.join(
-        broadcast_if_small(verdicts, n_keys, VERDICT_ROW_BYTES, max_rows=broadcast_rows), key, "left"
-    )
-    matched = is_valid() & F.col("_keeper").isNotNull()
-    conflict = matched & F.col("_conflict")
-    surplus = matched & ~F.col("_conflict") & (F.col(spec.row_id) != F.col("_keeper"))
-    flagged = F.array_remove(
-        F.concat(
-            F.col(REASONS_COL),
-            F.array(
-                F.when(conflict, F.lit(DUPLICATE_CONFLICT)).otherwise(F.lit("")),
-                F.when(surplus, F.lit(EXACT_DUPLICATE)).otherwise(F.lit("")),
-            ),
-        ),
-        "",
-    )
-    return joined.withColumn(REASONS_COL, flagged).drop("_conflict", "_keeper")
+    verdicts = materialize(key_verdicts(contracted, keys, spec), "key-verdicts", folder)
+    clash = verdicts.where("_same_id > 1").limit(1).collect()
+    if clash:
+        raise RowIdError(f"{spec.row_id} {clash[0]['_keeper']} and other ids stand for several rows of one key")
+    valid = contracted.where(is_valid()).join(verdicts.drop("_same_id"), key, "left")
+    flag = F.when(F.col("_conflict"), F.array(F.lit(DUPLICATE_CONFLICT))).when(
+        F.col(spec.row_id) != F.col("_keeper"), F.array(F.lit(EXACT_DUPLICATE)))
+    flagged = valid.withColumn(REASONS_COL, F.coalesce(flag, F.col(REASONS_COL))).select(*contracted.columns)
+    return flagged.unionByName(contracted.where(~is_valid()))

@@ -7,8 +7,7 @@ DataFrame forms, plus the writes that put them on disk:
   (bronze: one file's rows; quarantine: one processed slice).
 * ``upsert_by_key`` - matched keys take the source row, unmatched source rows
   are inserted, target rows the source does not mention stay.
-* ``content_diff`` - rows only on one side (``exceptAll`` both ways), the
-  idempotence check.
+* ``content_diff`` - rows only on one side, the idempotence check.
 
 On disk only the partitions a change touches are rewritten: Spark's dynamic
 partition overwrite stages the new files and swaps each touched partition at
@@ -111,13 +110,14 @@ def upsert_report(target: DataFrame, source: DataFrame, key: Sequence[str],
 
 
 def content_diff(left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows (with multiplicity) present on one side only, tagged by side.
-    Empty means the two tables hold the same content."""
+    """Rows (with multiplicity) present on one side only, tagged by side. Empty means that both hold the same
+    content. One pass: both sides in one aggregate over all columns, where equal rows cancel out."""
     cols = list(columns or [c for c in left.columns if c in right.columns])
-    a, b = left.select(*cols), right.select(*cols)
-    return a.exceptAll(b).withColumn("_side", F.lit("left_only")).unionByName(
-        b.exceptAll(a).withColumn("_side", F.lit("right_only"))
-    )
+    tagged = left.select(*cols, F.lit(1).alias("_n")).unionAll(right.select(*cols, F.lit(-1).alias("_n")))
+    surplus = tagged.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    side = F.when(F.col("_n") > 0, F.lit("left_only")).otherwise(F.lit("right_only"))
+    copies = F.array_repeat(side, F.abs("_n").cast("int"))
+    return surplus.select(*cols, F.explode(copies).alias("_side"))
 
 
 # --- on disk -------------------------------------------------------------------------
@@ -163,8 +163,10 @@ def read_table(spark: SparkSession, path: str, *, merge_schema: bool = True) ->
         return None
     try:
         return spark.read.option("mergeSchema", "true" if merge_schema else "false").parquet(path)
-    except AnalysisException:  # folder left with no data file
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # folder left with no data file
+            return None
+        raise  # unreadable is not the same as absent: its rows would be written over
 
 
 def replace_where(spark: SparkSession, path: str, new: DataFrame, predicate: Column,
@@ -210,6 +212,26 @@ def replace_where(spark: SparkSession, path: str, new: DataFrame, predicate: Col
         fs.remove(spark, _partition_dir(path, partition_by, values))
 
 
+def replace_keys(spark: SparkSession, path: str, new: DataFrame, keys: DataFrame, key: str,
+                 partition_by: Sequence[str], scope: Iterable[tuple]) -> None:
+    """Swap the rows whose ``key`` is in ``keys`` (a table of them, one row each) for ``new``. ``scope`` names the partitions
+    that such rows can be in, which must hold all of ``new``; others are not read. Partitions left with no row are removed."""
+    current = read_table(spark, path)
+    if current is None:
+        write_partitions(new, path, partition_by)
+        return
+    scope = {tuple(v) for v in scope}
+    if not scope:
+        return
+    kept = current.where(_in_partitions(scope, partition_by)).join(keys.select(key).distinct(), key, "left_anti")
+    content = kept.unionByName(new, allowMissingColumns=True)
+    left = _partitions(content, partition_by)
+    if left:
+        write_partitions(content, path, partition_by)
+    for values in scope - left:
+        fs.remove(spark, _partition_dir(path, partition_by, values))
+
+
 def merge_by_key(target: DataFrame, source: DataFrame, key: Sequence[str],
                  compare: Sequence[str] | None = None) -> tuple[DataFrame, list[Column], Column]:
     """Upsert without moving the source: the target (wide) is joined to the

@@ -69,70 +69,61 @@ SERIES_START = date(2004, 1, 1)
 
 NATURAL_KEY = ("reseller_cnpj", "product", "collection_date")
 
-# Typed columns that decide whether two rows of one key are the same observation.
-FINGERPRINT = (
-    "region",
-    "state",
-    "municipality",
-    "reseller_name",
-    "reseller_cnpj",
-    "product",
-    "collection_date",
-    "sale_price",
-    "purchase_price",
-    "unit",
-    "brand",
-)
-
-# Accepted rows carry these typed columns (plus lineage).
-ACCEPTED_TYPED = (
-    "region",
-    "state",
-    "municipality",
-    "reseller_name",
-    "reseller_cnpj",
-    "product",
-    "collection_date",
-    "collection_week",
-    "sale_price",
-    "purchase_price",
-    "unit",
-    "brand",
-)
-
 # Gold thresholds.
 LOW_SAMPLE_BELOW = 10
 RELIABLE_FROM = 0.5
 PERCENTILE_ACCURACY = 1000
 
-# Reasons, in the order they are reported.
-REASONS = (
-    "collection_date_missing",
-    "collection_date_not_parseable",
-    "collection_date_out_of_range",
-    "cnpj_invalid",
-    "unknown_product",
-    "unknown_unit",
-    "unknown_state",
-    "unknown_region",
-    "municipality_missing",
-    "brand_missing",
-    "sale_price_missing",
-    "sale_price_not_numeric",
-    "sale_price_not_positive",
-    "purchase_price_not_numeric",
-    "purchase_price_not_positive",
-)
 DUPLICATE_CONFLICT = "duplicate_key_conflict"
 EXACT_DUPLICATE = "exact_duplicate"
 
 # Column (string) that identifies a bronze row physically: ingestion stamps it
-# once (group + position in the scan) and it is stored with the row. It lets the
-# duplicate check keep exactly one copy of byte-identical rows without ordering
-# a whole key inside one task.
+# once (raw key of the file + place in it) and it is stored with the row. It
+# lets the duplicate check keep exactly one copy of byte-identical rows without
+# ordering a whole key inside one task.
 ROW_ID = "_source_row"
 
 
+@dataclass(frozen=True)
+class Field:
+    """One typed column of a survey row: the raw column it reads, how it is read,
+    and what the contract asks of it. ``stem`` begins its reasons."""
+
+    name: str
+    source: str
+    read_as: str = "text"            # text, code (upper case), digits, date, price
+    stem: str = ""
+    required: bool = False           # blank: <stem>_missing
+    length: int | None = None        # any other: <stem>_invalid
+    domain: str | None = None        # attribute of the spec; outside of it, or NULL: unknown_<stem>
+    identity: bool = True            # part of what makes two rows of a key the same observation
+
+
+# The contract, column by column. Order is the report order of each kind's columns.
+FIELDS = (
+    Field("region", "regiao_sigla", stem="region", domain="regions"),
+    Field("state", "estado_sigla", "code", stem="state", domain="states"),
+    Field("municipality", "municipio", stem="municipality", required=True),
+    Field("reseller_name", "revenda"),
+    Field("reseller_cnpj", "cnpj_da_revenda", "digits", stem="cnpj", length=14),
+    Field("product", "produto", stem="product", domain="products"),
+    Field("collection_date", "data_da_coleta", "date", stem="collection_date", required=True),
+    Field("sale_price", "valor_de_venda", "price", stem="sale_price", required=True),
+    Field("purchase_price", "valor_de_compra", "price", stem="purchase_price"),
+    Field("unit", "unidade_de_medida", stem="unit", domain="units"),
+    Field("brand", "bandeira", stem="brand", required=True),
+)
+# The order in which the fields' reasons are reported.
+REPORT_ORDER = ("collection_date", "reseller_cnpj", "product", "unit", "state", "region", "municipality", "brand",
+                "sale_price", "purchase_price")
+WEEK_COLUMN = "collection_week"
+
+# Typed columns that decide whether two rows of one key are the same observation.
+FINGERPRINT = tuple(f.name for f in FIELDS if f.identity)
+# Accepted rows carry the typed columns, the week after its date (plus lineage).
+ACCEPTED_TYPED = tuple(c for f in FIELDS for c in ((f.name, WEEK_COLUMN) if f.read_as == "date" else (f.name,)))
+
+
 @dataclass(frozen=True)
 class ContractSpec:
     """What a valid row looks like. ``as_of`` None means the run date."""
@@ -145,6 +136,8 @@ class ContractSpec:
     series_start: date = SERIES_START
     as_of: date | None = None
     price_type: str = PRICE_TYPE
+    fields: tuple[Field, ...] = FIELDS
+    report_order: tuple[str, ...] = REPORT_ORDER
     natural_key: tuple[str, ...] = NATURAL_KEY
     fingerprint: tuple[str, ...] = FINGERPRINT
     row_id: str = ROW_ID
