@@ -79,6 +79,17 @@ def test_bronze_run_from_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == 6010
 
 
+def test_empty_slice_stops_before_anything_is_written(spark, bronze_paths):
+    base = bronze_paths
+    q = f"{base}/quarantine_e"
+    with pytest.raises(DataQualityError):
+        layers.run_silver(spark, f"{base}/bronze", f"{base}/silver_e", q, spec=BINDING, now=NOW)
+    before = spark.read.parquet(q).count()
+    with pytest.raises(layers.EmptySliceError):
+        layers.run_silver(spark, f"{base}/bronze", f"{base}/silver_e", q, series="dsas", years=[1950], spec=BINDING, now=NOW)
+    assert spark.read.parquet(q).count() == before and not tables.fs.exists(spark, f"{base}/silver_e")
+
+
 def test_rerun_after_gate_failure_cleans_the_slice(spark, bronze_paths):
     base = bronze_paths
     q, s = f"{base}/quarantine_r", f"{base}/silver_r"

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from vetrow.functions.columns import parse_date, parse_price
-from vetrow.sources.raw import normalize_column
+from vetrow.sources.raw import fold
 
 PRICE = st.builds(
     lambda sign, whole, frac, pad_l, pad_r: f"{' ' * pad_l}{sign}{whole}{',' + frac if frac is not None else ''}{' ' * pad_r}",
@@ -56,7 +56,7 @@ def test_date_parsing_is_strict(spark, triples):
 
 @given(st.text(max_size=40))
 def test_header_normalisation_is_idempotent_snake_case(name):
-    once = normalize_column(name)
-    assert normalize_column(once) == once
+    once = fold(name)
+    assert fold(once) == once
     assert all(ch.isascii() and (ch.isalnum() or ch == "_") and not ch.isupper() for ch in once)
     assert not once.startswith("_") and not once.endswith("_")

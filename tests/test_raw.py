@@ -1,9 +1,13 @@
+import datetime
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from vetrow.plans import layers
+from vetrow.sources import audit as au
 from vetrow.sources import raw as rw
+from vetrow.spec import RAW_COLUMNS
 
 HEADER = ";".join(rw.PUBLISHED_HEADER)
 ROW1 = 'NE;BA;SALVADOR;POSTO UM;" 40.511.529/0002-75";RUA A;1;": LOTE;";CENTRO;41270-000;GASOLINA;10/05/2004;1,88;1,7231;R$ / litro;MARCA'
@@ -19,27 +23,30 @@ def write(path, text, encoding="utf-8", bom=False, crlf=True):
 
 
 def load(spark, root, charset_of=None):
-    from pyspark.sql import functions as F
+    files = rw.with_headers(rw.audit_files(spark, root))
+    for key, charset in (charset_of or {}).items():
+        files = files.withColumn("encoding", F.when(F.col("raw_key") == key, F.lit(charset)).otherwise(F.col("encoding")))
+    return files, rw.read_rows(spark, files, run_id="r1", ingested_at=datetime.datetime(2025, 1, 1))
 
-    files = rw.list_files(spark, root)
-    mapping = F.create_map(*[x for k, v in (charset_of or {}).items() for x in (F.lit(k), F.lit(v))]) if charset_of else None
-    enc = F.coalesce(mapping[F.col("raw_key")], F.lit("UTF-8")) if mapping is not None else F.lit("UTF-8")
-    groups = rw.header_groups(rw.file_headers(files.withColumn("encoding", enc)))
-    return groups, rw.read_raw(spark, groups, root=root, run_id="r1", ingested_at=__import__("datetime").datetime(2025, 1, 1))
 
-
-def test_normalize_and_signature():
-    assert rw.normalize_column("\ufeffRegião - Sigla") == "regiao_sigla"
-    assert rw.normalize_column("CNPJ da Revenda") == "cnpj_da_revenda"
-    assert rw.normalize_column("  Valor de Venda ") == "valor_de_venda"
+def test_fold_and_signature():
+    assert rw.fold("\ufeffRegião - Sigla") == "regiao_sigla"
+    assert rw.fold("CNPJ da Revenda") == "cnpj_da_revenda"
+    assert rw.fold("  Valor de Venda ") == "valor_de_venda"
+    assert [rw.fold(h) for h in rw.PUBLISHED_HEADER] == list(RAW_COLUMNS)
     assert len(rw.header_signature(["a", "b"])) == 12
     assert rw.header_signature(["a", "b"]) != rw.header_signature(["a", "b", "c"])
 
 
+def test_header_cells_may_be_quoted():
+    assert rw.split_header('a;"b; c";"d ""e"""') == ["a", "b; c", 'd "e"']
+    assert rw.split_header("") == []
+
+
 def test_scan_bom_crlf_quotes_blanks(spark, tmp_dir):
     root = f"{tmp_dir}/raw"
     write(f"{root}/dsan/all/2004/precos-01.csv", [HEADER, ROW1, ROW2], bom=True)
-    groups, df = load(spark, root)
+    _, df = load(spark, root)
     rows = {r.municipio: r for r in df.collect()}
     assert set(rows) == {"SALVADOR", "NITEROI"}
     assert rows["SALVADOR"].complemento == ": LOTE;"  # quoted delimiter kept
@@ -56,9 +63,10 @@ def test_scan_bom_crlf_quotes_blanks(spark, tmp_dir):
 def test_latin1_both_ways(spark, tmp_dir):
     root = f"{tmp_dir}/raw"
     write(f"{root}/dsas/ca/2021/ca-2021-02.csv", [HEADER, ROW2], encoding="latin-1")
-    _, right = load(spark, root, {"dsas/ca/2021/ca-2021-02.csv": "ISO-8859-1"})
+    files, right = load(spark, root)
+    assert [r.encoding for r in files.collect()] == ["ISO-8859-1"]  # found by reading every line
     assert right.first().bairro == "ICARAÍ"
-    _, wrong = load(spark, root)
+    _, wrong = load(spark, root, {"dsas/ca/2021/ca-2021-02.csv": "UTF-8"})
     assert wrong.first().bairro != "ICARAÍ"  # wrong charset mangles, never raises
 
 
@@ -73,8 +81,7 @@ def test_extra_column_changes_signature_only(spark, tmp_dir):
     root = f"{tmp_dir}/raw"
     write(f"{root}/dsan/all/2004/a.csv", [HEADER, ROW2])
     write(f"{root}/dsan/all/2005/b.csv", [HEADER + ";Extra", ROW2 + ";z"])
-    groups, df = load(spark, root)
-    assert len(groups) == 2
+    _, df = load(spark, root)
     assert df.select("_header_signature").distinct().count() == 2
     assert "extra" not in df.columns
 
@@ -110,9 +117,81 @@ def test_stamp_lineage_projects_and_signs(spark):
     assert row._ingested_at == datetime.datetime(2024, 5, 1) and row._source_year == 2024
 
 
-def test_header_fallback_scan_reads_first_lines(spark, tmp_dir):
+def test_paths_with_blanks_accents_and_repeated_root_names(spark, tmp_dir):
+    """Every file arrives, under a key that does not depend on what the root or its parents are called."""
+    root = f"{tmp_dir}/lake/E/lake"
+    write(f"{root}/dsan/all/2004/preços 01+a%20.csv", [HEADER, ROW1, ROW2])
+    write(f"{root}/dsan/all/2004/precos-02.csv", [HEADER, ROW2])
+    write(f"{root}/solto.csv", [HEADER, ROW2])  # directly under the root
+    _, df = load(spark, root)
+    got = sorted((r._source_file, r._source_series, r._source_year) for r in df.collect())
+    assert got == [("dsan/all/2004/precos-02.csv", "dsan", 2004), ("dsan/all/2004/preços 01+a%20.csv", "dsan", 2004),
+                   ("dsan/all/2004/preços 01+a%20.csv", "dsan", 2004), ("solto.csv", "solto.csv", None)]
+    assert df.select("_source_row").distinct().count() == 4
+
+
+def test_quoted_header_gets_a_verdict(spark, tmp_dir):
+    root = f"{tmp_dir}/raw"
+    quoted = ";".join(f'"{h}"' for h in rw.PUBLISHED_HEADER)
+    write(f"{root}/dsan/all/2004/a.csv", [quoted + ';"Nota; livre"', ROW2 + ";x"])
+    write(f"{root}/dsan/all/2005/b.csv", [quoted.replace(';"Bandeira"', ""), "x"])
+    got = {r.raw_key: r for r in rw.with_headers(rw.audit_files(spark, root)).collect()}
+    good, bad = got["dsan/all/2004/a.csv"], got["dsan/all/2005/b.csv"]
+    assert (good.status, good.columns, good.signature) == ("ok", 17, rw.header_signature([*RAW_COLUMNS, "nota_livre"]))
+    assert (bad.status, bad.missing) == ("missing_columns", "bandeira")
+    rows = rw.read_rows(spark, spark.createDataFrame([good]), run_id="r", ingested_at=datetime.datetime(2025, 1, 1)).collect()
+    assert [r.bandeira for r in rows] == ["MARCA"]
+
+
+def test_refused_files_stay_out_and_are_reported(spark, tmp_dir):
+    root, bronze = f"{tmp_dir}/raw", f"{tmp_dir}/bronze"
+    write(f"{root}/dsan/all/2004/good.csv", ["", "  ", HEADER, ROW1, "", ROW2])  # blank lines are no records
+    write(f"{root}/dsan/all/2004/page.csv", ["<html>", "erro;"])
+    write(f"{root}/dsan/all/2005/empty.csv", ["", "  "])  # nothing but blanks
+    got = {r._source_file: r.rows for r in layers.run_bronze(spark, root, bronze).collect()}
+    assert got == {"dsan/all/2004/good.csv": 2, "dsan/all/2004/page.csv": None, "dsan/all/2005/empty.csv": None}
+    assert spark.read.parquet(bronze).count() == 2
+    verdicts = {r.raw_key: r.verdict for r in layers.audit_raw(spark, root).collect()}
+    assert verdicts == {"dsan/all/2004/good.csv": au.OK, "dsan/all/2004/page.csv": au.HTML_PAGE, "dsan/all/2005/empty.csv": au.NO_DELIMITER}
+
+
+def test_file_without_audit_row_is_an_error(spark, tmp_dir):
+    root = f"{tmp_dir}/raw"
+    write(f"{root}/dsan/all/2004/a.csv", [HEADER, ROW1])
+    audited = spark.createDataFrame(layers.audit_raw(spark, root).collect())
+    write(f"{root}/dsan/all/2004/b.csv", [HEADER, ROW2])
+    with pytest.raises(rw.UnauditedFileError, match="b.csv"):
+        layers.run_bronze(spark, root, f"{tmp_dir}/bronze", audited=audited)
+    assert layers.run_bronze(spark, root, f"{tmp_dir}/bronze", audited=audited, raw_keys=["dsan/all/2004/a.csv"]).first().rows == 1
+
+
+def test_copies_loaded_by_two_runs_are_found(spark, tmp_dir):
+    root, bronze = f"{tmp_dir}/raw", f"{tmp_dir}/bronze"
+    write(f"{root}/dsan/all/2004/a.csv", [HEADER, ROW1])
+    layers.run_bronze(spark, root, bronze)
+    write(f"{root}/dsan/all/2004/b.csv", [HEADER, ROW1])
+    layers.run_bronze(spark, root, bronze, raw_keys=["dsan/all/2004/b.csv"])
+    out = layers.evaluate_once(spark.read.parquet(bronze))
+    assert sorted(r[0] for r in out.select(F.array_join("_rejection_reasons", ",")).collect()) == ["", "exact_duplicate"]
+
+
+def test_listing_and_plan_do_not_grow_with_the_files(spark, tmp_dir):
+    """One scan whatever the number of files, and no list of them in its plan."""
+    root = f"{tmp_dir}/raw"
+    for i in range(12):
+        write(f"{root}/dsan/all/2004/p{i:02d}.csv", [HEADER, ROW1 if i % 2 else ROW2])
+    _, df = load(spark, root)
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "p07.csv" not in plan and "Union" not in plan
+    assert df.count() == 12
+
+
+def test_digests(spark, tmp_dir):
+    import hashlib
+
     root = f"{tmp_dir}/raw"
-    write(f"{root}/dsan/all/2004/a.csv", [HEADER, ROW1, ROW2])
-    files = rw.list_files(spark, root).collect()
-    got = rw._first_lines_by_scan(spark, [(f.path, "UTF-8") for f in files]).collect()
-    assert [r.header_line for r in got] == [HEADER]
+    write(f"{root}/dsan/all/2004/a b.csv", [HEADER, ROW1])
+    with open(f"{root}/dsan/all/2004/a b.csv", "rb") as fh:
+        want = hashlib.sha256(fh.read()).hexdigest()
+    files = rw.list_files(spark, root).join(rw.file_digests(spark, root), "path").collect()
+    assert [(r.raw_key, r.sha256) for r in files] == [("dsan/all/2004/a b.csv", want)]

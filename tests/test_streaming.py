@@ -1,7 +1,7 @@
 import os
 
 from test_raw import HEADER, ROW1, ROW2, write
-from vetrow.streaming.ingest import start_raw_ingest
+from vetrow.streaming.ingest import ingest_batch, start_raw_ingest
 
 
 def test_stream_picks_up_new_files_once(spark, tmp_dir):
@@ -20,3 +20,17 @@ def test_stream_picks_up_new_files_once(spark, tmp_dir):
     audited = spark.read.parquet(audit)
     assert audited.count() == 3
     assert audited.filter("verdict != 'ok'").count() == 1  # the error page was refused, not loaded
+
+
+def test_replayed_batch_changes_nothing(spark, tmp_dir):
+    """The same epoch twice, then again under another number: rows and audit rows stay as they were."""
+    root, bronze, audit = (f"{tmp_dir}/{n}" for n in ("raw", "bronze", "audit"))
+    write(f"{root}/dsan/all/2004/precos 01.csv", [HEADER, ROW1, ROW2])
+    write(f"{root}/dsan/all/2005/precos-01.csv", [HEADER, ROW2])
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    handle = ingest_batch(spark, root, bronze, audit)
+    for epoch in (0, 0, 7):
+        handle(files, epoch)
+        assert spark.read.parquet(bronze).count() == 3
+        assert spark.read.parquet(audit).count() == 2
+    assert spark.read.parquet(bronze).select("_source_row").distinct().count() == 3

@@ -10,7 +10,6 @@ a re-read, not a recomputation.
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
@@ -44,49 +43,58 @@ def _now() -> datetime:
 
 
 def audit_raw(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Download-time provenance of every raw file (size, sha256, charset, sniff)."""
-    objects = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-        .load(raw_root).select("path", F.lit("csv").alias("content_type"), "content")
-    )
-    return au.audit(objects)
+    """Charset, header and verdict of every raw file."""
+    return rw.audit_files(spark, raw_root)
 
 
 def run_bronze(spark: SparkSession, raw_root: str, bronze_path: str, *, audited: DataFrame | None = None,
-               raw_keys: Iterable[str] | None = None, run_id: str | None = None,
+               raw_keys: DataFrame | Iterable[str] | None = None, run_id: str | None = None,
                ingested_at: datetime | None = None) -> DataFrame:
-    """Load the raw files (all, or the given raw keys) and replace their rows
-    in bronze; other files' rows are untouched. Returns rows per file."""
-    files = rw.list_files(spark, raw_root)
-    if raw_keys is not None:
-        files = files.filter(F.col("raw_key").isin(list(raw_keys)))
-    files = rw.recorded_charsets(files, audited)
-    headers = rw.file_headers(files).join(files.select("path", "raw_key"), "path")
-    rows = headers.collect()  # one row per file: metadata, bounded by the manifest
-    if not rows:
-        raise FileNotFoundError(f"no raw file to load under {raw_root}")
-    keys = [r["raw_key"] for r in rows]
-    groups = rw.groups_from_rows(rows)
-    frame = rw.read_raw(spark, groups, root=raw_root, run_id=run_id or str(uuid.uuid4()),
-                        ingested_at=ingested_at or _now())
-    # the files' partitions follow from their raw keys, so finding them needs no scan of bronze
-    scope = {raw_key_partition(k) for k in keys}
-    tables.replace_where(spark, bronze_path, frame, F.col("_source_file").isin(keys), BRONZE_PARTITIONS, scope=scope)
-    written = spark.read.option("mergeSchema", "true").parquet(bronze_path)
-    return rw.rows_per_file(written.filter(F.col("_source_file").isin(keys)))
-
-
-def raw_key_partition(raw_key: str) -> tuple[str, int | None]:
-    """(series, year) of a raw key ``series/sub/year/file`` - the same rule
-    ``raw.read_group`` applies to the paths it reads."""
-    parts = raw_key.split("/")
-    m = re.search(r"(\d{4})$", parts[2]) if len(parts) > 2 else None
-    return parts[0], int(m.group(1)) if m else None
+    """Load the raw files (all, or the given raw keys: a table with that column, or a few names) and replace
+    their rows in bronze; other files' rows are untouched. Returns (``_source_file``, ``rows``) of every
+    file asked for: refused ones with NULL rows.
+
+    ``audited`` is the table ``audit_raw`` gives (made here if absent), one row for each file; a file that was asked
+    for and is not in it is an error, as is a header that breaks the contract. Refused files stay out."""
+    folder = scratch_path(spark, f"runs/bronze-{uuid.uuid4().hex}")
+    try:
+        files = rw.list_files(spark, raw_root)
+        if raw_keys is not None:
+            wanted = raw_keys if isinstance(raw_keys, DataFrame) else spark.createDataFrame([(k,) for k in raw_keys], "raw_key string")
+            files = files.join(wanted.select("raw_key").distinct(), "raw_key", "left_semi")
+        facts = (rw.audit_files(spark, raw_root, only=files) if audited is None else audited).select(
+            "raw_key", "encoding", "header_line", "verdict").dropDuplicates(["raw_key"])
+        known = materialize(rw.with_headers(materialize(files.join(facts, "raw_key", "left"), "audited", folder)), "files", folder)
+        return _load_files(spark, known, bronze_path, run_id or str(uuid.uuid4()), ingested_at or _now())
+    finally:
+        fs.remove(spark, folder)
+
+
+def _load_files(spark: SparkSession, known: DataFrame, bronze_path: str, run_id: str, ingested_at: datetime) -> DataFrame:
+    lost = known.where("verdict is null").select("raw_key").orderBy("raw_key").limit(20).collect()
+    if lost:
+        raise rw.UnauditedFileError("no audit row for " + ", ".join(r["raw_key"] for r in lost))
+    good = known.where(F.col("verdict") == au.OK)
+    scope = {tuple(r) for r in good.select("series", "year").distinct().collect()}  # partitions, not files
+    if not scope:
+        raise FileNotFoundError("no raw file that can be loaded")
+    keys = good.select(F.col("raw_key").alias("_source_file"))
+    rows = rw.read_rows(spark, good, run_id=run_id, ingested_at=ingested_at)
+    tables.replace_keys(spark, bronze_path, rows, keys, "_source_file", BRONZE_PARTITIONS, scope)
+    written = rw.rows_per_file(tables.read_table(spark, bronze_path).join(keys, "_source_file", "left_semi"))
+    asked = known.select(F.col("raw_key").alias("_source_file"), (F.col("verdict") == au.OK).alias("_good"))
+    report = asked.join(written, "_source_file", "left").select(
+        "_source_file", F.when(F.col("_good"), F.coalesce("rows", F.lit(0))).alias("rows"))
+    return materialize(report, "bronze-report")
 
 
 # --- silver --------------------------------------------------------------------------
 
 
+class EmptySliceError(RuntimeError):
+    """The slice to process holds no row; nothing was written."""
+
+
 @dataclass
 class SilverRun:
     reconciliation: Reconciliation
@@ -107,18 +115,15 @@ def read_slice(spark: SparkSession, bronze_path: str, series: str | None = None,
 def evaluate_once(source: DataFrame, spec: ContractSpec = SURVEY, folder: str | None = None) -> DataFrame:
     """Typing and the 15 checks run once, into a parquet table in the shared
     checkpoint folder; the duplicate check and every consumer of the split
-    then re-read only the columns they need from it (plus a broadcast of the
-    small per-key verdicts), never the regex and date parsing again."""
+    then re-read only the columns they need from it, never the regex and date
+    parsing again."""
     contracted = materialize(apply_contract(source, spec), "contracted", folder)
     return flag_duplicates(contracted, spec, folder=folder)
 
 
 def prepare_silver(accepted: DataFrame, *, updated_at: datetime) -> DataFrame:
-    return accepted.select(
-        "*",
-        F.year("collection_date").alias("collection_year"),
-        F.lit(updated_at).cast("timestamp").alias("_updated_at"),
-    )
+    """Accepted rows with their table partition and the time of the write."""
+    return accepted.withColumns({"collection_year": F.year("collection_date"), "_updated_at": F.lit(updated_at).cast("timestamp")})
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, quarantine_path: str, *,
@@ -145,6 +150,8 @@ def _silver_steps(spark, source, silver_path, quarantine_path, series, years, sp
 
     # one job counts all three sides (and the priced rows) independently
     metrics = {k: int(v) for k, v in quality.layer_metrics(source, parts.accepted, parts.rejected).first().asDict().items()}
+    if not metrics["source"]:
+        raise EmptySliceError(f"no bronze row for series {series or 'any'} and years {list(years) if years else 'any'}")
     recon = check_balance(metrics["source"], metrics["accepted"], metrics["rejected"])
     rule_list = quality.load_rules() if rules is None else list(rules)
     report_df = quality.run_rules({"accepted": parts.accepted}, quality.metrics_frame(spark, metrics), rule_list)

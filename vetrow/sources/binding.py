@@ -17,7 +17,6 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetrow.functions.sizing import spread
 from vetrow.spec import LINEAGE_COLUMNS, RAW_COLUMNS, ROW_ID
 
 # Fixed values of the binding (FIXTURES.md section 3).
@@ -53,7 +52,7 @@ def _defect(b: Column, normal: Column, defects: dict[int, object]) -> Column:
 
 def survey_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped raw rows: 16 strings, 7 lineage columns and the row id."""
-    li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    li = (spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
         "l_returnflag", "l_shipdate",
     ))
@@ -161,7 +160,7 @@ GROUP_BY_KEY_MOD3 = ("gasolina-etanol", "diesel-gnv", "glp")
 
 
 def published_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate"))
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
     y = F.year("o_orderdate").cast("string")
     m = F.lpad(F.month("o_orderdate").cast("string"), 2, "0")
     s = F.when(F.month("o_orderdate") <= 6, F.lit("01")).otherwise(F.lit("02"))

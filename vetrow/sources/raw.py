@@ -1,34 +1,36 @@
 """Bronze ingestion: published ``;``-CSV files loaded as strings, with lineage.
 
-One job per (charset, header shape) group, however many files the group has:
-
-1. ``list_files`` - the raw folder as a DataFrame (``binaryFile`` with the
-   content column pruned, so nothing but the listing is read).
-2. charsets come from the download audit (``recorded_charsets``); files the
-   audit never saw default to UTF-8.
-3. ``file_headers`` - the first line of every file, in one job over the file
-   list: each task reads only the first bytes of its files (up to the first
-   newline), so finding headers costs kilobytes per file, not a scan.
-4. header names are normalised on the driver (they are metadata: one line per
-   distinct header), checked against the contract and fingerprinted.
-5. ``read_raw`` - per group, one ``spark.read.csv`` over all its files with the
-   header validated by Spark itself (``enforceSchema=false``), renamed to the
-   normalised names and stamped with lineage taken from ``_metadata``.
+Files are read as lines of bytes, whatever their charset, by one splittable scan
+on any Hadoop path; no file is ever one value, and no list of files is built on
+the driver.
+
+1. ``audit_files`` - one row for every listed file: charset (strict UTF-8 or
+   else Latin-1, judged over all its lines), its first line as header, and
+   whether it is a survey file at all. A file of blanks is a row, too; one of
+   no bytes is not listed by Spark and has nothing to load.
+2. ``with_headers`` - the distinct header lines (a handful, however many files)
+   are parsed and normalised, fingerprinted, and held against the contract.
+3. ``read_rows`` - the lines of the files that may be loaded are joined to their
+   file's row, decoded, parsed by Spark's CSV parser and put in contract order.
+
+Paths are compared in one form (``plain_path``): Spark's metadata column encodes
+blanks and accents, its listing does not.
 """
 
 from __future__ import annotations
 
+import csv
 import hashlib
 import re
 import unicodedata
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from vetrow.functions import fs
+from vetrow.sources import audit as au
 from vetrow.spec import RAW_COLUMNS, ROW_ID
 
 # The header as published (column order of the survey files).
@@ -54,263 +56,197 @@ SEPARATOR = ";"
 QUOTE = '"'
 DEFAULT_CHARSET = "UTF-8"
 
-_NON_ALNUM = re.compile(r"[^a-z0-9]+")
+MAX_HEADERS = 10_000  # distinct header lines; more than that is no survey any more
+
+_SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):/*"
 
 
 class UnexpectedHeaderError(RuntimeError):
     """Columns are not the ones the contract names."""
 
 
-def normalize_column(name: str) -> str:
-    """Header cell to snake_case: BOM removed, accents folded (NFKD, non-ASCII
-    dropped), lower case, runs of other characters to ``_``."""
-    folded = unicodedata.normalize("NFKD", name.replace("\ufeff", "")).encode("ascii", "ignore").decode()
-    return _NON_ALNUM.sub("_", folded.strip().lower()).strip("_")
+class UnauditedFileError(RuntimeError):
+    """A file to load has no audit row, so its charset and header are unknown."""
+
+
+# --- headers ---------------------------------------------------------------------------
+
+
+def fold(name: str) -> str:
+    """A header cell as snake_case ASCII: letters lose their accents, and whatever is no letter or digit separates."""
+    decomposed = unicodedata.normalize("NFKD", name)
+    kept = "".join(c if c.isascii() else "" for c in decomposed)
+    return "_".join(re.findall(r"[a-z0-9]+", kept.lower()))
 
 
 def header_signature(columns: Sequence[str]) -> str:
-    """First 12 hex digits of sha256 over the pipe-joined normalised names,
-    extras included, so any upstream change of shape shows in the table."""
-    return hashlib.sha256("|".join(columns).encode()).hexdigest()[:12]
+    """First 12 hex digits of the sha256 of the names joined by ``|``: tells one shape of file from another."""
+    digest = hashlib.sha256()
+    digest.update("|".join(columns).encode())
+    return digest.hexdigest()[:12]
 
 
-def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """(path, raw_key, size) for every file under ``root``; ``raw_key`` is the
-    path relative to ``root``. Content is not read."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(root)
-        .select("path", F.col("length").alias("size"))
-    )
-    root_name = root.rstrip("/").split("/")[-1]
-    rel = F.regexp_extract("path", f"/{re.escape(root_name)}/(.*)$", 1)
-    return listing.select("path", rel.alias("raw_key"), "size")
-
-
-def recorded_charsets(files: DataFrame, audited: DataFrame | None) -> DataFrame:
-    """Charset per file from the audit table (``path``, ``encoding``); missing
-    entries fall back to UTF-8 and are flagged."""
-    if audited is None:
-        return files.select("*", F.lit(DEFAULT_CHARSET).alias("encoding"), F.lit(True).alias("charset_assumed"))
-    rec = audited.select("path", F.col("encoding").alias("_rec"))
-    joined = files.join(rec, "path", "left")
-    return joined.select(
-        *files.columns,
-        F.coalesce(F.col("_rec"), F.lit(DEFAULT_CHARSET)).alias("encoding"),
-        F.col("_rec").isNull().alias("charset_assumed"),
-    )
+def split_header(line: str) -> list[str]:
+    """Cells of a header line; a quoted cell may hold the separator."""
+    return next(csv.reader([line.lstrip("\ufeff")], delimiter=SEPARATOR, quotechar=QUOTE), [])
 
 
-HEAD_CHUNK = 65536
-
-
-def file_headers(files: DataFrame, chunk: int = HEAD_CHUNK) -> DataFrame:
-    """(path, encoding, header_line) for a DataFrame of (path, encoding): the
-    first line of each file, decoded with its charset. The file list stays a
-    DataFrame; each task reads only the heads of its files."""
-
-    # Defined here so it is shipped to the Python workers by value: they need
-    # pandas and pyarrow, not this package on their path.
-    def read_heads(batches):
-        import pandas as pd
-        from pyarrow import fs as pafs
-
-        for pdf in batches:
-            lines = []
-            for path, charset in zip(pdf["path"], pdf["encoding"]):
-                try:
-                    filesystem, inner = pafs.FileSystem.from_uri(path)
-                    head = b""
-                    with filesystem.open_input_stream(inner) as stream:
-                        while b"\n" not in head:  # a chunk at a time, never the whole file
-                            part = stream.read(chunk)
-                            if not part:
-                                break
-                            head += part
-                except (OSError, ValueError, ImportError):
-                    lines.append(None)  # store Arrow cannot open here: Spark reads it below
-                    continue
-                first = head.split(b"\n", 1)[0].rstrip(b"\r")
-                # a UTF-8 BOM is dropped, as Spark's CSV reader drops it before its header check
-                codec = "utf-8-sig" if charset.replace("-", "").lower() == "utf8" else charset
-                lines.append(first.decode(codec, errors="replace"))
-            yield pd.DataFrame({"path": pdf["path"], "encoding": pdf["encoding"], "header_line": lines})
-
-    heads = files.select("path", "encoding").mapInPandas(read_heads, "path string, encoding string, header_line string")
-    unread = [(r["path"], r["encoding"]) for r in heads.filter(F.col("header_line").isNull()).collect()]
-    if not unread:
-        return heads
-    return heads.filter(F.col("header_line").isNotNull()).unionByName(_first_lines_by_scan(files.sparkSession, unread))
-
-
-def _first_lines_by_scan(spark: SparkSession, files: list[tuple[str, str]]) -> DataFrame:
-    """Fallback for files the head reader could not open: a Spark scan of
-    their first splits, keeping the first row of each file."""
-    by_charset: dict[str, list[str]] = {}
-    for path, charset in files:
-        by_charset.setdefault(charset, []).append(path)
-    parts = []
-    for charset, paths in by_charset.items():
-        lines = (
-            spark.read.option("header", "false").option("sep", "\u0001").option("quote", "\u0000")
-            .option("encoding", charset).schema("line string").csv(paths)
-            .select("line", F.col("_metadata.file_path").alias("path"),
-                    F.col("_metadata.file_block_start").alias("_start"),
-                    F.monotonically_increasing_id().alias("_rid"))
-        )
-        first = lines.filter(F.col("_start") == 0).groupBy("path").agg(F.min_by("line", "_rid").alias("header_line"))
-        parts.append(first.select("path", F.lit(charset).alias("encoding"), "header_line"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-@dataclass(frozen=True)
-class HeaderGroup:
-    encoding: str
-    raw_names: tuple[str, ...]
-    names: tuple[str, ...]
-    signature: str
-    missing: tuple[str, ...]
-    paths: tuple[str, ...]
-
-
-def split_header(line: str, sep: str = SEPARATOR, quote: str = QUOTE) -> list[str]:
-    cells = []
-    for cell in line.rstrip("\r\n").split(sep):
-        if len(cell) >= 2 and cell.startswith(quote) and cell.endswith(quote):
-            cell = cell[1:-1]
-        cells.append(cell)
-    return cells
-
-
-def header_groups(headers: DataFrame, contract: Sequence[str] = RAW_COLUMNS) -> list[HeaderGroup]:
-    """Files grouped by (charset, header line). Collects one row per file
-    (the file list is metadata, bounded by the manifest)."""
-    return groups_from_rows(headers.select("encoding", "header_line", "path").collect(), contract)
-
-
-def groups_from_rows(rows, contract: Sequence[str] = RAW_COLUMNS) -> list[HeaderGroup]:
-    by_key: dict[tuple[str, str], list[str]] = {}
-    for row in rows:
-        by_key.setdefault((row["encoding"], row["header_line"] or ""), []).append(row["path"])
-    groups = []
-    for (encoding, line), paths in sorted(by_key.items()):
-        raw_names = tuple(split_header(line))
-        names = tuple(normalize_column(n) for n in raw_names)
-        missing = tuple(c for c in contract if c not in names)
-        groups.append(HeaderGroup(encoding, raw_names, names, header_signature(names), missing, tuple(sorted(paths))))
-    return groups
-
-
-HEADER_REPORT_SCHEMA = "encoding string, header_line string, signature string, columns int, missing string, status string"
-
-
-def header_report(spark: SparkSession, headers: DataFrame, groups: Iterable[HeaderGroup]) -> DataFrame:
-    """Per file: charset, header signature, column count and contract status.
-    The per-header verdicts (one row per distinct header line, computed on the
-    driver where the names were normalised) are broadcast onto the file list."""
-    verdicts = spark.createDataFrame(
-        [
-            (g.encoding, ";".join(g.raw_names), g.signature, len(g.names), ",".join(g.missing),
-             "ok" if not g.missing else "missing_columns")
-            for g in groups
-        ],
-        HEADER_REPORT_SCHEMA,
-    )
-    files = headers.select("path", "encoding", F.coalesce(F.col("header_line"), F.lit("")).alias("header_line"))
-    return files.join(F.broadcast(verdicts), ["encoding", "header_line"], "left").drop("header_line")
+HEADER_SCHEMA = ("header_line string, names array<string>, signature string, columns int, missing string, status string")
+
 
+def with_headers(files: DataFrame, contract: Sequence[str] = RAW_COLUMNS) -> DataFrame:
+    """Adds ``names, signature, columns, missing, status`` to files with a ``header_line``. Only distinct header
+    lines reach the driver, at most ``MAX_HEADERS``."""
+    lines = [r[0] for r in files.where("header_line is not null").select("header_line").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(lines) > MAX_HEADERS:
+        raise UnexpectedHeaderError(f"more than {MAX_HEADERS} different header lines")
+    rows = []
+    for line in sorted(lines):
+        names = [fold(c) for c in split_header(line)]
+        missing = [c for c in contract if c not in names]
+        rows.append((line, names, header_signature(names), len(names), ",".join(missing), "missing_columns" if missing else "ok"))
+    return files.join(files.sparkSession.createDataFrame(rows, HEADER_SCHEMA), "header_line", "left")
 
-def check_headers(groups: Iterable[HeaderGroup]) -> None:
-    bad = [g for g in groups if g.missing]
+
+def check_headers(files: DataFrame, shown: int = 20) -> int:
+    """Raise for files whose header lacks a contracted column; else the widest header's column count."""
+    bad = files.where("status = 'missing_columns'").select("raw_key", "missing", "names").orderBy("raw_key").limit(shown).collect()
     if bad:
-        lines = [
-            f"{', '.join(g.paths)} is missing contracted column(s): {', '.join(g.missing)}. Found: {', '.join(g.names)}"
-            for g in bad
-        ]
-        raise UnexpectedHeaderError("\n".join(lines))
-
-
-def _dedupe(names: Sequence[str]) -> list[str]:
-    seen: dict[str, int] = {}
-    out = []
-    for n in names:
-        k = seen.get(n, 0)
-        out.append(n if k == 0 else f"{n}_{k}")
-        seen[n] = k + 1
-    return out
-
-
-def read_group(spark: SparkSession, group: HeaderGroup, *, group_index: int, root: str, run_id: str,
-               ingested_at: datetime, contract: Sequence[str] = RAW_COLUMNS) -> DataFrame:
-    """All files of one header group in one scan: strings only, no inference,
-    quoted delimiters honoured, one line per record."""
-    raw_schema = T.StructType([T.StructField(n, T.StringType()) for n in _dedupe(group.raw_names)])
-    frame = (
-        spark.read.option("header", "true")
-        .option("enforceSchema", "false")
-        .option("sep", SEPARATOR)
-        .option("quote", QUOTE)
-        .option("encoding", group.encoding)
-        .option("multiLine", "false")
-        .option("mode", "PERMISSIVE")
-        .schema(raw_schema)
-        .csv(list(group.paths))
-    )
-    renamed = frame.toDF(*_dedupe(group.names)).select(*contract, F.col("_metadata.file_path").alias("_path"))
-    root_name = root.rstrip("/").split("/")[-1]
-    raw_key = F.regexp_extract("_path", f"/{re.escape(root_name)}/(.*)$", 1)
-    parts = F.split(raw_key, "/")
-    year_dir = F.element_at(parts, 3)
-    year = F.regexp_extract(year_dir, r"(\d{4})$", 1)
-    return renamed.select(
-        *contract,
-        raw_key.alias("_source_file"),
-        F.element_at(parts, 1).alias("_source_series"),
-        F.when(year != "", year.cast("int")).alias("_source_year"),
-        F.lit(group.encoding).alias("_source_encoding"),
-        F.lit(group.signature).alias("_header_signature"),
-        F.lit(ingested_at).cast("timestamp").alias("_ingested_at"),
-        F.lit(run_id).alias("_ingestion_run_id"),
-        F.format_string("%04d-%019d", F.lit(group_index), F.monotonically_increasing_id()).alias(ROW_ID),
+        raise UnexpectedHeaderError("\n".join(
+            f"{r['raw_key']} is missing contracted column(s): {r['missing']}. Found: {', '.join(r['names'])}" for r in bad))
+    return files.agg(F.max("columns")).first()[0] or 0
+
+
+# --- files -----------------------------------------------------------------------------
+
+
+def plain_path(path: Column, *, encoded: bool) -> Column:
+    """One form of a path: one slash after the scheme, nothing percent-encoded."""
+    if encoded:
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(path, _SCHEME, "$1:/")
+
+
+def raw_key(path: Column, root: str) -> Column:
+    """The path below the root, by the length of the root as the file system names it."""
+    return F.substring(path, len(root) + 2, 1 << 30)
+
+
+def plain_root(spark: SparkSession, root: str) -> str:
+    return re.sub(_SCHEME, r"\1:/", fs.qualified(spark, root)).rstrip("/")
+
+
+def key_parts(key: Column) -> tuple[Column, Column]:
+    """(series, year) of a raw key ``series/sub/year/file``; the year folder may be missing or undated."""
+    parts = F.split(key, "/")
+    year = F.regexp_extract(F.when(F.size(parts) > 3, F.try_element_at(parts, F.lit(3))), r"(\d{4})$", 1)
+    return F.element_at(parts, 1), F.when(year != "", year.cast("int"))
+
+
+def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+    """(path, raw_key, size, series, year) of every file under ``root``. Content is not read."""
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+        .load(root).select(plain_path(F.col("path"), encoded=False).alias("path"), F.col("length").alias("size"))
     )
+    keyed = listing.withColumn("raw_key", raw_key(F.col("path"), plain_root(spark, root)))
+    series, year = key_parts(F.col("raw_key"))
+    return keyed.select("path", "raw_key", "size", series.alias("series"), year.alias("year"))
+
+
+def raw_lines(spark: SparkSession, folders: str | list[str], glob: str = "*.csv") -> DataFrame:
+    """(path, block, place, line) of all files under the folders: lines as bytes, in a string column that nothing
+    has decoded; ``place`` rises along the lines of a block."""
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(folders)
+    return text.select(
+        plain_path(F.col("_metadata.file_path"), encoded=True).alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"), F.col("value").alias("line"))
+
+
+def folders_of(files: DataFrame) -> list[str]:
+    """Folders that hold the files, without those inside another one: as many as there are partitions, not files."""
+    found = sorted(r[0] for r in files.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct().collect())
+    top: list[str] = []
+    for folder in found:
+        if not top or not f"{folder}/".startswith(f"{top[-1]}/"):
+            top.append(folder)
+    return top
+
+
+def decoded(line: Column, encoding: Column) -> Column:
+    """Bytes to text: Latin-1 as such, anything else as UTF-8 with a mark in place of what is not."""
+    return F.when(encoding == au.LATIN1, F.decode(line.cast("binary"), au.LATIN1)).otherwise(F.make_valid_utf8(line))
+
+
+def audit_files(spark: SparkSession, root: str, *, only: DataFrame | None = None, glob: str = "*.csv") -> DataFrame:
+    """One row for every file under ``root`` (or those whose ``path`` is in ``only``): ``path, raw_key, size, series,
+    year, encoding, header_line, verdict``. The header is the first line that is not blank; a file without
+    one, a web page, or one without a separator in that line is refused by its verdict, never by an error."""
+    files = list_files(spark, root, glob)
+    folders: str | list[str] = root
+    if only is not None:
+        files = files.join(only.select(plain_path(F.col("path"), encoded=False).alias("path")).distinct(), "path", "left_semi")
+        folders = folders_of(files) or root
+    lines = raw_lines(spark, folders, glob)
+    filled = F.when(au.stripped(F.col("line").cast("binary")) != "", F.col("line"))
+    facts = lines.groupBy("path").agg(
+        F.bool_and(F.is_valid_utf8("line")).alias("utf8"),
+        F.min_by(filled, F.when(filled.isNotNull(), F.struct("block", "place"))).alias("first"))
+    encoding = F.when(F.coalesce("utf8", F.lit(True)), F.lit(au.UTF8)).otherwise(F.lit(au.LATIN1))
+    joined = files.join(facts, "path", "left").withColumn("encoding", encoding)
+    first = F.coalesce("first", F.lit(""))
+    return joined.select(
+        "path", "raw_key", "size", "series", "year", "encoding",
+        F.nullif(F.ltrim(decoded(first, F.col("encoding")), F.lit("\ufeff")), F.lit("")).alias("header_line"),
+        au.sniff(first.cast("binary"), F.lit("csv")).alias("verdict"))
+
+
+def file_digests(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+    """(path, sha256) of every file that fits in one value (under 2 GiB); the digest of a larger one, which needs its
+    bytes in order, is NULL. Nothing else needs a file as one value."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
+    path = plain_path(F.col("path"), encoded=False).alias("path")
+    small = files.where(F.col("length") < (1 << 31) - 1024).select(path, F.sha2("content", 256).alias("sha256"))
+    return small.unionByName(files.where(F.col("length") >= (1 << 31) - 1024).select(path, F.lit(None).cast("string").alias("sha256")))
+
+
+# --- rows ------------------------------------------------------------------------------
+
+
+def read_rows(spark: SparkSession, files: DataFrame, *, run_id: str, ingested_at: datetime,
+              contract: Sequence[str] = RAW_COLUMNS, glob: str = "*.csv") -> DataFrame:
+    """Bronze rows of audited files with headers: strings only, nothing inferred, quoted separators honoured, one
+    line one record, blank lines and the header line left out, columns found by their normalised name.
+
+    The row id is the raw key, the block and the place in it: no two rows of a table share it, whatever
+    run loaded them."""
+    width = check_headers(files)
+    lines = raw_lines(spark, folders_of(files), glob).join(
+        files.select("path", "raw_key", "series", "year", "encoding", "header_line", "names", "signature"), "path")
+    text = F.ltrim(decoded(F.col("line"), F.col("encoding")), F.lit("\ufeff"))
+    lines = lines.withColumn("text", text).where((F.trim("text") != "") & ~((F.col("block") == 0) & (F.col("text") == F.col("header_line"))))
+    cells = F.from_csv("text", ", ".join(f"c{i} string" for i in range(max(width, 1))), {"sep": SEPARATOR, "quote": QUOTE})
+    parsed = lines.withColumn("cells", cells).withColumn("cells", F.array(*(F.col(f"cells.c{i}") for i in range(max(width, 1)))))
+    column = [F.try_element_at("cells", F.array_position("names", c).cast("int")).alias(c) for c in contract]
+    return parsed.select(
+        *column,
+        F.col("raw_key").alias("_source_file"), F.col("series").alias("_source_series"), F.col("year").alias("_source_year"),
+        F.col("encoding").alias("_source_encoding"), F.col("signature").alias("_header_signature"),
+        F.lit(ingested_at).cast("timestamp").alias("_ingested_at"), F.lit(run_id).alias("_ingestion_run_id"),
+        F.format_string("%s:%015d:%019d", "raw_key", "block", "place").alias(ROW_ID))
 
 
 def stamp_lineage(frame: DataFrame, *, source_file: str, series: str, year: int | None, encoding: str,
                   run_id: str, ingested_at: datetime, contract: Sequence[str] = RAW_COLUMNS) -> DataFrame:
     """One already-loaded file's frame: the contract columns (extras dropped,
     but counted in the signature, taken before the projection) plus lineage."""
-    signature = header_signature(list(frame.columns))
-    return frame.select(
-        *contract,
-        F.lit(source_file).alias("_source_file"),
-        F.lit(series).alias("_source_series"),
-        F.lit(year).cast("int").alias("_source_year"),
-        F.lit(encoding).alias("_source_encoding"),
-        F.lit(signature).alias("_header_signature"),
-        F.lit(ingested_at).cast("timestamp").alias("_ingested_at"),
-        F.lit(run_id).alias("_ingestion_run_id"),
-        # file key + position: unique across files, stamped once with the row
-        F.format_string("%s:%019d", F.lit(source_file), F.monotonically_increasing_id()).alias(ROW_ID),
-    )
-
-
-def read_raw(spark: SparkSession, groups: Sequence[HeaderGroup], *, root: str, run_id: str,
-             ingested_at: datetime, contract: Sequence[str] = RAW_COLUMNS) -> DataFrame:
-    """Bronze frame for every file of every group (header contract enforced)."""
-    check_headers(groups)
-    frames = [
-        read_group(spark, g, group_index=i, root=root, run_id=run_id, ingested_at=ingested_at, contract=contract)
-        for i, g in enumerate(groups)
-    ]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    stamps = {
+        "_source_file": F.lit(source_file), "_source_series": F.lit(series), "_source_year": F.lit(year).cast("int"),
+        "_source_encoding": F.lit(encoding), "_header_signature": F.lit(header_signature(list(frame.columns))),
+        "_ingested_at": F.lit(ingested_at).cast("timestamp"), "_ingestion_run_id": F.lit(run_id),
+        ROW_ID: F.format_string("%s:%019d", F.lit(source_file), F.monotonically_increasing_id()),
+    }
+    return frame.select(*contract, *(value.alias(name) for name, value in stamps.items()))
 
 
 def rows_per_file(bronze: DataFrame) -> DataFrame:

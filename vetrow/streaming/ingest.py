@@ -1,43 +1,48 @@
 """Incremental bronze ingestion: raw files are picked up as they land.
 
 Structured Streaming's file source tracks which files were already seen (in
-its checkpoint under the shared checkpoint folder); each micro-batch audits the
-new files (charset, sniff, digest), appends the audit rows, and replaces the
-files' rows in bronze with the same batch code as ``run_bronze``. Replacing is
-keyed by file, so a micro-batch replayed after a failure rewrites the same rows
-instead of duplicating them.
+its checkpoint under the shared checkpoint folder); each micro-batch audits
+its own files only, and puts their audit rows and their bronze rows in place of
+earlier ones of the same files. Both tables are keyed by file, so a micro-batch
+that runs again after a failure, or under a new checkpoint, changes nothing.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from vetrow.functions import fs
+from vetrow.operators import tables
 from vetrow.plans import layers
-from vetrow.session import scratch_path
+from vetrow.session import materialize, scratch_path
 from vetrow.sources import audit as au
 from vetrow.sources import raw as rw
 
-
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+AUDIT_PARTITIONS = ("series", "year")
+
 
+def ingest_batch(spark: SparkSession, raw_root: str, bronze_path: str, audit_path: str):
+    """The micro-batch function. Of a batch's files only the paths are used, so their content is not read here."""
 
-def _batch_ingest(spark: SparkSession, raw_root: str, bronze_path: str, audit_path: str):
     def handle(files: DataFrame, epoch_id: int) -> None:
-        audited = au.audit(files.select("path", F.lit("csv").alias("content_type"), "content"))
-        audited = audited.withColumn("_epoch", F.lit(epoch_id)).withColumn(
-            "_audited_at", F.lit(datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp")
-        )
-        # the audit table is append-only; a replayed epoch is recognisable by _epoch
-        audited.write.mode("append").parquet(audit_path)
-        good = spark.read.parquet(audit_path).filter((F.col("_epoch") == epoch_id) & (F.col("verdict") == au.OK))
-        listing = rw.list_files(spark, raw_root).join(good.select("path"), "path", "left_semi")
-        keys = [r["raw_key"] for r in listing.select("raw_key").collect()]  # bounded by maxFilesPerTrigger
-        if keys:
-            layers.run_bronze(spark, raw_root, bronze_path, audited=good, raw_keys=keys, run_id=f"stream-{epoch_id}")
+        folder = scratch_path(spark, f"runs/ingest-{uuid.uuid4().hex}")
+        try:
+            found = materialize(rw.audit_files(spark, raw_root, only=files.select("path")), "batch", folder)
+            now = F.lit(datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp")
+            audited = found.withColumn("_audited_at", now).withColumn("_epoch", F.lit(epoch_id))
+            scope = {tuple(r) for r in found.select(*AUDIT_PARTITIONS).distinct().collect()}
+            tables.replace_keys(spark, audit_path, audited, found, "raw_key", AUDIT_PARTITIONS, scope)
+            good = found.where(F.col("verdict") == au.OK)
+            if good.limit(1).collect():
+                layers.run_bronze(spark, raw_root, bronze_path, audited=found, raw_keys=good, run_id=f"stream-{epoch_id}")
+        finally:
+            fs.remove(spark, folder)
 
     return handle
 
@@ -55,7 +60,7 @@ def start_raw_ingest(spark: SparkSession, raw_root: str, bronze_path: str, audit
         .load(raw_root)
     )
     writer = (
-        files.writeStream.foreachBatch(_batch_ingest(spark, raw_root, bronze_path, audit_path))
+        files.writeStream.foreachBatch(ingest_batch(spark, raw_root, bronze_path, audit_path))
         .option("checkpointLocation", checkpoint or scratch_path(spark, "streams/raw-ingest"))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
