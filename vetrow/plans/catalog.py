@@ -6,16 +6,19 @@ outputs are cast to double so schemas line up with the SQL oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetrow.operators import marts, quality
+from vetrow.operators import marts, quality, tables
 from vetrow.operators.contract import REASONS_COL, apply_contract
 from vetrow.operators.quarantine import Split, layer_counts, reason_histogram, split
+from vetrow.plans import layers
 from vetrow.plans.layers import evaluate_once
+from vetrow.session import scratch_path
 from vetrow.sources.binding import survey_rows
 from vetrow.spec import ACCEPTED_TYPED, BINDING, LINEAGE_COLUMNS, RAW_COLUMNS, ROW_ID
 
@@ -23,11 +26,6 @@ REJECTED_AT = datetime(2010, 1, 1)
 _DECIMALS = ("sale_price", "purchase_price", "avg_price", "median_price", "min_price", "max_price",
              "avg_margin", "avg_margin_ratio")
 
-# evaluated frames per (session, sf_dir): the contract and the duplicate check
-# materialize their tables once, so the queries of one scale factor share them.
-_EVALUATED: dict[tuple[int, str], DataFrame] = {}
-
-
 def _doubles(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in _DECIMALS else F.col(c) for c in df.columns])
 
@@ -37,10 +35,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (id(spark), sf_dir)
-    if key not in _EVALUATED:
-        _EVALUATED[key] = evaluate_once(raw(spark, sf_dir), BINDING)
-    return _EVALUATED[key]
+    return evaluate_once(raw(spark, sf_dir), BINDING)
 
 
 def parts(spark: SparkSession, sf_dir: str) -> Split:
@@ -155,6 +150,53 @@ def q_product_units(spark, sf_dir):
     return marts.product_units(accepted(spark, sf_dir))
 
 
+# --- layer runs -------------------------------------------------------------------
+
+
+def _clean_tables(spark, sf_dir) -> str:
+    """The accepted rows as a bronze table of their own, run through silver and gold; the folder of the tables."""
+    base = scratch_path(spark, f"tables/layers-{uuid.uuid4().hex}")
+    source = raw(spark, sf_dir)
+    good = accepted(spark, sf_dir).select(ROW_ID)
+    clean = source.join(good, ROW_ID).select(*RAW_COLUMNS, *LINEAGE_COLUMNS, ROW_ID)
+    clean.write.partitionBy(*layers.BRONZE_PARTITIONS).parquet(f"{base}/bronze")
+    layers.run_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/quarantine", spec=BINDING, now=REJECTED_AT)
+    layers.run_gold(spark, f"{base}/silver", f"{base}/gold")
+    return base
+
+
+def q_silver_table(spark, sf_dir):
+    """The silver table that a clean run publishes, with its stamps."""
+    silver = spark.read.parquet(f"{_clean_tables(spark, sf_dir)}/silver")
+    return _doubles(silver.select(*ACCEPTED_TYPED, ROW_ID, "collection_year", "_updated_at"))
+
+
+def q_gold_snapshot(spark, sf_dir):
+    """The weekly price mart as the gold run publishes it, read back from its newest version."""
+    gold = tables.latest_snapshot(spark, f"{_clean_tables(spark, sf_dir)}/gold/price_by_state_product_week")
+    return _doubles(gold)
+
+
+def q_gate_verdict(spark, sf_dir):
+    """Whether each shipped rule lets the run pass, and whether the gate as a whole does."""
+    report = _report(spark, sf_dir, None)
+    breach = ~F.col("passed") & (F.col("severity") == quality.CRITICAL)
+    return report.agg(F.count(F.lit(1)).alias("rules"), F.count_if(~F.col("passed")).alias("failed"),
+                      F.count_if(breach).alias("breaches"), (F.count_if(breach) == 0).alias("published"))
+
+
+def q_quarantine_rows(spark, sf_dir):
+    """Rejected rows as the quarantine keeps them: the original strings, the reasons, and when."""
+    rejected = parts(spark, sf_dir).rejected
+    return rejected.select(ROW_ID, *RAW_COLUMNS, F.array_join(REASONS_COL, ",").alias("reasons"), "_rejected_at")
+
+
+def q_originals_kept(spark, sf_dir):
+    """Accepted rows next to the strings they were read from."""
+    judged = evaluated(spark, sf_dir).where(F.size(REASONS_COL) == 0)
+    return _doubles(judged.select(ROW_ID, "data_da_coleta", "collection_date", "valor_de_venda", "sale_price", "valor_de_compra", "purchase_price"))
+
+
 SURVEY_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_survey": q_raw_survey,
     "typed_survey": q_typed_survey,
@@ -180,4 +222,9 @@ SURVEY_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "year_runs": q_year_runs,
     "first_zero_year": q_first_zero_year,
     "product_units": q_product_units,
+    "silver_table": q_silver_table,
+    "gold_snapshot": q_gold_snapshot,
+    "gate_verdict": q_gate_verdict,
+    "quarantine_rows": q_quarantine_rows,
+    "originals_kept": q_originals_kept,
 }

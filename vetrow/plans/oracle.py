@@ -346,4 +346,15 @@ SURVEY_ORACLES: dict[str, str] = {
         body="SELECT min(collection_year) AS first_zero_year FROM yearly WHERE ratio = 0",
     ),
     "product_units": binding_sql("SELECT DISTINCT product, unit FROM accepted"),
+    "silver_table": binding_sql(
+        f"SELECT {TYPED_COLS}, _source_row, CAST(year(collection_date) AS INTEGER) AS collection_year, "
+        "TIMESTAMP '2010-01-01' AS _updated_at FROM accepted"),
+    "gold_snapshot": binding_sql(WEEKLY_PRICE_BODY),
+    "gate_verdict": f"SELECT count(*) AS rules, count(*) FILTER (WHERE NOT passed) AS failed, "
+    f"count(*) FILTER (WHERE NOT passed AND severity = 'critical') AS breaches, "
+    f"count(*) FILTER (WHERE NOT passed AND severity = 'critical') = 0 AS published FROM ({dq_sql(None)})",
+    "quarantine_rows": binding_sql(f"SELECT _source_row, {RAW_COLS}, reasons, TIMESTAMP '2010-01-01' AS _rejected_at FROM rejected"),
+    "originals_kept": binding_sql(
+        "SELECT _source_row, data_da_coleta, collection_date, valor_de_venda, CAST(sale_price AS DOUBLE) AS sale_price, "
+        "valor_de_compra, CAST(purchase_price AS DOUBLE) AS purchase_price FROM accepted"),
 }

@@ -10,11 +10,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetrow.session import scratch_path
-from vetrow.sources import audit as au
+from vetrow.operators.quarantine import reason_histogram
+from vetrow.plans import layers
+from vetrow.session import materialize, scratch_path
 from vetrow.sources import raw as rw
 from vetrow.sources.binding import survey_rows
-from vetrow.spec import RAW_COLUMNS
+from vetrow.spec import BINDING, RAW_COLUMNS
 
 # Header variants of the binding: the published one; the same with accents
 # (written in Latin-1, as one published semester was); one extra column.
@@ -23,103 +24,129 @@ ACCENTED_HEADER = (
     "Complemento", "Bairro", "Cep", "Produto", "Data da Coleta", "Valor de Venda", "Valor de Compra",
     "Unidade de Medida", "Bandeira",
 )
-EXTRA_COLUMN = "Observacao"
+EXTRA_COLUMN = "Observacao; livre"  # holds the separator, so the writer quotes the cell
 INGESTED_AT = datetime(2010, 1, 1)
-
-_CACHE: dict[tuple[int, str], str] = {}
+FOLDER = "todos os preços"  # a blank and an accent in every path
+RESENT_FOLDER = "reenvio"
+
+
+def _write(rows: DataFrame, folder: str, header, charset: str, extra=()) -> None:
+    """Published-style files, one folder a year. ``rows`` have a ``year``; rows without one go to an undated folder."""
+    cols = [F.col(c).alias(h) for c, h in zip(RAW_COLUMNS, header)]
+    cols += [F.lit(None).cast("string").alias(e) for e in extra]
+    (
+        rows.select(*cols, F.coalesce(F.col("year").cast("string"), F.lit("undated")).alias("year"))
+        .write.mode("append")
+        .partitionBy("year")
+        .option("header", "true")
+        .option("sep", rw.SEPARATOR)
+        .option("encoding", charset)
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .csv(folder)
+    )
 
 
-def write_survey_files(spark: SparkSession, sf_dir: str) -> str:
-    """Write the derived rows once per session and scale factor; return the root."""
-    key = (id(spark), sf_dir)
-    if key in _CACHE:
-        return _CACHE[key]
+def write_survey_files(spark: SparkSession, sf_dir: str, *, resent_year: int | None = None) -> str:
+    """Write the derived rows, in three variants of header and charset; return the root. ``resent_year`` is written a
+    second time, as another file of the same rows."""
     root = scratch_path(spark, f"raw-{uuid.uuid4().hex}")
     rows = survey_rows(spark, sf_dir).select(*RAW_COLUMNS, F.col("_source_year").alias("year"))
-    variants = [
-        (F.col("year") <= 1997, rw.PUBLISHED_HEADER, (), "UTF-8"),
-        (F.col("year") == 1998, ACCENTED_HEADER, (), "ISO-8859-1"),
-        (F.col("year") >= 1999, rw.PUBLISHED_HEADER, (EXTRA_COLUMN,), "UTF-8"),
-    ]
-    for cond, header, extra, charset in variants:
-        cols = [F.col(c).alias(h) for c, h in zip(RAW_COLUMNS, header)]
-        cols += [F.lit(None).cast("string").alias(e) for e in extra]
-        (
-            rows.filter(cond)
-            .select(*cols, "year")
-            .write.mode("append")
-            .partitionBy("year")
-            .option("header", "true")
-            .option("sep", rw.SEPARATOR)
-            .option("encoding", charset)
-            .option("ignoreLeadingWhiteSpace", "false")
-            .option("ignoreTrailingWhiteSpace", "false")
-            .csv(f"{root}/dsan/all")
-        )
-    _CACHE[key] = root
+    accented, extra = F.col("year") == 1998, F.col("year") >= 1999
+    folder = f"{root}/dsan/{FOLDER}"
+    _write(rows.where(~F.coalesce(accented | extra, F.lit(False))), folder, rw.PUBLISHED_HEADER, "UTF-8")
+    _write(rows.where(accented), folder, ACCENTED_HEADER, "ISO-8859-1")
+    _write(rows.where(extra), folder, rw.PUBLISHED_HEADER, "UTF-8", (EXTRA_COLUMN,))
+    if resent_year is not None:
+        _write(rows.where(F.col("year") == resent_year), f"{root}/dsan/{RESENT_FOLDER}", rw.PUBLISHED_HEADER, "UTF-8")
     return root
 
 
-def _audited_files(spark, root) -> DataFrame:
-    objects = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-        .load(root).select("path", F.lit("csv").alias("content_type"), "content")
-    )
-    return au.audit(objects)
+LOADED = (*RAW_COLUMNS, "_source_series", "_source_year", "_source_encoding", "_header_signature")
 
 
-def _headers(spark, sf_dir):
+def q_raw_scan(spark, sf_dir):
     root = write_survey_files(spark, sf_dir)
-    files = rw.recorded_charsets(rw.list_files(spark, root), _audited_files(spark, root))
-    headers = rw.file_headers(files)
-    return root, headers, rw.header_groups(headers)
+    files = materialize(rw.with_headers(rw.audit_files(spark, root)), "raw-scan-files")
+    return rw.read_rows(spark, files, run_id="raw-scan", ingested_at=INGESTED_AT).select(*LOADED)
 
 
-def _groups(spark, sf_dir):
-    root, _, groups = _headers(spark, sf_dir)
-    return root, groups
+def q_charset_scan(spark, sf_dir):
+    return rw.audit_files(spark, write_survey_files(spark, sf_dir)).select("year", "encoding", "verdict").distinct()
 
 
-def q_raw_scan(spark, sf_dir):
-    root, groups = _groups(spark, sf_dir)
-    bronze = rw.read_raw(spark, groups, root=root, run_id="raw-scan", ingested_at=INGESTED_AT)
-    return bronze.select(*RAW_COLUMNS, "_source_series", "_source_year", "_source_encoding", "_header_signature")
+def q_header_audit(spark, sf_dir):
+    """Header verdict per year of files (each year's files share one header)."""
+    files = rw.with_headers(rw.audit_files(spark, write_survey_files(spark, sf_dir)))
+    return files.select("year", "encoding", "signature", "columns", "missing", "status").distinct()
 
 
-def q_charset_scan(spark, sf_dir):
-    root = write_survey_files(spark, sf_dir)
-    audited = _audited_files(spark, root)
-    year = F.regexp_extract("path", r"/year=(\d{4})/", 1).cast("int")
-    return audited.select(year.alias("year"), "encoding", "verdict").distinct()
+def _bronze(spark) -> str:
+    return scratch_path(spark, f"tables/bronze-{uuid.uuid4().hex}")
 
 
-def q_header_audit(spark, sf_dir):
-    """Header verdict per year of files (each year's files share one header)."""
-    _, headers, groups = _headers(spark, sf_dir)
-    report = rw.header_report(spark, headers, groups)
-    year = F.regexp_extract("path", r"/year=(\d{4})/", 1).cast("int")
-    return report.select(year.alias("year"), "encoding", "signature", "columns", "missing", "status").distinct()
+def q_bronze_load(spark, sf_dir):
+    root, bronze = write_survey_files(spark, sf_dir), _bronze(spark)
+    layers.run_bronze(spark, root, bronze, run_id="load", ingested_at=INGESTED_AT)
+    return spark.read.parquet(bronze).select(*LOADED)
+
+
+def q_bronze_reload(spark, sf_dir):
+    """All files, then those of one year again: every row is there once, that year's by the later run."""
+    root, bronze = write_survey_files(spark, sf_dir), _bronze(spark)
+    audited = materialize(layers.audit_raw(spark, root), "audited")
+    layers.run_bronze(spark, root, bronze, audited=audited, run_id="load", ingested_at=INGESTED_AT)
+    layers.run_bronze(spark, root, bronze, audited=audited, raw_keys=audited.where("year = 1996"), run_id="reload", ingested_at=INGESTED_AT)
+    loaded = spark.read.parquet(bronze)
+    return loaded.groupBy("_source_year", "_ingestion_run_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("_source_row").alias("row_ids"))
+
+
+def q_bronze_two_loads_duplicates(spark, sf_dir):
+    """A year published a second time in a file of its own, loaded by a later run: its rows are copies, and one stays."""
+    root, bronze = write_survey_files(spark, sf_dir, resent_year=1996), _bronze(spark)
+    audited = materialize(layers.audit_raw(spark, root), "audited")
+    resent = F.col("raw_key").startswith(f"dsan/{RESENT_FOLDER}/")
+    for run, part in (("first", audited.where(~resent)), ("second", audited.where(resent))):
+        layers.run_bronze(spark, root, bronze, audited=audited, raw_keys=part, run_id=run, ingested_at=INGESTED_AT)
+    return reason_histogram(layers.evaluate_once(spark.read.parquet(bronze), BINDING))
 
 
 RAW_QUERIES = {
     "raw_scan": q_raw_scan,
     "charset_scan": q_charset_scan,
     "header_audit": q_header_audit,
+    "bronze_load": q_bronze_load,
+    "bronze_reload": q_bronze_reload,
+    "bronze_two_loads_duplicates": q_bronze_two_loads_duplicates,
 }
 
 
 def _raw_oracles() -> dict[str, str]:
-    from vetrow.plans.oracle import RAW_CTE, with_ctes
+    from vetrow.plans.oracle import CONTRACT_CTE, RAW_CTE, with_ctes
 
-    plain = rw.header_signature([rw.normalize_column(h) for h in rw.PUBLISHED_HEADER])
-    extra = rw.header_signature([rw.normalize_column(h) for h in (*rw.PUBLISHED_HEADER, EXTRA_COLUMN)])
+    plain = rw.header_signature([rw.fold(h) for h in rw.PUBLISHED_HEADER])
+    extra = rw.header_signature([rw.fold(h) for h in (*rw.PUBLISHED_HEADER, EXTRA_COLUMN)])
     cols = ", ".join(RAW_COLUMNS)
+    loaded = with_ctes(
+        RAW_CTE,
+        body=f"SELECT {cols}, 'dsan' AS _source_series, _source_year, "
+        f"CASE WHEN _source_year = 1998 THEN 'ISO-8859-1' ELSE 'UTF-8' END AS _source_encoding, "
+        f"CASE WHEN _source_year >= 1999 THEN '{extra}' ELSE '{plain}' END AS _header_signature FROM raw",
+    )
+    # the resent year's rows once more, under row ids of their own
+    once_more = RAW_CTE.rstrip()[: -len("FROM cp\n)")] + "FROM (SELECT * FROM cp UNION ALL SELECT * REPLACE (copy_no + 10 AS copy_no) FROM cp WHERE yr = 1996) cp\n)"
     return {
-        "raw_scan": with_ctes(
+        "raw_scan": loaded,
+        "bronze_load": loaded,
+        "bronze_reload": with_ctes(
             RAW_CTE,
-            body=f"SELECT {cols}, 'dsan' AS _source_series, _source_year, "
-            f"CASE WHEN _source_year = 1998 THEN 'ISO-8859-1' ELSE 'UTF-8' END AS _source_encoding, "
-            f"CASE WHEN _source_year >= 1999 THEN '{extra}' ELSE '{plain}' END AS _header_signature FROM raw",
+            body="SELECT _source_year, CASE WHEN _source_year = 1996 THEN 'reload' ELSE 'load' END AS _ingestion_run_id, "
+            "count(*) AS rows, count(*) AS row_ids FROM raw GROUP BY 1, 2",
+        ),
+        "bronze_two_loads_duplicates": with_ctes(
+            once_more, CONTRACT_CTE,
+            body="SELECT reason, count(*) AS rows FROM (SELECT unnest(string_split(reasons, ',')) AS reason FROM rejected) GROUP BY reason",
         ),
         "header_audit": with_ctes(
             RAW_CTE,

@@ -56,6 +56,14 @@ def q_idempotence_diff(spark, sf_dir):
     return tables.content_diff(twice, once)
 
 
+def q_content_diff(spark, sf_dir):
+    """Both sides of a difference, copies counted: the batch against itself with one day's orders doubled and another's gone."""
+    batch = source(spark, sf_dir)
+    day = F.dayofmonth("o_orderdate")
+    other = batch.where(day != 2).unionByName(batch.where(day == 1))
+    return tables.content_diff(other, batch)
+
+
 def q_upsert_report(spark, sf_dir):
     return tables.upsert_report(target(spark, sf_dir), source(spark, sf_dir), KEY)
 
@@ -90,6 +98,7 @@ TABLE_QUERIES = {
     "upsert_changes": q_upsert_changes,
     "upsert_report": q_upsert_report,
     "idempotence_diff": q_idempotence_diff,
+    "content_diff": q_content_diff,
     "replace_slice": q_replace_slice,
     "slice_read": q_slice_read,
     "upsert_table": q_upsert_table,
@@ -144,6 +153,8 @@ TABLE_ORACLES = {
         body="(SELECT *, 'left_only' AS _side FROM (SELECT * FROM u2 EXCEPT ALL SELECT * FROM u)) "
         "UNION ALL (SELECT *, 'right_only' AS _side FROM (SELECT * FROM u EXCEPT ALL SELECT * FROM u2))",
     ),
+    "content_diff": _with(_O, _S, body="SELECT *, 'left_only' AS _side FROM s WHERE day(o_orderdate) = 1 "
+                          "UNION ALL SELECT *, 'right_only' AS _side FROM s WHERE day(o_orderdate) = 2"),
     "replace_slice": _with(_O, _R, body="SELECT * FROM r"),
     "slice_read": _slice_sql(),
     "upsert_table": _with(_O, _T, _S, _U, body="SELECT * FROM u"),
