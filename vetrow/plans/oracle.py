@@ -121,12 +121,16 @@ checked AS (
          {_REASON_TEXT} AS contract_reasons
   FROM typed
 ),
+repeated AS (
+  SELECT reseller_cnpj, product, collection_date FROM checked WHERE contract_reasons = ''
+  GROUP BY reseller_cnpj, product, collection_date HAVING count(*) > 1
+),
 keystats AS (
   SELECT reseller_cnpj AS k_cnpj, product AS k_product, collection_date AS k_date,
          count(*) AS k_rows,
          count(DISTINCT struct_pack({_FP})) AS k_variants,
          min(_source_row) AS k_keeper
-  FROM checked WHERE contract_reasons = ''
+  FROM checked JOIN repeated USING (reseller_cnpj, product, collection_date) WHERE contract_reasons = ''
   GROUP BY reseller_cnpj, product, collection_date
 ),
 evaluated AS (
