@@ -265,7 +265,8 @@ def _links(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, word
     """(a, b) linked classes that connect every component; ``members``: class_id, cluster, doc_id, n."""
     members = save(_with_tasks(members, percent, block), "ngram-tasks")
     volume = members.select(F.sum(F.col("n") * F.size("tasks"))).first()[0] or 0
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(members, "doc_id")
+    # by a shuffle at every size: how many texts are candidates grows with the table
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(members.hint("merge"), "doc_id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
