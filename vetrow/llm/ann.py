@@ -89,7 +89,7 @@ def _centre(rows: DataFrame, kind: np.dtype, dim: int) -> np.ndarray:
                 n += batch.num_rows
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim), pa.int32()), pa.array(total), pa.array([n] * dim, pa.int64())], ["i", "s", "n"])
 
-    sums = map_batches(rows.select("vec"), run, "i int, s double, n long").groupBy("i").agg((F.sum("s") / F.sum("n")).alias("m")).collect()
+    sums = map_batches(rows.select("vec"), run, "i int, s double, n long").groupBy("i").agg(F.try_divide(F.sum("s"), F.sum("n")).alias("m")).collect()
     out = np.zeros(dim)
     for r in sums:
         out[r["i"]] = r["m"] or 0.0

@@ -99,22 +99,33 @@ def to_split(r: Ranges, low: int, high: int, shards: int) -> np.ndarray:
     return np.flatnonzero(hit & open_)
 
 
+def fair_share(sizes: np.ndarray, shards: int) -> float:
+    """What a shard should hold when groups above an even share have shards of their own."""
+    total, alone = float(sizes.sum()), 0
+    for size in np.sort(sizes)[::-1][: shards - 1]:
+        if size <= total / (shards - alone):
+            break
+        total -= size
+        alone += 1
+    return total / (shards - alone)
+
+
 def balanced_cuts(prefix: np.ndarray, capacity: int, shards: int) -> np.ndarray:
-    """Cuts within ``capacity`` that keep what is left evenly spread: as near the mean of
+    """Cuts within ``capacity`` that keep what is left evenly spread: as near the fair share of
     the remaining shards as the capacity of this and of all later shards allows."""
-    n = len(prefix) - 1
+    n, sizes = len(prefix) - 1, np.diff(prefix)
     earliest = [n]
     for _ in range(shards):
         earliest.append(int(np.searchsorted(prefix, prefix[earliest[-1]] - capacity, "left")))
     earliest = earliest[::-1]
     cuts, at = [], 0
     for k in range(1, shards + 1):
-        target = prefix[at] + (prefix[-1] - prefix[at]) / (shards - k + 1)
-        j = int(np.searchsorted(prefix, target, "left"))
-        if j > at and j <= n and target - prefix[j - 1] <= prefix[min(j, n)] - target:
+        target = prefix[at] + fair_share(sizes[at:], shards - k + 1)
+        j = min(int(np.searchsorted(prefix, target, "left")), n)
+        if j > at + 1 and target - prefix[j - 1] <= prefix[j] - target:
             j -= 1
         latest = int(np.searchsorted(prefix, prefix[at] + capacity, "right")) - 1
-        at = max(at, min(max(j, earliest[k]), latest, n))
+        at = max(at, min(max(j, at + 1, earliest[k]), latest, n))
         cuts.append(at)
     cuts[-1] = n
     return np.array(cuts)
