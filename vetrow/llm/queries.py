@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetrow.llm import ann, embed_dedup, langid, line_dedup, ngram_join, packing, sharding, spm_codec, suffix_dedup, toxicity
+from vetrow.llm.oracles import ORACLES  # noqa: F401
 from vetrow.llm.common import crc_remainder, documents, embeddings
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -15,7 +16,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embed_dedup.near_duplicates(embeddings(spark, sf_dir)).select("vec_id", "n_links", "component_id", "kept", "class_id")
+    return embed_dedup.near_duplicates(embeddings(spark, sf_dir)).select("vec_id", "n_links", "component_id", "kept")
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +60,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "class_id")
+    return ngram_join.jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,4 +70,3 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_sharding, op3_packing, op4_language, op5_suffix_dedup, op6_line_dedup, op7_sentencepiece, op8_toxicity,
                                 op9_ngram_join, op10_nearest)}
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {}
