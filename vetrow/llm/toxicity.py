@@ -33,6 +33,8 @@ CLEAN_TEXTS = 4000
 TRAINING_BYTES = 50_000
 MAX_ENTRIES = 500
 AFFIX = (4, 5, 6)
+#: Entries in so many of the toxic texts, and so surely toxic, are taken whether or not others explain the same texts.
+COMMON, SURE = 0.03, 0.98
 PREDICT_AT = 0.3
 TABLE_TOKENS = 400_000
 
@@ -178,7 +180,7 @@ class ToxicityModel:
 
 def fit_lexicon(texts: list[tuple[list[str], int, float]], most: int = MAX_ENTRIES) -> tuple[dict[str, float], float]:
     """(lexicon, base) from (words, toxic, weight) of the texts: entries are taken greedily, each time the one that
-    explains most toxic texts not yet explained, against the clean texts that hold it."""
+    explains most toxic texts not yet explained, against the clean texts that hold it; then those that are common and sure."""
     toxic = [i for i, t in enumerate(texts) if t[1] == 1]
     total = sum(w for _, _, w in texts)
     base = (sum(texts[i][2] for i in toxic) + 0.5) / (total + 1) if total else 0.0
@@ -215,6 +217,13 @@ def fit_lexicon(texts: list[tuple[list[str], int, float]], most: int = MAX_ENTRI
         lexicon[ranked] = share[ranked]
         uncovered.difference_update(holds[ranked])
         del gain[ranked]
+    taken = {tuple(holds[e]) for e in lexicon}
+    for e in sorted(usable, key=lambda e: (-len(holds[e]), -len(e.strip("*")), e)):  # common ones that others happen to cover here
+        if len(lexicon) >= most or len(holds[e]) < max(least, COMMON * len(toxic)):
+            break
+        if share[e] >= SURE and tuple(holds[e]) not in taken:  # of entries in the same texts, the longest
+            taken.add(tuple(holds[e]))
+            lexicon[e] = share[e]
     missed = sum(weight_of[i] for i in uncovered)
     held = sum(w for _, label, w in texts if label != 1) + missed
     return lexicon, (missed + 0.2) / (held + 1) if texts else base
