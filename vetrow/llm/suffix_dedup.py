@@ -5,8 +5,10 @@ document with a smaller id. Every such string has a least ``GRAM`` byte gram
 (its anchor, chosen by hash, the leftmost of equals), and equal strings have
 equal anchors, so the work is dealt out by anchor:
 
-1. anchors that occur in two documents are found (one shuffle of anchor hashes);
-2. the strings around them, cut to what their anchor stands for, are dealt by anchor;
+1. anchors that occur in two documents are found (one shuffle of anchor hashes), and among
+   them those around which all documents have the same string;
+2. where strings differ, they are dealt by anchor, cut to what their anchor stands for;
+   where all are the same, only who has it is;
 3. a bucket's strings go into an enhanced suffix array; a stack scan of its
    common-prefix intervals, testing that left extensions differ, gives the
    maximal repeats with all their occurrences, and from them what is removed;
@@ -14,8 +16,9 @@ equal anchors, so the work is dealt out by anchor:
 
 Equal strings are combined to the smallest document before each shuffle, so a
 string that a third of all documents share travels once a batch. Anchors in
-more than a thousandth of the documents have their strings dealt by the whole
-string's hash: what is around a common line differs and spreads.
+many documents (over 20,000 and a thousandth of all) whose strings differ have
+them dealt by each whole string's hash: what is around a common line differs
+and spreads.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,11 +45,21 @@ BUCKET_BYTES = 1 << 19             # of text for each bucket of anchors
 SLOT_BYTES = 1 << 22               # of text for each slot of documents
 BATCH_BYTES = 1 << 25              # of text whose strings are combined in a task
 HOT_SHARE = 1000                   # an anchor in more than 1/HOT_SHARE of the documents is hot, ...
-HOT_LEAST = 256                    # ... but not below so many documents
+HOT_LEAST = 20_000                 # ... but not below so many documents
 UID = np.uint64((1 << 40) - 1)     # bits of a row's hash that go with an anchor
 
 ROW = "bucket int, kind int, slot int, doc_id long, uid long, payload binary"
 DOCUMENT, REPLY, HOT, STRINGS, REMOVAL = 1, 0, 2, 3, 0
+SAME = np.uint64(1 << 63)          # of a reply's key: all documents have the same string there
+
+
+def _dump(value) -> bytes:
+    """What goes through a shuffle: texts and sorted numbers, which compress well."""
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(value, 5))
+
+
+def _load(payload: bytes):
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(payload))
 
 
 def _segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]]:
@@ -85,9 +99,10 @@ def gram_hashes(raw: bytes) -> np.ndarray:
 
 
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(document, first string, strings, hash) of every anchor: ``first`` is the offset in the text of the first
-    MIN_BYTES string that it stands for, and ``strings`` their number, one after another."""
-    out = [[], [], [], []]
+    """(document, first string, strings, hash, string hash) of every anchor: ``first`` is the offset in the text of the
+    first MIN_BYTES string that it stands for, and ``strings`` their number, one after another; the last is a hash
+    of all they cover and of the anchor's place in it."""
+    out = [[], [], [], [], []]
     for docs, offsets, starts, raw in _segments(texts):
         x = gram_hashes(raw)
         n = len(raw) - MIN_BYTES + 1
@@ -119,11 +134,21 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
         out[1].append(first - starts[own] + offsets[own])
         out[2].append(count)
         out[3].append(x[at[first]])
+        out[4].append(_string_hash(x, first, count, at[first]))
     if not out[0]:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint32))
     return tuple(np.concatenate(c) for c in out)
 
 
+def _string_hash(x: np.ndarray, first: np.ndarray, count: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """32-bit hash of the bytes [first, first + count + MIN_BYTES - 1), from grams that cover them."""
+    end = first + count + MIN_BYTES - 1 - GRAM
+    out = (at - first).astype(np.uint64) << np.uint64(8) | count.astype(np.uint64)
+    for step in range(0, MIN_BYTES + SPAN, GRAM):
+        out = (out ^ (out >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + x[np.minimum(first + step, end)]
+    return (out >> np.uint64(32)).astype(np.uint32)
+
+
 def anchor_keys(x: np.ndarray, buckets: int) -> np.ndarray:
     """bucket << 32 | 32 bits of the hash."""
     bucket = ((x >> np.uint64(3)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)
@@ -141,10 +166,10 @@ def _rows(bucket, kind, slot, payload) -> pa.RecordBatch:
 def _by_slot(uid: np.ndarray, columns: list[np.ndarray], kind: int, slots: int, spread: int) -> pa.RecordBatch:
     """Rows for the documents ``uid``, packed by slot; ``spread`` buckets share the passing through."""
     slot = (uid & UID).astype(np.int64) % slots
-    order = np.argsort(slot, kind="stable")
+    order = np.lexsort((uid, slot))
     slot = slot[order]
     cuts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else np.zeros(0, int)
-    payload = [pickle.dumps([uid[order[a:b]], *(c[order[a:b]] for c in columns)], 5) for a, b in zip(cuts, [*cuts[1:], len(slot)])]
+    payload = [_dump([uid[order[a:b]], *(c[order[a:b]] for c in columns)]) for a, b in zip(cuts, [*cuts[1:], len(slot)])]
     which = slot[cuts].tolist()
     return _rows([s % spread for s in which], kind, which, payload)
 
@@ -165,57 +190,92 @@ def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int]
         yield ids, np.array(uids, np.int64).view(np.uint64), texts
 
 
+def _packed(documents: DataFrame, slots: int, spread: int) -> DataFrame:
+    """Documents by slot: rows DOCUMENT with the ids, row hashes and texts that a batch has for the slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, uids, texts in _text_batches(batches):
+            by_slot = defaultdict(list)
+            for i, slot in enumerate(((uids & UID).astype(np.int64) % slots).tolist()):
+                by_slot[slot].append(i)
+            which = list(by_slot)
+            yield _rows([s % spread for s in which], DOCUMENT, which,
+                        [_dump(([ids[i] for i in own], uids[own], [texts[i] for i in own])) for own in by_slot.values()])
+
+    return map_batches(documents, run, ROW)
+
+
+def _sorted_pairs(key: np.ndarray, uid: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted by key, and by uid where a key repeats; few do."""
+    order = np.argsort(key)
+    key, uid, columns = key[order], uid[order], [c[order] for c in columns]
+    same = np.flatnonzero(np.append(key[1:] == key[:-1], False) | np.append(False, key[1:] == key[:-1]))
+    if len(same):
+        inner = same[np.lexsort((uid[same], key[same]))]
+        uid[same], columns = uid[inner], [_put(c, same, inner) for c in columns]
+    return key, uid, *columns
+
+
+def _put(c: np.ndarray, to: np.ndarray, source: np.ndarray) -> np.ndarray:
+    out = c.copy()
+    out[to] = c[source]
+    return out
+
+
 def _find_shared(documents: DataFrame, buckets: int, slots: int, hot: int) -> DataFrame:
     """Step 1. Rows REPLY (slot; uid and keys of its shared anchors) and HOT (keys)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, uids, texts in _text_batches(batches):
-            doc, _, _, x = anchors(texts)
+            doc, _, _, x, string = anchors(texts)
             if not len(doc):
                 continue
-            uid, key = uids[doc], anchor_keys(x, buckets)
-            order = np.lexsort((uid, key))
-            uid, key = uid[order], key[order]
+            key, uid, string = _sorted_pairs(anchor_keys(x, buckets), uids[doc], string)
+            start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            differ = np.minimum.reduceat(string, start) != np.maximum.reduceat(string, start)
             fresh = np.append(True, (key[1:] != key[:-1]) | (uid[1:] != uid[:-1]))
-            uid, key = uid[fresh], key[fresh]
+            uid, key, string = uid[fresh], key[fresh], string[fresh]
             start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             count = np.diff(np.append(start, len(key)))
             local = np.repeat(count > 1, count)
             if local.any():
                 yield _by_slot(uid[local], [key[local]], REPLY, slots, buckets)
-            key, uid = key[start], uid[start] & UID
+            key, uid, string = key[start], uid[start] & UID, string[start]
             bucket = (key >> np.uint64(32)).astype(np.int64)
             cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
             payload = []
             for a, b in zip(cuts, [*cuts[1:], len(key)]):
-                many = np.flatnonzero(count[a:b] > 1)
-                payload.append(pickle.dumps([
-                    key[a:b].astype(np.uint32), uid[a:b].astype(np.uint32), (uid[a:b] >> np.uint64(32)).astype(np.uint8),
-                    many.astype(np.uint32), count[a:b][many].astype(np.uint32)], 5))
+                many = np.flatnonzero((count[a:b] > 1) | differ[a:b])
+                payload.append(_dump([
+                    np.diff(key[a:b].astype(np.uint32), prepend=np.uint32(0)), uid[a:b].astype(np.uint32),
+                    (uid[a:b] >> np.uint64(32)).astype(np.uint8), string[a:b],
+                    many.astype(np.uint32), count[a:b][many].astype(np.uint32), differ[a:b][many]]))
             yield _rows(bucket[cuts].tolist(), STRINGS, [None] * len(cuts), payload)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replies, hot_keys = [], []
 
         def close(bucket: int, held: list[bytes]) -> None:
-            parts = [pickle.loads(p) for p in held]
-            key = np.concatenate([p[0] for p in parts])
+            parts = [_load(p) for p in held]
+            key = np.concatenate([np.cumsum(p[0], dtype=np.uint32) for p in parts])
             uid = np.concatenate([p[1].astype(np.uint64) | p[2].astype(np.uint64) << np.uint64(32) for p in parts])
-            count = np.ones(len(key), np.int64)
+            string = np.concatenate([p[3] for p in parts])
+            count, differ = np.ones(len(key), np.int64), np.zeros(len(key), bool)
             at = 0
             for p in parts:
-                count[at + p[3].astype(np.int64)] = p[4]
+                many = at + p[4].astype(np.int64)
+                count[many], differ[many] = p[5], p[6]
                 at += len(p[0])
-            order = np.lexsort((uid, key))
-            key, uid, count = key[order], uid[order], count[order]
+            key, uid, string, count, differ = _sorted_pairs(key, uid, string, count, differ)
             start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             size = np.diff(np.append(start, len(key)))
             total = np.add.reduceat(count, start)
             shared = (uid[start] != uid[start + size - 1]) | (np.maximum.reduceat(count, start) > 1)
+            same = (np.minimum.reduceat(string, start) == np.maximum.reduceat(string, start)) & ~np.logical_or.reduceat(differ, start)
             own = np.repeat(shared, size)
             full = key.astype(np.uint64) | np.uint64(bucket) << np.uint64(32)
-            replies.append((uid[own], full[own]))
-            hot_keys.append(full[start[total > hot]])
+            replies.append((uid[own], (full | np.where(np.repeat(same, size), SAME, np.uint64(0)))[own]))
+            hot_keys.append(full[start[(total > hot) & ~same]])
 
         held, current = [], None
         for batch in batches:
@@ -239,7 +299,7 @@ def _find_shared(documents: DataFrame, buckets: int, slots: int, hot: int) -> Da
             yield _by_slot(*_joined(replies), REPLY, slots, buckets)
         keys = np.concatenate(hot_keys) if hot_keys else np.zeros(0)
         if len(keys):
-            yield _rows([0], HOT, [None], [pickle.dumps(keys, 5)])
+            yield _rows([0], HOT, [None], [_dump(keys)])
 
     def _joined(replies):
         return np.concatenate([u for u, _ in replies]), [np.concatenate([k for _, k in replies])]
@@ -249,6 +309,11 @@ def _find_shared(documents: DataFrame, buckets: int, slots: int, hot: int) -> Da
     return save(map_batches(found.repartition(parts, "bucket").sortWithinPartitions("bucket"), gather, ROW), "suffix-shared")
 
 
+def _size(key) -> int:
+    """Bytes of the string that a key stands for: (how dealt, hash, string or, where all are the same, its length)."""
+    return key[-1] if isinstance(key[-1], int) else len(key[-1])
+
+
 class Strings:
     """Strings around shared anchors, combined: for equal ones only the rows of the smallest document go on."""
 
@@ -263,7 +328,7 @@ class Strings:
         elif doc_id == held[0]:
             held[1].setdefault(uid, []).extend(starts)
         else:
-            size = len(key[2])
+            size = _size(key)
             if doc_id > held[0]:
                 self.removed.extend((uid, s, s + size) for s in starts)
             else:
@@ -273,43 +338,61 @@ class Strings:
 
 
 def _removals(removed: list[tuple[int, int, int]], slots: int, spread: int) -> pa.RecordBatch:
+    """Rows REMOVAL; a document's spans that touch are put together."""
     uid, start, end = (np.array(c, t) for c, t in zip(zip(*removed), (np.uint64, np.int64, np.int64)))
-    return _by_slot(uid, [start, end], REMOVAL, slots, spread)
+    order = np.lexsort((start, uid))
+    uid, start, end = uid[order], start[order], end[order]
+    group = np.cumsum(np.append(True, uid[1:] != uid[:-1]))
+    reach = np.maximum.accumulate(group * (1 << 40) + end)  # the furthest end so far within a document
+    new = np.flatnonzero(np.append(True, (group * (1 << 40) + start)[1:] > reach[:-1]))
+    last = np.append(new[1:], len(uid)) - 1
+    return _by_slot(uid[new], [start[new], reach[last] - group[last] * (1 << 40)], REMOVAL, slots, spread)
+
+
+ALIKE, VARIED, WHOLE = 1, 0, 2  # strings known to be the same, to be compared, dealt by their own hash
+
+
+def _mark(uid: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """One number for a row and an anchor in it."""
+    return (uid & UID) * np.uint64(0x9E3779B97F4A7C15) ^ key
 
 
 def _cut_strings(joined: DataFrame, buckets: int, slots: int, hot_keys: np.ndarray) -> DataFrame:
     """Step 2. Rows STRINGS (bucket) and REMOVAL (slot), from documents after their replies, sorted by slot and kind."""
 
-    def strings(ids, uids, texts, marks) -> Iterator[pa.RecordBatch]:
-        doc, first, count, x = anchors(texts)
+    def strings(ids, uids, texts, marks, same) -> Iterator[pa.RecordBatch]:
+        doc, first, count, x, _ = anchors(texts)
         key = anchor_keys(x, buckets)
-        mark = (uids[doc] & UID) * np.uint64(0x9E3779B97F4A7C15) ^ key
+        mark = _mark(uids[doc], key)
         shared = np.isin(mark, marks)
-        doc, first, count, key = doc[shared], first[shared], count[shared], key[shared]
-        common = np.isin(key, hot_keys)
+        doc, first, count, key, mark = doc[shared], first[shared], count[shared], key[shared], mark[shared]
+        mode = np.where(np.isin(key, hot_keys), WHOLE, np.where(np.isin(mark, same), ALIKE, VARIED))
         found = Strings()
         low = (key & np.uint64(0xFFFFFFFF)).tolist()
         bucket = (key >> np.uint64(32)).tolist()
         own = uids.tolist()
-        for d, s, n, b, h, c in zip(doc.tolist(), first.tolist(), count.tolist(), bucket, low, common.tolist()):
-            if not c:
-                found.add((b, h, texts[d][s: s + n + MIN_BYTES - 1]), ids[d], own[d], [s])
+        for d, s, n, b, h, m in zip(doc.tolist(), first.tolist(), count.tolist(), bucket, low, mode.tolist()):
+            if m == ALIKE:
+                found.add((b, ALIKE, h, n + MIN_BYTES - 1), ids[d], own[d], [s])
+            elif m == VARIED:
+                found.add((b, VARIED, h, texts[d][s: s + n + MIN_BYTES - 1]), ids[d], own[d], [s])
             else:
                 for w in range(s, s + n):
                     string = texts[d][w: w + MIN_BYTES]
                     x64 = xxhash.xxh3_64_intdigest(string)
-                    found.add(((x64 >> 33) % buckets, x64 & 0xFFFFFFFF, string), ids[d], own[d], [w])
+                    found.add(((x64 >> 33) % buckets, WHOLE, x64 & 0xFFFFFFFF, string), ids[d], own[d], [w])
         by_bucket = defaultdict(list)
-        for (b, h, string), (doc_id, rows) in found.held.items():
+        for key, (doc_id, rows) in found.held.items():
+            raw = b"" if key[1] == ALIKE else key[3]
             for uid, starts in rows.items():
-                by_bucket[b].append((h, string, doc_id, uid, starts))
+                by_bucket[key[0]].append((key[1], key[2], raw, _size(key), doc_id, uid, starts))
         if by_bucket:
             payload = []
             for rows in by_bucket.values():
-                h, string, doc_id, uid, starts = zip(*rows)
-                payload.append(pickle.dumps([
-                    np.array(h, np.uint32), b"".join(string), np.array([len(s) for s in string], np.uint32), np.array(doc_id, np.int64),
-                    np.array(uid, np.uint64), np.array([len(s) for s in starts], np.uint32), np.array([s for o in starts for s in o], np.uint32)], 5))
+                mode, h, string, size, doc_id, uid, starts = zip(*rows)
+                payload.append(_dump([
+                    np.array(mode, np.uint8), np.array(h, np.uint32), b"".join(string), np.array(size, np.uint16), np.array(doc_id, np.int64),
+                    np.array(uid, np.uint64), np.array([len(s) for s in starts], np.uint32), np.array([s for o in starts for s in o], np.uint32)]))
             yield _rows(list(by_bucket), STRINGS, [None] * len(by_bucket), payload)
         if found.removed:
             yield _removals(found.removed, slots, buckets)
@@ -317,9 +400,10 @@ def _cut_strings(joined: DataFrame, buckets: int, slots: int, hot_keys: np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for replies, ids, uids, texts in _with_replies(batches):
             if replies and texts:
-                parts = [pickle.loads(p) for p in replies]
-                marks = np.unique(np.concatenate([(u & UID) * np.uint64(0x9E3779B97F4A7C15) ^ k for u, k in parts]))
-                yield from strings(ids, uids, texts, marks)
+                parts = [_load(p) for p in replies]
+                uid, key = np.concatenate([u for u, _ in parts]), np.concatenate([k for _, k in parts])
+                marks, known = _mark(uid, key & ~SAME), (key & SAME) > 0
+                yield from strings(ids, uids, texts, np.unique(marks), np.unique(marks[known]))
 
     return map_batches(joined, run, ROW)
 
@@ -329,24 +413,25 @@ def _with_replies(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[byte
     put together, and a slot is cut, at BATCH_BYTES of text."""
     replies, ids, uids, texts, size, current = [], [], [], [], 0, None
     for batch in batches:
-        for slot, kind, doc_id, uid, payload in zip(*(batch.column(c).to_pylist() for c in ("slot", "kind", "doc_id", "uid", "payload"))):
+        for slot, kind, payload in zip(*(batch.column(c).to_pylist() for c in ("slot", "kind", "payload"))):
             if slot != current:
                 if size > BATCH_BYTES // 2:
-                    yield replies, ids, np.array(uids, np.int64).view(np.uint64), texts
+                    yield replies, ids, np.concatenate(uids), texts
                     replies, ids, uids, texts, size = [], [], [], [], 0
                 current = slot
             if kind != DOCUMENT:
                 replies.append(payload)
                 continue
-            if texts and size + len(payload) > BATCH_BYTES:
-                yield replies, ids, np.array(uids, np.int64).view(np.uint64), texts
+            own, hashes, more = _load(payload)
+            if texts and size + sum(map(len, more)) > BATCH_BYTES:
+                yield replies, ids, np.concatenate(uids), texts
                 ids, uids, texts, size = [], [], [], 0
-            ids.append(doc_id)
-            uids.append(uid)
-            texts.append(payload)
-            size += len(payload)
+            ids += own
+            uids.append(hashes)
+            texts += more
+            size += sum(map(len, more))
     if texts:
-        yield replies, ids, np.array(uids, np.int64).view(np.uint64), texts
+        yield replies, ids, np.concatenate(uids), texts
 
 
 class SuffixArray:
@@ -420,16 +505,27 @@ def _judge(dealt: DataFrame, slots: int, buckets: int) -> DataFrame:
     """Step 3. REMOVAL rows (slot; uid, start, end) from the strings of each bucket."""
 
     def close(held: list[bytes]) -> list[tuple[int, int, int]]:
-        found = Strings()
+        found, entries, alike = Strings(), [], set()
         for payload in held:
-            h, raw, size, doc_id, uid, n, starts = pickle.loads(payload)
+            mode, h, raw, size, doc_id, uid, n, starts = _load(payload)
             at, begin = 0, 0
-            for k, length, d, u, c in zip(h.tolist(), size.tolist(), doc_id.tolist(), uid.tolist(), n.tolist()):
-                found.add((0, k, raw[begin: begin + length]), d, u, starts[at: at + c].tolist())
-                at, begin = at + c, begin + length
+            for m, k, length, d, u, c in zip(mode.tolist(), h.tolist(), size.tolist(), doc_id.tolist(), uid.tolist(), n.tolist()):
+                if m == ALIKE:
+                    alike.add(k)
+                    entries.append((m, k, length, d, u, starts[at: at + c].tolist()))
+                else:
+                    entries.append((m, k, raw[begin: begin + length], d, u, starts[at: at + c].tolist()))
+                    begin += length
+                at += c
+        for m, k, string, d, u, own in entries:
+            if m != WHOLE and k in alike:  # some batches had only their own word that it is shared
+                found.add((ALIKE, k, string if m == ALIKE else len(string)), d, u, own)
+            else:
+                found.add((m, k, string), d, u, own)
         groups = defaultdict(list)
         for key in found.held:
-            groups[key[1]].append(key)
+            if key[0] == VARIED:
+                groups[key[1]].append(key)
         several = [key for keys in groups.values() if len(keys) > 1 for key in keys]
         removed = found.removed
         if several:
@@ -478,7 +574,7 @@ def _apply(joined: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for payloads, ids, uids, texts in _with_replies(batches):
-            parts = [pickle.loads(p) for p in payloads]
+            parts = [_load(p) for p in payloads]
             uid = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
             start = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
             end = np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.int64)
@@ -520,12 +616,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         F.pmod(uid.bitwiseAND(F.lit(int(UID))), F.lit(slots)).cast("int").alias("slot"),
         doc_id.alias("doc_id"), uid.alias("uid"), text.cast("binary").alias("payload"))
     shared = _find_shared(rows, buckets, slots, max(HOT_LEAST, size["n"] // HOT_SHARE))
-    hot = [pickle.loads(r["payload"]) for r in shared.where(F.col("kind") == HOT).select("payload").collect()]
+    hot = [_load(r["payload"]) for r in shared.where(F.col("kind") == HOT).select("payload").collect()]
     hot_keys = np.concatenate(hot) if hot else np.zeros(0, np.uint64)  # at most HOT_SHARE times a document's anchors
     parts = max(64, slots // 4)
 
     def with_documents(payloads: DataFrame) -> DataFrame:
-        return rows.unionByName(payloads).repartition(parts, "slot").sortWithinPartitions("slot", "kind")
+        return _packed(rows, slots, buckets).unionByName(payloads).repartition(parts, "slot").sortWithinPartitions("slot", "kind")
 
     cut = _cut_strings(with_documents(shared.where(F.col("kind") == REPLY)), buckets, slots, hot_keys)
     dealt = cut.repartition(max(12, buckets // 8), "bucket").sortWithinPartitions("bucket")
