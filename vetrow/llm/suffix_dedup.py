@@ -43,7 +43,7 @@ SPAN = MIN_BYTES - GRAM + 1        # grams in a string, and most strings of one
 SEGMENT = 1 << 18                  # bytes of text hashed at a time
 BUCKET_BYTES = 1 << 19             # of text for each bucket of anchors
 SLOT_BYTES = 1 << 22               # of text for each slot of documents
-BATCH_BYTES = 1 << 25              # of text whose strings are combined in a task
+BATCH_BYTES = 1 << 24              # of text whose strings are combined in a task
 HOT_SHARE = 1000                   # an anchor in more than 1/HOT_SHARE of the documents is hot, ...
 HOT_LEAST = 20_000                 # ... but not below so many documents
 UID = np.uint64((1 << 40) - 1)     # bits of a row's hash that go with an anchor
