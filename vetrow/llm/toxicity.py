@@ -185,16 +185,24 @@ def fit_lexicon(texts: list[tuple[list[str], int, float]], most: int = MAX_ENTRI
     total = sum(w for _, _, w in texts)
     base = (sum(texts[i][2] for i in toxic) + 0.5) / (total + 1) if total else 0.0
     least = max(2, round(0.003 * len(toxic)))
+    known: dict[str, tuple[str, ...]] = {}
+
+    def held_by(words: list[str]) -> set[str]:
+        for w in words:
+            if w not in known:
+                known[w] = tuple(entries(w))
+        return {e for w in words for e in known[w]}
+
     support: Counter = Counter()
-    own: dict[int, set] = {}
     for i in toxic:
-        own[i] = {e for w in texts[i][0] for e in entries(w)}
-        support.update(own[i])
+        support.update(held_by(texts[i][0]))
     candidates = {e for e, n in support.items() if n >= least}
     holds: dict[str, list[int]] = defaultdict(list)
     for i in toxic:
-        for e in own[i] & candidates:
+        for e in held_by(texts[i][0]) & candidates:
             holds[e].append(i)
+    support.clear()
+    known.clear()
     clean: Counter = Counter()
     for words, label, weight in texts:
         if label != 1:
