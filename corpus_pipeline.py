@@ -45,7 +45,7 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 def drop_repeated_units(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the units that repeat an earlier one."""
-    done = line_dedup.dedup_units(docs).drop("_n_units", "_n_removed", "_removed_chars", "_removed_spans")
+    done = line_dedup.dedup_units(docs, window=None).drop("_n_units", "_n_removed", "_removed_chars", "_removed_spans")
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done
 
 

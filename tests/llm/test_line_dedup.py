@@ -47,3 +47,21 @@ def test_units_cover_the_text(unit):
 
 def test_empty_table(spark):
     assert line_dedup.dedup_units(frame(spark, [])).collect() == []
+
+
+def test_windows_take_short_units_and_scripts_without_blanks(spark):
+    lines = "Red apples\nGreen pears\nRipe plums\nSweet figs\nFresh dates\n"
+    menu = "tea\ncake\nsoup\nbread\nrice\n\nfish\nmilk\n"
+    han = "这是一个没有空格的很长的句子。\n它在两份文件里出现。"
+    rows = [(1, lines), (2, "A page that opens in quite its own way here.\n" + lines + "It ends alone with words found nowhere else."),
+            (3, menu), (4, menu), (5, "only three words"), (6, "only three words"), (7, han), (8, han), (9, "完全相同的一行文字"), (10, "完全相同的一行文字"),
+            (11, "Yes.\nThis line has words that no other text has."), (12, "Yes.\nAnother line whose words are all its own too.")]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup_units(frame(spark, rows), window=None).collect()}
+    stay = {2: "A page that opens in quite its own way here.\nIt ends alone with words found nowhere else.", 4: "", 6: "", 8: "", 10: ""}
+    assert out == {d: stay.get(d, t) for d, t in rows}
+
+
+def test_every_unit_with_words_is_compared():
+    for _, text in [*edge_rows(), (0, "a\n \nb\nc\n\n d e f g\nh"), (0, "一\n二")]:
+        units, found = line_dedup.unit_windows(text or "")
+        assert {k for _, i, j in found for k in range(i, j + 1)} >= {k for k, (a, b) in enumerate(units) if text[a:b].strip()}

@@ -42,7 +42,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_units(documents(spark, sf_dir)).select(
+    return line_dedup.dedup_units(documents(spark, sf_dir), window=None).select(
         "doc_id", "text", F.col("_n_units").alias("n_units"), F.col("_n_removed").alias("n_removed"),
         F.col("_removed_chars").alias("removed_chars"), F.col("_removed_spans").alias("removed_spans"))
 
