@@ -15,7 +15,7 @@ from vetrow.llm import langid, line_dedup, ngram_join, packing, toxicity
 from vetrow.llm.common import crc_remainder, documents, save
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
-LEAST_LANGUAGE_SCORE = 0.2
+LEAST_KNOWN_SHARE = 0.7
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,11 +27,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the classifier knows: those without a letter, or unlike every language, go."""
-    model = langid.train(docs.where(crc_remainder("doc_id", 3) != 1))
-    predicted = langid.predict(docs, model, keep_columns=True)
-    known = (F.col("_lang_pred") != langid.UNDETERMINED) & (F.col("_score") >= LEAST_LANGUAGE_SCORE)
-    return predicted.where(known).drop("_lang_pred", "_score")
+    """Documents in a language that the classifier knows: those without a letter, or unlike every language, go. The
+    classifier's scores have a floor that junk does not fall below; a text is unlike every language where less than
+    ``LEAST_KNOWN_SHARE`` of its trigrams are shared by training texts of one."""
+    sample = langid.training_sample(docs.where(crc_remainder("doc_id", 3) != 1), id_col="doc_id", text_col="text", lang_col="lang")
+    texts, languages = [t for t, _ in sample], [y for _, y in sample]
+    predicted = langid.predict(docs, langid.fit(texts, languages), keep_columns=True)
+    shared = langid.with_known_share(predicted, langid.known_trigrams(texts, languages))
+    known = (F.col("_lang_pred") != langid.UNDETERMINED) & (F.col("_known") >= LEAST_KNOWN_SHARE)
+    return shared.where(known).drop("_lang_pred", "_score", "_known")
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

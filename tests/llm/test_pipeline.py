@@ -1,3 +1,7 @@
+import base64
+import random
+import string
+
 import corpus_pipeline as pipeline
 import pytest
 from brute import edge_rows, jaccard_components
@@ -52,3 +56,16 @@ def test_stages_take_edge_tables(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_every_query_runs(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
+
+
+def test_language_stage_drops_letter_junk_and_keeps_clean_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = random.Random(3)
+    letters = lambda n: " ".join("".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 9))) for _ in range(n))
+    junk = [letters(20) for _ in range(12)] + [base64.b64encode(rng.randbytes(300)).decode() for _ in range(6)] + ["Это текст на языке, которого нет"]
+    planted = spark.createDataFrame([(10**9 + i, t, "en", "s", len(t)) for i, t in enumerate(junk)], docs.schema)
+    kept = pipeline.keep_known_language(spark, docs.unionByName(planted), SF)
+    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    assert not ids & set(range(10**9, 10**9 + len(junk)))
+    lettered = {r["doc_id"] for r in docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+    assert len(ids & lettered) >= 0.99 * len(lettered)

@@ -10,6 +10,7 @@ by languages, and texts are scored by products of presence matrices with it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -31,6 +32,10 @@ TRAINING_BYTES = 20_000
 LANDMARKS = 40
 MAX_LANGUAGES = 200
 BLOCK_TEXTS = 64
+#: Trigrams that the training texts share are kept as a map of hashed slots, one bit each: those in so many texts of
+#: a language, and at least in two, so that no text and little junk with a label makes itself known.
+KNOWN_SLOTS = 1 << 22
+KNOWN_TEXTS = 0.02
 
 
 @lru_cache(maxsize=1)
@@ -72,6 +77,37 @@ def presence(texts: list[str], lengths=LENGTHS, slots: int = SLOTS) -> tuple[np.
     return out, lettered
 
 
+def _trigrams(text: str) -> np.ndarray:
+    """Slots of a text's trigrams; case and what is no letter are folded away."""
+    fold, _ = _folding()
+    codes = fold[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    codes = np.concatenate([[32], codes, [32]]).astype(np.uint64)
+    codes = codes[np.concatenate([[True], ~((codes[1:] == 32) & (codes[:-1] == 32))])]
+    if len(codes) < 3:
+        return np.zeros(0, np.int64)
+    mixed = np.uint64(0x9E3779B97F4A7C15)
+    rolled = ((codes[:-2] * mixed + codes[1:-1]) * mixed + codes[2:]) * np.uint64(0xD6E8FEB86659FD93)
+    return (rolled >> np.uint64(64 - KNOWN_SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+def known_trigrams(texts: list[str], languages: list[str]) -> np.ndarray:
+    """The map of the trigrams that different texts of a language share."""
+    known = np.zeros(KNOWN_SLOTS, bool)
+    for name in sorted(set(languages)):
+        of_it = {t for t, y in zip(texts, languages) if y == name}
+        held = np.zeros(KNOWN_SLOTS, np.uint32)
+        for t in of_it:
+            held[np.unique(_trigrams(t))] += 1
+        known |= held >= max(2, math.ceil(KNOWN_TEXTS * len(of_it)))
+    return np.packbits(known)
+
+
+def known_share(text: str, known: np.ndarray) -> float:
+    """The share of a text's trigrams that are in the map: low for letter junk and for languages not learned."""
+    slots = _trigrams(text)
+    return float(((known[slots >> 3] >> (7 - (slots & 7))) & 1).mean()) if len(slots) else 0.0
+
+
 @dataclass
 class KernelModel:
     languages: list[str]
@@ -179,3 +215,17 @@ def predict(docs: DataFrame, model: KernelModel, *, id_col: str = "doc_id", text
         return map_batches(rows, run, T.StructType(
             [*rows.schema.fields, T.StructField("_lang_pred", T.StringType()), T.StructField("_score", T.DoubleType())]))
     return map_batches(rows, run, "doc_id long, lang_pred string, score double")
+
+
+def with_known_share(docs: DataFrame, known: np.ndarray, *, text_col: str = "text") -> DataFrame:
+    """All columns and ``_known`` (replaced where it exists), the ``known_share`` of every whole text; 0 for a null one."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)  # half a megabyte
+    rows = docs.drop("_known")
+    place = rows.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shares = [known_share(t.as_py() or "", shared.value) for t in batch.column(place)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shares, pa.float64())], [*batch.schema.names, "_known"])
+
+    return map_batches(rows, run, T.StructType([*rows.schema.fields, T.StructField("_known", T.DoubleType())]))
