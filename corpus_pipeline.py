@@ -39,12 +39,21 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by word-shingle similarity: the one with the smallest id. Of rows that
-    repeat an id one stays; rows without an id stay."""
+    """One document of each group linked by word-shingle similarity: the one with the smallest id (none comes last),
+    ties by shingle set, text and row hash. Rows that share an id are different documents where their texts differ and
+    are no near duplicates. Rows without a word stay, one of those that repeat an id and a text."""
     groups = ngram_join.jaccard_components(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(first, docs["doc_id"] == first["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    labels = groups.where("class_id is not null").select(F.col("class_id").alias("_class_id"), "label").distinct()
+    rows = ngram_join.with_class_id(docs, words=NEAR_WORDS).withColumns(
+        {"_text_hash": F.xxhash64("text"), "_row_hash": F.xxhash64(*docs.columns)})
+    order = [F.col("doc_id").isNull().alias("no_id"), "doc_id", "_class_id", "_text_hash", "_row_hash"]
+    classes = rows.where("_class_id is not null").groupBy("_class_id").agg(F.min(F.struct(*order)).alias("first"))
+    first = classes.join(labels, "_class_id").groupBy("label").agg(F.min("first").alias("first")).select("first.*")
+    same = [rows[c].eqNullSafe(first[c]) if c == "doc_id" else rows[c] == first[c] for c in order[1:]]
+    kept = rows.join(first, same, "left_semi").dropDuplicates(["_class_id"])
+    wordless = rows.where("_class_id is null")
+    return kept.unionByName(wordless.where("doc_id is not null").dropDuplicates(["doc_id", "text"])).unionByName(
+        wordless.where("doc_id is null")).select(docs.columns)
 
 
 def drop_repeated_units(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

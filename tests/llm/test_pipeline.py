@@ -69,3 +69,15 @@ def test_language_stage_drops_letter_junk_and_keeps_clean_texts(spark):
     assert not ids & set(range(10**9, 10**9 + len(junk)))
     lettered = {r["doc_id"] for r in docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
     assert len(ids & lettered) >= 0.99 * len(lettered)
+
+
+def test_near_duplicate_stage_keeps_texts_under_one_id_and_drops_copies_without_id(spark):
+    rows = [(1, "one text of a page with eight words"), (1, "quite another page that has its own words"), (2, "Quite another page that has its own words"),
+            (None, "a page without an id that comes several times"), (None, "a page without an id that comes several times"),
+            (None, "one text of a page with eight words"), (3, "same row twice with some words in it"), (3, "same row twice with some words in it"),
+            (4, ""), (4, ""), (4, None), (None, " ")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = pipeline.keep_one_of_near_duplicates(spark, docs.repartition(3), SF)
+    assert out.columns == docs.columns
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[1] is None)
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=key) == sorted([rows[0], rows[1], rows[3], rows[6], rows[8], rows[10], rows[11]], key=key)

@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vetrow.llm.common import components, map_batches, save, save_counted, tasks_for
 
@@ -92,6 +93,20 @@ def _class_id(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
+def with_class_id(docs: DataFrame, *, text_col: str = "text", words: int = WORDS) -> DataFrame:
+    """All columns and ``_class_id`` (replaced where it exists), the hash of the text's shingle set as in ``signatures``."""
+    rows = docs.drop("_class_id")
+    place = rows.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = (shingles(t.as_py(), words) for t in batch.column(place))
+            ids = pa.array([_class_id(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "_class_id"])
+
+    return map_batches(rows, run, T.StructType([*rows.schema.fields, T.StructField("_class_id", T.LongType())]))
+
+
 def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, class_id, bands``: the set's size, its hash and its band keys (both null if it is empty)."""
     count = bands_for(percent)
@@ -307,8 +322,9 @@ def _links(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, word
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                        percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """``doc_id, n_shingles, class_id, component_id`` of every row: two texts link when 100 times their shared
-    shingles reach ``percent`` times those of either; ``component_id`` is the smallest id reachable by links.
+    """``doc_id, n_shingles, class_id, label, component_id`` of every row: two texts link when 100 times their shared
+    shingles reach ``percent`` times those of either; ``component_id`` is the smallest id reachable by links, ``label``
+    the component's smallest class, which tells components apart where ids repeat or are missing.
 
     Null, empty and blank texts have no shingle and link with nothing; equal sets (and so repeated
     rows) share a class; other columns are ignored."""
@@ -326,6 +342,6 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         labels.select(F.col("node").alias("class_id"), F.col("component").alias("label")), "class_id", "left").select(
         "class_id", "doc_id", F.coalesce("label", "class_id").alias("label"))
     least = owned.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = owned.join(least, "label").select("class_id", "component_id")
+    named = owned.join(least, "label").select("class_id", "label", "component_id")
     return sig.select("doc_id", "n_shingles", "class_id").join(named, "class_id", "left").select(
-        "doc_id", "n_shingles", "class_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", "class_id", "label", F.coalesce("component_id", "doc_id").alias("component_id"))
