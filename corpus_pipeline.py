@@ -76,7 +76,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Classifiers and tokenizers are no SQL; tests hold every stage against a brute-force version.
+#: Classifiers and tokenizers are no SQL; tests hold language, ngram_jaccard and substring_dedup against plain versions,
+#: toxicity and packing as stages by counts and columns only.
 ORACLE_SQL = None
 
 

@@ -7,6 +7,7 @@ import pytest
 from brute import edge_rows, jaccard_components
 from pyspark.sql import functions as F
 
+from vetrow.llm import langid, line_dedup
 from vetrow.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -81,3 +82,33 @@ def test_near_duplicate_stage_keeps_texts_under_one_id_and_drops_copies_without_
     assert out.columns == docs.columns
     key = lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[1] is None)
     assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=key) == sorted([rows[0], rows[1], rows[3], rows[6], rows[8], rows[10], rows[11]], key=key)
+
+
+def without_repeats(rows):
+    """{id: text} by the rules of growing windows, written out plainly for tables of unique ids and ASCII or Latin words."""
+    windows, units = [], {}
+    for d, text in sorted(rows):
+        cut = units[d] = [text[a:b] for a, b in line_dedup.cut_units(text)]
+        words = {i: tuple(u.lower().split()) for i, u in enumerate(cut) if u.strip()}
+        row = list(words)
+        total = lambda part: sum(len(words[i]) for i in part)
+        parts = [row[p:q] for p in range(len(row)) for q in range(p + 1, min(p + 6, len(row)) + 1)]
+        least = [w for w in parts if total(w) >= 6 and (len(w) == 1 or total(w[1:]) < 6 or total(w[:-1]) < 6)]
+        windows += [(d, w, tuple(words[i] for i in w)) for w in (least or ([row] if row else []))]
+    seen, gone = set(), set()
+    for d, w, key in sorted(windows):
+        if key in seen:
+            gone.update((d, i) for i in w)
+        seen.add(key)
+    return {d: "".join(u for i, u in enumerate(cut) if (d, i) not in gone) for d, cut in units.items()}
+
+
+def test_language_and_unit_stages_against_plain_versions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = {r["doc_id"]: r["text"] for r in docs.collect() if r["text"]}
+    sample = langid.training_sample(docs.where(pipeline.crc_remainder("doc_id", 3) != 1), id_col="doc_id", text_col="text", lang_col="lang")
+    known = langid.known_trigrams([t for t, _ in sample], [y for _, y in sample])
+    want = {d: t for d, t in rows.items() if any(map(str.isalpha, t)) and langid.known_share(t, known) >= pipeline.LEAST_KNOWN_SHARE}
+    assert {r["doc_id"]: r["text"] for r in pipeline.keep_known_language(spark, docs, SF).collect()} == want
+    got = {r["doc_id"]: r["text"] for r in pipeline.drop_repeated_units(spark, docs, SF).collect() if r["doc_id"] in rows}
+    assert got == without_repeats(list(rows.items()))
