@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vetrow.session import materialize, materialize_counted
@@ -59,6 +59,43 @@ def tasks_for(rows: int, rows_per_task: int, least: int = 1) -> int:
     return max(least, math.ceil(rows / rows_per_task))
 
 
+def boxed(docs: DataFrame, carry: Sequence[str] | None = None):
+    """The columns to carry (None: all) in one struct named ``doc``, where no name can clash with an operator's own."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in (docs.columns if carry is None else carry)]).alias("doc")
+
+
+def unboxed(df: DataFrame, results: Sequence[str]) -> DataFrame:
+    """The carried columns again, then ``results``. A carried column that bears a result's name comes back with ``_in`` appended."""
+    fields = df.schema["doc"].dataType.names
+    taken = {n.lower() for n in [*fields, *results]}
+    columns = []
+    for f in fields:
+        name = f
+        if f.lower() in {r.lower() for r in results}:
+            name = f + "_in"
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+        columns.append(F.col("doc").getField(f).alias(name))
+    return df.select(*columns, *results)
+
+
+def numbered(df: DataFrame, order: Sequence, name: str, column: str, rows_per_task: int = 1_000_000) -> DataFrame:
+    """``df`` with ``column``: 1, 2, 3... in the given order, without a window over all rows.
+
+    Rows are dealt by ranges of the order, sorted where they are and written; a row's number is its place in its part plus
+    the rows of the parts before. The order has to be a total one, as rows that are equal in it share a part."""
+    rows = df.count()
+    parts = tasks_for(rows, rows_per_task)
+    place = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    placed = save(place, name).withColumns({"_part": F.shiftright("_place", 33), "_in_part": F.col("_place").bitwiseAND((1 << 33) - 1)})
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    starts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    return placed.join(starts, "_part").withColumn(column, F.col("_start") + F.col("_in_part") + 1).drop(
+        "_place", "_part", "_in_part", "_start")
+
+
 def crc_remainder(column, modulus: int):
     """crc32 of the id's decimal text, modulo ``modulus``: the folds of labelled rows."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetrow.llm import ann, embed_dedup, langid, line_dedup, ngram_join, packing, sharding, spm_codec, suffix_dedup, toxicity
+from vetrow.llm import (
+    ann, embed_dedup, importance, langid, line_dedup, mixing, ngram_join, packing, phrases, sharding, spm_codec, suffix_dedup, toxicity)
 from vetrow.llm.oracles import ORACLES  # noqa: F401
 from vetrow.llm.common import crc_remainder, documents, embeddings
 
@@ -67,6 +68,20 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(embeddings(spark, sf_dir), F.col("vec_id") % 100 == 0)
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return importance.importance_resample(documents(spark, sf_dir), target, carry=("doc_id",))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(documents(spark, sf_dir), carry=("doc_id",)).select(
+        "doc_id", "size", "source_size", "target", "repeats", "part", "taken")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_sharding, op3_packing, op4_language, op5_suffix_dedup, op6_line_dedup, op7_sentencepiece, op8_toxicity,
-                                op9_ngram_join, op10_nearest)}
+                                op9_ngram_join, op10_nearest, op11_importance, op12_mixing, op13_phrases)}
 QUERIES["pipeline"] = corpus_pipeline.run
