@@ -31,13 +31,15 @@ TOKEN = re.compile(rb"[.,;:!?\x0A-\x0D]|[^\x20\x09.,;:!?\x0A-\x0D]+")
 BREAKS = frozenset(b".,;:!?\n\x0b\x0c\r")
 UNKNOWN_LANG = "und"
 SHARDS = 8
-#: Tokens that a task counts at a time (a longer text by itself), and words it remembers to have sent.
-BLOCK_TOKENS, WORDS_SENT = 1 << 20, 1 << 19
-#: Places of the bitmap of what is frequent: 8 MB, whatever the corpus.
+#: Tokens that a task counts at a time (a longer piece by itself), and words whose ids it remembers.
+BLOCK_TOKENS, WORDS_KNOWN = 1 << 19, 1 << 18
+#: Characters of text that are cut before their tokens are passed on.
+TEXT_CHARS = 1 << 21
+#: The bitmap of what is frequent has 2^26 places: 8 MB, whatever the corpus.
 BITMAP_BITS = 26
 TOP = 2000
 
-TOKENS_SCHEMA = "lang string, lang_id long, shard int, n_words long, tokens array<long>, words array<string>, ids array<long>"
+TOKENS_SCHEMA = "lang string, lang_id long, shard int, n_words long, tokens binary, word binary, id long"
 
 
 def _signed(value: int) -> int:
@@ -49,59 +51,81 @@ def word_id(word: bytes, seed: int) -> int:
     return _signed(xxhash.xxh3_64_intdigest(word, seed)) or 1
 
 
-def tokens_of(text: bytes, known: dict[bytes, int], seed: int) -> list[int]:
+class Words(dict):
+    """Ids by word; ``new`` lists the words met since it was last cleared. A break is 0."""
+
+    def __init__(self, seed: int, word_id=word_id):
+        self.seed, self.word_id, self.new = seed, word_id, []
+
+    def __missing__(self, word: bytes) -> int:
+        i = 0 if len(word) == 1 and word[0] in BREAKS else self.word_id(word, self.seed)
+        self[word] = i
+        if i:
+            self.new.append(word)
+        return i
+
+
+def tokens_of(text: bytes, words: Words) -> np.ndarray:
     """Word ids of a lower-cased text, with one 0 between pieces."""
-    out: list[int] = []
-    append = out.append
-    for w in TOKEN.findall(text):
-        i = known.get(w)
-        if i is None:
-            i = known[w] = 0 if len(w) == 1 and w[0] in BREAKS else word_id(w, seed)
-        if i or (out and out[-1]):
-            append(i)
-    return out
+    ids = np.fromiter(map(words.__getitem__, TOKEN.findall(text)), np.int64)
+    return ids[(ids != 0) | np.concatenate([[False], ids[:-1] != 0])] if len(ids) else ids
 
 
-def _tokenized(docs: DataFrame, text_col: str, lang_col: str, seed: int) -> DataFrame:
-    """A row for each text (lang, lang_id, shard, n_words, tokens) and rows of the words met (words, ids)."""
+def cut_tokens(tokens: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Tokens in parts of at least ``most``, cut between pieces only."""
+    start = 0
+    while len(tokens) - start > most:
+        breaks = np.flatnonzero(tokens[start + most:] == 0)
+        if not len(breaks):
+            break
+        end = start + most + int(breaks[0])
+        yield tokens[start:end]
+        start = end + 1
+    yield tokens[start:]
+
+
+def _tokenized(docs: DataFrame, text_col: str, lang_col: str, seed: int, word_id) -> DataFrame:
+    """Rows of each text's tokens (lang, lang_id, shard, n_words, tokens) and rows of the words met (word, id)."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN_LANG)), F.col(text_col)).where(F.col(text_col) != "")
+    types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
+
+    def batch_of(texts: list, words: Words) -> pa.RecordBatch:
+        columns = [[*t, *([None] * len(words.new))] for t in zip(*texts)] or [[None] * len(words.new) for _ in range(5)]
+        columns += [[None] * len(texts) + words.new, [None] * len(texts) + [words[w] for w in words.new]]
+        words.new.clear()
+        if len(words) > WORDS_KNOWN:
+            words.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                                          ["lang", "lang_id", "shard", "n_words", "tokens", "word", "id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        sent: set[bytes] = set()
+        words, texts, size = Words(seed, word_id), [], 0
         for batch in batches:
-            out = [[] for _ in range(7)]
             for lang, text in zip(batch.column(0), batch.column(1)):
-                text = text.as_py().encode().lower()  # of bytes: A-Z alone
-                tokens = np.array(tokens_of(text, known, seed), np.int64)
-                lang = lang.as_py()
-                shard = xxhash.xxh3_64_intdigest(text) % SHARDS
-                for column, value in zip(out, (lang, word_id(lang.encode(), seed), shard, int(np.count_nonzero(tokens)), tokens, None, None)):
-                    column.append(value)
-            new = [w for w, i in known.items() if i and w not in sent]
-            for column, value in zip(out, (None, None, None, 0, None, [w.decode() for w in new], [known[w] for w in new])):
-                column.append(value)
-            sent.update(new)
-            if len(sent) > WORDS_SENT:
-                known, sent = {}, set()
-            types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
-                                             ["lang", "lang_id", "shard", "n_words", "tokens", "words", "ids"])
+                lang, text = lang.as_py(), text.as_py().encode().lower()  # of bytes: A-Z alone
+                lang_id, shard = word_id(lang.encode(), seed), xxhash.xxh3_64_intdigest(text) % SHARDS
+                for part in cut_tokens(tokens_of(text, words), BLOCK_TOKENS):
+                    texts.append((lang, lang_id, shard, int(np.count_nonzero(part)), part.tobytes()))
+                size += len(text)
+                if size > TEXT_CHARS:
+                    yield batch_of(texts, words)
+                    texts, size = [], 0
+        if texts:
+            yield batch_of(texts, words)
 
     return map_batches(rows, run, TOKENS_SCHEMA)
 
 
-def tokenize(docs: DataFrame, text_col: str, lang_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def tokenize(docs: DataFrame, text_col: str, lang_col: str, word_id=word_id) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(texts, words (id, word), languages (lang_id, lang)); ids are one to one, with another seed where two words meet."""
     for seed in itertools.count():
-        tokens = save(_tokenized(docs, text_col, lang_col, seed), "phrase-tokens")
-        words = tokens.where("words is not null").select(F.explode(F.arrays_zip("ids", "words")).alias("w")).groupBy(
-            F.col("w.ids").alias("id")).agg(F.min("w.words").alias("word"), F.max("w.words").alias("other"))
+        tokens = save(_tokenized(docs, text_col, lang_col, seed, word_id), "phrase-tokens")
+        words = tokens.where("word is not null").groupBy("id").agg(F.min("word").alias("word"), F.max("word").alias("other"))
         words = save(words, "phrase-words")
         texts = tokens.where("tokens is not null").select("lang", "lang_id", "shard", "n_words", "tokens")
         langs = save(texts.groupBy("lang_id").agg(F.min("lang").alias("lang"), F.max("lang").alias("other")), "phrase-langs")
         if not words.where("word <> other").limit(1).count() and not langs.where("lang <> other").limit(1).count():
-            return texts.drop("lang"), words.drop("other"), langs.drop("other")
+            return texts.drop("lang"), words.select("id", F.decode("word", "UTF-8").alias("word")), langs.drop("other")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -110,20 +134,22 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(tokens, language, shard) of every place, texts set apart by a 0, in blocks of whole texts."""
     held: list = []
     size = 0
 
     def block():
         lengths = [len(t) + 1 for t, _, _ in held]
-        tokens = np.concatenate([np.append(t, 0) for t, _, _ in held]).astype(np.int64).view(np.uint64)
-        return tokens, np.repeat(np.array([g for _, g, _ in held], np.int64), lengths), np.repeat(np.array([s for _, _, s in held], np.int32), lengths)
+        tokens = np.zeros(sum(lengths), np.int64)
+        for (t, _, _), end in zip(held, np.cumsum(lengths)):
+            tokens[end - len(t) - 1:end - 1] = t
+        return tokens.view(np.uint64), np.repeat(np.array([g for _, g, _ in held], np.int64), lengths), np.repeat(np.array([s for _, _, s in held], np.int32), lengths)
 
     for batch in batches:
         for tokens, lang, shard in zip(batch.column("tokens"), batch.column("lang_id").to_pylist(), batch.column("shard").to_pylist()):
-            tokens = tokens.values.to_numpy(zero_copy_only=False)
-            if held and size + len(tokens) > BLOCK_TOKENS:
+            tokens = np.frombuffer(tokens.as_buffer(), np.int64)
+            if held and size + len(tokens) > most:
                 yield block()
                 held, size = [], 0
             held.append((tokens, lang, shard))
@@ -148,23 +174,24 @@ def run_keys(tokens: np.ndarray, lang: np.ndarray, words: int) -> list[tuple[np.
     return out
 
 
-def _places(keys: np.ndarray, shards: np.ndarray | None) -> np.ndarray:
+def _places(keys: np.ndarray, shards: np.ndarray | None, bits: int) -> np.ndarray:
     mixed = keys if shards is None else _mix(keys + shards.astype(np.uint64) + np.uint64(1))
-    return (mixed >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _has(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
+def _has(bitmap: np.ndarray, keys: np.ndarray, shards: np.ndarray | None) -> np.ndarray:
+    places = _places(keys, shards, len(bitmap).bit_length() + 5)
     return (bitmap[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def _bitmap(keys: DataFrame, by_shard: bool) -> np.ndarray:
-    """The places of ``keys`` (key, shard) as bits; at most 2^20 words of 64 bits reach the driver."""
+def _bitmap(keys: DataFrame, by_shard: bool, size: int) -> np.ndarray:
+    """The places of ``keys`` (key, shard) among 2^``size`` as bits; no more than these reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
+        bits = np.zeros(1 << (size - 6), np.uint64)
         for batch in batches:
             key = batch.column("key").to_numpy().view(np.uint64)
-            places = _places(key, batch.column("shard").to_numpy() if by_shard else None)
+            places = _places(key, batch.column("shard").to_numpy() if by_shard else None, size)
             np.bitwise_or.at(bits, places >> 6, np.uint64(1) << (places & 63).astype(np.uint64))
         some = np.flatnonzero(bits)
         for start in range(0, len(some), 1 << 16):
@@ -172,23 +199,23 @@ def _bitmap(keys: DataFrame, by_shard: bool) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(bits[part].view(np.int64), pa.int64())], ["place", "bits"])
 
     merged = map_batches(keys, run, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
+    bitmap = np.zeros(1 << (size - 6), np.uint64)
     bitmap[merged.column("place").to_numpy()] = merged.column("bits").to_numpy().view(np.uint64)
     return bitmap
 
 
-def _shard_counts(texts: DataFrame, k: int, frequent) -> DataFrame:
+def _shard_counts(texts: DataFrame, k: int, frequent, block_tokens: int) -> DataFrame:
     """(key, lang_id, shard, n) of runs of ``k`` words whose runs of k - 1 are frequent in their shard, by block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens, lang, shard in _blocks(batches):
+        for tokens, lang, shard in _blocks(batches, block_tokens):
             keys = run_keys(tokens, lang, k)
             key, inside = keys[-1]
             if k > 1:
                 shorter, whole = keys[-2]
                 allowed = np.zeros(len(shorter), bool)
                 at = np.flatnonzero(whole)
-                allowed[at] = _has(frequent.value, _places(shorter[at], shard[at]))
+                allowed[at] = _has(frequent.value, shorter[at], shard[at])
                 inside = inside & allowed[:len(key)] & allowed[1:len(key) + 1]
             at = np.flatnonzero(inside)
             _, first, counts = np.unique(_mix(key[at] + shard[at].astype(np.uint64)), return_index=True, return_counts=True)
@@ -199,7 +226,7 @@ def _shard_counts(texts: DataFrame, k: int, frequent) -> DataFrame:
     return map_batches(texts, run, "key long, lang_id long, shard int, n long")
 
 
-def locally_frequent(texts: DataFrame, words: int, support: int) -> DataFrame:
+def locally_frequent(texts: DataFrame, words: int, support: int, bitmap_bits: int = BITMAP_BITS, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(key, shard) of every run of 1 to ``words`` words that its shard holds ``support`` times, lowered by the shard's
     share of its language's words."""
     context = texts.sparkSession.sparkContext
@@ -210,35 +237,44 @@ def locally_frequent(texts: DataFrame, words: int, support: int) -> DataFrame:
     sizes = save(sizes.join(whole, "lang_id").withColumn("least", lowered.cast(exact).cast("long")).select("lang_id", "shard", "least"), "phrase-supports")
     found, bitmap = [], None
     for k in range(1, words + 1):
-        counts = _shard_counts(texts, k, bitmap).groupBy("key", "lang_id", "shard").agg(F.sum("n").alias("n"))
+        counts = _shard_counts(texts, k, bitmap, block_tokens).groupBy("key", "lang_id", "shard").agg(F.sum("n").alias("n"))
         frequent = save(counts.join(sizes, ["lang_id", "shard"]).where("n >= least").select("key", "shard"), f"phrase-local-{k}")
         found.append(frequent)
         if k < words:
-            bitmap = context.broadcast(_bitmap(frequent, True))
+            bitmap = context.broadcast(_bitmap(frequent, True, bitmap_bits))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     return out
 
 
-def count_exactly(texts: DataFrame, candidates: DataFrame, words: int, support: int) -> DataFrame:
+def count_block(tokens: np.ndarray, lang: np.ndarray, words: int, wanted: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For k = 1 to ``words``: (k, a place where each wanted run of k words stands, its occurrences). Runs are told apart by
+    their words: those of other words under the same hash as an earlier one are given one by one."""
+    for k, (key, inside) in enumerate(run_keys(tokens, lang, words), 1):
+        at = np.flatnonzero(inside)
+        at = at[_has(wanted, key[at], None)]
+        if not len(at):
+            continue
+        _, first, group, counts = np.unique(key[at], return_index=True, return_inverse=True, return_counts=True)
+        model = at[first[group]]
+        same = lang[at] == lang[model]
+        for j in range(k):
+            same &= tokens[at + j] == tokens[model + j]
+        others = at[~same]
+        counts = counts - np.bincount(group[~same], minlength=len(counts))
+        yield k, np.concatenate([at[first], others]), np.concatenate([counts, np.ones(len(others), np.int64)])
+
+
+def count_exactly(texts: DataFrame, candidates: DataFrame, words: int, support: int, bitmap_bits: int = BITMAP_BITS,
+                  block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(lang_id, phrase (word ids), f) of all runs of 1 to ``words`` words that occur ``support`` times."""
-    wanted = texts.sparkSession.sparkContext.broadcast(_bitmap(candidates, False))
+    wanted = texts.sparkSession.sparkContext.broadcast(_bitmap(candidates, False, bitmap_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens, lang, _ in _blocks(batches):
-            for k, (key, inside) in enumerate(run_keys(tokens, lang, words), 1):
-                at = np.flatnonzero(inside)
-                at = at[_has(wanted.value, _places(key[at], None))]
-                _, first, group, counts = np.unique(key[at], return_index=True, return_inverse=True, return_counts=True)
-                same = lang[at] == lang[at[first[group]]] if len(at) else np.zeros(0, bool)
-                for j in range(k):
-                    same &= tokens[at + j] == tokens[at[first[group]] + j] if len(at) else same
-                odd = at[~same]  # other words under the same hash count by themselves
-                counts = counts - np.bincount(group[~same], minlength=len(counts)) if len(odd) else counts
-                at = np.concatenate([at[first], odd])
-                counts = np.concatenate([counts, np.ones(len(odd), np.int64)])
-                ids = [pa.array(tokens[at + j].view(np.int64)) if j < k else pa.array(np.zeros(len(at), np.int64)) for j in range(words)]
+        for tokens, lang, _ in _blocks(batches, block_tokens):
+            for k, at, counts in count_block(tokens, lang, words, wanted.value):
+                ids = [pa.array(tokens[at + j].view(np.int64) if j < k else np.zeros(len(at), np.int64)) for j in range(words)]
                 yield pa.RecordBatch.from_arrays([pa.array(lang[at]), *ids, pa.array(counts, pa.int64())],
                                                  ["lang_id", *(f"w{j}" for j in range(words)), "n"])
 
@@ -270,6 +306,8 @@ def _scores(counted: DataFrame, words: int, scale: int) -> DataFrame:
 
 def _largest_longer(counted: DataFrame, words: int) -> DataFrame:
     """(lang_id, phrase, f_longer): the highest count of a longer phrase that holds the phrase."""
+    if words < 3:
+        return counted.select("lang_id", "phrase", F.col("f").alias("f_longer")).limit(0)
     longer = counted.where(F.size("phrase") > 2)
     spans = F.flatten(F.array(*[
         F.expr(f"transform(sequence(1, greatest(size(phrase) - {w} + 1, 1)), i -> if(size(phrase) > {w}, slice(phrase, i, {w}), array()))")
@@ -279,7 +317,8 @@ def _largest_longer(counted: DataFrame, words: int) -> DataFrame:
 
 
 def mine_phrases(docs: DataFrame, *, words: int = 4, support: int = 30, scale: int = 2_000_000, held_percent: int = 80,
-                 top: int | None = TOP, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+                 top: int | None = TOP, text_col: str = "text", lang_col: str = "lang", bitmap_bits: int = BITMAP_BITS,
+                 block_tokens: int = BLOCK_TOKENS, word_id=word_id) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's phrases of 2 to ``words`` words with ``support``
     occurrences, best first (``top`` None: all, ranked all the same).
 
@@ -288,9 +327,13 @@ def mine_phrases(docs: DataFrame, *, words: int = 4, support: int = 30, scale: i
     first part, ``n`` all words of the language; ``score`` is ``scale * a / (l + r)``, rounded down. A phrase goes where a
     longer one that holds it has ``held_percent`` of its occurrences. Equal scores rank by ``a``, then by the phrase's
     bytes. A null language is ``und``, as is that name; null and empty texts have no words; repeated rows all count; ids
-    and other columns are not read; an empty table gives an empty result. A very long text is counted in one block."""
-    texts, names, langs = tokenize(docs, text_col, lang_col)
-    counted = save(count_exactly(texts, locally_frequent(texts, words, support), words, support), "phrase-counts")
+    and other columns are not read; an empty table gives an empty result. A very long text is counted piece by
+    piece, as nothing crosses a piece's end.
+
+    ``bitmap_bits`` and ``block_tokens`` bound memory, ``word_id`` hashes a word under a seed; none changes the result."""
+    texts, names, langs = tokenize(docs, text_col, lang_col, word_id)
+    limits = {"bitmap_bits": bitmap_bits, "block_tokens": block_tokens}
+    counted = save(count_exactly(texts, locally_frequent(texts, words, support, **limits), words, support, **limits), "phrase-counts")
     scored, longer = _scores(counted, words, scale), _largest_longer(counted, words)
     kept = scored.join(longer, ["lang_id", "phrase"], "left").where(
         F.col("f_longer").isNull() | (F.lit(100).cast("decimal(5,0)") * _exact("f_longer") < F.lit(held_percent).cast("decimal(5,0)") * _exact("a")))
