@@ -98,7 +98,7 @@ def main() -> None:
     def gold():
         base = f"{scratch}/{state['tag']}"
         layers.run_gold(spark, f"{base}/silver", f"{base}/gold")
-        cov = marts.coverage(spark.read.parquet(f"{base}/silver"))
+        cov = marts.coverage(tables.read_table(spark, f"{base}/silver"))
         marts.year_runs(marts.yearly_coverage(cov)).collect()
 
     def flow(sf: str, tag: str) -> None:

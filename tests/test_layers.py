@@ -31,7 +31,7 @@ def test_breach_stops_before_silver_but_keeps_quarantine(spark, bronze_paths):
     base = bronze_paths
     with pytest.raises(DataQualityError, match="rejection_rate"):
         layers.run_silver(spark, f"{base}/bronze", f"{base}/silver_a", f"{base}/quarantine_a", spec=BINDING, now=NOW)
-    assert spark.read.parquet(f"{base}/quarantine_a").count() == 659
+    assert tables.read_table(spark, f"{base}/quarantine_a").count() == 659
     assert not tables.fs.exists(spark, f"{base}/silver_a")
 
 
@@ -40,13 +40,13 @@ def test_clean_run_publishes_and_reruns_to_same_content(spark, bronze_paths):
     first = layers.run_silver(spark, f"{base}/clean", f"{base}/silver", f"{base}/quarantine", spec=BINDING, now=NOW)
     assert first.reconciliation.balances and first.reconciliation.rejected == 0
     assert first.metrics["accepted"] == 5351
-    silver = spark.read.parquet(f"{base}/silver")
+    silver = tables.read_table(spark, f"{base}/silver")
     snapshot = silver.drop("_updated_at").collect()
     second = layers.run_silver(spark, f"{base}/clean", f"{base}/silver", f"{base}/quarantine", spec=BINDING,
                                now=datetime(2010, 1, 3))
     assert second.upsert == {"inserted": 0, "updated": 5351, "updated_with_changes": 0, "unchanged": 5351}
     assert first.upsert["inserted"] == -1  # first write creates the table
-    again = spark.read.parquet(f"{base}/silver").drop("_updated_at")
+    again = tables.read_table(spark, f"{base}/silver").drop("_updated_at")
     before = spark.createDataFrame(snapshot, again.schema)
     assert tables.content_diff(again, before).count() == 0
     keys = again.groupBy("reseller_cnpj", "product", "collection_date").count().filter("count > 1").count()
@@ -76,7 +76,7 @@ def test_bronze_run_from_files(spark, tmp_path):
     assert counts.agg(F.sum("rows")).first()[0] == 6010
     # reloading the same files replaces their rows instead of appending
     layers.run_bronze(spark, root, str(tmp_path / "bronze"), audited=audited, run_id="t2")
-    assert spark.read.parquet(str(tmp_path / "bronze")).count() == 6010
+    assert tables.read_table(spark, str(tmp_path / "bronze")).count() == 6010
 
 
 def test_empty_slice_stops_before_anything_is_written(spark, bronze_paths):
@@ -84,10 +84,10 @@ def test_empty_slice_stops_before_anything_is_written(spark, bronze_paths):
     q = f"{base}/quarantine_e"
     with pytest.raises(DataQualityError):
         layers.run_silver(spark, f"{base}/bronze", f"{base}/silver_e", q, spec=BINDING, now=NOW)
-    before = spark.read.parquet(q).count()
+    before = tables.read_table(spark, q).count()
     with pytest.raises(layers.EmptySliceError):
         layers.run_silver(spark, f"{base}/bronze", f"{base}/silver_e", q, series="dsas", years=[1950], spec=BINDING, now=NOW)
-    assert spark.read.parquet(q).count() == before and not tables.fs.exists(spark, f"{base}/silver_e")
+    assert tables.read_table(spark, q).count() == before and not tables.fs.exists(spark, f"{base}/silver_e")
 
 
 def test_rerun_after_gate_failure_cleans_the_slice(spark, bronze_paths):
@@ -95,9 +95,9 @@ def test_rerun_after_gate_failure_cleans_the_slice(spark, bronze_paths):
     q, s = f"{base}/quarantine_r", f"{base}/silver_r"
     with pytest.raises(DataQualityError):
         layers.run_silver(spark, f"{base}/bronze", s, q, spec=BINDING, now=NOW)
-    assert spark.read.parquet(q).count() == 659 and not tables.fs.exists(spark, s)
+    assert tables.read_table(spark, q).count() == 659 and not tables.fs.exists(spark, s)
     run = layers.run_silver(spark, f"{base}/clean", s, q, spec=BINDING, now=NOW)
     assert run.published and run.reconciliation.rejected == 0
     left = tables.read_table(spark, q)
     assert left is None or left.count() == 0  # the slice became clean: its quarantine is empty
-    assert spark.read.parquet(s).count() == 5351
+    assert tables.read_table(spark, s).count() == 5351

@@ -99,7 +99,7 @@ def test_same_filename_in_two_years_keeps_both(spark, tmp_dir):
     # reload only the 2024 file: the 2023 rows must survive
     only = df.filter(F.col("_source_file") == "dsan/all/2024/precos-glp-01.csv")
     tables.replace_where(spark, bronze, only, F.col("_source_file") == "dsan/all/2024/precos-glp-01.csv", ["_source_series", "_source_year"])
-    got = sorted(r._source_file for r in spark.read.parquet(bronze).collect())
+    got = sorted(r._source_file for r in tables.read_table(spark, bronze).collect())
     assert got == ["dsan/all/2023/precos-glp-01.csv", "dsan/all/2024/precos-glp-01.csv"]
 
 
@@ -150,7 +150,7 @@ def test_refused_files_stay_out_and_are_reported(spark, tmp_dir):
     write(f"{root}/dsan/all/2005/empty.csv", ["", "  "])  # nothing but blanks
     got = {r._source_file: r.rows for r in layers.run_bronze(spark, root, bronze).collect()}
     assert got == {"dsan/all/2004/good.csv": 2, "dsan/all/2004/page.csv": None, "dsan/all/2005/empty.csv": None}
-    assert spark.read.parquet(bronze).count() == 2
+    assert tables.read_table(spark, bronze).count() == 2
     verdicts = {r.raw_key: r.verdict for r in layers.audit_raw(spark, root).collect()}
     assert verdicts == {"dsan/all/2004/good.csv": au.OK, "dsan/all/2004/page.csv": au.HTML_PAGE, "dsan/all/2005/empty.csv": au.NO_DELIMITER}
 
@@ -171,7 +171,7 @@ def test_copies_loaded_by_two_runs_are_found(spark, tmp_dir):
     layers.run_bronze(spark, root, bronze)
     write(f"{root}/dsan/all/2004/b.csv", [HEADER, ROW1])
     layers.run_bronze(spark, root, bronze, raw_keys=["dsan/all/2004/b.csv"])
-    out = layers.evaluate_once(spark.read.parquet(bronze))
+    out = layers.evaluate_once(tables.read_table(spark, bronze))
     assert sorted(r[0] for r in out.select(F.array_join("_rejection_reasons", ",")).collect()) == ["", "exact_duplicate"]
 
 

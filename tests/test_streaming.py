@@ -1,6 +1,7 @@
 import os
 
 from test_raw import HEADER, ROW1, ROW2, write
+from vetrow.operators import tables
 from vetrow.streaming.ingest import ingest_batch, start_raw_ingest
 
 
@@ -9,15 +10,15 @@ def test_stream_picks_up_new_files_once(spark, tmp_dir):
     write(f"{root}/dsan/all/2004/precos-01.csv", [HEADER, ROW1, ROW2])
     q = start_raw_ingest(spark, root, bronze, audit, checkpoint=ckpt)
     q.awaitTermination(300)
-    assert spark.read.parquet(bronze).count() == 2
+    assert tables.read_table(spark, bronze).count() == 2
     # a new file lands; the old one is not read again
     write(f"{root}/dsan/all/2005/precos-01.csv", [HEADER, ROW2])
     with open(f"{root}/dsan/all/2005/erro.csv", "w") as fh:
         fh.write("<html><body>erro</body></html>\n")
     q = start_raw_ingest(spark, root, bronze, audit, checkpoint=ckpt)
     q.awaitTermination(300)
-    assert spark.read.parquet(bronze).count() == 3
-    audited = spark.read.parquet(audit)
+    assert tables.read_table(spark, bronze).count() == 3
+    audited = tables.read_table(spark, audit)
     assert audited.count() == 3
     assert audited.filter("verdict != 'ok'").count() == 1  # the error page was refused, not loaded
 
@@ -31,6 +32,6 @@ def test_replayed_batch_changes_nothing(spark, tmp_dir):
     handle = ingest_batch(spark, root, bronze, audit)
     for epoch in (0, 0, 7):
         handle(files, epoch)
-        assert spark.read.parquet(bronze).count() == 3
-        assert spark.read.parquet(audit).count() == 2
-    assert spark.read.parquet(bronze).select("_source_row").distinct().count() == 3
+        assert tables.read_table(spark, bronze).count() == 3
+        assert tables.read_table(spark, audit).count() == 2
+    assert tables.read_table(spark, bronze).select("_source_row").distinct().count() == 3

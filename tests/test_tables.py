@@ -1,8 +1,9 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from vetrow.operators import tables
+from vetrow.operators import tables, versions
 
 SCHEMA = "k string, d date, price double, y int"
 
@@ -16,10 +17,10 @@ def test_upsert_first_write_rerun_update_insert(spark, tmp_dir):
     a = frame(spark, [("a", dt.date(2024, 1, 1), 1.0, 2024), ("b", dt.date(2025, 1, 1), 2.0, 2025)])
     tables.upsert_table(spark, path, a, ["k", "d"], ["y"])
     tables.upsert_table(spark, path, a, ["k", "d"], ["y"])
-    assert tables.content_diff(spark.read.parquet(path), a).count() == 0
+    assert tables.content_diff(tables.read_table(spark, path), a).count() == 0
     b = frame(spark, [("b", dt.date(2025, 1, 1), 9.0, 2025), ("c", dt.date(2025, 2, 1), 3.0, 2025)])
     tables.upsert_table(spark, path, b, ["k", "d"], ["y"])
-    got = {(r.k, r.price) for r in spark.read.parquet(path).collect()}
+    got = {(r.k, r.price) for r in tables.read_table(spark, path).collect()}
     assert got == {("a", 1.0), ("b", 9.0), ("c", 3.0)}
 
 
@@ -45,7 +46,7 @@ def test_replace_where_scoped_and_idempotent(spark, tmp_dir):
     new = frame(spark, [("a2", None, 1.0, 2024)])
     for _ in range(2):  # same slice twice: no growth
         tables.replace_where(spark, path, new, F.col("y") == 2024, ["y"])
-    got = sorted(r.k for r in spark.read.parquet(path).collect())
+    got = sorted(r.k for r in tables.read_table(spark, path).collect())
     assert got == ["a2", "b"]
 
 
@@ -54,7 +55,7 @@ def test_replace_where_slice_becomes_clean(spark, tmp_dir):
     tables.write_partitions(frame(spark, [("a", None, 1.0, 2024), ("b", None, 1.0, 2025)]), path, ["y"])
     empty = frame(spark, []).limit(0)
     tables.replace_where(spark, path, empty, F.col("y") == 2024, ["y"])
-    assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["b"]
+    assert sorted(r.k for r in tables.read_table(spark, path).collect()) == ["b"]
 
 
 def test_replace_slice_adds_columns(spark):
@@ -91,9 +92,9 @@ def test_replace_where_data_column_predicate_keeps_other_rows(spark, tmp_dir):
     path = f"{tmp_dir}/q3"
     tables.write_partitions(frame(spark, [("a", None, 1.0, 2024), ("b", None, 1.0, 2024), ("c", None, 1.0, 2025)]), path, ["y"])
     tables.replace_where(spark, path, frame(spark, []).limit(0), F.col("k") == "a", ["y"])
-    assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["b", "c"]
+    assert sorted(r.k for r in tables.read_table(spark, path).collect()) == ["b", "c"]
     tables.replace_where(spark, path, frame(spark, [("d", None, 1.0, 2026)]), F.col("k") == "b", ["y"], scope=[(2024,)])
-    assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["c", "d"]
+    assert sorted(r.k for r in tables.read_table(spark, path).collect()) == ["c", "d"]
 
 
 def test_prune_snapshots_keeps_newest(spark, tmp_dir):
@@ -112,3 +113,86 @@ def test_replace_where_on_new_table_with_no_rows(spark, tmp_dir):
     assert tables.read_table(spark, path) is None
     tables.replace_where(spark, path, frame(spark, [("a", None, 1.0, 2024)]), F.col("y") == 2024, ["y"])
     assert [r.k for r in tables.read_table(spark, path).collect()] == ["a"]
+
+
+def keys(df):
+    return sorted(r.k for r in df.collect())
+
+
+def test_a_writer_that_dies_before_the_switch_changes_nothing(spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/t"
+    tables.write_partitions(frame(spark, [("a", None, 1.0, 2024), ("b", None, 1.0, 2025)]), path, ["y"])
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    new = frame(spark, [("c", None, 2.0, 2024), ("b", None, 3.0, 2025)])
+    changes = [
+        lambda: tables.replace_where(spark, path, new, F.col("y") == 2024, ["y"]),
+        lambda: tables.upsert_table(spark, path, new, ["k"], ["y"]),
+        lambda: tables.replace_keys(spark, path, new, new, "k", ["y"], [(2024,), (2025,)]),
+        lambda: tables.write_partitions(new, path, ["y"]),
+    ]
+    for change in changes:
+        with monkeypatch.context() as patch:
+            patch.setattr(versions, "switch", dies)
+            with pytest.raises(RuntimeError, match="lost"):
+                change()
+        assert sorted(map(tuple, tables.read_table(spark, path).collect())) == [("a", None, 1.0, 2024), ("b", None, 1.0, 2025)]
+    tables.upsert_table(spark, path, new, ["k"], ["y"])
+    assert keys(tables.read_table(spark, path)) == ["a", "b", "c"]
+    versions.vacuum(spark, path, 1, orphans=True)
+    assert keys(tables.read_table(spark, path)) == ["a", "b", "c"]
+    assert len([d for p in ("y=2024", "y=2025") for d in tables.fs.list_dirs(spark, f"{path}/{p}")]) == 2
+
+
+def test_untouched_partitions_are_carried_by_name(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    tables.write_partitions(frame(spark, [("a", None, 1.0, 2024), ("b", None, 1.0, 2025), ("n", None, 1.0, None)]), path, ["y"])
+    before = versions.current(spark, path)
+    tables.replace_where(spark, path, frame(spark, [("d", None, 1.0, 2025)]), F.col("k") == "zz", ["y"])  # nothing to replace
+    after = versions.current(spark, path)
+    assert set(before.folders) < set(after.folders) and len(after.folders) == 4
+    tables.replace_where(spark, path, frame(spark, []).limit(0), F.col("y").isNull(), ["y"])
+    assert keys(tables.read_table(spark, path)) == ["a", "b", "d"]
+    assert keys(tables.read_table(spark, path, version=1)) == ["a", "b", "n"]
+    gone = versions.vacuum(spark, path, keep=1)
+    assert len(gone) == 1 and keys(tables.read_table(spark, path)) == ["a", "b", "d"]
+
+
+def test_a_plain_folder_is_taken_over(spark, tmp_dir):
+    path = f"{tmp_dir}/plain"
+    rows = frame(spark, [("a", None, 1.0, 2024), ("b", None, 1.0, 2025), ("x", None, 1.0, 2023)]).withColumn("s", F.lit("a/b ü=c"))
+    rows.write.partitionBy("s", "y").parquet(path)
+    tables.replace_where(spark, path, rows.where("k = 'a'").withColumn("k", F.lit("a2")), F.col("y") == 2024, ["s", "y"])
+    tables.replace_where(spark, path, rows.limit(0), F.col("k") == "b", ["s", "y"], scope=[("a/b ü=c", 2025)])
+    got = tables.read_table(spark, path)
+    assert keys(got) == ["a2", "x"] and {r.s for r in got.collect()} == {"a/b ü=c"}
+    versions.vacuum(spark, path, 1)
+    assert keys(tables.read_table(spark, path)) == ["a2", "x"]
+
+
+def test_of_two_writers_one_is_refused(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    tables.write_partitions(frame(spark, [("a", None, 1.0, 2024)]), path, ["y"])
+    base = versions.current(spark, path)
+    versions.publish(frame(spark, [("b", None, 1.0, 2025)]), path, base, ["y"], ())
+    with pytest.raises(versions.ConcurrentChangeError):
+        versions.publish(frame(spark, [("c", None, 1.0, 2025)]), path, base, ["y"], ())
+    assert keys(tables.read_table(spark, path)) == ["a", "b"]
+
+
+def test_new_rows_are_evaluated_once(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    tables.write_partitions(frame(spark, [("a", None, 1.0, 2024), ("b", None, 1.0, 2024)]), path, ["y"])
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    new = frame(spark, [("c", None, 1.0, 2024)]).mapInPandas(counted, SCHEMA)
+    tables.replace_where(spark, path, new, F.col("k") == "a", ["y"])
+    tables.replace_keys(spark, path, new, frame(spark, [("c", None, 1.0, 2024)]), "k", ["y"], [(2024,)])
+    assert keys(tables.read_table(spark, path)) == ["b", "c"] and read.value == 2

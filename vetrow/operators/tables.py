@@ -9,11 +9,10 @@ DataFrame forms, plus the writes that put them on disk:
   are inserted, target rows the source does not mention stay.
 * ``content_diff`` - rows only on one side, the idempotence check.
 
-On disk only the partitions a change touches are rewritten: Spark's dynamic
-partition overwrite stages the new files and swaps each touched partition at
-job commit, so a job that fails leaves the table as it was and reading the
-same partitions inside the job is safe. Partitions that a replacement empties
-are removed afterwards (dynamic overwrite alone would leave their old rows).
+On disk only the partitions a change touches are rewritten, into new folders, and
+the change is published whole (``versions``): readers see the table before it or
+after it, never part of it. ``read_table`` reads such a table; reading its folder
+as plain parquet would also read what a change has replaced.
 """
 
 from __future__ import annotations
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from vetrow.functions import fs
+from vetrow.operators import versions
 
 
 class DuplicateSourceKeyError(RuntimeError):
@@ -123,11 +123,6 @@ def content_diff(left: DataFrame, right: DataFrame, columns: Sequence[str] | Non
 # --- on disk -------------------------------------------------------------------------
 
 
-def _partition_dir(path: str, partition_by: Sequence[str], values: Sequence) -> str:
-    parts = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(partition_by, values))
-    return f"{path}/{parts}"
-
-
 def _partitions(df: DataFrame, partition_by: Sequence[str]) -> set[tuple]:
     """Distinct partition values (bounded by the number of partitions)."""
     return {tuple(r) for r in df.select(*partition_by).distinct().collect()}
@@ -145,22 +140,24 @@ def _in_partitions(values_set: set[tuple], partition_by: Sequence[str]) -> Colum
     return pred
 
 
+def _names(spark: SparkSession, partition_by: Sequence[str], values_set: Iterable[tuple]) -> set[str]:
+    return {versions.partition_name(spark, partition_by, v) for v in values_set}
+
+
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Rewrite exactly the partitions present in ``df``."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    versions.publish(df, path, versions.current(df.sparkSession, path, partition_by=partition_by), partition_by, None)
 
 
-def read_table(spark: SparkSession, path: str, *, merge_schema: bool = True) -> DataFrame | None:
-    """Read a table; ``merge_schema`` for tables whose partitions may carry
-    added columns (bronze, quarantine: schema merged from the file footers in
-    a distributed job). Silver has a fixed schema and skips that job."""
-    if not fs.exists(spark, path):
+def read_table(spark: SparkSession, path: str, *, merge_schema: bool = True, version: int | None = None) -> DataFrame | None:
+    """Read a table as its newest version (or the one asked for) has it, or a plain folder of parquet; None if there is
+    none or it holds no file. ``merge_schema`` for tables whose partitions may carry added columns (bronze, quarantine:
+    schema merged from the file footers in a distributed job). Silver has a fixed schema and skips that job."""
+    found = versions.current(spark, path, version)
+    if found is None:
         return None
+    if found.number:
+        return versions.read(spark, path, found, merge_schema) if found.folders else None
     try:
         return spark.read.option("mergeSchema", "true" if merge_schema else "false").parquet(path)
     except AnalysisException as error:
@@ -171,65 +168,48 @@ def read_table(spark: SparkSession, path: str, *, merge_schema: bool = True) ->
 
 def replace_where(spark: SparkSession, path: str, new: DataFrame, predicate: Column,
                   partition_by: Sequence[str], *, scope: Iterable[tuple] | None = None) -> None:
-    """Swap the rows matching ``predicate`` for ``new``, touching only the
-    partitions that hold either. Partitions left with no row are removed.
+    """Swap the rows matching ``predicate`` for ``new``. Partitions without such a row are not rewritten, those that hold
+    nothing else are dropped, and ``new`` is evaluated once.
 
     ``scope`` names the partitions the predicate can match when the caller
     knows them (a file's series and year) and must cover every matching row;
     otherwise they are found with a scan, which partition pruning keeps cheap
     when the predicate is on partition columns."""
+    base = versions.current(spark, path, partition_by=partition_by)
     current = read_table(spark, path)
     if current is None:
-        # an empty frame writes no data file; read_table then still sees no table
-        write_partitions(new, path, partition_by)
+        versions.publish(new, path, base, partition_by, ())
         return
     hit = F.coalesce(predicate, F.lit(False))
-    new_parts = _partitions(new, partition_by)
-    if scope is None:
-        # pruned to the matching partitions when the predicate is on partition columns
-        scope = _partitions(current.filter(hit), partition_by)
-    scoped = {tuple(v) for v in scope} | new_parts
-    if not scoped:
-        return
-    # whole partitions only: which ones the predicate hits, and which of them
-    # keep rows after the replacement (those must not be removed)
-    candidates = current.filter(_in_partitions(scoped, partition_by))
-    stats = (
-        candidates.groupBy(*partition_by)
-        .agg(F.count_if(hit).alias("_hits"), F.count_if(~hit).alias("_kept"))
-        .collect()  # one row per partition
-    )
-    hits = {tuple(r[c] for c in partition_by): (r["_hits"], r["_kept"]) for r in stats}
-    touched = {p for p, (h, _) in hits.items() if h > 0} | new_parts
-    if not touched:
-        return
-    in_touched = _in_partitions(touched, partition_by)
-    content = current.filter(in_touched & ~hit).unionByName(new, allowMissingColumns=True)
-    written = new_parts | {p for p in touched if hits.get(p, (0, 0))[1] > 0}
-    if written:
-        write_partitions(content, path, partition_by)
-    for values in touched - written:
-        fs.remove(spark, _partition_dir(path, partition_by, values))
+    scoped = _partitions(current.filter(hit), partition_by) if scope is None else {tuple(v) for v in scope}
+    stats = []
+    if scoped:
+        stats = (
+            current.filter(_in_partitions(scoped, partition_by)).groupBy(*partition_by)
+            .agg(F.count_if(hit).alias("_hits"), F.count_if(~hit).alias("_kept")).where("_hits > 0")
+            .collect()  # one row per partition
+        )
+    mixed = {tuple(r[c] for c in partition_by) for r in stats if r["_kept"]}
+    content = new
+    if mixed:
+        content = current.filter(_in_partitions(mixed, partition_by) & ~hit).unionByName(new, allowMissingColumns=True)
+    gone = _names(spark, partition_by, [tuple(r[c] for c in partition_by) for r in stats])
+    versions.publish(content, path, base, partition_by, gone)
 
 
 def replace_keys(spark: SparkSession, path: str, new: DataFrame, keys: DataFrame, key: str,
                  partition_by: Sequence[str], scope: Iterable[tuple]) -> None:
     """Swap the rows whose ``key`` is in ``keys`` (a table of them, one row each) for ``new``. ``scope`` names the partitions
-    that such rows can be in, which must hold all of ``new``; others are not read. Partitions left with no row are removed."""
+    that such rows can be in; others are not read. Partitions left with no row are dropped. ``new`` is evaluated once."""
+    base = versions.current(spark, path, partition_by=partition_by)
     current = read_table(spark, path)
-    if current is None:
-        write_partitions(new, path, partition_by)
-        return
     scope = {tuple(v) for v in scope}
-    if not scope:
+    if current is None or not scope:
+        versions.publish(new, path, base, partition_by, ())
         return
     kept = current.where(_in_partitions(scope, partition_by)).join(keys.select(key).distinct(), key, "left_anti")
     content = kept.unionByName(new, allowMissingColumns=True)
-    left = _partitions(content, partition_by)
-    if left:
-        write_partitions(content, path, partition_by)
-    for values in scope - left:
-        fs.remove(spark, _partition_dir(path, partition_by, values))
+    versions.publish(content, path, base, partition_by, _names(spark, partition_by, scope))
 
 
 def merge_by_key(target: DataFrame, source: DataFrame, key: Sequence[str],
@@ -275,9 +255,10 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: Sequenc
     just proved it."""
     if not assume_unique:
         assert_unique_key(source, key)
+    base = versions.current(spark, path, partition_by=partition_by)
     current = read_table(spark, path, merge_schema=False)
     if current is None:
-        source.write.partitionBy(*partition_by).parquet(path)
+        versions.publish(source, path, base, partition_by, ())
         return {"inserted": -1, "updated": 0, "updated_with_changes": 0, "unchanged": 0}
     touched = _partitions(source, partition_by)
     in_touched = _in_partitions(touched, partition_by)
@@ -288,7 +269,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: Sequenc
     replaced, arrived = Observation("upsert-replaced"), Observation("upsert-source")
     kept = joined.observe(replaced, *counts).filter(survives).select(*target.columns)
     incoming = source.observe(arrived, F.count(F.lit(1)).alias("rows")).select(*target.columns)
-    write_partitions(kept.unionByName(incoming), path, partition_by)
+    versions.publish(kept.unionByName(incoming), path, base, partition_by, _names(spark, partition_by, touched))
     updated = int(replaced.get["updated"])
     changed = int(replaced.get["updated_with_changes"])
     return {"inserted": int(arrived.get["rows"]) - updated, "updated": updated,

@@ -108,7 +108,9 @@ class SilverRun:
 def read_slice(spark: SparkSession, bronze_path: str, series: str | None = None,
                years: Iterable[int] | None = None) -> DataFrame:
     """The bronze rows of one window; filters on partition columns prune the scan."""
-    bronze = spark.read.option("mergeSchema", "true").parquet(bronze_path)
+    bronze = tables.read_table(spark, bronze_path)
+    if bronze is None:
+        raise EmptySliceError(f"no bronze table at {bronze_path}")
     return bronze.filter(tables.slice_predicate(series, years))
 
 
@@ -210,7 +212,7 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, *, keep_vers
              exact_resellers: bool = True) -> dict[str, str]:
     """Rebuild every mart as a new snapshot version; returns their paths.
     ``keep_versions`` prunes older versions once the new ones are complete."""
-    silver = spark.read.parquet(silver_path)
+    silver = tables.read_table(spark, silver_path, merge_schema=False)
     marts_ = build_gold(silver, exact_resellers=exact_resellers)
     paths = {name: tables.publish_snapshot(df, f"{gold_root}/{name}") for name, df in marts_.items()}
     if keep_versions is not None:

@@ -10,6 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vetrow.operators import tables
 from vetrow.operators.quarantine import reason_histogram
 from vetrow.plans import layers
 from vetrow.session import materialize, scratch_path
@@ -88,7 +89,7 @@ def _bronze(spark) -> str:
 def q_bronze_load(spark, sf_dir):
     root, bronze = write_survey_files(spark, sf_dir), _bronze(spark)
     layers.run_bronze(spark, root, bronze, run_id="load", ingested_at=INGESTED_AT)
-    return spark.read.parquet(bronze).select(*LOADED)
+    return tables.read_table(spark, bronze).select(*LOADED)
 
 
 def q_bronze_reload(spark, sf_dir):
@@ -97,7 +98,7 @@ def q_bronze_reload(spark, sf_dir):
     audited = materialize(layers.audit_raw(spark, root), "audited")
     layers.run_bronze(spark, root, bronze, audited=audited, run_id="load", ingested_at=INGESTED_AT)
     layers.run_bronze(spark, root, bronze, audited=audited, raw_keys=audited.where("year = 1996"), run_id="reload", ingested_at=INGESTED_AT)
-    loaded = spark.read.parquet(bronze)
+    loaded = tables.read_table(spark, bronze)
     return loaded.groupBy("_source_year", "_ingestion_run_id").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("_source_row").alias("row_ids"))
 
@@ -109,7 +110,7 @@ def q_bronze_two_loads_duplicates(spark, sf_dir):
     resent = F.col("raw_key").startswith(f"dsan/{RESENT_FOLDER}/")
     for run, part in (("first", audited.where(~resent)), ("second", audited.where(resent))):
         layers.run_bronze(spark, root, bronze, audited=audited, raw_keys=part, run_id=run, ingested_at=INGESTED_AT)
-    return reason_histogram(layers.evaluate_once(spark.read.parquet(bronze), BINDING))
+    return reason_histogram(layers.evaluate_once(tables.read_table(spark, bronze), BINDING))
 
 
 RAW_QUERIES = {

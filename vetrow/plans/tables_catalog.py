@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetrow.operators import tables
+from vetrow.operators import tables, versions
 from vetrow.session import scratch_path
 from vetrow.sources.binding import survey_rows
 
@@ -93,6 +93,27 @@ def q_replace_table(spark, sf_dir):
     return tables.read_table(spark, path).select(*ORDER_COLS, "o_revision", "order_year")
 
 
+def q_unpublished_change(spark, sf_dir):
+    """All orders by year, then a replacement of 1997 whose writer dies when its files are all there: readers still have
+    the table as it was."""
+    path = scratch_path(spark, f"tables/unpublished-{uuid.uuid4().hex}")
+    tables.write_partitions(orders(spark, sf_dir), path, PART)
+    versions.stage(revised_1997(spark, sf_dir), path, PART)
+    return tables.read_table(spark, path).select(*ORDER_COLS, "order_year")
+
+
+def q_table_versions(spark, sf_dir):
+    """Rows and prices by year of each version of a table that is created, upserted into and has a year replaced."""
+    path = scratch_path(spark, f"tables/versions-{uuid.uuid4().hex}")
+    tables.upsert_table(spark, path, target(spark, sf_dir), KEY, PART)
+    tables.upsert_table(spark, path, source(spark, sf_dir), KEY, PART)
+    tables.replace_where(spark, path, revised_1997(spark, sf_dir).where("o_orderkey % 2 = 0"), F.col("order_year") == 1997, PART)
+    parts = [tables.read_table(spark, path, version=n).groupBy("order_year").agg(
+        F.count(F.lit(1)).alias("orders"), F.count_if(F.col("o_orderstatus") == "F").alias("final")).withColumn("version", F.lit(n))
+        for n in versions.numbers(spark, path)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 TABLE_QUERIES = {
     "upsert": q_upsert,
     "upsert_changes": q_upsert_changes,
@@ -103,6 +124,8 @@ TABLE_QUERIES = {
     "slice_read": q_slice_read,
     "upsert_table": q_upsert_table,
     "replace_table": q_replace_table,
+    "unpublished_change": q_unpublished_change,
+    "table_versions": q_table_versions,
 }
 
 _O = "o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, " \
@@ -159,4 +182,13 @@ TABLE_ORACLES = {
     "slice_read": _slice_sql(),
     "upsert_table": _with(_O, _T, _S, _U, body="SELECT * FROM u"),
     "replace_table": _with(_O, _R, body="SELECT * FROM r"),
+    "unpublished_change": _with(_O, body="SELECT * FROM o"),
+    "table_versions": _with(
+        _O, _T, _S, _U,
+        "v AS (SELECT 1 AS version, order_year, o_orderstatus FROM t UNION ALL SELECT 2, order_year, o_orderstatus FROM u "
+        "UNION ALL SELECT 3, order_year, o_orderstatus FROM u WHERE order_year <> 1997 "
+        "UNION ALL SELECT 3, order_year, 'R' FROM o WHERE order_year = 1997 AND o_orderkey % 2 = 0)",
+        body="SELECT version, order_year, count(*) AS orders, count(*) FILTER (WHERE o_orderstatus = 'F') AS final "
+        "FROM v GROUP BY version, order_year",
+    ),
 }
