@@ -30,7 +30,7 @@ from vetrow.llm.common import map_batches, save
 TOKEN = re.compile(rb"[.,;:!?\x0A-\x0D]|[^\x20\x09.,;:!?\x0A-\x0D]+")
 BREAKS = frozenset(b".,;:!?\n\x0b\x0c\r")
 UNKNOWN_LANG = "und"
-SHARDS = 8
+SHARDS = 3
 #: Tokens that a task counts at a time (a longer piece by itself), and words whose ids it remembers.
 BLOCK_TOKENS, WORDS_KNOWN = 1 << 19, 1 << 18
 #: Characters of text that are cut before their tokens are passed on.
@@ -174,25 +174,26 @@ def run_keys(tokens: np.ndarray, lang: np.ndarray, words: int) -> list[tuple[np.
     return out
 
 
-def _places(keys: np.ndarray, shards: np.ndarray | None, bits: int) -> np.ndarray:
+def _places(keys: np.ndarray, shards: np.ndarray | None, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of each key."""
     mixed = keys if shards is None else _mix(keys + shards.astype(np.uint64) + np.uint64(1))
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+    return (mixed >> np.uint64(64 - bits)).astype(np.int64), (mixed & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 def _has(bitmap: np.ndarray, keys: np.ndarray, shards: np.ndarray | None) -> np.ndarray:
-    places = _places(keys, shards, len(bitmap).bit_length() + 5)
-    return (bitmap[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
+    one, two = ((bitmap[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) for p in _places(keys, shards, len(bitmap).bit_length() + 5))
+    return one & two == 1
 
 
 def _bitmap(keys: DataFrame, by_shard: bool, size: int) -> np.ndarray:
-    """The places of ``keys`` (key, shard) among 2^``size`` as bits; no more than these reach the driver."""
+    """The places of ``keys`` (key, shard), two of 2^``size`` each, as bits; no more than these reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << (size - 6), np.uint64)
         for batch in batches:
             key = batch.column("key").to_numpy().view(np.uint64)
-            places = _places(key, batch.column("shard").to_numpy() if by_shard else None, size)
-            np.bitwise_or.at(bits, places >> 6, np.uint64(1) << (places & 63).astype(np.uint64))
+            for places in _places(key, batch.column("shard").to_numpy() if by_shard else None, size):
+                np.bitwise_or.at(bits, places >> 6, np.uint64(1) << (places & 63).astype(np.uint64))
         some = np.flatnonzero(bits)
         for start in range(0, len(some), 1 << 16):
             part = some[start:start + (1 << 16)]
@@ -220,6 +221,7 @@ def _shard_counts(texts: DataFrame, k: int, frequent, block_tokens: int) -> Data
             at = np.flatnonzero(inside)
             _, first, counts = np.unique(_mix(key[at] + shard[at].astype(np.uint64)), return_index=True, return_counts=True)
             at = at[first]
+            del keys, inside, first
             yield pa.RecordBatch.from_arrays([pa.array(key[at].view(np.int64)), pa.array(lang[at]), pa.array(shard[at]), pa.array(counts, pa.int64())],
                                              ["key", "lang_id", "shard", "n"])
 
