@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from vetrow.operators import tables
 from vetrow.plans import layers
 from vetrow.sources import audit as au
 from vetrow.sources import raw as rw
@@ -195,3 +196,80 @@ def test_digests(spark, tmp_dir):
         want = hashlib.sha256(fh.read()).hexdigest()
     files = rw.list_files(spark, root).join(rw.file_digests(spark, root), "path").collect()
     assert [(r.raw_key, r.sha256) for r in files] == [("dsan/all/2004/a b.csv", want)]
+
+
+def payloads(seed=11):
+    """Files whose verdict hangs on bytes behind their first line: pages that begin late, blanks, marks, long lines."""
+    import random
+
+    rng = random.Random(seed)
+    out = {}
+    for i in range(45):
+        lead = rng.choice(["", "\n\n \n", "﻿", "﻿ \n", " " * 300 + "\n"])
+        body = [rng.choice(["a;b", "c", "", " ", "x;" * rng.randint(1, 130)]) for _ in range(rng.randint(0, 60))]
+        if rng.random() < 0.6:
+            body.insert(min(len(body), rng.randint(0, 25)), rng.choice(["<HTML>", "  <html lang=pt>", "z" * 40 + "<Html"]))
+        out[f"f{i:02d}.csv"] = (lead + "\n".join(["h1;h2", *body] if rng.random() < 0.8 else body) + rng.choice(["", "\n"])).encode()
+    out["page2.csv"] = b"status;404\n<html>"
+    return {k: v for k, v in out.items() if v}
+
+
+@pytest.mark.parametrize("block", ["128m", "64"])
+def test_verdicts_by_lines_equal_those_by_whole_payloads(spark, tmp_dir, block):
+    root = f"{tmp_dir}/raw"
+    os.makedirs(f"{root}/dsan/all/2004")
+    for name, payload in payloads().items():
+        with open(f"{root}/dsan/all/2004/{name}", "wb") as f:
+            f.write(payload)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0" if block == "64" else "4m")
+    try:
+        got = {r.raw_key: r.verdict for r in rw.audit_files(spark, root).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    whole = spark.createDataFrame([(f"dsan/all/2004/{k}", bytearray(v), "csv") for k, v in payloads().items()], "raw_key string, content binary, content_type string")
+    want = {r.raw_key: r.verdict for r in au.audit(whole).collect()}
+    assert got == want and len(set(want.values())) == 3
+
+
+def test_pages_neither_stop_a_load_nor_count_as_headers(spark, tmp_dir, monkeypatch):
+    root, bronze = f"{tmp_dir}/raw", f"{tmp_dir}/bronze"
+    write(f"{root}/dsan/all/2004/good.csv", [HEADER, ROW1])
+    for i in range(4):
+        write(f"{root}/dsan/all/2004/page{i}.csv", [f"status;{i}", "<html>"])
+    write(f"{root}/dsan/all/2004/long.csv", ["a;" + "b" * 3 * rw.MAX_HEADER_BYTES])
+    monkeypatch.setattr(rw, "MAX_HEADERS", 2)
+    got = {r._source_file: r.rows for r in layers.run_bronze(spark, root, bronze).collect()}
+    assert got.pop("dsan/all/2004/good.csv") == 1 and set(got.values()) == {None} and len(got) == 5
+    verdicts = {r.raw_key: r.verdict for r in rw.audit_files(spark, root).collect()}
+    assert verdicts["dsan/all/2004/long.csv"] == au.NO_HEADER and verdicts["dsan/all/2004/page0.csv"] == au.HTML_PAGE
+
+
+def test_a_load_scans_the_text_once(spark, tmp_dir, monkeypatch):
+    root, bronze = f"{tmp_dir}/raw", f"{tmp_dir}/bronze"
+    write(f"{root}/dsan/all/2004/good.csv", [HEADER, ROW1])
+    layers.run_bronze(spark, root, bronze)
+    scans = []
+    real = rw.raw_lines
+    monkeypatch.setattr(rw, "raw_lines", lambda *a, **k: scans.append(1) or real(*a, **k))
+    layers.run_bronze(spark, root, bronze)
+    assert len(scans) == 1 and tables.read_table(spark, bronze).count() == 1
+
+
+def test_digests_of_files_beyond_one_value(spark, tmp_dir):
+    import hashlib
+
+    root = f"{tmp_dir}/raw"
+    os.makedirs(root)
+    contents = {**payloads(), "one.csv": b"\n", "crlf.csv": b"a;b\r\n\r\nc\r", "bytes.csv": bytes(range(256)) * 9, "mark.csv": b"\xef\xbb\xbf",
+                "mark2.csv": b"\xef\xbb\xbf\n", "marks.csv": b"\xef\xbb\xbf\xef\xbb\xbfx"}
+    for name, payload in contents.items():
+        with open(f"{root}/{name}", "wb") as f:
+            f.write(payload)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        got = {r.path.rpartition("/")[2]: r.sha256 for r in rw.file_digests(spark, root, whole_below=1).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {k: hashlib.sha256(v).hexdigest() for k, v in contents.items()}

@@ -62,15 +62,18 @@ def run_bronze(spark: SparkSession, raw_root: str, bronze_path: str, *, audited:
         if raw_keys is not None:
             wanted = raw_keys if isinstance(raw_keys, DataFrame) else spark.createDataFrame([(k,) for k in raw_keys], "raw_key string")
             files = files.join(wanted.select("raw_key").distinct(), "raw_key", "left_semi")
-        facts = (rw.audit_files(spark, raw_root, only=files) if audited is None else audited).select(
-            "raw_key", "encoding", "header_line", "verdict").dropDuplicates(["raw_key"])
+        lines = None
+        if audited is None:  # the text is read once, to be judged and then loaded
+            lines = rw.stage_lines(spark, files, folder)
+            audited = rw.audit_files(spark, raw_root, only=files, lines=lines, folder=folder)
+        facts = audited.select("raw_key", "encoding", "header_line", "verdict").dropDuplicates(["raw_key"])
         known = materialize(rw.with_headers(materialize(files.join(facts, "raw_key", "left"), "audited", folder)), "files", folder)
-        return _load_files(spark, known, bronze_path, run_id or str(uuid.uuid4()), ingested_at or _now())
+        return _load_files(spark, known, lines, bronze_path, run_id or str(uuid.uuid4()), ingested_at or _now())
     finally:
         fs.remove(spark, folder)
 
 
-def _load_files(spark: SparkSession, known: DataFrame, bronze_path: str, run_id: str, ingested_at: datetime) -> DataFrame:
+def _load_files(spark: SparkSession, known: DataFrame, lines: DataFrame | None, bronze_path: str, run_id: str, ingested_at: datetime) -> DataFrame:
     lost = known.where("verdict is null").select("raw_key").orderBy("raw_key").limit(20).collect()
     if lost:
         raise rw.UnauditedFileError("no audit row for " + ", ".join(r["raw_key"] for r in lost))
@@ -79,7 +82,7 @@ def _load_files(spark: SparkSession, known: DataFrame, bronze_path: str, run_id:
     if not scope:
         raise FileNotFoundError("no raw file that can be loaded")
     keys = good.select(F.col("raw_key").alias("_source_file"))
-    rows = rw.read_rows(spark, good, run_id=run_id, ingested_at=ingested_at)
+    rows = rw.read_rows(spark, good, run_id=run_id, ingested_at=ingested_at, lines=lines)
     tables.replace_keys(spark, bronze_path, rows, keys, "_source_file", BRONZE_PARTITIONS, scope)
     written = rw.rows_per_file(tables.read_table(spark, bronze_path).join(keys, "_source_file", "left_semi"))
     asked = known.select(F.col("raw_key").alias("_source_file"), (F.col("verdict") == au.OK).alias("_good"))

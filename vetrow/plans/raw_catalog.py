@@ -10,6 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vetrow.functions import fs
 from vetrow.operators import tables
 from vetrow.operators.quarantine import reason_histogram
 from vetrow.plans import layers
@@ -29,11 +30,13 @@ EXTRA_COLUMN = "Observacao; livre"  # holds the separator, so the writer quotes
 INGESTED_AT = datetime(2010, 1, 1)
 FOLDER = "todos os preços"  # a blank and an accent in every path
 RESENT_FOLDER = "reenvio"
+REFUSED_FOLDER = "páginas de erro"
+BREACHED = (RAW_COLUMNS[4], RAW_COLUMNS[12])  # columns that the breaching files lack
 
 
-def _write(rows: DataFrame, folder: str, header, charset: str, extra=()) -> None:
+def _write(rows: DataFrame, folder: str, header, charset: str, extra=(), columns=RAW_COLUMNS) -> None:
     """Published-style files, one folder a year. ``rows`` have a ``year``; rows without one go to an undated folder."""
-    cols = [F.col(c).alias(h) for c, h in zip(RAW_COLUMNS, header)]
+    cols = [F.col(c).alias(h) for c, h in zip(columns, header)]
     cols += [F.lit(None).cast("string").alias(e) for e in extra]
     (
         rows.select(*cols, F.coalesce(F.col("year").cast("string"), F.lit("undated")).alias("year"))
@@ -68,8 +71,9 @@ LOADED = (*RAW_COLUMNS, "_source_series", "_source_year", "_source_encoding", "_
 
 def q_raw_scan(spark, sf_dir):
     root = write_survey_files(spark, sf_dir)
-    files = materialize(rw.with_headers(rw.audit_files(spark, root)), "raw-scan-files")
-    return rw.read_rows(spark, files, run_id="raw-scan", ingested_at=INGESTED_AT).select(*LOADED)
+    lines = rw.stage_lines(spark, rw.list_files(spark, root))
+    files = materialize(rw.with_headers(rw.audit_files(spark, root, lines=lines)), "raw-scan-files")
+    return rw.read_rows(spark, files, run_id="raw-scan", ingested_at=INGESTED_AT, lines=lines).select(*LOADED)
 
 
 def q_charset_scan(spark, sf_dir):
@@ -113,6 +117,56 @@ def q_bronze_two_loads_duplicates(spark, sf_dir):
     return reason_histogram(layers.evaluate_once(tables.read_table(spark, bronze), BINDING))
 
 
+def write_error_pages(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Web pages under the names of survey files, by a made-up year: their first line holds the separator, and what tells
+    a page stands on the second one."""
+    page = F.concat(F.lit("status;"), "url", F.lit("\n  <HTML lang='pt'>\n"), "html")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(page.alias("value"), (2010 + F.col("page_id") % 3).alias("year"))
+    pages.write.partitionBy("year").text(f"{root}/dsan/{REFUSED_FOLDER}")
+    for year in fs.list_dirs(spark, f"{root}/dsan/{REFUSED_FOLDER}"):
+        for name in fs.list_files(spark, f"{root}/dsan/{REFUSED_FOLDER}/{year}"):
+            if name.endswith(".txt"):
+                fs.move(spark, f"{root}/dsan/{REFUSED_FOLDER}/{year}/{name}", f"{root}/dsan/{REFUSED_FOLDER}/{year}/{name[:-4]}.csv")
+
+
+def q_bronze_refused(spark, sf_dir):
+    """Files and rows of a load by year, where error pages lie between the survey files: the pages stay out."""
+    root, bronze = write_survey_files(spark, sf_dir), _bronze(spark)
+    write_error_pages(spark, sf_dir, root)
+    report = layers.run_bronze(spark, root, bronze, run_id="load", ingested_at=INGESTED_AT)
+    year = F.regexp_extract("_source_file", r"year=(\w+)/", 1)
+    return report.groupBy(year.alias("year"), F.col("rows").isNull().alias("refused")).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"))
+
+
+def q_header_breach(spark, sf_dir):
+    """What the contract says to each year's header where one year's files lack two columns, and whether a load with
+    them is stopped with nothing written."""
+    root, bronze = scratch_path(spark, f"raw-{uuid.uuid4().hex}"), _bronze(spark)
+    rows = survey_rows(spark, sf_dir).select(*RAW_COLUMNS, F.col("_source_year").alias("year"))
+    short = [(c, h) for c, h in zip(RAW_COLUMNS, rw.PUBLISHED_HEADER) if c not in BREACHED]
+    whole = F.coalesce(F.col("year") != 1997, F.lit(True))
+    _write(rows.where(whole), f"{root}/dsan/all", rw.PUBLISHED_HEADER, "UTF-8")
+    _write(rows.where(~whole).drop(*BREACHED), f"{root}/dsan/short", [h for _, h in short], "UTF-8", columns=[c for c, _ in short])
+    try:
+        layers.run_bronze(spark, root, bronze, ingested_at=INGESTED_AT)
+        stopped = False
+    except rw.UnexpectedHeaderError:
+        stopped = tables.read_table(spark, bronze) is None
+    files = rw.with_headers(rw.audit_files(spark, root))
+    return files.select("year", "columns", "missing", "status", F.lit(stopped).alias("load_stopped")).distinct()
+
+
+def q_large_digests(spark, sf_dir):
+    """Digests of page files, one a section, by one value where they are small and by their lines in order where not."""
+    root = scratch_path(spark, f"raw-{uuid.uuid4().hex}")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        (F.col("page_id") % 7 * (F.col("page_id") % 5)).alias("section"), "page_id", F.coalesce("html", F.lit("")).alias("value"))
+    pages.repartition("section").sortWithinPartitions("section", "page_id").drop("page_id").write.partitionBy("section").text(root)
+    digests = rw.file_digests(spark, root, "*.txt", whole_below=1 << 15)
+    return digests.select(F.regexp_extract("path", r"section=(\d+)/", 1).cast("long").alias("section"), "sha256")
+
+
 RAW_QUERIES = {
     "raw_scan": q_raw_scan,
     "charset_scan": q_charset_scan,
@@ -120,6 +174,9 @@ RAW_QUERIES = {
     "bronze_load": q_bronze_load,
     "bronze_reload": q_bronze_reload,
     "bronze_two_loads_duplicates": q_bronze_two_loads_duplicates,
+    "bronze_refused": q_bronze_refused,
+    "header_breach": q_header_breach,
+    "large_digests": q_large_digests,
 }
 
 
@@ -149,6 +206,19 @@ def _raw_oracles() -> dict[str, str]:
             once_more, CONTRACT_CTE,
             body="SELECT reason, count(*) AS rows FROM (SELECT unnest(string_split(reasons, ',')) AS reason FROM rejected) GROUP BY reason",
         ),
+        "bronze_refused": with_ctes(
+            RAW_CTE,
+            body="SELECT coalesce(CAST(_source_year AS VARCHAR), 'undated') AS year, false AS refused, count(*) AS rows FROM raw GROUP BY 1 "
+            "UNION ALL SELECT DISTINCT CAST(2010 + page_id % 3 AS VARCHAR), true, 0 FROM pages",
+        ),
+        "large_digests": "SELECT page_id % 7 * (page_id % 5) AS section, sha256(string_agg(coalesce(html, '') || chr(10), '' ORDER BY page_id)) AS sha256 "
+        "FROM pages GROUP BY 1",
+        "header_breach": with_ctes(
+            RAW_CTE,
+            body="SELECT DISTINCT _source_year AS year, CAST(CASE WHEN _source_year = 1997 THEN 14 ELSE 16 END AS INTEGER) AS columns, "
+            f"CASE WHEN _source_year = 1997 THEN '{','.join(BREACHED)}' ELSE '' END AS missing, "
+            "CASE WHEN _source_year = 1997 THEN 'missing_columns' ELSE 'ok' END AS status, true AS load_stopped FROM raw",
+        ),
         "header_audit": with_ctes(
             RAW_CTE,
             body="SELECT DISTINCT _source_year AS year, "
