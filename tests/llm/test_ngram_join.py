@@ -73,6 +73,25 @@ def test_tree_never_drops_a_link():
     assert [root(found, i) for i in range(len(sets))] == [root(parent, i) for i in range(len(sets))]
 
 
+def bridged():
+    """A and B link through X only: J(A, X) and J(X, B) reach 0.85, J(A, B) does not."""
+    a = [f"w{i}" for i in range(100)]
+    x = [*a[:96], "x1", "x2", *a[98:]]
+    b = [*x[:3], "y1", "y2", *x[5:]]
+    return " ".join(a), " ".join(x), " ".join(b)
+
+
+@pytest.mark.parametrize("middle", [None, 3, 1])
+def test_links_through_a_row_without_an_id_or_under_a_repeated_one(spark, middle):
+    a, x, b = bridged()
+    rows = [(1, a), (middle, x), (2, b), (None, "some other text that has nobody near it")]
+    assert all(jaccard_components(list(enumerate(t)), 4, 85)[-1][1] == 0 for t in ((a, x), (x, b)))
+    assert jaccard_components([(0, a), (1, b)], 4, 85)[-1][1] == 1
+    got = ngram_join.jaccard_components(frame(spark, rows)).collect()
+    assert [r["component_id"] for r in got if r["doc_id"] in (1, 2)] == [1] * (3 if middle == 1 else 2)
+    assert sorted(r["component_id"] is None for r in got) == [False] * 3 + [True]  # the lone row without an id
+
+
 def test_band_count_follows_the_threshold():
     for percent in (80, 85, 95):
         assert (1 - (percent / 100) ** ngram_join.ROWS) ** ngram_join.bands_for(percent) <= ngram_join.MISS

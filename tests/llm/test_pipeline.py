@@ -84,6 +84,31 @@ def test_near_duplicate_stage_keeps_texts_under_one_id_and_drops_copies_without_
     assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=key) == sorted([rows[0], rows[1], rows[3], rows[6], rows[8], rows[10], rows[11]], key=key)
 
 
+def test_near_duplicate_stage_links_through_a_row_without_an_id(spark):
+    a = [f"w{i}" for i in range(100)]
+    x = [*a[:97], "x1", *a[98:]]
+    b = [*x[:3], "y1", *x[4:]]
+    docs = spark.createDataFrame([(1, " ".join(a), "en"), (None, " ".join(x), "en"), (2, " ".join(b), "en")], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in pipeline.keep_one_of_near_duplicates(spark, docs, SF).collect()] == [1]
+
+
+CLASHES = ("_score", "_lang_pred", "_known", "_text_hash", "_row_hash", "_class_id", "_removal_id", "_spans", "_n_units", "doc", "row", "none",
+           "high", "label", "class_id", "n", "digest", "a.b", "_n_removed")
+
+
+def test_stages_keep_columns_that_bear_names_of_their_own(spark):
+    rows = edge_rows()
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or ""), *(f"{c} {i}" for c in CLASHES)) for i, (d, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES)).repartition(2)
+    for name, stage in pipeline.STAGES[:-1]:
+        out = pipeline.save(stage(spark, docs, SF), f"test-clash-{name}")
+        assert out.dtypes == docs.dtypes
+        for r in out.collect():
+            number = r["doc"].split()[1]
+            assert all(r[c] == f"{c} {number}" for c in CLASHES) and r["doc_id"] == rows[int(number)][0]
+        assert out.count() > 0
+
+
 def without_repeats(rows):
     """{id: text} by the rules of growing windows, written out plainly for tables of unique ids and ASCII or Latin words."""
     windows, units = [], {}

@@ -31,9 +31,22 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+#: Rows and bytes that Spark hands a task's Python at a time, where the session does not say otherwise.
+BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+                "spark.sql.execution.arrow.maxBytesPerBatch": (None, "8388608")}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than Spark's default: a task holds a batch more than once, and texts are long."""
+    for key, (default, value) in BATCH_LIMITS.items():
+        if spark.conf.get(key, default) in (default, None):
+            spark.conf.set(key, value)
+
+
 def map_batches(df: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` with this package importable in the tasks."""
+    """``mapInArrow`` with this package importable in the tasks, in bounded batches."""
     ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 

@@ -1,7 +1,8 @@
 """N-gram Jaccard join with signature trees.
 
-Texts are sets of word shingles. Texts with equal sets form a class, classes
-that share a MinHash band form a candidate cluster, and inside a cluster
+Texts are sets of word shingles. Texts with equal sets (by 128 bits of hash) form a
+class, named by one of its rows, so that rows without an id or under a repeated one
+are texts like any other. Classes that share a MinHash band form a candidate cluster, and inside a cluster
 signature trees find the links: a node holds the OR of its members' token
 bitmaps and their size range, and a dual traversal drops node pairs whose
 largest possible overlap is too small. What is left is compared exactly.
@@ -17,7 +18,7 @@ classes meet.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vetrow.llm.common import components, map_batches, save, save_counted, tasks_for
+from vetrow.llm.common import boxed, components, map_batches, save, tasks_for
 
 WORDS = 4
 PERCENT = 85
@@ -89,46 +90,40 @@ class MinHash:
         return out.view(np.int64)
 
 
-def _class_id(s: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
+#: Texts that are cut into shingles before they are passed on.
+TEXTS_AT_ONCE = 200
 
 
-def with_class_id(docs: DataFrame, *, text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """All columns and ``_class_id`` (replaced where it exists), the hash of the text's shingle set as in ``signatures``."""
-    rows = docs.drop("_class_id")
-    place = rows.columns.index(text_col)
+def set_hash(s: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set: at 10^11 sets two differing ones meet with a chance below 10^-16."""
+    whole = xxhash.xxh3_128_intdigest(s.tobytes())
+    return (whole >> 64) - (1 << 63), (whole & ((1 << 64) - 1)) - (1 << 63)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = (shingles(t.as_py(), words) for t in batch.column(place))
-            ids = pa.array([_class_id(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "_class_id"])
-
-    return map_batches(rows, run, T.StructType([*rows.schema.fields, T.StructField("_class_id", T.LongType())]))
 
-
-def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, class_id, bands``: the set's size, its hash and its band keys (both null if it is empty)."""
+def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
+               carry: Sequence[str] | None = None) -> DataFrame:
+    """``doc`` (the carried columns; None: all), ``doc_id``, ``text`` (unless it is carried), ``n_shingles`` and, unless
+    there is no shingle, ``high, low`` (the set's hash) and ``bands``."""
     count = bands_for(percent)
+    kept = ["doc", "doc_id"] if carry is None or text_col in carry else ["doc", "doc_id", "text"]
+    rows = docs.select(boxed(docs, carry), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing = MinHash(count)
         for batch in batches:
-            ids, texts = batch.column(0).cast(pa.int64()), batch.column(1)
-            for at in range(0, batch.num_rows, 1000):
-                sets = [shingles(t.as_py(), words) for t in texts[at: at + 1000]]
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                sets = [shingles(t.as_py(), words) for t in part.column("text")]
                 full = [i for i, s in enumerate(sets) if len(s)]
-                bands = [None] * len(sets)
+                hashes, bands = [(None, None)] * len(sets), [None] * len(sets)
                 if full:
                     for i, keys in zip(full, hashing.keys([sets[i] for i in full])):
-                        bands[i] = keys
-                yield pa.RecordBatch.from_arrays([
-                    ids.slice(at, 1000), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_class_id(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "class_id", "bands"])
+                        hashes[i], bands[i] = set_hash(sets[i]), keys
+                found = [pa.array([len(s) for s in sets], pa.int64()), *(pa.array(h, pa.int64()) for h in zip(*hashes)), pa.array(bands, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *found], [*kept, "n_shingles", "high", "low", "bands"])
 
-    return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col)), run,
-                       "doc_id long, n_shingles long, class_id long, bands array<long>")
+    longs = [T.StructField(n, T.LongType()) for n in ("n_shingles", "high", "low")]
+    return map_batches(rows, run, T.StructType([*(rows.schema[c] for c in kept), *longs, T.StructField("bands", T.ArrayType(T.LongType()))]))
 
 
 @dataclass
@@ -257,7 +252,7 @@ def _with_tasks(members: DataFrame, percent: int, block: int) -> DataFrame:
             F.ceil(F.col("k") / block), F.ceil(F.col("volume") / SHINGLES_PER_BLOCK)).cast("int")))).alias("blocks"))
     row = staged.join(plans, "cluster")
     own, up, down = (F.coalesce(F.try_element_at("blocks", F.col("c") + d), F.lit(0)) for d in (0, 1, -1))
-    row = row.select("class_id", "cluster", "doc_id", "n", "c", "size", "volume", own.alias("own"), up.alias("up"), down.alias("down"),
+    row = row.select("class_id", "cluster", "n", "c", "size", "volume", own.alias("own"), up.alias("up"), down.alias("down"),
                      F.pmod(F.xxhash64("class_id", F.lit(3)), own).cast("int").alias("i"))
 
     def task(c1, i1, c2, i2, side):
@@ -273,24 +268,22 @@ def _with_tasks(members: DataFrame, percent: int, block: int) -> DataFrame:
         each(F.col("down"), lambda j: task(c - 1, j, c, i, F.lit(1))))
     few = F.array(F.struct(F.xxhash64("cluster").alias("task"), F.lit(0).alias("side")))
     whole = (F.col("size") <= block) & (F.col("volume") <= SHINGLES_PER_BLOCK)
-    return row.select("class_id", "doc_id", "n", F.when(whole, few).otherwise(many).alias("tasks"))
+    return row.select("class_id", "n", F.when(whole, few).otherwise(many).alias("tasks"))
 
 
-def _links(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, block: int) -> DataFrame:
-    """(a, b) linked classes that connect every component; ``members``: class_id, cluster, doc_id, n."""
+def _links(members: DataFrame, sig: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+    """(a, b) linked classes that connect every component; ``members``: class_id, cluster, n; ``sig``: row, text."""
     members = save(_with_tasks(members, percent, block), "ngram-tasks")
     volume = members.select(F.sum(F.col("n") * F.size("tasks"))).first()[0] or 0
-    # by a shuffle at every size: how many texts are candidates grows with the table
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(members.hint("merge"), "doc_id")
+    # one row a class, by a shuffle at every size: how many texts are candidates grows with the table
+    texts = sig.select(F.col("row").alias("class_id"), "text").join(members.hint("merge"), "class_id").select("class_id", "tasks", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t.as_py(), words) for t in batch.column("text")]
-            ids = batch.column("class_id").to_pylist()
-            same = pa.array([len(s) > 0 and _class_id(s) == c for s, c in zip(found, ids)], pa.bool_())
-            out = pa.RecordBatch.from_arrays(
-                [batch.column("class_id"), batch.column("tasks"), pa.array([s.tobytes() for s in found], pa.binary())], ["class_id", "tasks", "shingles"])
-            yield out.filter(same)  # another text under a repeated id
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                found = pa.array([shingles(t.as_py(), words).tobytes() for t in part.column("text")], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("class_id"), part.column("tasks"), found], ["class_id", "tasks", "shingles"])
 
     own = map_batches(texts, sets, "class_id long, tasks array<struct<task:long,side:int>>, shingles binary")
     dealt = own.select("class_id", "shingles", F.explode("tasks").alias("t")).select("t.task", "t.side", "class_id", "shingles")
@@ -299,49 +292,60 @@ def _links(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, word
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by task; a task's sets are bounded by the blocks."""
         def links(rows: list) -> pa.RecordBatch | None:
-            unique = {(c, s): raw for c, s, raw in rows}
-            if len(unique) < 2:
+            if len(rows) < 2:
                 return None
-            keys = list(unique)
-            pairs = spanning_links([np.frombuffer(unique[k], np.uint64) for k in keys], [s for _, s in keys], percent)
-            return pa.RecordBatch.from_arrays([pa.array([keys[i][0] for i, _ in pairs], pa.int64()),
-                                               pa.array([keys[j][0] for _, j in pairs], pa.int64())], ["a", "b"])
+            pairs = spanning_links([np.frombuffer(raw, np.uint64) for _, _, raw in rows], [s for _, s, _ in rows], percent)
+            return pa.RecordBatch.from_arrays([pa.array([rows[i][0] for i, _ in pairs], pa.int64()),
+                                               pa.array([rows[j][0] for _, j in pairs], pa.int64())], ["a", "b"])
         held, current = [], None
         for batch in batches:
-            for task, side, class_id, raw in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            tasks, sides, ids = (batch.column(k).to_pylist() for k in range(3))
+            for task, side, class_id, raw in zip(tasks, sides, ids, batch.column(3)):
                 if task != current:
                     if (out := links(held)) is not None:
                         yield out
                     held, current = [], task
-                held.append((class_id, side, raw))
+                held.append((class_id, side, raw.as_py()))
         if (out := links(held)) is not None:
             yield out
 
     return map_batches(dealt.repartition(parts, "task").sortWithinPartitions("task"), join, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                       percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """``doc_id, n_shingles, class_id, label, component_id`` of every row: two texts link when 100 times their shared
-    shingles reach ``percent`` times those of either; ``component_id`` is the smallest id reachable by links, ``label``
-    the component's smallest class, which tells components apart where ids repeat or are missing.
-
-    Null, empty and blank texts have no shingle and link with nothing; equal sets (and so repeated
-    rows) share a class; other columns are ignored."""
-    sig = save(signatures(docs, id_col=id_col, text_col=text_col, words=words, percent=percent), "ngram-signatures")
-    classes = save(sig.where("class_id is not null").groupBy("class_id").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.any_value("bands").alias("bands")), "ngram-classes")
+def linked_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
+                block: int = BLOCK, carry: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): every row as ``signatures`` gives it, with ``row``, a number of its own; and for each set of
+    shingles (``high, low``) its ``class_id, label, component_id`` as in ``jaccard_components``. Texts are cut into
+    shingles once here and, where they are candidates, once more."""
+    sig = save(signatures(docs, id_col=id_col, text_col=text_col, words=words, percent=percent, carry=carry).withColumn(
+        "row", F.monotonically_increasing_id()), "ngram-signatures")
+    texts = sig.select("row", (F.col("text") if "text" in sig.columns else F.col("doc").getField(text_col)).alias("text"))
+    classes = save(sig.where("high is not null").groupBy("high", "low").agg(
+        F.min("row").alias("class_id"), F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"),
+        F.any_value("bands").alias("bands")), "ngram-classes")
     banded = classes.select("class_id", F.explode("bands").alias("band"))
     heads = banded.groupBy("band").agg(F.min("class_id").alias("head"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
     meets = banded.join(heads, "band").where("class_id <> head").select(F.col("class_id").alias("a"), F.col("head").alias("b"))
     clusters = components(meets, "ngram-clusters")
-    members = classes.select("class_id", "doc_id", "n").join(
+    members = classes.select("class_id", "n").join(
         clusters.select(F.col("node").alias("class_id"), F.col("component").alias("cluster")), "class_id")
-    labels = components(_links(members, docs, id_col, text_col, words, percent, block), "ngram-links")
-    owned = classes.select("class_id", "doc_id").join(
+    labels = components(_links(members, texts, words, percent, block), "ngram-links")
+    owned = classes.select("high", "low", "class_id", "doc_id").join(
         labels.select(F.col("node").alias("class_id"), F.col("component").alias("label")), "class_id", "left").select(
-        "class_id", "doc_id", F.coalesce("label", "class_id").alias("label"))
+        "high", "low", "class_id", "doc_id", F.coalesce("label", "class_id").alias("label"))
     least = owned.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = owned.join(least, "label").select("class_id", "label", "component_id")
-    return sig.select("doc_id", "n_shingles", "class_id").join(named, "class_id", "left").select(
+    return sig, owned.join(least, "label").select("high", "low", "class_id", "label", "component_id")
+
+
+def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                       percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """``doc_id, n_shingles, class_id, label, component_id`` of every row: two texts link when 100 times their shared
+    shingles reach ``percent`` times those of either; ``component_id`` is the smallest id reachable by links, ``label``
+    the component's smallest class, which tells components apart where ids repeat or are missing.
+
+    Null, empty and blank texts have no shingle and link with nothing; equal sets (and so repeated
+    rows) share a class; a row without an id links like any other; texts are read whole at any length; other columns
+    are ignored. ``class_id`` and ``label`` are row numbers of this run."""
+    rows, classes = linked_rows(docs, id_col=id_col, text_col=text_col, words=words, percent=percent, block=block, carry=(id_col,))
+    return rows.select("doc_id", "n_shingles", "high", "low").join(classes, ["high", "low"], "left").select(
         "doc_id", "n_shingles", "class_id", "label", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -189,7 +189,23 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY, slack: int = SLACK, fan
     sequences = final[0]
     for more in final[1:]:
         sequences = sequences.unionByName(more)
-    placed = sequences.withColumn("sequence_id", F.monotonically_increasing_id())
-    rows = placed.select("sequence_id", "members", F.posexplode("members").alias("at", "m"))
-    before = F.aggregate(F.slice("members", F.lit(1), F.col("at")), F.lit(0).cast("long"), lambda acc, x: acc + x["length"])
-    return rows.select("m.*", "sequence_id", before.alias("offset"))
+    placed = sequences.select("members", F.monotonically_increasing_id().alias("sequence_id"))
+    return map_batches(placed, _place_members, _PLACED)
+
+
+_PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+
+
+def _place_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sequences as their members, each with the sequence's number and its place there."""
+    for batch in batches:
+        lists = batch.column("members")
+        members = lists.flatten()
+        counts = lists.value_lengths().to_numpy(zero_copy_only=False)
+        lengths = members.field("length").to_numpy(zero_copy_only=False)
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        firsts = np.concatenate([[0], np.cumsum(counts)])[:-1]
+        offsets = before[:-1] - np.repeat(before[firsts], counts)
+        columns = [members.field(n) for n in ("doc_id", "piece", "start", "length", "ids_crc32")]
+        columns += [pa.array(np.repeat(batch.column("sequence_id").to_numpy(), counts)), pa.array(offsets, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])

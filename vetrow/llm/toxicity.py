@@ -36,7 +36,7 @@ AFFIX = (4, 5, 6)
 #: Entries in so many of the toxic texts, and so surely toxic, are taken whether or not others explain the same texts.
 COMMON, SURE = 0.03, 0.98
 PREDICT_AT = 0.3
-TABLE_TOKENS = 400_000
+TABLE_TOKENS = 150_000
 
 # Signs that stand for letters, by the usual look-alikes.
 LOOKALIKES = {
