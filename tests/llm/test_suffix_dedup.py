@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from brute import CLASHING, counted, edge_rows, frame, repeated_bytes
 
@@ -69,5 +70,40 @@ def test_maximal_repeats_hold_all_occurrences():
     assert {w: p for w, p in got.items()} == want
 
 
+def test_strings_that_meet_in_32_bits_of_hash(spark):
+    """Two documents that share 16 bytes, around which 32-bit hashes agree, and nothing else; beside them a true copy, and
+    documents that share 50 bytes of one of them."""
+    one, two = "ghiwquffbhlru vpgmxlynzfnjspvkpfbrumjxteenubulqr p", "sdkebpynjldmcfxwvmxlynzfnjspvkpfbpwiczjntunkjbizsj"
+    assert suffix_dedup.anchors([one.encode()])[4][0] == suffix_dedup.anchors([two.encode()])[4][0]
+    rows = [(1, one), (2, two)]
+    assert [r["n_removed"] for r in suffix_dedup.remove_repeats(frame(spark, rows)).collect()] == [0, 0]
+    rows += [(3, two), (4, "x" + one), (5, two + "y"), (6, one), (6, one)]
+    assert results(suffix_dedup.remove_repeats(frame(spark, rows))) == counted(repeated_bytes(rows))
+
+
+def test_documents_that_meet_in_their_row_hash():
+    ids = list(range(2000))
+    checks = suffix_dedup.check_bits(ids)
+    assert len(np.unique(checks)) > 1900
+    uid = np.full(2, 77, np.uint64)
+    batch = suffix_dedup._removals([(uid, np.array([0, 100]), np.array([50, 160]), np.array([1, 2]))], 8, 1)
+    found = suffix_dedup._load(batch.column("payload")[0].as_py())
+    assert sorted(zip(*(c.tolist() for c in found[1:]))) == sorted([(0, 50, int(checks[1])), (100, 160, int(checks[2]))])
+
+
+def test_equal_strings_by_128_bits():
+    n = 300
+    rng = np.random.default_rng(1)
+    same = {"h": rng.integers(0, 5, n).astype(np.uint64), "one": rng.integers(0, 2, n).astype(np.uint64), "two": rng.integers(0, 2, n).astype(np.uint64),
+            "size": np.full(n, 50), "doc": rng.integers(0, 9, n), "uid": np.arange(n).astype(np.uint64), "start": np.arange(n)}
+    stay, gone, clash = suffix_dedup.first_documents(same)
+    least = {}
+    for h, a, b, d in zip(same["h"], same["one"], same["two"], same["doc"]):
+        least[h, a, b] = min(d, least.get((h, a, b), 99))
+    want = {int(u) for u, h, a, b, d in zip(same["uid"], same["h"], same["one"], same["two"], same["doc"]) if d > least[h, a, b]}
+    assert set(gone[0].tolist()) == want and set(stay["uid"].tolist()) == set(range(n)) - want
+    assert clash.tolist() == [0, 1, 2, 3, 4]
+
+
 def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(frame(spark, [])).collect() == []
