@@ -21,7 +21,7 @@ Scale form, no window over a key (a hot key could hold a third of the data):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vetrow.operators.contract import REASONS_COL, is_valid
@@ -67,3 +67,37 @@ def flag_duplicates(contracted: DataFrame, spec: ContractSpec = SURVEY, *, folde
         F.col(spec.row_id) != F.col("_keeper"), F.array(F.lit(EXACT_DUPLICATE)))
     flagged = valid.withColumn(REASONS_COL, F.coalesce(flag, F.col(REASONS_COL))).select(*contracted.columns)
     return flagged.unionByName(contracted.where(~is_valid()))
+
+
+#: Row id of the published row that a rejected one repeats or contradicts.
+OTHER_ROW = "_other_row"
+
+
+def published_twins(evaluated: DataFrame, published: DataFrame, own_slice: Column, spec: ContractSpec = SURVEY, *,
+                    partition: str = "collection_year", folder: str | None = None) -> DataFrame:
+    """(row id, ``_other_row``, ``_same``): the valid rows whose key a published row of another slice holds, one row each.
+
+    Keys are unique on both sides: among valid rows once duplicates are flagged, and in the published table. Only its
+    partitions (years of the date in the key) that the slice has rows of are read, and of them the key, the compared
+    columns and the row id."""
+    key = list(spec.natural_key)
+    day = next(f.name for f in spec.fields if f.read_as == "date")
+    fingerprint = F.struct(*(F.col(c).alias(c) for c in spec.fingerprint))
+    valid = evaluated.where(is_valid())
+    years = [r[0] for r in valid.select(F.year(day)).distinct().collect()]  # as many as the calendar has
+    others = published.where(F.col(partition).isin(years) & ~F.coalesce(own_slice, F.lit(False)))
+    theirs = others.select(*key, F.col(spec.row_id).alias(OTHER_ROW), fingerprint.alias("_theirs"))
+    ours = valid.select(*key, spec.row_id, fingerprint.alias("_ours"))
+    twins = ours.join(theirs, key).select(spec.row_id, OTHER_ROW, F.col("_ours").eqNullSafe(F.col("_theirs")).alias("_same"))
+    return materialize(twins, "published-twins", folder)
+
+
+def flag_published(evaluated: DataFrame, published: DataFrame, own_slice: Column, spec: ContractSpec = SURVEY, *,
+                   partition: str = "collection_year", folder: str | None = None) -> DataFrame:
+    """Valid rows that repeat a row which another slice published are exact duplicates, those that contradict one are
+    conflicts; ``_other_row`` names it. Rejected rows stay as they are, and so does what is published."""
+    twins = published_twins(evaluated, published, own_slice, spec, partition=partition, folder=folder)
+    flagged = evaluated.join(twins, spec.row_id, "left")
+    reason = F.when(F.col("_same"), F.lit(EXACT_DUPLICATE)).otherwise(F.lit(DUPLICATE_CONFLICT))
+    reasons = F.when(F.col(OTHER_ROW).isNotNull(), F.array(reason)).otherwise(F.col(REASONS_COL))
+    return flagged.withColumn(REASONS_COL, reasons).select(*evaluated.columns, OTHER_ROW)

@@ -167,10 +167,31 @@ def _clean_tables(spark, sf_dir) -> str:
 
 def q_silver_table(spark, sf_dir):
     """The silver table that a clean run publishes, with its stamps."""
-    silver = spark.read.parquet(f"{_clean_tables(spark, sf_dir)}/silver")
+    silver = tables.read_table(spark, f"{_clean_tables(spark, sf_dir)}/silver")
     return _doubles(silver.select(*ACCEPTED_TYPED, ROW_ID, "collection_year", "_updated_at"))
 
 
+def q_published_twins(spark, sf_dir):
+    """What a later slice repeats or contradicts of an earlier one: clean rows up to 1997 are published, then those of 1997
+    and 1998 come again as another series, every other one of them at another price, with published rows kept."""
+    base = scratch_path(spark, f"tables/slices-{uuid.uuid4().hex}")
+    clean = raw(spark, sf_dir).join(accepted(spark, sf_dir).select(ROW_ID), ROW_ID).select(*RAW_COLUMNS, *LINEAGE_COLUMNS, ROW_ID)
+    first = clean.where("_source_year <= 1997")
+    repriced = F.regexp_extract("bairro", r"(\d+)$", 1).cast("int") % 2 == 0
+    second = clean.where("_source_year in (1997, 1998)").withColumns({
+        "_source_series": F.lit("dsas"), ROW_ID: F.concat(F.lit("again-"), ROW_ID),
+        "valor_de_venda": F.when(repriced, F.lit("9,9999")).otherwise(F.col("valor_de_venda"))})
+    tables.write_partitions(first.unionByName(second), f"{base}/bronze", layers.BRONZE_PARTITIONS)
+    for series in ("dsan", "dsas"):
+        layers.run_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/quarantine", series=series, spec=BINDING, rules=[],
+                          now=REJECTED_AT, keep_published=True)
+    rejected = tables.read_table(spark, f"{base}/quarantine").select(
+        ROW_ID, F.array_join(REASONS_COL, ",").alias("reasons"), "_other_row", F.lit("quarantine").alias("side"))
+    silver = tables.read_table(spark, f"{base}/silver").select(
+        ROW_ID, F.lit("").alias("reasons"), F.lit(None).cast("string").alias("_other_row"), F.lit("silver").alias("side"))
+    return rejected.unionByName(silver)
+
+
 def q_gold_snapshot(spark, sf_dir):
     """The weekly price mart as the gold run publishes it, read back from its newest version."""
     gold = tables.latest_snapshot(spark, f"{_clean_tables(spark, sf_dir)}/gold/price_by_state_product_week")
@@ -223,6 +244,7 @@ SURVEY_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_zero_year": q_first_zero_year,
     "product_units": q_product_units,
     "silver_table": q_silver_table,
+    "published_twins": q_published_twins,
     "gold_snapshot": q_gold_snapshot,
     "gate_verdict": q_gate_verdict,
     "quarantine_rows": q_quarantine_rows,

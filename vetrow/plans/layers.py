@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from vetrow.operators import marts, quality, tables
 from vetrow.operators.contract import apply_contract
-from vetrow.operators.duplicates import flag_duplicates
+from vetrow.operators.duplicates import flag_duplicates, flag_published
 from vetrow.operators.quarantine import Reconciliation, check_balance, split
 from vetrow.functions import fs
 from vetrow.session import materialize, scratch_path
@@ -133,9 +133,12 @@ def prepare_silver(accepted: DataFrame, *, updated_at: datetime) -> DataFrame:
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, quarantine_path: str, *,
                series: str | None = None, years: Sequence[int] | None = None, spec: ContractSpec = SURVEY,
-               rules: list[dict[str, Any]] | None = None, now: datetime | None = None) -> SilverRun:
+               rules: list[dict[str, Any]] | None = None, now: datetime | None = None, keep_published: bool = False) -> SilverRun:
     """slice -> evaluate -> split -> reconcile -> rules -> quarantine -> gate -> upsert.
 
+    A key that another slice has published is overwritten by the later run, unless ``keep_published``: then the later
+    row is quarantined, as a copy or a conflict, with the row id of the published one.
+
     The quarantine is written before the gate on purpose: when the gate stops
     the run, the rejected rows are the evidence. Nothing reaches silver then.
     The rolling four-week feed is excluded unless asked for by name."""
@@ -145,13 +148,23 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
         source = source.filter(F.col("_source_series") != "qus")
     folder = scratch_path(spark, f"runs/silver-{uuid.uuid4().hex}")
     try:
-        return _silver_steps(spark, source, silver_path, quarantine_path, series, years, spec, rules, stamp, folder)
+        return _silver_steps(spark, source, silver_path, quarantine_path, series, years, spec, rules, stamp, folder, keep_published)
     finally:
         fs.remove(spark, folder)  # the run's intermediate tables
 
 
-def _silver_steps(spark, source, silver_path, quarantine_path, series, years, spec, rules, stamp, folder) -> SilverRun:
-    parts = split(evaluate_once(source, spec, folder), rejected_at=stamp)
+def _scope(series, years):
+    """The slice's rows, of a table with lineage; the rolling feed is no part of a slice that does not name it."""
+    scope = tables.slice_predicate(series, years)
+    return scope if series is not None else scope & (F.col("_source_series") != "qus")
+
+
+def _silver_steps(spark, source, silver_path, quarantine_path, series, years, spec, rules, stamp, folder, keep_published) -> SilverRun:
+    evaluated = evaluate_once(source, spec, folder)
+    published = tables.read_table(spark, silver_path, merge_schema=False) if keep_published else None
+    if published is not None:
+        evaluated = materialize(flag_published(evaluated, published, _scope(series, years), spec, folder=folder), "judged", folder)
+    parts = split(evaluated, rejected_at=stamp)
 
     # one job counts all three sides (and the priced rows) independently
     metrics = {k: int(v) for k, v in quality.layer_metrics(source, parts.accepted, parts.rejected).first().asDict().items()}
@@ -161,10 +174,7 @@ def _silver_steps(spark, source, silver_path, quarantine_path, series, years, sp
     rule_list = quality.load_rules() if rules is None else list(rules)
     report_df = quality.run_rules({"accepted": parts.accepted}, quality.metrics_frame(spark, metrics), rule_list)
 
-    scope = tables.slice_predicate(series, years)
-    if series is None:
-        scope = scope & (F.col("_source_series") != "qus")
-    _replace_quarantine(spark, quarantine_path, parts.rejected, scope)
+    _replace_quarantine(spark, quarantine_path, parts.rejected, _scope(series, years))
 
     report_df_rows = report_df.collect()  # one row per rule
     report = quality.gate_rows(report_df_rows)  # raises DataQualityError on a critical breach

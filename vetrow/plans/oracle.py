@@ -350,6 +350,12 @@ SURVEY_ORACLES: dict[str, str] = {
         body="SELECT min(collection_year) AS first_zero_year FROM yearly WHERE ratio = 0",
     ),
     "product_units": binding_sql("SELECT DISTINCT product, unit FROM accepted"),
+    "published_twins": binding_sql(
+        "SELECT 'again-' || _source_row AS _source_row, CASE WHEN CAST(substr(bairro, 8) AS INTEGER) % 2 = 0 "
+        "THEN 'duplicate_key_conflict' ELSE 'exact_duplicate' END AS reasons, _source_row AS _other_row, 'quarantine' AS side "
+        "FROM accepted WHERE _source_year = 1997 "
+        "UNION ALL SELECT CASE WHEN _source_year = 1998 THEN 'again-' ELSE '' END || _source_row, '', NULL, 'silver' "
+        "FROM accepted WHERE _source_year <= 1998"),
     "silver_table": binding_sql(
         f"SELECT {TYPED_COLS}, _source_row, CAST(year(collection_date) AS INTEGER) AS collection_year, "
         "TIMESTAMP '2010-01-01' AS _updated_at FROM accepted"),

@@ -114,6 +114,31 @@ def q_table_versions(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _rerun(spark, sf_dir) -> str:
+    """A table that is created, upserted into, and upserted into once more with the same batch, one day's prices changed."""
+    path = scratch_path(spark, f"tables/rerun-{uuid.uuid4().hex}")
+    tables.upsert_table(spark, path, target(spark, sf_dir), KEY, PART)
+    batch = source(spark, sf_dir)
+    tables.upsert_table(spark, path, batch, KEY, PART)
+    changed = (F.col("order_year") == 2000) & (F.dayofmonth("o_orderdate") == 3)
+    tables.upsert_table(spark, path, batch.withColumn("o_totalprice", F.when(changed, F.lit(1.5)).otherwise(F.col("o_totalprice"))), KEY, PART)
+    return path
+
+
+def q_version_diff(spark, sf_dir):
+    """Rows by which a rerun's version differs from the one before."""
+    return tables.version_diff(spark, _rerun(spark, sf_dir), 2, 3, PART).select(*ORDER_COLS, "order_year", "_side")
+
+
+def q_partition_fingerprints(spark, sf_dir):
+    """For each year whether the rerun changed it, by fingerprints, with its rows."""
+    path = _rerun(spark, sf_dir)
+    before, after = (tables.read_table(spark, path, version=n) for n in (2, 3))
+    changed = tables.changed_partitions(before, after, PART).withColumn("changed", F.lit(True))
+    rows = tables.content_fingerprint(after, PART).select(*PART, F.col("_rows").alias("orders"))
+    return rows.join(changed, "order_year", "left").select("order_year", "orders", F.coalesce("changed", F.lit(False)).alias("changed"))
+
+
 TABLE_QUERIES = {
     "upsert": q_upsert,
     "upsert_changes": q_upsert_changes,
@@ -126,6 +151,8 @@ TABLE_QUERIES = {
     "replace_table": q_replace_table,
     "unpublished_change": q_unpublished_change,
     "table_versions": q_table_versions,
+    "version_diff": q_version_diff,
+    "partition_fingerprints": q_partition_fingerprints,
 }
 
 _O = "o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, " \
@@ -152,6 +179,8 @@ def _slice_sql():
     return with_ctes(RAW_CTE, body="SELECT * FROM raw WHERE _source_series = 'dsan' AND _source_year IN (1997, 1998)")
 
 
+_N = ("n AS (SELECT * REPLACE (CASE WHEN order_year = 2000 AND day(o_orderdate) = 3 THEN 1.5 ELSE o_totalprice END AS o_totalprice) FROM u)")
+
 TABLE_ORACLES = {
     "upsert": _with(_O, _T, _S, _U, body="SELECT * FROM u"),
     "upsert_changes": _with(
@@ -182,6 +211,16 @@ TABLE_ORACLES = {
     "slice_read": _slice_sql(),
     "upsert_table": _with(_O, _T, _S, _U, body="SELECT * FROM u"),
     "replace_table": _with(_O, _R, body="SELECT * FROM r"),
+    "version_diff": _with(
+        _O, _T, _S, _U, _N,
+        body="(SELECT *, 'left_only' AS _side FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM u)) "
+        "UNION ALL (SELECT *, 'right_only' AS _side FROM (SELECT * FROM u EXCEPT ALL SELECT * FROM n))",
+    ),
+    "partition_fingerprints": _with(
+        _O, _T, _S, _U, _N,
+        body="SELECT order_year, count(*) AS orders, order_year IN (SELECT order_year FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM u)) "
+        "AS changed FROM n GROUP BY order_year",
+    ),
     "unpublished_change": _with(_O, body="SELECT * FROM o"),
     "table_versions": _with(
         _O, _T, _S, _U,
