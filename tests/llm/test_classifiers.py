@@ -162,3 +162,20 @@ def test_toxicity_edge_table(spark):
     assert kept.columns == [c for c in docs.columns if c != "_score"] + ["_score"] and kept.count() == len(rows)
     none = toxicity.train(frame(spark, []), labels)
     assert none.lexicon == {} and toxicity.score(frame(spark, []), none).collect() == []
+
+
+def test_every_labelled_language_is_learned(spark, monkeypatch):
+    words = {"aa": "alpha beta gamma", "bb": "uno dos tres cuatro", "cc": "ichi ni san shi"}
+    rows = [(i, f"{words['aa']} {i} " * 3, "aa") for i in range(30)] + [(100 + i, f"{words['bb']} {i} " * 2000, "bb") for i in range(9)]
+    rows += [(200, words["cc"], "cc"), (201, None, "dd"), (202, "123", "ee"), (203, "some text", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = langid.training_sample(docs, id_col="doc_id", text_col="text", lang_col="lang")
+    by = {y: [t for t, g in sample if g == y] for y in {g for _, g in sample}}
+    assert set(by) == {"aa", "bb", "cc"} and len(by["bb"]) == langid.LONG_TEXTS
+    assert langid.train(docs).languages == ["aa", "bb", "cc"]
+    many = spark.createDataFrame([(i, f"{chr(0x4e00 + i // 4)}{chr(0x4e00 + i // 4)} word{i // 4} {i}", f"l{i // 4:03d}") for i in range(1200)],
+                                 "doc_id long, text string, lang string")
+    model = langid.train(many)
+    assert len(model.languages) == 300
+    right = langid.predict(many, model).join(many.select("doc_id", "lang"), "doc_id").where("lang_pred = lang").count()
+    assert right >= 1100

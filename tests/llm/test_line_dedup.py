@@ -7,7 +7,7 @@ from vetrow.llm import line_dedup
 def test_edge_table_against_brute_force(spark):
     rows = edge_rows()
     gone = unit_removals(rows)
-    out = line_dedup.dedup_units(frame(spark, rows, CLASHING)).collect()
+    out = line_dedup.dedup_units(frame(spark, rows, CLASHING), window=2).collect()
     assert len(out) == len(rows)
     want = {}
     for r, (d, text) in enumerate(rows):
@@ -32,7 +32,7 @@ def test_shared_passage_goes_even_between_sentences(spark):
     passage = "Here are words of a passage that many pages share. So it is. It has a few sentences, some quite short. Yes. And it ends here with these words."
     rows = [(3, f"Intro of the third page is this one here. {passage} Then the third page goes on alone."), (1, f"{passage}"),
             (2, f"Second pages begin in their own way as well. {passage}")]
-    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup_units(frame(spark, rows)).collect()}
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup_units(frame(spark, rows), window=2).collect()}
     assert out[1] == passage
     assert out[2] == "Second pages begin in their own way as well. "
     assert out[3] == "Intro of the third page is this one here. Then the third page goes on alone."

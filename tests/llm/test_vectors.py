@@ -104,6 +104,18 @@ def test_bounds_hold_for_most_pairs():
     assert ((lower <= exact + 1e-9) & (exact <= upper + 1e-9)).mean() > 0.99
 
 
+def test_every_length_is_searched(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.standard_normal(8 if i < 60 else 4)]) for i in range(100)] + [(200, [1.0])]
+    got = {}
+    for r in ann.nearest_neighbours(frame(spark, rows, "double"), F.col("vec_id") % 10 == 0, k=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    for q in range(0, 100, 10):
+        near = sorted((math.dist(v, rows[q][1]), i) for i, v in rows if i != q and len(v) == len(rows[q][1]))[:5]
+        assert got[q] == [i for _, i in near]
+    assert 200 not in got  # alone of its length
+
+
 def test_fewer_rows_than_asked_for(spark):
     rows = [(0, [1.0] * 4), (1, [2.0] * 4), (2, [1.0, 1.0, 1.0, 2.0])]
     got = ann.nearest_neighbours(frame(spark, rows), F.col("vec_id") == 0).orderBy("rank").collect()

@@ -153,14 +153,21 @@ def nearest_neighbours(df: DataFrame, is_query, *, id_col: str = "vec_id", vecto
     precision) of every row that ``is_query`` (a condition on ``vec_id``) picks, among all rows with another id.
     Ties go to the smaller id; fewer rows than ``k`` give all of them.
 
-    Vectors that are null, empty, zero or hold null or non-finite components, rows without an id, and vectors
-    of another length than the commonest take no part. A repeated id is one row of the index for each of its
-    rows and one query for each distinct vector; other columns are ignored."""
+    Vectors that are null, empty, zero or hold null or non-finite components and rows without an id take no part. A
+    vector's neighbours are among those of its length; each length that is asked for has an index of its own. A repeated
+    id is one row of the index for each of its rows and one query for each distinct vector; other columns are ignored."""
     kind = component_type(df, vector_col)
     rows = save(as_bytes(df, id_col, vector_col).where("class_id is not null").select("vec_id", "dim", "vec"), "ann-vectors")
-    dims = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    dim = dims[0]["dim"] if dims else 1
-    rows = rows.where(F.col("dim") == dim)
+    lengths = [r["dim"] for r in rows.where(is_query).select("dim").distinct().orderBy("dim").collect()] or [1]
+    found = _found_among(rows.where(F.col("dim") == lengths[0]), is_query, kind, lengths[0], k)
+    for dim in lengths[1:]:
+        found = found.unionByName(_found_among(rows.where(F.col("dim") == dim), is_query, kind, dim, k))
+    ranked = found.dropDuplicates().withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")).cast("int"))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _found_among(rows: DataFrame, is_query, kind: np.dtype, dim: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score): each block's nearest rows, of vectors of one length."""
     centre = _centre(rows, kind, dim)
     index, count = save_counted(_indexed(rows, kind, centre), "ann-index")
     queries, asked = save_counted(index.where(is_query).select("vec_id", "vec").distinct(), "ann-queries")
@@ -173,6 +180,4 @@ def nearest_neighbours(df: DataFrame, is_query, *, id_col: str = "vec_id", vecto
     wanted = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("d"), block(query_blocks, 2).alias("q"), "vec_id", "vec",
                             F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("norm"), F.lit(None).cast("double").alias("fit"))
     dealt = held.unionByName(wanted).select((F.col("d") * query_blocks + F.col("q")).alias("task"), "vec_id", "vec", "code", "norm", "fit")
-    found = _search(dealt.repartition(tasks_for(blocks * query_blocks, 1), "task").sortWithinPartitions("task"), kind, centre, k)
-    ranked = found.dropDuplicates().withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")).cast("int"))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return _search(dealt.repartition(tasks_for(blocks * query_blocks, 1), "task").sortWithinPartitions("task"), kind, centre, k)

@@ -17,7 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,11 +26,12 @@ from vetrow.llm.common import map_batches, text_blocks
 UNDETERMINED = "und"
 LENGTHS = (1, 2, 3, 4)
 SLOTS = 1 << 15
-#: Bounds of what the classifier is fitted on: texts of each language, their length, landmarks of each language, languages.
-TRAINING_TEXTS = 250
-TRAINING_BYTES = 20_000
-LANDMARKS = 40
-MAX_LANGUAGES = 200
+#: Bounds of what the classifier is fitted on: texts of each language and their length, landmarks of each language; of many
+#: languages fewer each, so that all together stay near the second number. A language without a text of that length
+#: gives its shortest ones. The model itself has SLOTS numbers for each language.
+TRAINING_TEXTS, ALL_TEXTS = 250, 5000
+TRAINING_BYTES, LONG_TEXTS = 20_000, 4
+LANDMARKS, ALL_LANDMARKS = 40, 1200
 BLOCK_TEXTS = 64
 #: Trigrams that the training texts share are kept as a map of hashed slots, one bit each: those in so many texts of
 #: a language, and at least in two, so that no text and little junk with a label makes itself known.
@@ -133,9 +134,11 @@ class KernelModel:
 
 
 def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridge: float = 1e-2) -> KernelModel:
-    """Fit on labelled texts, in their order; the first ``landmarks`` of each language are the landmarks."""
+    """Fit on labelled texts, in their order; the first ``landmarks`` of each language are the landmarks (fewer, one at
+    least, where there would be more than ``ALL_LANDMARKS``)."""
     usable = [(t, y) for t, y in zip(texts, languages)]
     names = sorted({y for _, y in usable})
+    landmarks = max(1, min(landmarks, ALL_LANDMARKS // max(len(names), 1)))
     if not names:
         return KernelModel([], np.zeros((SLOTS, 0), np.float32), np.zeros(0, np.float32))
     seen, chosen = dict.fromkeys(names, 0), []
@@ -169,17 +172,25 @@ def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridg
 
 def training_sample(labelled: DataFrame, *, id_col: str, text_col: str, lang_col: str,
                     texts: int = TRAINING_TEXTS, max_bytes: int = TRAINING_BYTES) -> list[tuple[str, str]]:
-    """At most about ``texts`` whole texts of each of the ``MAX_LANGUAGES`` commonest languages, chosen by the
-    hash of their id among those of at most ``max_bytes``: a bounded sample, in a fixed order."""
-    usable = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.octet_length(text_col) <= max_bytes)
-                            & F.col(text_col).rlike(r"\p{L}"))
-    counts = usable.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGUAGES).collect()
+    """About ``texts`` whole texts of each language (fewer of many languages: ``ALL_TEXTS`` in all, two of each at least),
+    chosen by the hash of their id among those of at most ``max_bytes``, or the ``LONG_TEXTS`` shortest of a language that
+    has none: a bounded sample that keeps every label, in a fixed order. Ties go by hash, then by text."""
+    usable = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    short = F.octet_length(text_col) <= max_bytes
+    counts = usable.groupBy(lang_col).agg(F.count_if(short).alias("short")).collect()  # one row a language
     if not counts:
         return []
+    texts = max(2, min(texts, ALL_TEXTS // len(counts)))
     place = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("sample")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    share = F.create_map(*[x for r in counts for x in (F.lit(r[0]), F.lit(min(1.0, texts / r[1])))])
-    rows = usable.select(place.alias("place"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
-        F.col("place") < F.try_element_at(share, F.col("lang"))).collect()
+    usable = usable.select(place.alias("place"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), short.alias("short"))
+    rows = []
+    share = [x for r in counts if r["short"] for x in (F.lit(r[0]), F.lit(min(1.0, texts / r["short"])))]
+    if share:
+        rows += usable.where(F.col("short") & (F.col("place") < F.try_element_at(F.create_map(*share), F.col("lang")))).collect()
+    lost = {r[0] for r in counts} - {r["lang"] for r in rows}  # no short text, or none that the hash chose
+    if lost:
+        nearest = Window.partitionBy("lang").orderBy(F.octet_length("text"), "place", "text")
+        rows += usable.where(F.col("lang").isin(*lost)).withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= LONG_TEXTS).collect()
     rows.sort(key=lambda r: (r["place"], r["text"]))
     return [(r["text"], r["lang"]) for r in rows]
 

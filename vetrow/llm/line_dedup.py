@@ -94,18 +94,19 @@ def _occurrences(docs: DataFrame, unit: str, min_words: int, window: int | None)
 
 
 def repeated_units(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                   unit: str = "sentence", min_words: int = MIN_WORDS, window: int | None = 2) -> DataFrame:
+                   unit: str = "sentence", min_words: int = MIN_WORDS, window: int | None = None) -> DataFrame:
     """(doc_id, spans): ``start, end`` in characters of the windows of units that repeat an earlier one."""
     texts = docs.select(F.col(id_col).cast("long"), F.col(text_col)).where(F.col(text_col) != "")
     units = save(_occurrences(texts, unit, min_words, window), "units")
     rank = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "start")
-    first = units.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = units.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    first = save(first, "units-first")  # joined as a table, so that a common unit's rows are split or never dealt by it
     later = units.join(first, "digest").where(rank > F.col("first"))
     return later.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 
 def dedup_units(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                unit: str = "sentence", min_words: int = MIN_WORDS, window: int | None = 2) -> DataFrame:
+                unit: str = "sentence", min_words: int = MIN_WORDS, window: int | None = None) -> DataFrame:
     """All columns of ``docs``, the text without repeated units, and ``_n_units``, ``_n_removed`` (units),
     ``_removed_chars`` and ``_removed_spans`` (``start-end`` in characters of the original, adjacent units joined).
 
@@ -113,8 +114,8 @@ def dedup_units(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     document, with the same units removed where their texts are equal. A null text stays null,
     an empty one empty, both without units. Columns of these names are replaced.
 
-    ``window`` bounds the units that are compared together where they are short: two leave those that have
-    fewer than ``min_words`` words with either neighbour; None compares all (see ``unit_windows``)."""
+    ``window`` bounds the units that are compared together where they are short: None compares all (see
+    ``unit_windows``); two leave those that have fewer than ``min_words`` words with either neighbour."""
     removal = repeated_units(docs, id_col=id_col, text_col=text_col, unit=unit, min_words=min_words, window=window).select(
         F.col("doc_id").alias("_removal_id"), F.col("spans").alias("_spans"))
     added = ["_n_units", "_n_removed", "_removed_chars", "_removed_spans"]
