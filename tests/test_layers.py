@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from vetrow.operators import tables
+from vetrow.operators import tables, versions
 from vetrow.operators.contract import evaluate
 from vetrow.operators.quality import DataQualityError
 from vetrow.operators.quarantine import split
@@ -101,3 +101,54 @@ def test_rerun_after_gate_failure_cleans_the_slice(spark, bronze_paths):
     left = tables.read_table(spark, q)
     assert left is None or left.count() == 0  # the slice became clean: its quarantine is empty
     assert tables.read_table(spark, s).count() == 5351
+
+
+def test_a_split_that_loses_rows_stops_the_run(spark, bronze_paths, monkeypatch):
+    from vetrow.operators.quarantine import ReconciliationError, Split
+
+    real = layers.split
+    monkeypatch.setattr(layers, "split", lambda *a, **k: Split(real(*a, **k).accepted.where("product <> 'GNV'"), real(*a, **k).rejected))
+    s, q = f"{bronze_paths}/silver_lost", f"{bronze_paths}/quarantine_lost"
+    with pytest.raises(ReconciliationError, match="unaccounted"):
+        layers.run_silver(spark, f"{bronze_paths}/bronze", s, q, spec=BINDING, now=NOW, rules=[])
+    assert not tables.fs.exists(spark, s) and not tables.fs.exists(spark, q)
+
+
+def test_metrics_are_counted_while_the_sides_are_written(spark, bronze_paths):
+    from vetrow.operators import quality
+
+    source = spark.read.parquet(f"{bronze_paths}/bronze")
+    parts, metrics = layers.split_counted(source, BINDING, rejected_at=NOW)
+    assert metrics == quality.layer_metrics(source, parts.accepted, parts.rejected).first().asDict()
+
+
+def test_gold_refresh_builds_touched_years_only_and_equals_a_full_rebuild(spark, bronze_paths, tmp_path):
+    silver, gold, whole = (str(tmp_path / n) for n in ("silver", "gold", "whole"))
+    rows = layers.prepare_silver(split(evaluate(survey_rows(spark, SF_SMALL), BINDING)).accepted, updated_at=NOW)
+    key = list(BINDING.natural_key)
+    tables.upsert_table(spark, silver, rows.where("collection_date < '2000-01-01'"), key, layers.SILVER_PARTITIONS)
+    first = layers.refresh_gold(spark, silver, gold)
+    assert set(first) == set(layers.GOLD_TABLES) and first["purchase_price_coverage"] == [1995, 1996, 1997, 1998, 1999]
+    before = {n: versions.current(spark, f"{gold}/{n}").folders for n in first}
+    assert layers.refresh_gold(spark, silver, gold) == {n: [] for n in first}  # nothing new
+    changed = rows.where("collection_date >= '1996-12-20' and collection_date < '1997-03-01' and collection_date >= '1997-01-01'")
+    tables.upsert_table(spark, silver, changed.withColumn("sale_price", (F.col("sale_price") * 2).cast("decimal(9,4)")), key, layers.SILVER_PARTITIONS)
+    built = layers.refresh_gold(spark, silver, gold)
+    assert built == {"price_by_state_product_week": [1996, 1997], "purchase_price_coverage": [1997], "margin_by_state_week": [1996, 1997]}
+    for name, years in built.items():
+        after = versions.current(spark, f"{gold}/{name}").folders
+        kept = {f for f in before[name] if int(f.split("/")[0].split("=")[1]) not in years}
+        assert kept <= set(after) and not set(before[name]) - kept & set(after)
+    layers.refresh_gold(spark, silver, whole)
+    full = layers.build_gold(tables.read_table(spark, silver).drop("collection_year"))
+    for name in built:
+        mart = tables.read_table(spark, f"{gold}/{name}")
+        assert tables.content_diff(mart, full[name].select(mart.columns)).count() == 0
+        assert tables.content_diff(mart, tables.read_table(spark, f"{whole}/{name}")).count() == 0
+    versions.vacuum(spark, silver, keep=1)  # the version it was built from is gone: built whole again
+    tables.upsert_table(spark, silver, changed, key, layers.SILVER_PARTITIONS)
+    versions.vacuum(spark, silver, keep=1)
+    assert len(layers.refresh_gold(spark, silver, gold)["purchase_price_coverage"]) == 5
+    mart = tables.read_table(spark, f"{gold}/price_by_state_product_week")
+    full = layers.build_gold(tables.read_table(spark, silver).drop("collection_year"))["price_by_state_product_week"]
+    assert tables.content_diff(mart, full.select(mart.columns)).count() == 0

@@ -240,3 +240,21 @@ def test_rows_of_a_later_slice_are_held_against_what_is_published(spark, tmp_dir
     assert {r._source_row for r in tables.read_table(spark, paths[1]).collect()} == {"a1", "a2", "b3"}
     rejected = {r._source_row: (r._rejection_reasons, r._other_row) for r in tables.read_table(spark, paths[2]).collect()}
     assert rejected == {"b1": (["exact_duplicate"], "a1"), "b2": (["duplicate_key_conflict"], "a2"), "b4": (["sale_price_not_numeric"], None)}
+
+
+def test_a_range_opens_the_files_that_meet_it_only(spark, tmp_dir):
+    path = f"{tmp_dir}/t ü%20+"
+    rows = frame(spark, [(f"k{i:03d}", dt.date(2024, 1, 1) + dt.timedelta(days=i), float(i), 2024 + (i >= 366)) for i in range(500)])
+    tables.write_partitions(rows.repartitionByRange(10, "d"), path, ["y"])
+    whole = tables.read_table(spark, path)
+    span = (dt.date(2024, 3, 1), dt.date(2024, 3, 9))
+    undescribed = versions.read_between(spark, path, "d", *span)
+    versions.describe_files(spark, path, ["d", "k"])
+    assert versions.describe_files(spark, path, ["d", "k"]) == 0  # folders are described once
+    got = versions.read_between(spark, path, "d", *span)
+    want = whole.where(F.col("d").between(*map(F.lit, span)))
+    assert keys(got) == keys(want) == keys(undescribed) and got.count() == 9
+    assert len(got.inputFiles()) <= 2 < len(whole.inputFiles())
+    assert versions.read_between(spark, path, "k", "zzz", "zzzz").count() == 0
+    tables.replace_where(spark, path, rows.where("k = 'k061'").withColumn("k", F.lit("new")), F.col("y") == 2024, ["y"])
+    assert keys(versions.read_between(spark, path, "d", *span)) == ["new"]  # an undescribed folder is read whole

@@ -161,22 +161,13 @@ def version_diff(spark: SparkSession, path: str, older: int, newer: int, partiti
     """Rows by which two versions of a published table differ (``left_only``: in the newer one). Partitions that both
     versions hold in the same folders are not read."""
     old, new = (versions.current(spark, path, n) for n in (older, newer))
-    apart = [replace(v, folders=tuple(f for f in v.folders if f.rpartition("/")[0] in _differing(old, new))) for v in (new, old)]
+    apart = [replace(v, folders=tuple(f for f in v.folders if f.rpartition("/")[0] in versions.differing(old, new))) for v in (new, old)]
     whole = read_table(spark, path, version=newer)
     left, right = (versions.read(spark, path, v, True) if v.folders else (whole if whole is not None else read_table(spark, path, version=older)).limit(0)
                    for v in apart)
     return partitioned_diff(left, right, partition_by)
 
 
-def _differing(old: versions.Version, new: versions.Version) -> set[str]:
-    """Partitions that do not have the same folders in both versions."""
-    held = [{}, {}]
-    for folders, v in zip(held, (old, new)):
-        for f in v.folders:
-            folders.setdefault(f.rpartition("/")[0], set()).add(f)
-    return {p for p in {*held[0], *held[1]} if held[0].get(p) != held[1].get(p)}
-
-
 # --- on disk -------------------------------------------------------------------------
 
 

@@ -20,6 +20,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vetrow.functions import fs
 
@@ -80,6 +81,15 @@ def current(spark: SparkSession, root: str, number: int | None = None, partition
     return Version(0, tuple(f"{d}/{PLAIN_FILES}".lstrip("/") for d in held))
 
 
+def differing(old: Version, new: Version) -> set[str]:
+    """Partitions that do not have the same folders in both versions."""
+    held = [{}, {}]
+    for folders, v in zip(held, (old, new)):
+        for f in v.folders:
+            folders.setdefault(f.rpartition("/")[0], set()).add(f)
+    return {p for p in {*held[0], *held[1]} if held[0].get(p) != held[1].get(p)}
+
+
 def stage(df: DataFrame, root: str, partition_by: Sequence[str]) -> list[str]:
     """Write ``df`` into new folders inside its partitions, which no reader sees yet; their names below the root."""
     spark, name = df.sparkSession, f"v-{uuid.uuid4().hex}"
@@ -118,6 +128,52 @@ def read(spark: SparkSession, root: str, version: Version, merge_schema: bool) -
     return spark.read.option("mergeSchema", str(merge_schema).lower()).option("basePath", root).parquet(*paths)
 
 
+# --- figures of files ---------------------------------------------------------------
+
+STATS = "_stats"
+
+
+def describe_files(spark: SparkSession, root: str, columns: Sequence[str]) -> int:
+    """Write, for every folder of the newest version that has none yet, a table of its files with the least and the greatest
+    value of ``columns`` in each; returns how many folders were read. The tables lie beside the folders and stay valid, as
+    folders are never changed."""
+    found = current(spark, root)
+    described = set(fs.list_dirs(spark, f"{root}/{STATS}"))
+    fresh = [f for f in (found.folders if found else ()) if _stats_name(f) not in described]
+    for name in sorted({_stats_name(f) for f in fresh}):  # a write's folders together
+        own = [f"{root}/{f}" for f in fresh if _stats_name(f) == name]
+        rows = spark.read.option("basePath", root).parquet(*own).select(F.col("_metadata.file_path").alias("file"), *columns)
+        bounds = [x for c in columns for x in (F.min(c).alias(f"low_{c}"), F.max(c).alias(f"high_{c}"))]
+        rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), *bounds).coalesce(1).write.parquet(f"{root}/{STATS}/{name}")
+    return len(fresh)
+
+
+def _stats_name(folder: str) -> str:
+    return folder.rpartition("/")[2].replace(PLAIN_FILES, "plain")
+
+
+def read_between(spark: SparkSession, root: str, column: str, low, high) -> DataFrame:
+    """The rows of the newest version with ``column`` from ``low`` to ``high``. Of described folders only the files whose
+    bounds meet that range are listed and opened; the others are read whole."""
+    found = current(spark, root)
+    described = set(fs.list_dirs(spark, f"{root}/{STATS}"))
+    known = [f for f in found.folders if _stats_name(f) in described]
+    paths = [f"{root}/{f}" for f in found.folders if _stats_name(f) not in described]
+    if known:
+        figures = spark.read.parquet(*sorted({f"{root}/{STATS}/{_stats_name(f)}" for f in known}))
+        meets = (F.col(f"high_{column}") >= F.lit(low)) & (F.col(f"low_{column}") <= F.lit(high))
+        folder = F.regexp_replace("file", "/[^/]*$", "")
+        held = spark.createDataFrame([(f,) for f in known], "held string")  # a version's folders, not its files
+        inside = F.endswith(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))), F.concat(F.lit("/"), "held"))
+        files = figures.where(meets).select("file", folder.alias("folder")).join(held, inside).select(
+            F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B"))).alias("file"))
+        paths += [r["file"] for r in files.collect()]
+    if not paths:
+        return read(spark, root, found, False).limit(0)
+    rows = spark.read.option("basePath", fs.qualified(spark, root)).parquet(*paths)
+    return rows.where(F.col(column).between(F.lit(low), F.lit(high)))
+
+
 def vacuum(spark: SparkSession, root: str, keep: int = 2, *, orphans: bool = False) -> list[str]:
     """Remove all lists but the newest ``keep`` (one at least) and the folders that only they name. ``orphans`` also
     removes folders that no list names, which a dead writer left; leave it off while a writer is at work."""

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetrow.operators import marts, quality, tables
+from vetrow.operators import marts, quality, tables, versions
 from vetrow.operators.contract import REASONS_COL, apply_contract
-from vetrow.operators.quarantine import Split, layer_counts, reason_histogram, split
+from vetrow.operators.quarantine import Split, balance, reason_histogram, split
 from vetrow.plans import layers
 from vetrow.plans.layers import evaluate_once
 from vetrow.session import scratch_path
@@ -90,16 +90,17 @@ def q_duplicate_flags(spark, sf_dir):
 
 
 def q_reconciliation(spark, sf_dir):
-    p = parts(spark, sf_dir)
-    return layer_counts(raw(spark, sf_dir), p.accepted, p.rejected)
+    """The layers' counts from the run's own figures, with what is missing between them."""
+    _, metrics = layers.split_counted(raw(spark, sf_dir), BINDING, rejected_at=REJECTED_AT)
+    return balance(quality.metrics_frame(spark, metrics).drop("with_purchase_price"))
 
 
 # --- quality rules -------------------------------------------------------------
 
 
 def _report(spark, sf_dir, types: tuple[str, ...] | None) -> DataFrame:
-    p = parts(spark, sf_dir)
-    metrics = quality.layer_metrics(raw(spark, sf_dir), p.accepted, p.rejected)
+    p, counted = layers.split_counted(raw(spark, sf_dir), BINDING, rejected_at=REJECTED_AT)
+    metrics = quality.metrics_frame(spark, counted)
     rules = quality.load_rules()
     if types is not None:
         rules = [r for r in rules if r["type"] in types]
@@ -115,8 +116,7 @@ def q_dq_report(spark, sf_dir):
 
 
 def q_layer_metrics(spark, sf_dir):
-    p = parts(spark, sf_dir)
-    return quality.layer_metrics(raw(spark, sf_dir), p.accepted, p.rejected)
+    return quality.metrics_frame(spark, layers.split_counted(raw(spark, sf_dir), BINDING, rejected_at=REJECTED_AT)[1])
 
 
 # --- gold ------------------------------------------------------------------------
@@ -171,6 +171,55 @@ def q_silver_table(spark, sf_dir):
     return _doubles(silver.select(*ACCEPTED_TYPED, ROW_ID, "collection_year", "_updated_at"))
 
 
+def q_gold_refresh(spark, sf_dir):
+    """The weekly price mart after silver's year 1998 got new prices and only the years it touches were built anew."""
+    base = scratch_path(spark, f"tables/refresh-{uuid.uuid4().hex}")
+    rows = layers.prepare_silver(accepted(spark, sf_dir), updated_at=REJECTED_AT)
+    tables.upsert_table(spark, f"{base}/silver", rows, BINDING.natural_key, layers.SILVER_PARTITIONS)
+    layers.refresh_gold(spark, f"{base}/silver", f"{base}/gold")
+    later = tables.read_table(spark, f"{base}/silver").where("collection_year = 1998").withColumn(
+        "sale_price", (F.col("sale_price") + 1).cast(BINDING.price_type))
+    tables.upsert_table(spark, f"{base}/silver", later, BINDING.natural_key, layers.SILVER_PARTITIONS)
+    built = layers.refresh_gold(spark, f"{base}/silver", f"{base}/gold")["price_by_state_product_week"]
+    mart = tables.read_table(spark, f"{base}/gold/price_by_state_product_week")
+    return _doubles(mart.withColumn("built_anew", F.col("collection_year").isin(built)))
+
+
+def q_stopped_run(spark, sf_dir):
+    """What a run with breaches and then one without leave: whether the gate stopped it, and the rows of both tables."""
+    base = _clean_tables(spark, sf_dir)
+    tables.write_partitions(raw(spark, sf_dir), f"{base}/all", layers.BRONZE_PARTITIONS)
+    runs = []
+    for run, bronze in (("breach", f"{base}/all"), ("clean", f"{base}/bronze")):
+        try:
+            layers.run_silver(spark, bronze, f"{base}/{run}/silver", f"{base}/{run}/quarantine", spec=BINDING, now=REJECTED_AT)
+            stopped = False
+        except quality.DataQualityError:
+            stopped = True
+        sides = [tables.read_table(spark, f"{base}/{run}/{side}") for side in ("silver", "quarantine")]
+        silver, quarantine = (0 if side is None else side.count() for side in sides)
+        runs.append((run, stopped, silver, quarantine))
+    return spark.createDataFrame(runs, "run string, stopped boolean, silver_rows long, quarantine_rows long")
+
+
+def q_bronze_slice(spark, sf_dir):
+    """Two years of one series, read from a bronze table on disk that holds two series of all years."""
+    path = scratch_path(spark, f"tables/slice-{uuid.uuid4().hex}")
+    rows = raw(spark, sf_dir)
+    tables.write_partitions(rows.unionByName(rows.withColumn("_source_series", F.lit("glp"))), path, layers.BRONZE_PARTITIONS)
+    return layers.read_slice(spark, path, "dsan", [1997, 1998]).select(*rows.columns)
+
+
+def q_silver_between(spark, sf_dir):
+    """Six weeks of a silver table, from the files whose dates meet them."""
+    path = scratch_path(spark, f"tables/between-{uuid.uuid4().hex}")
+    rows = layers.prepare_silver(accepted(spark, sf_dir), updated_at=REJECTED_AT).repartitionByRange(48, "collection_date")
+    tables.upsert_table(spark, path, rows, BINDING.natural_key, layers.SILVER_PARTITIONS)
+    versions.describe_files(spark, path, ["collection_date", "reseller_cnpj"])
+    found = versions.read_between(spark, path, "collection_date", date(1996, 12, 10), date(1997, 1, 20))
+    return _doubles(found.select(*ACCEPTED_TYPED, ROW_ID, "collection_year"))
+
+
 def q_published_twins(spark, sf_dir):
     """What a later slice repeats or contradicts of an earlier one: clean rows up to 1997 are published, then those of 1997
     and 1998 come again as another series, every other one of them at another price, with published rows kept."""
@@ -245,6 +294,10 @@ SURVEY_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_units": q_product_units,
     "silver_table": q_silver_table,
     "published_twins": q_published_twins,
+    "gold_refresh": q_gold_refresh,
+    "stopped_run": q_stopped_run,
+    "bronze_slice": q_bronze_slice,
+    "silver_between": q_silver_between,
     "gold_snapshot": q_gold_snapshot,
     "gate_verdict": q_gate_verdict,
     "quarantine_rows": q_quarantine_rows,

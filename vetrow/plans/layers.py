@@ -3,9 +3,9 @@ reconcile, rules, quarantine, gate, upsert), gold (marts).
 
 Every run reads and writes tables by path; the caller owns the session. The
 silver run types and checks the slice once into a table in the shared
-checkpoint folder; every later step (duplicates, counts, rules, quarantine,
-upsert) reads that table, so nothing is parsed twice and a lost executor costs
-a re-read, not a recomputation.
+checkpoint folder, and writes its accepted and rejected rows once, counting them
+as it does; every later step (rules, quarantine, upsert) reads those tables, so
+nothing is parsed twice and a lost executor costs a re-read, not a recomputation.
 """
 
 from __future__ import annotations
@@ -16,15 +16,15 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from vetrow.operators import marts, quality, tables
+from vetrow.operators import marts, quality, tables, versions
 from vetrow.operators.contract import apply_contract
 from vetrow.operators.duplicates import flag_duplicates, flag_published
-from vetrow.operators.quarantine import Reconciliation, check_balance, split
+from vetrow.operators.quarantine import Reconciliation, Split, check_balance, split
 from vetrow.functions import fs
-from vetrow.session import materialize, scratch_path
+from vetrow.session import materialize, materialize_observed, scratch_path
 from vetrow.sources import audit as au
 from vetrow.sources import raw as rw
 from vetrow.spec import FINGERPRINT, SURVEY, ContractSpec
@@ -159,15 +159,25 @@ def _scope(series, years):
     return scope if series is not None else scope & (F.col("_source_series") != "qus")
 
 
-def _silver_steps(spark, source, silver_path, quarantine_path, series, years, spec, rules, stamp, folder, keep_published) -> SilverRun:
-    evaluated = evaluate_once(source, spec, folder)
-    published = tables.read_table(spark, silver_path, merge_schema=False) if keep_published else None
+def split_counted(source: DataFrame, spec: ContractSpec, *, folder: str | None = None, rejected_at: datetime | None = None,
+                  published: DataFrame | None = None, own_slice=None) -> tuple[Split, dict[str, int]]:
+    """The accepted and the rejected rows of a slice as tables, and the layer metrics, counted while they were made: the
+    source as the scan gave it, before any check; each side as it was written. Nothing is read again to be counted, and
+    what a faulty split loses is missing from the sides only."""
+    scanned = Observation(f"source-{uuid.uuid4().hex}")
+    evaluated = evaluate_once(source.observe(scanned, F.count(F.lit(1)).alias("rows")), spec, folder)
     if published is not None:
-        evaluated = materialize(flag_published(evaluated, published, _scope(series, years), spec, folder=folder), "judged", folder)
-    parts = split(evaluated, rejected_at=stamp)
+        evaluated = flag_published(evaluated, published, own_slice, spec, folder=folder)
+    parts = split(evaluated, rejected_at=rejected_at)
+    accepted, kept = materialize_observed(parts.accepted, "accepted", folder, priced=F.count("purchase_price"))
+    rejected, refused = materialize_observed(parts.rejected, "rejected", folder)
+    metrics = {"source": int(scanned.get["rows"]), "accepted": kept["rows"], "rejected": refused["rows"], "with_purchase_price": kept["priced"]}
+    return Split(accepted, rejected), metrics
 
-    # one job counts all three sides (and the priced rows) independently
-    metrics = {k: int(v) for k, v in quality.layer_metrics(source, parts.accepted, parts.rejected).first().asDict().items()}
+
+def _silver_steps(spark, source, silver_path, quarantine_path, series, years, spec, rules, stamp, folder, keep_published) -> SilverRun:
+    published = tables.read_table(spark, silver_path, merge_schema=False) if keep_published else None
+    parts, metrics = split_counted(source, spec, folder=folder, rejected_at=stamp, published=published, own_slice=_scope(series, years))
     if not metrics["source"]:
         raise EmptySliceError(f"no bronze row for series {series or 'any'} and years {list(years) if years else 'any'}")
     recon = check_balance(metrics["source"], metrics["accepted"], metrics["rejected"])
@@ -232,3 +242,46 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, *, keep_vers
         for name in paths:
             tables.prune_snapshots(spark, f"{gold_root}/{name}", keep_versions)
     return paths
+
+
+# Years of silver that a mart's year is made of, counted from it: a week belongs to the year of its Monday.
+REFRESHED = {
+    "price_by_state_product_week": (marts.weekly_price, (0, 1)),
+    "purchase_price_coverage": (marts.coverage, (0,)),
+    "margin_by_state_week": (marts.margin, (0, 1)),
+}
+GOLD_PARTITIONS = ("collection_year",)
+
+
+def _built_from(spark: SparkSession, root: str, built: versions.Version | None) -> int | None:
+    """The silver version that a mart's newest version was built from, if that is known."""
+    note = f"{root}/_sources/{built.number:06d}" if built else None
+    return int(fs.read_text(spark, note)) if note and fs.exists(spark, note) else None
+
+
+def refresh_gold(spark: SparkSession, silver_path: str, gold_root: str) -> dict[str, list[int]]:
+    """Bring each mart up to the newest silver version: only the years that silver changed since the mart was built (by the
+    folders of its versions, without reading them) are built anew, from the silver years that they are made of; the
+    others are carried over. Returns the years built. A mart without a known origin is built whole.
+
+    The marts are tables by year under ``gold_root``; a year's rows come from the same aggregate as in a full rebuild."""
+    silver = versions.current(spark, silver_path)
+    out = {}
+    for name, (build, offsets) in REFRESHED.items():
+        root = f"{gold_root}/{name}"
+        built = versions.current(spark, root)
+        origin = _built_from(spark, root, built)
+        known = origin in versions.numbers(spark, silver_path)
+        before = versions.current(spark, silver_path, origin) if known else versions.Version(0, ())
+        changed = {int(p.rpartition("=")[2]) for p in versions.differing(before, silver)}
+        years = sorted({y - o for y in changed for o in offsets})
+        out[name] = years
+        if not years:
+            continue
+        needed = sorted({y + o for y in years for o in offsets})
+        rows = tables.read_table(spark, silver_path, merge_schema=False).where(F.col("collection_year").isin(needed)).drop("collection_year")
+        mart = build(rows).where(F.col("collection_year").isin(years))
+        replaced = {versions.partition_name(spark, GOLD_PARTITIONS, (y,)) for y in years}
+        number = versions.publish(mart, root, built if known else None if built is None else versions.Version(built.number, ()), GOLD_PARTITIONS, replaced)
+        fs.create_text(spark, f"{root}/_sources/{number:06d}", str(silver.number))
+    return out

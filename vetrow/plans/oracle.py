@@ -350,6 +350,17 @@ SURVEY_ORACLES: dict[str, str] = {
         body="SELECT min(collection_year) AS first_zero_year FROM yearly WHERE ratio = 0",
     ),
     "product_units": binding_sql("SELECT DISTINCT product, unit FROM accepted"),
+    "gold_refresh": binding_sql(
+        WEEKLY_PRICE_BODY.replace("SELECT state,", "SELECT collection_year IN (1997, 1998) AS built_anew, * FROM (SELECT state,", 1).replace(
+            "FROM accepted", "FROM (SELECT * REPLACE (CAST(CASE WHEN year(collection_date) = 1998 THEN sale_price + 1 ELSE sale_price END "
+            "AS DECIMAL(9,4)) AS sale_price) FROM accepted)") + ")"),
+    "stopped_run": binding_sql(
+        "SELECT 'breach' AS run, true AS stopped, 0 AS silver_rows, (SELECT count(*) FROM rejected) AS quarantine_rows "
+        "UNION ALL SELECT 'clean', false, (SELECT count(*) FROM accepted), 0"),
+    "bronze_slice": binding_sql("SELECT * FROM raw WHERE _source_year IN (1997, 1998)"),
+    "silver_between": binding_sql(
+        f"SELECT {TYPED_COLS}, _source_row, CAST(year(collection_date) AS INTEGER) AS collection_year FROM accepted "
+        "WHERE collection_date BETWEEN DATE '1996-12-10' AND DATE '1997-01-20'"),
     "published_twins": binding_sql(
         "SELECT 'again-' || _source_row AS _source_row, CASE WHEN CAST(substr(bairro, 8) AS INTEGER) % 2 = 0 "
         "THEN 'duplicate_key_conflict' ELSE 'exact_duplicate' END AS reasons, _source_row AS _other_row, 'quarantine' AS side "

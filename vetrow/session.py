@@ -6,7 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -43,12 +43,18 @@ def materialize_counted(df: DataFrame, name: str = "table", folder: str | None =
     """``materialize`` plus the number of rows written, observed during the
     write itself (no second pass to count). The table is read back with the
     schema it was written with, so no footer has to be read to infer it."""
+    written, found = materialize_observed(df, name, folder)
+    return written, found["rows"]
+
+
+def materialize_observed(df: DataFrame, name: str = "table", folder: str | None = None, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``materialize`` plus ``rows`` and other counts (aggregates by name) of what was written, from the write itself."""
     spark = df.sparkSession
     base = folder or scratch_path(spark, "materialized")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
     observation = Observation(f"{name}-rows")
-    df.observe(observation, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), int(observation.get["rows"])
+    df.observe(observation, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in counts.items())).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), {n: int(v) for n, v in observation.get.items()}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
