@@ -13,7 +13,7 @@ equal anchors, so the work is dealt out by anchor:
    common-prefix intervals, testing that left extensions differ, gives the
    maximal repeats with all their occurrences, and from them what is removed;
    that strings are the same was found by 32 bits of hash, and is made sure here
-   by 128: where it is not so, the anchor's strings are dealt as differing ones;
+   by 96: where it is not so, the anchor's strings are dealt as differing ones;
 4. documents are put together with their removals.
 
 Equal strings are combined to the smallest document before each shuffle, so a
@@ -350,7 +350,7 @@ SAME_COLUMNS = ("h", "one", "two", "size", "doc", "uid", "start")
 
 def first_documents(same: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], tuple[np.ndarray, ...], np.ndarray]:
     """Of equal strings the rows of the smallest document; the others' (uid, start, end, document); and the anchors
-    that stand for more than one string. Strings are equal where anchor, 128 bits of hash and size are."""
+    that stand for more than one string. Strings are equal where anchor, hash and size are."""
     order = np.lexsort((same["doc"], same["size"], same["two"], same["one"], same["h"]))
     s = {c: v[order] for c, v in same.items()}
     if not len(order):
@@ -436,7 +436,8 @@ def _cut_strings(joined: DataFrame, buckets: int, slots: int, hot_keys: np.ndarr
         for b, (lo, hi) in zip(which, cuts):
             mode, h, string, size, doc_id, uid, starts = zip(*by_bucket[b]) if b in by_bucket else [()] * 7
             payload.append(_dump([
-                [same[c][lo:hi].astype(t) for c, t in zip(SAME_COLUMNS, (np.uint32, np.uint64, np.uint64, np.uint16, np.int64, np.uint64, np.uint32))],
+                [np.diff(same["h"][lo:hi], prepend=np.uint32(0)),
+                 *(same[c][lo:hi].astype(t) for c, t in zip(SAME_COLUMNS[1:], (np.uint64, np.uint32, np.uint16, np.int64, np.uint64, np.uint32)))],
                 np.array(mode, np.uint8), np.array(h, np.uint32), b"".join(string), np.array(size, np.uint16), np.array(doc_id, np.int64),
                 np.array(uid, np.uint64), np.array([len(s) for s in starts], np.uint32), np.array([s for o in starts for s in o], np.uint32)]))
         if which:
@@ -557,7 +558,7 @@ def _judge(dealt: DataFrame, slots: int, buckets: int) -> DataFrame:
         found, entries, parts = Strings(), [], []
         for payload in held:
             same, mode, h, raw, size, doc_id, uid, n, starts = _load(payload)
-            parts.append(same)
+            parts.append([np.cumsum(same[0], dtype=np.uint32), *same[1:]])
             at, begin = 0, 0
             for m, k, length, d, u, c in zip(mode.tolist(), h.tolist(), size.tolist(), doc_id.tolist(), uid.tolist(), n.tolist()):
                 entries.append((m, k, raw[begin: begin + length], d, u, starts[at: at + c].tolist()))
@@ -569,7 +570,7 @@ def _judge(dealt: DataFrame, slots: int, buckets: int) -> DataFrame:
             flat = [(k, string, d, u, s) for _, k, string, d, u, own in late for s in own]
             k, string, d, u, s = zip(*flat)
             digests = string_digests(string)
-            parts.append([np.array(k, np.uint32), digests[:, 0], digests[:, 1], np.array([len(x) for x in string], np.uint16),
+            parts.append([np.array(k, np.uint32), digests[:, 0], digests[:, 1].astype(np.uint32), np.array([len(x) for x in string], np.uint16),
                           np.array(d, np.int64), np.array(u, np.uint64), np.array(s, np.uint32)])
         types = (np.uint64, np.uint64, np.uint64, np.int64, np.int64, np.uint64, np.int64)
         _, gone, clash = first_documents({c: np.concatenate([p[i] for p in parts]).astype(t) for i, (c, t) in enumerate(zip(SAME_COLUMNS, types))})
@@ -673,7 +674,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     results; a row without an id is ranked before all others. Texts below MIN_BYTES bytes keep all. Other columns
     are ignored.
 
-    Two strings around one anchor pass for equal where 128 bits of hash agree, and the removals of two documents are
+    Two strings around one anchor pass for equal where 96 bits of hash agree, and the removals of two documents are
     mixed up where 80 bits of their ids and texts do; nothing else rests on hashes."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     doc_id = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
