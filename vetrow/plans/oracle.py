@@ -116,7 +116,7 @@ typed AS (
     trim(bandeira) AS brand
   FROM raw
 ),
-checked AS (
+checked AS MATERIALIZED (
   SELECT typed.*, CAST(date_trunc('week', collection_date) AS DATE) AS collection_week,
          {_REASON_TEXT} AS contract_reasons
   FROM typed
@@ -141,7 +141,7 @@ evaluated AS (
   FROM checked c LEFT JOIN keystats k
     ON c.reseller_cnpj = k.k_cnpj AND c.product = k.k_product AND c.collection_date = k.k_date
 ),
-judged AS (
+judged AS MATERIALIZED (
   SELECT *, concat_ws(',', nullif(contract_reasons, ''), duplicate_flag) AS reasons FROM evaluated
 ),
 accepted AS (SELECT * FROM judged WHERE reasons = ''),
