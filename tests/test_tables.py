@@ -258,3 +258,14 @@ def test_a_range_opens_the_files_that_meet_it_only(spark, tmp_dir):
     assert versions.read_between(spark, path, "k", "zzz", "zzzz").count() == 0
     tables.replace_where(spark, path, rows.where("k = 'k061'").withColumn("k", F.lit("new")), F.col("y") == 2024, ["y"])
     assert keys(versions.read_between(spark, path, "d", *span)) == ["new"]  # an undescribed folder is read whole
+
+
+def test_a_range_of_a_plain_folder_that_was_taken_over(spark, tmp_dir):
+    path = f"{tmp_dir}/plain"
+    rows = frame(spark, [(f"k{i:02d}", dt.date(2024, 1, 1) + dt.timedelta(days=i), 1.0, 2023 + i % 2) for i in range(40)])
+    rows.repartitionByRange(4, "d").write.partitionBy("y").parquet(path)
+    tables.replace_where(spark, path, frame(spark, [("new", dt.date(2024, 1, 5), 1.0, 2024)]), F.col("k") == "k01", ["y"])
+    for _ in range(2):  # before and after all folders are described
+        got = versions.read_between(spark, path, "d", dt.date(2024, 1, 2), dt.date(2024, 1, 6))
+        assert keys(got) == ["k02", "k03", "k04", "k05", "new"]
+        versions.describe_files(spark, path, ["d"])

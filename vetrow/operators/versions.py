@@ -162,11 +162,12 @@ def read_between(spark: SparkSession, root: str, column: str, low, high) -> Data
     if known:
         figures = spark.read.parquet(*sorted({f"{root}/{STATS}/{_stats_name(f)}" for f in known}))
         meets = (F.col(f"high_{column}") >= F.lit(low)) & (F.col(f"low_{column}") <= F.lit(high))
-        folder = F.regexp_replace("file", "/[^/]*$", "")
-        held = spark.createDataFrame([(f,) for f in known], "held string")  # a version's folders, not its files
-        inside = F.endswith(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))), F.concat(F.lit("/"), "held"))
-        files = figures.where(meets).select("file", folder.alias("folder")).join(held, inside).select(
-            F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B"))).alias("file"))
+        places = {f.removesuffix(PLAIN_FILES).rstrip("/") for f in known}  # a version's folders, not its files
+        held = spark.createDataFrame([(len(p.split("/")) if p else 0, p) for p in places], "depth int, place string")
+        decoded = F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))
+        files = figures.where(meets).select(decoded.alias("file")).withColumns({
+            "folder": F.regexp_replace("file", "/[^/]*$", ""), "depth": F.explode(F.array(*(F.lit(d) for d in sorted({len(p.split("/")) if p else 0 for p in places}))))})
+        files = files.withColumn("place", F.expr("substring_index(folder, '/', -depth)")).join(held, ["depth", "place"])
         paths += [r["file"] for r in files.collect()]
     if not paths:
         return read(spark, root, found, False).limit(0)
