@@ -44,7 +44,7 @@ def main() -> None:
     spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoint")
 
     from vetrow.operators import marts, quality, tables
-    from vetrow.operators.quarantine import check_balance, split
+    from vetrow.operators.quarantine import check_balance
     from vetrow.plans import layers
     from vetrow.plans.files_catalog import q_classify_names, q_payload_audit
     from vetrow.plans.raw_catalog import q_raw_scan
@@ -74,14 +74,12 @@ def main() -> None:
         state["raw"] = spark.read.parquet(out)
 
     def silver_evaluate():
-        parts = split(layers.evaluate_once(state["raw"], BINDING), rejected_at=layers._now())
-        noop(parts.accepted)
-        noop(parts.rejected)
-        state["parts"] = parts
+        # as a run does it: both sides written once, counted while they are
+        state["parts"], state["counts"] = layers.split_counted(state["raw"], BINDING, rejected_at=layers._now())
 
     def reconcile_rules():
         parts = state["parts"]
-        counts = quality.layer_metrics(state["raw"], parts.accepted, parts.rejected).first().asDict()
+        counts = state["counts"]
         check_balance(counts["source"], counts["accepted"], counts["rejected"])
         quality.run_rules({"accepted": parts.accepted}, quality.metrics_frame(spark, counts)).collect()
 
