@@ -104,6 +104,30 @@ def test_bounds_hold_for_most_pairs():
     assert ((lower <= exact + 1e-9) & (exact <= upper + 1e-9)).mean() > 0.99
 
 
+@pytest.mark.parametrize("dim", [1, 8, 16, 64, 100, 200])
+def test_products_from_packed_bits(dim):
+    rng = np.random.default_rng(dim)
+    x, q = rng.standard_normal((70, dim)), rng.standard_normal((9, dim))
+    q = q / np.linalg.norm(q, axis=1, keepdims=True)
+    got, lost = ann.sign_products(ann.packed_words(np.packbits(x >= 0, axis=1)), q)
+    want = q @ np.where(x >= 0, 1.0, -1.0).T
+    assert (np.abs(got - want) <= np.sqrt(dim) * lost[:, None] + 1e-12).all()
+    assert (lost <= 0.02).all()
+
+
+def test_huge_components(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.standard_normal(4) * (1e160 if i % 2 else 1.0)]) for i in range(60)] + [
+        (60, [1.5e308, 0.0, 0.0, 0.0]), (61, [-1.5e308, 0.0, 0.0, 0.0])]
+    got = {}
+    for r in ann.nearest_neighbours(frame(spark, rows, "double"), F.col("vec_id") < 4, k=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    for q in range(4):
+        near = sorted((math.dist(v, rows[q][1]), i) for i, v in rows if i != q)[:5]
+        assert [i for i, _ in got[q]] == [i for _, i in near]
+        assert np.allclose([s for _, s in got[q]], [d for d, _ in near])
+
+
 def test_every_length_is_searched(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.standard_normal(8 if i < 60 else 4)]) for i in range(100)] + [(200, [1.0])]

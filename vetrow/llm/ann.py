@@ -3,9 +3,11 @@
 Vectors are centred, normalised and rotated at random; a code keeps the sign of
 each rotated component, packed in bits, with two scalars: the vector's distance
 from the centre and the inner product of the code with the vector it stands for.
-These give an unbiased estimate of a query's inner product with an error
-bound, and only vectors whose lower bound on the distance does not exceed the
-k-th smallest upper bound are reranked by exact distance.
+A query's rotated components are rounded to whole numbers of ``PLANES`` bits, one
+packed plane for each bit, so that its inner product with a code is a sum of
+popcounts of code AND plane. That and the scalars give an unbiased estimate with
+an error bound, and only vectors whose lower bound on the distance does not exceed
+the k-th smallest upper bound are reranked by exact distance.
 
 Every row is indexed. Queries and rows meet block by block; a block returns its
 k best for each query.
@@ -28,6 +30,9 @@ ERROR = 3.0  # standard deviations that the bound allows the estimate to be off
 ROWS_PER_BLOCK = 16_384
 QUERIES_PER_BLOCK = 4096
 LEAST_BLOCKS = 64
+PLANES = 8         # bits of a query's rounded component
+CELLS = 1 << 19    # estimates that are held at once
+LARGEST = 2.0 ** 500  # components beyond have squares that overflow: bounds are then taken of scaled vectors
 
 
 def rotation(dim: int) -> np.ndarray:
@@ -46,64 +51,108 @@ def encode(x: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndar
     return np.packbits(bits, axis=1), norm, np.where(norm > 0, fit, 1.0)
 
 
+def packed_words(bits: np.ndarray) -> np.ndarray:
+    """Packed bytes of each row as 64-bit words, words x rows."""
+    wide = np.zeros((len(bits), -(-bits.shape[1] // 8) * 8), np.uint8)
+    wide[:, : bits.shape[1]] = bits
+    return np.ascontiguousarray(wide.view(np.uint64).T)
+
+
+def sign_products(words: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(inner products of rounded queries with the signs, queries x rows; what rounding took from each query, as a length)."""
+    low = unit.min(1)
+    step = (unit.max(1) - low) / (2 ** PLANES - 1)
+    step = np.where(step > 0, step, 1.0)
+    level = np.rint((unit - low[:, None]) / step[:, None]).astype(np.int64)
+    lost = np.linalg.norm(unit - (low[:, None] + level * step[:, None]), axis=1)
+    ones = np.bitwise_count(words).sum(0, dtype=np.int64)
+    total = np.zeros((len(unit), words.shape[1]), np.int64)
+    for j in range(PLANES):
+        plane = packed_words(np.packbits((level >> j & 1).astype(np.uint8), axis=1))
+        for code, asked in zip(words, plane):
+            total += np.bitwise_count(code[None, :] & asked[:, None]).astype(np.int64) << j
+    held = low[:, None] * ones + step[:, None] * total
+    return 2 * held - (low * unit.shape[1] + step * level.sum(1))[:, None], lost
+
+
 def distance_bounds(codes: np.ndarray, norm: np.ndarray, fit: np.ndarray, queries: np.ndarray, centre: np.ndarray,
                     turn: np.ndarray, error: float = ERROR) -> tuple[np.ndarray, np.ndarray]:
-    """(lower, upper) bounds of squared distances, queries x rows, from the codes alone."""
+    """(lower, upper) bounds of squared distances, queries x rows, from the packed codes alone."""
     dim = len(centre)
     moved = queries - centre
     length = np.linalg.norm(moved, axis=1)
     unit = (moved / np.where(length > 0, length, 1)[:, None]) @ turn.T
-    signs = np.unpackbits(codes, axis=1, count=dim).astype(np.float64) * 2 - 1
-    inner = (unit @ signs.T) / np.sqrt(dim) / fit
-    off = error * np.sqrt(np.maximum(1 - fit * fit, 0)) / fit / np.sqrt(max(dim - 1, 1))
+    signed, lost = sign_products(packed_words(codes), unit)
+    inner = signed / np.sqrt(dim) / fit
+    off = (error * np.sqrt(np.maximum(1 - fit * fit, 0)) / np.sqrt(max(dim - 1, 1)) + lost[:, None]) / fit
     square = norm ** 2 + (length ** 2)[:, None]
     reach = 2 * norm * length[:, None]
-    return square - reach * np.minimum(inner + off, 1), square - reach * np.maximum(inner - off, -1)
+    slack = 1e-12 * square  # of the arithmetic, where what is compared nearly cancels
+    return square - reach * np.minimum(inner + off, 1) - slack, square - reach * np.maximum(inner - off, -1) + slack
+
+
+def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows to one vector; where squares overflow, those of vectors scaled by a power of two."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        gap = x - q
+        out = np.sqrt(np.cumsum(gap * gap, axis=1)[:, -1]) if len(x) else np.zeros(0)
+        far = np.flatnonzero(~np.isfinite(out))
+        if len(far):
+            small = x[far] * 2.0 ** -600 - q * 2.0 ** -600
+            out[far] = np.sqrt(np.cumsum(small * small, axis=1)[:, -1]) * 2.0 ** 600
+    return out
 
 
 def nearest_in_block(ids: np.ndarray, x: np.ndarray, codes, norm, fit, query_ids: np.ndarray, queries: np.ndarray,
-                     centre: np.ndarray, turn: np.ndarray, k: int) -> list[tuple[int, int, float]]:
-    """(query, row, distance): the k nearest of each query among the rows that its bounds leave for reranking."""
+                     centre: np.ndarray, turn: np.ndarray, k: int, scale: float = 1.0) -> list[tuple[int, int, float]]:
+    """(query, row, distance): the k nearest of each query among the rows that its bounds leave for reranking.
+    ``centre`` and ``norm`` are of vectors times ``scale``."""
     out = []
-    for at in range(0, len(queries), 256):
-        lower, upper = distance_bounds(codes, norm, fit, queries[at: at + 256], centre, turn)
+    few = max(1, CELLS // max(len(ids), 1))
+    for at in range(0, len(queries), few):
+        lower, upper = distance_bounds(codes, norm, fit, queries[at: at + few] * scale, centre, turn)
         for i, (low, up) in enumerate(zip(lower, upper)):
             q, own = queries[at + i], ids == query_ids[at + i]
             up = np.where(own, np.inf, up)
             limit = np.partition(up, k - 1)[k - 1] if len(up) > k else np.inf
             able = np.flatnonzero((low <= limit + 1e-9 * abs(limit) if np.isfinite(limit) else np.ones(len(low), bool)) & ~own)
-            gap = x[able] - q
-            exact = np.sqrt(np.cumsum(gap * gap, axis=1)[:, -1]) if len(able) else np.zeros(0)
+            exact = distances(x[able], q)
             best = np.lexsort((ids[able], exact))[:k]
             out.extend((int(query_ids[at + i]), int(ids[able[b]]), float(exact[b])) for b in best)
     return out
 
 
-def _centre(rows: DataFrame, kind: np.dtype, dim: int) -> np.ndarray:
-    """Mean of all vectors: a sum of each component by task, then over tasks."""
+def _centre(rows: DataFrame, kind: np.dtype, dim: int) -> tuple[np.ndarray, float]:
+    """(mean of all vectors times the scale, the scale): sums of each component by task, then over tasks. The scale is one
+    but where a component's square would overflow. Sums are taken of components over 2^64, so that they do not."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(dim), 0
+        total, top, n = np.zeros(dim), 0.0, 0
         for batch in batches:
             if batch.num_rows:
-                total += matrix(batch.column(0).to_pylist(), kind).sum(0)
+                x = matrix(batch.column(0).to_pylist(), kind)
+                total += (x * 2.0 ** -64).sum(0)
+                top = max(top, float(np.abs(x).max()))
                 n += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim), pa.int32()), pa.array(total), pa.array([n] * dim, pa.int64())], ["i", "s", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim), pa.int32()), pa.array(total), pa.array([top] * dim, pa.float64()),
+                                          pa.array([n] * dim, pa.int64())], ["i", "s", "top", "n"])
 
-    sums = map_batches(rows.select("vec"), run, "i int, s double, n long").groupBy("i").agg(F.try_divide(F.sum("s"), F.sum("n")).alias("m")).collect()
+    sums = map_batches(rows.select("vec"), run, "i int, s double, top double, n long").groupBy("i").agg(
+        F.try_divide(F.sum("s"), F.sum("n")).alias("m"), F.max("top").alias("top")).collect()
+    scale = 2.0 ** -600 if max((r["top"] or 0.0 for r in sums), default=0.0) > LARGEST else 1.0
     out = np.zeros(dim)
     for r in sums:
-        out[r["i"]] = r["m"] or 0.0
-    return out
+        out[r["i"]] = (r["m"] or 0.0) * scale * 2.0 ** 64
+    return out, scale
 
 
-def _indexed(rows: DataFrame, kind: np.dtype, centre: np.ndarray) -> DataFrame:
+def _indexed(rows: DataFrame, kind: np.dtype, centre: np.ndarray, scale: float) -> DataFrame:
     """Adds ``code, norm, fit``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = rotation(len(centre))
         for batch in batches:
             if not batch.num_rows:
                 continue
-            codes, norm, fit = encode(matrix(batch.column("vec").to_pylist(), kind), centre, turn)
+            codes, norm, fit = encode(matrix(batch.column("vec").to_pylist(), kind) * scale, centre, turn)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), batch.column("vec"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm), pa.array(fit)],
                 ["vec_id", "vec", "code", "norm", "fit"])
@@ -111,7 +160,7 @@ def _indexed(rows: DataFrame, kind: np.dtype, centre: np.ndarray) -> DataFrame:
     return map_batches(rows.select("vec_id", "vec"), run, "vec_id long, vec binary, code binary, norm double, fit double")
 
 
-def _search(dealt: DataFrame, kind: np.dtype, centre: np.ndarray, k: int) -> DataFrame:
+def _search(dealt: DataFrame, kind: np.dtype, centre: np.ndarray, scale: float, k: int) -> DataFrame:
     """Queries (no code) against rows, task by task; rows come sorted by task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = rotation(len(centre))
@@ -126,7 +175,8 @@ def _search(dealt: DataFrame, kind: np.dtype, centre: np.ndarray, k: int) -> Dat
             x = matrix([raw[i] for i in rows], kind)
             code = np.frombuffer(b"".join(codes[i] for i in rows), np.uint8).reshape(len(rows), -1)
             norm, fit = t.column("norm").to_numpy()[rows], t.column("fit").to_numpy()[rows]
-            found = nearest_in_block(ids[rows], x, code, norm, fit, ids[queries], matrix([raw[i] for i in queries], kind), centre, turn, k)
+            found = nearest_in_block(ids[rows], x, code, norm, fit, ids[queries], matrix([raw[i] for i in queries], kind),
+                                     centre, turn, k, scale)
             q, v, s = zip(*found) if found else ((), (), ())
             return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], ["query_id", "vec_id", "score"])
 
@@ -154,7 +204,8 @@ def nearest_neighbours(df: DataFrame, is_query, *, id_col: str = "vec_id", vecto
     Ties go to the smaller id; fewer rows than ``k`` give all of them.
 
     Vectors that are null, empty, zero or hold null or non-finite components and rows without an id take no part. A
-    vector's neighbours are among those of its length; each length that is asked for has an index of its own. A repeated
+    vector's neighbours are among those of its length; each length that is asked for has an index of its own. Components
+    whose squares overflow are searched by scaled vectors (a distance beyond all doubles is infinite). A repeated
     id is one row of the index for each of its rows and one query for each distinct vector; other columns are ignored."""
     kind = component_type(df, vector_col)
     rows = save(as_bytes(df, id_col, vector_col).where("class_id is not null").select("vec_id", "dim", "vec"), "ann-vectors")
@@ -168,8 +219,8 @@ def nearest_neighbours(df: DataFrame, is_query, *, id_col: str = "vec_id", vecto
 
 def _found_among(rows: DataFrame, is_query, kind: np.dtype, dim: int, k: int) -> DataFrame:
     """(query_id, vec_id, score): each block's nearest rows, of vectors of one length."""
-    centre = _centre(rows, kind, dim)
-    index, count = save_counted(_indexed(rows, kind, centre), "ann-index")
+    centre, scale = _centre(rows, kind, dim)
+    index, count = save_counted(_indexed(rows, kind, centre, scale), "ann-index")
     queries, asked = save_counted(index.where(is_query).select("vec_id", "vec").distinct(), "ann-queries")
     blocks, query_blocks = tasks_for(count, ROWS_PER_BLOCK, LEAST_BLOCKS), tasks_for(asked, QUERIES_PER_BLOCK)
 
@@ -180,4 +231,4 @@ def _found_among(rows: DataFrame, is_query, kind: np.dtype, dim: int, k: int) ->
     wanted = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("d"), block(query_blocks, 2).alias("q"), "vec_id", "vec",
                             F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("norm"), F.lit(None).cast("double").alias("fit"))
     dealt = held.unionByName(wanted).select((F.col("d") * query_blocks + F.col("q")).alias("task"), "vec_id", "vec", "code", "norm", "fit")
-    return _search(dealt.repartition(tasks_for(blocks * query_blocks, 1), "task").sortWithinPartitions("task"), kind, centre, k)
+    return _search(dealt.repartition(tasks_for(blocks * query_blocks, 1), "task").sortWithinPartitions("task"), kind, centre, scale, k)
