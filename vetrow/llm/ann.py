@@ -7,7 +7,8 @@ A query's rotated components are rounded to whole numbers of ``PLANES`` bits, on
 packed plane for each bit, so that its inner product with a code is a sum of
 popcounts of code AND plane. That and the scalars give an unbiased estimate with
 an error bound, and only vectors whose lower bound on the distance does not exceed
-the k-th smallest upper bound are reranked by exact distance.
+the k-th smallest upper bound, nor the k-th exact distance among the most promising
+rows, are reranked by exact distance.
 
 Every row is indexed. Queries and rows meet block by block; a block returns its
 k best for each query.
@@ -31,6 +32,7 @@ ROWS_PER_BLOCK = 16_384
 QUERIES_PER_BLOCK = 4096
 LEAST_BLOCKS = 64
 PLANES = 8         # bits of a query's rounded component
+FIRST = 4          # times k rows, of the smallest lower bounds, are reranked before the others
 CELLS = 1 << 19    # estimates that are held at once
 LARGEST = 2.0 ** 500  # components beyond have squares that overflow: bounds are then taken of scaled vectors
 
@@ -113,10 +115,20 @@ def nearest_in_block(ids: np.ndarray, x: np.ndarray, codes, norm, fit, query_ids
         lower, upper = distance_bounds(codes, norm, fit, queries[at: at + few] * scale, centre, turn)
         for i, (low, up) in enumerate(zip(lower, upper)):
             q, own = queries[at + i], ids == query_ids[at + i]
-            up = np.where(own, np.inf, up)
-            limit = np.partition(up, k - 1)[k - 1] if len(up) > k else np.inf
-            able = np.flatnonzero((low <= limit + 1e-9 * abs(limit) if np.isfinite(limit) else np.ones(len(low), bool)) & ~own)
-            exact = distances(x[able], q)
+            low, up = np.where(own, np.inf, low), np.where(own, np.inf, up)
+            able, exact = np.flatnonzero(~own), None
+            if len(able) > FIRST * k:
+                limit = np.partition(up, k - 1)[k - 1]
+                first = np.argpartition(low, FIRST * k)[: FIRST * k]
+                near = distances(x[first], q)
+                with np.errstate(over="ignore"):
+                    limit = np.minimum(limit, (np.partition(near, k - 1)[k - 1] * scale) ** 2)
+                if np.isfinite(limit):
+                    rest = low <= limit + 1e-9 * abs(limit)
+                    rest[first] = False
+                    rest = np.flatnonzero(rest)
+                    able, exact = np.concatenate([first, rest]), np.concatenate([near, distances(x[rest], q)])
+            exact = distances(x[able], q) if exact is None else exact
             best = np.lexsort((ids[able], exact))[:k]
             out.extend((int(query_ids[at + i]), int(ids[able[b]]), float(exact[b])) for b in best)
     return out
