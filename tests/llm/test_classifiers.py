@@ -90,6 +90,7 @@ def restorer():
 
 @pytest.mark.parametrize("shown,meant", [
     ("1d1ot", "idiot"), ("$tup1d", "stupid"), ("m0r0n", "moron"), ("i.d.i.o.t", "idiot"), ("iiidiooot", "idiot"), ("st-upid!!!", "stupid"),
+    ("stuupid", "stupid"), ("ıdiot", None), ("idi\u043et", "idiot"), ("\u0455tupid", "stupid"),
     ("garden", "garden"), ("garden.", "garden"), ("the&&&", "the"), ("***", ""), ("", ""), ("123456", None)])
 def test_restored_words(restorer, shown, meant):
     got = restorer.restore(shown)
@@ -122,10 +123,35 @@ def test_viterbi_finds_the_best_reading(restorer):
         assert restorer.decode(token) == best[1]
 
 
-def test_spaced_words_are_joined():
-    assert "idiot" in toxicity.join_spaced("you i d i o t there").split()
-    assert "stupid" in toxicity.join_spaced("a s t u p i d").split()
-    assert toxicity.join_spaced("a b") == "a b"
+def test_rows_of_single_signs(restorer):
+    def words(text):
+        return {w for u in toxicity.shown_units(text) if " " in u for w in restorer.spaced_words(u)}
+
+    assert "idiot" in words("you i d i o t there")
+    assert "stupid" in words("a s t u p i d")
+    assert "moron" in words("such a m 0 r 0 n")
+    assert toxicity.shown_units("a b") == ["a", "b"]
+    assert words("x " * 5000) is not None
+
+
+def test_blanks_in_the_lattice(restorer):
+    """Against all ways to read each blank of a row of single letters."""
+    def logp(word):
+        s = [0, 0, *(toxicity._symbol(c) for c in word), 0]
+        return sum(float(restorer.logp[a, b, c]) for a, b, c in zip(s, s[1:], s[2:]))
+
+    for run in ("t h e i d i o t", "m o r o n", "u n d e r t h e"):
+        letters, ways = run.split(), []
+        for cut in range(1 << (len(letters) - 1)):
+            text = letters[0]
+            score = toxicity.PLAIN * len(letters)
+            for i, c in enumerate(letters[1:]):
+                score += toxicity.WORD_END if cut >> i & 1 else toxicity.PUT_BETWEEN
+                text += " " + c if cut >> i & 1 else c
+            ways.append((score + sum(logp(w) for w in text.split()), text))
+        assert not any(a == b for a, b in zip(letters, letters[1:]))
+        assert restorer.readings(run, 1) == [max(ways)[1]]
+        assert restorer.readings(run, 3) == [t for _, t in sorted(ways, reverse=True)[:3]]
 
 
 def test_scores_held_out(spark):

@@ -3,9 +3,10 @@
 A character model (trigrams of the whole corpus) and a channel (look-alike
 signs, repeated letters, signs and blanks put between letters) restore each
 disguised token: its readings form a lattice, and Viterbi decoding finds the
-likeliest word. The restored words are scored by a lexicon of words and word
-ends learned from labelled texts. Each distinct token is restored once by a
-Python worker.
+likeliest word. In the lattice of tokens of one sign each a blank is either put
+there or a word's end, so that decoding also finds where the words lie. The
+restored words are scored by a lexicon of words and word ends learned from
+labelled texts. Each distinct token is restored once by a Python worker.
 """
 
 from __future__ import annotations
@@ -43,13 +44,22 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "×": "x",
 }
-# Log probabilities of the channel.
+# Letters of other scripts that look like Latin ones, read so in words that hold Latin letters too.
+HOMOGLYPHS = {
+    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j", "һ": "h", "ԁ": "d",
+    "α": "a", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u",
+}
+# Log probabilities of the channel; the last two are of a blank inside a row of single signs.
 PLAIN, LOOKS, REPEATED, INSERTED = math.log(0.9), math.log(0.4), math.log(0.2), math.log(0.3)
+PUT_BETWEEN, WORD_END = math.log(0.8), math.log(0.2)
+#: Readings of a row of single signs whose words are scored.
+READINGS = 4
 
 _EDGES = ".,;:?!\"'`´()[]{}<>/\\*&%#|~^=_-–—…«»“”‘’¿¡"
 _PLAIN_WORD = re.compile(r"[^\W\d_]+")
-_RUN = re.compile(r"(.)\1\1")
+_RUN = re.compile(r"(.)\1")
 _SPACED = re.compile(r"(?<!\S)(?:\S ){2,}\S(?!\S)")
+_MIXED = re.compile(f"[a-z].*[{''.join(HOMOGLYPHS)}]|[{''.join(HOMOGLYPHS)}].*[a-z]")
 _EDGE_RUN = re.compile(r"^([^\w\s])\1+|([^\w\s])\2+$")
 
 
@@ -111,54 +121,86 @@ class Restorer:
         self.logp = np.log(three).astype(np.float32)
 
     def decode(self, token: str) -> str:
-        """Viterbi over the lattice of readings; a state is the last two letters read."""
+        """The likeliest word behind a token."""
+        return self.readings(token, 1)[0]
+
+    def readings(self, shown: str, most: int) -> list[str]:
+        """Viterbi over the lattice of readings, the ``most`` likeliest; a state is the last two letters read, and holds
+        as many ways to it. Blanks are put between letters or end a word. A way is a chain of letters, so that time and
+        memory grow with the length alone."""
         logp = self.logp
-        states = {(0, 0): (0.0, "")}
+        states = {(0, 0): [(0.0, None)]}
         last = ""
-        for ch in token:
-            readings = LOOKALIKES.get(ch, "")
-            if ch.isalpha():
+        for ch in shown:
+            if ch == " ":
+                options, skip = [], PUT_BETWEEN
+            elif ch.isalpha():
                 options = [(ch, PLAIN)]
+                if ch in HOMOGLYPHS:
+                    options.append((HOMOGLYPHS[ch], LOOKS))
                 skip = REPEATED if ch == last else None
             else:
-                options = [(r, LOOKS) for r in readings]
+                options = [(r, LOOKS) for r in LOOKALIKES.get(ch, "")]
                 skip = INSERTED
-            last = ch
-            after: dict = {}
-            for (a, b), (score, word) in states.items():
+            if ch != " ":
+                last = ch
+            after: dict = defaultdict(list)
+            for (a, b), ways in states.items():
                 if skip is not None:
-                    held = after.get((a, b))
-                    if held is None or held[0] < score + skip:
-                        after[a, b] = (score + skip, word)
+                    after[a, b] += [(score + skip, way) for score, way in ways]
+                if ch == " " and b:
+                    end = WORD_END + float(logp[a, b, 0])
+                    after[0, 0] += [(score + end, (way, " ")) for score, way in ways]
                 for letter, cost in options:
                     s = _symbol(letter)
-                    to = score + cost + float(logp[a, b, s])
-                    held = after.get((b, s))
-                    if held is None or held[0] < to:
-                        after[b, s] = (to, word + letter)
-            states = after
-        return max((score + float(logp[a, b, 0]), word) for (a, b), (score, word) in states.items())[1]
+                    to = cost + float(logp[a, b, s])
+                    after[b, s] += [(score + to, (way, letter)) for score, way in ways]
+            states = {}
+            for state, ways in after.items():
+                if len(ways) > 1:
+                    ways.sort(key=_likelihood, reverse=True)
+                states[state] = ways[:most]
+        ended = [(score + float(logp[a, b, 0]), way) for (a, b), ways in states.items() for score, way in ways]
+        ended.sort(key=_likelihood, reverse=True)
+        out: dict[str, None] = {}
+        for _, way in ended[: 2 * most]:
+            letters = []
+            while way is not None:
+                way, letter = way
+                letters.append(letter)
+            out["".join(reversed(letters)).strip()] = None
+        return list(out)[:most]
 
     def restore(self, token: str) -> str:
         """The plain lower-case word behind a lower-case token; empty if it holds no reading."""
         core = token.strip(_EDGES[:3] + '"')
-        if _PLAIN_WORD.fullmatch(core) and not _RUN.search(core):
+        if _plain(core):
             return core
         while (shorter := _EDGE_RUN.sub("", core)) != core:
             core = shorter
         core = core.lstrip(_EDGES.replace("!", "").replace("|", "").replace("(", "")).rstrip(_EDGES)
-        if not core or (_PLAIN_WORD.fullmatch(core) and not _RUN.search(core)):
+        if not core or _plain(core):
             return core
         if not any(c.isalpha() or c in LOOKALIKES for c in core):
             return ""
         return self.decode(core)
 
+    def spaced_words(self, run: str) -> set[str]:
+        """Words of the likeliest readings of a row of single signs; those of one letter say nothing."""
+        return {w for reading in self.readings(run, READINGS) for w in reading.split() if len(w) > 1}
+
+
+def _likelihood(way) -> float:
+    return way[0]
+
+
+def _plain(core: str) -> bool:
+    return bool(_PLAIN_WORD.fullmatch(core)) and not _RUN.search(core) and (core.isascii() or not _MIXED.search(core))
+
 
-def join_spaced(text: str) -> str:
-    """Tokens of one sign each, three or more in a row, written together besides: spaced-out words, also without
-    the first or last sign, which may be a word of one letter."""
-    found = [f.replace(" ", "") for f in _SPACED.findall(text)]
-    return " ".join([text, *(v for f in found for v in (f, f[1:], f[:-1], f[1:-1]))]) if found else text
+def shown_units(text: str) -> list[str]:
+    """What is restored of a lower-case text: its tokens, and its rows of three or more tokens of one sign each."""
+    return text.split() + _SPACED.findall(text)
 
 
 def entries(word: str) -> list[str]:
@@ -254,10 +296,10 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     texts = []
     for r in sorted(rows, key=lambda r: (r[id_col], r["_toxic"])):
         words = set()
-        for token in set(join_spaced(r[text_col].lower()).split()):
+        for token in set(shown_units(r[text_col].lower())):
             if token not in seen:
-                seen[token] = restorer.restore(token)
-            words.add(seen[token])
+                seen[token] = restorer.spaced_words(token) if " " in token else {restorer.restore(token)}
+            words |= seen[token]
         words.discard("")
         texts.append((sorted(words), r["_toxic"], 1 / share[r["_toxic"]]))
     lexicon, base = fit_lexicon(texts)
@@ -265,7 +307,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 
 class TokenTable(dict):
-    """Token to its best lexicon entry (or None), restored once; ``batch`` takes what no longer fits."""
+    """Token, or row of single signs, to its best lexicon entry (or None), restored once; ``batch`` takes what no longer fits."""
 
     def __init__(self, model: ToxicityModel):
         super().__init__()
@@ -275,7 +317,8 @@ class TokenTable(dict):
     def __missing__(self, token: str):
         if token in self.batch:
             return self.batch[token]
-        held = [e for e in entries(self.restorer.restore(token)) if e in self.lexicon]
+        words = self.restorer.spaced_words(token) if " " in token else [self.restorer.restore(token)]
+        held = [e for w in words for e in entries(w) if e in self.lexicon]
         best = max(held, key=lambda e: (self.lexicon[e], e)) if held else None
         if len(self) < TABLE_TOKENS:
             self[token] = best
@@ -288,7 +331,7 @@ class TokenTable(dict):
 
 def text_score(text: str, table: TokenTable, base: float) -> float:
     """Chance that at least one of the text's lexicon entries is meant: 1 - prod(1 - share), from the base on."""
-    found = set(map(table.__getitem__, join_spaced(text.lower()).split()))
+    found = set(map(table.__getitem__, shown_units(text.lower())))
     clear = 1 - base
     for e in found:
         if e is not None:
