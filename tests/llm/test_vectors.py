@@ -51,6 +51,31 @@ def test_tables_meet_pairs_at_the_threshold():
         assert (1 - near ** projections) ** tables <= embed_dedup.MISS
 
 
+def test_sketches_keep_pairs_at_the_threshold():
+    rng = np.random.default_rng(6)
+    hashing, bound = embed_dedup.Hashing(2, 1), embed_dedup.sketch_bound()
+    x = embed_dedup.unit_rows(rng.standard_normal((4000, 48)))
+    away = rng.standard_normal(x.shape)
+    away = embed_dedup.unit_rows(away - (away * x).sum(1, keepdims=True) * x)
+    near = 0.9 * x + math.sqrt(1 - 0.81) * away
+    apart = np.bitwise_count(hashing.sketches(x) ^ hashing.sketches(near)).sum(1)
+    assert (apart <= bound).all() and bound < 80
+    assert np.bitwise_count(hashing.sketches(x) ^ hashing.sketches(x[::-1])).sum(1).min() > bound
+
+
+@pytest.mark.parametrize("split", [0, 90])
+def test_partnered_rows_against_all_pairs(split):
+    rng = np.random.default_rng(7)
+    sketch = rng.integers(0, 256, (300, 32)).astype(np.uint8)
+    sketch[200:260] = sketch[:60]
+    sketch[200:260, 0] ^= 1
+    one = np.arange(300)
+    one, two = (one[:split], one[split:]) if split else (one, one)
+    apart = np.bitwise_count(sketch[:, None] ^ sketch[None]).sum(2)
+    want = {i for a in one for b in two for i in (a, b) if a != b and apart[a, b] <= 5}
+    assert set(np.flatnonzero(embed_dedup.partnered(sketch, one, two, 5)).tolist()) == want
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500 + i, 500) for i in range(50)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(40)]

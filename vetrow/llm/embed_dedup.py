@@ -2,7 +2,9 @@
 
 Normalised vectors are projected on Gaussian directions, the projections are
 quantised, and several of them make a bucket of one of several tables. Vectors
-that share a bucket are compared by exact cosine. The number of projections
+that share a bucket are compared by exact cosine, after sketches (the signs of
+random projections) have said which of a bucket's vectors can have a partner there:
+only those travel whole, once for each bucket where they may link. The number of projections
 grows with the logarithm of the table so that buckets keep their size, and the
 number of tables follows so that a pair at the threshold meets in none of them
 with a chance below ``MISS``.
@@ -31,6 +33,8 @@ MISS = 1e-3
 BUCKET = 1024      # vectors that unrelated vectors leave in a bucket, about
 BLOCK = 2048
 ROWS_PER_TASK = 20_000
+SKETCH_BITS = 256
+SKETCH_MISS = 1e-6  # chance that the sketches of a pair at the threshold differ too much
 
 
 def meeting_chance(distance: float, width: float = WIDTH) -> float:
@@ -47,10 +51,28 @@ def table_plan(vectors: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     return projections, math.ceil(math.log(MISS) / math.log(1 - near ** projections))
 
 
+def sketch_bound(threshold: float = THRESHOLD, bits: int = SKETCH_BITS, miss: float = SKETCH_MISS) -> int:
+    """Most signs in which the sketches of a pair at the threshold differ, but for a chance of ``miss``."""
+    p, tail = math.acos(max(-1.0, min(1.0, threshold))) / math.pi, 0.0
+    for d in range(bits, 0, -1):
+        tail += math.comb(bits, d) * p ** d * (1 - p) ** (bits - d)
+        if tail > miss:
+            return d
+    return 0
+
+
 class Hashing:
     def __init__(self, projections: int, tables: int):
         self.projections, self.tables = projections, tables
         self.directions: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.signs: dict[int, np.ndarray] = {}
+
+    def sketches(self, unit: np.ndarray) -> np.ndarray:
+        """(vectors x bytes) packed signs of projections that no table uses."""
+        dim = unit.shape[1]
+        if dim not in self.signs:
+            self.signs[dim] = np.random.default_rng([dim, SKETCH_BITS]).standard_normal((dim, SKETCH_BITS))
+        return np.packbits(unit @ self.signs[dim] >= 0, axis=1)
 
     def keys(self, unit: np.ndarray) -> np.ndarray:
         """(vectors x tables) int32 bucket numbers; a bucket is the 32-bit hash of its quantised projections."""
@@ -73,19 +95,80 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
 
 
 def _keyed(classes: DataFrame, kind: np.dtype, projections: int, tables: int) -> DataFrame:
-    """Adds ``keys``: the bucket of every table."""
+    """Adds ``keys``, the bucket of every table, and ``sketch``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing = Hashing(projections, tables)
         for batch in batches:
             dims, raw = batch.column("dim").to_numpy(), batch.column("vec").to_pylist()
-            keys = np.zeros((len(raw), tables), np.int32)
+            keys, sketch = np.zeros((len(raw), tables), np.int32), np.zeros((len(raw), SKETCH_BITS // 8), np.uint8)
             for dim in np.unique(dims):
                 rows = np.flatnonzero(dims == dim)
-                keys[rows] = hashing.keys(unit_rows(matrix([raw[i] for i in rows], kind)))
+                unit = unit_rows(matrix([raw[i] for i in rows], kind))
+                keys[rows], sketch[rows] = hashing.keys(unit), hashing.sketches(unit)
             lists = pa.ListArray.from_arrays(np.arange(0, len(raw) * tables + 1, tables, dtype=np.int32), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "keys"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array([b.tobytes() for b in sketch], pa.binary())],
+                                             [*batch.schema.names, "keys", "sketch"])
+
+    return map_batches(classes, run, "class_id long, weight long, dim int, vec binary, keys array<int>, sketch binary")
+
+
+def partnered(sketch: np.ndarray, one: np.ndarray, two: np.ndarray, bound: int) -> np.ndarray:
+    """Whether each row has another within ``bound`` signs, among rows ``one`` x ``two`` (or within ``one`` if they are the same)."""
+    words = sketch.view(np.uint64)
+    out = np.zeros(len(sketch), bool)
+    other = words[two].T.copy()
+    for at in range(0, len(one), 128):
+        part = one[at: at + 128]
+        apart = np.zeros((len(part), len(two)), np.uint16)
+        for w, column in enumerate(other):
+            apart += np.bitwise_count(words[part, w][:, None] ^ column)
+        near = apart <= bound
+        if one is two:
+            near[np.arange(len(part)), np.arange(at, at + len(part))] = False
+        out[part] |= near.any(1)
+        out[two] |= near.any(0)
+    return out
+
+
+def _by_task(batches: Iterator[pa.RecordBatch], compare) -> Iterator[pa.RecordBatch]:
+    """``compare`` of each task's rows, which come sorted by task; None is left out."""
+    held, current = [], None
+    for batch in batches:
+        task = batch.column("task").to_numpy()
+        cuts = [0, *(np.flatnonzero(task[1:] != task[:-1]) + 1).tolist(), len(task)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if task[a] != current:
+                if held and (out := compare(pa.concat_tables(held))) is not None:
+                    yield out
+                held, current = [], task[a]
+            held.append(pa.Table.from_batches([batch.slice(a, b - a)]))
+    if held and (out := compare(pa.concat_tables(held))) is not None:
+        yield out
 
-    return map_batches(classes, run, "class_id long, weight long, dim int, vec binary, keys array<int>")
+
+def _sides(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if not len(one) or not len(two):
+        one = two = one if len(one) else two
+    return one, two
+
+
+def _hopeful(dealt: DataFrame, bound: int) -> DataFrame:
+    """The rows of ``dealt`` (``task, side, t, class_id, sketch``) whose sketch is near another's in the task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def compare(t: pa.Table) -> pa.RecordBatch | None:
+            if t.num_rows < 2:
+                return None
+            sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(t.num_rows, -1)
+            rows = np.flatnonzero(partnered(sketch, *_sides(t.column("side").to_numpy()), bound))
+            names = ["task", "side", "t", "class_id"]
+            return pa.RecordBatch.from_arrays([pa.array(t.column(c).to_numpy()[rows]) for c in names], names) if len(rows) else None
+
+        yield from _by_task(batches, compare)
+
+    return map_batches(dealt, run, "task long, side int, t int, class_id long")
 
 
 def links_among(x: np.ndarray, keys: np.ndarray, weight: np.ndarray, one: np.ndarray, two: np.ndarray,
@@ -132,8 +215,7 @@ def links_among(x: np.ndarray, keys: np.ndarray, weight: np.ndarray, one: np.nda
 def _compare(dealt: DataFrame, kind: np.dtype, threshold: float) -> DataFrame:
     """``class_id, links, other``: counts (other null) and spanning links (links 0). Rows come sorted by task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def compare(held: list[pa.Table]) -> pa.RecordBatch | None:
-            t = pa.concat_tables(held)
+        def compare(t: pa.Table) -> pa.RecordBatch | None:
             if t.num_rows < 2:
                 return None
             ids, weight, side = (t.column(c).to_numpy() for c in ("class_id", "weight", "side"))
@@ -144,9 +226,7 @@ def _compare(dealt: DataFrame, kind: np.dtype, threshold: float) -> DataFrame:
             for dim in np.unique(dims):
                 rows = np.flatnonzero(dims == dim)
                 x, own = unit_rows(matrix([raw[i] for i in rows], kind)), side[rows]
-                one, two = np.flatnonzero(own == 0), np.flatnonzero(own == 1)
-                if not len(one) or not len(two):
-                    one = two = one if len(one) else two
+                one, two = _sides(own)
                 links, spanning = links_among(x, keys[rows], weight[rows], one, two, table, threshold)
                 linked = np.flatnonzero(links)
                 out_id += [*ids[rows[linked]], *(ids[rows[a]] for a, _ in spanning)]
@@ -155,20 +235,7 @@ def _compare(dealt: DataFrame, kind: np.dtype, threshold: float) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(out_id, pa.int64()), pa.array(out_n, pa.int64()), pa.array(out_other, pa.int64())],
                                               ["class_id", "links", "other"])
 
-        held, current = [], None
-        for batch in batches:
-            task = batch.column("task").to_numpy()
-            cuts = [0, *(np.flatnonzero(task[1:] != task[:-1]) + 1).tolist(), len(task)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if task[a] != current:
-                    if held and (out := compare(held)) is not None:
-                        yield out
-                    held, current = [], task[a]
-                held.append(pa.Table.from_batches([batch.slice(a, b - a)]))
-        if held and (out := compare(held)) is not None:
-            yield out
+        yield from _by_task(batches, compare)
 
     return map_batches(dealt, run, "class_id long, links long, other long")
 
@@ -192,16 +259,18 @@ def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vector_col: str =
         "t", "key", F.ceil(F.col("k") / block).cast("int").alias("blocks"))
     cut = slim.join(hot, ["t", "key"]).groupBy("class_id").agg(
         F.map_from_entries(F.collect_list(F.struct("t", "blocks"))).alias("cut"))  # a class has one bucket of each table
-    placed = keyed.join(cut, "class_id", "left").select(
-        "*", F.posexplode("keys").alias("t", "key")).withColumn(
+    placed = keyed.select("class_id", "keys", "sketch").join(cut, "class_id", "left").select(
+        "class_id", "sketch", "cut", F.posexplode("keys").alias("t", "key")).withColumn(
         "blocks", F.coalesce(F.try_element_at("cut", F.col("t")), F.lit(1))).withColumn(
         "i", F.pmod(F.xxhash64("class_id", "t"), F.col("blocks")).cast("int")).withColumn(
         "j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = placed.select(
         F.xxhash64("t", "key", F.least("i", "j"), F.greatest("i", "j")).alias("task"),
-        (F.col("i") > F.col("j")).cast("int").alias("side"), "t", "class_id", "weight", "dim", "vec", "keys")
+        (F.col("i") > F.col("j")).cast("int").alias("side"), "t", "class_id", "sketch")
     parts = tasks_for(count * tables, ROWS_PER_TASK, 12)
-    found = save(_compare(dealt.repartition(parts, "task").sortWithinPartitions("task"), kind, threshold), "vector-links")
+    hopeful, left = save_counted(_hopeful(dealt.repartition(parts, "task").sortWithinPartitions("task"), sketch_bound(threshold)), "vector-hopes")
+    whole = hopeful.join(keyed.drop("sketch"), "class_id")
+    found = save(_compare(whole.repartition(tasks_for(left, ROWS_PER_TASK, 12), "task").sortWithinPartitions("task"), kind, threshold), "vector-links")
     links = found.where("other is null").groupBy("class_id").agg(F.sum("links").alias("links"))
     labels = components(found.where("other is not null").select(F.col("class_id").alias("a"), F.col("other").alias("b")), "vector-links")
     named = rows.where("class_id is not null").groupBy("class_id").agg(
