@@ -77,3 +77,36 @@ def test_hot_key_keeps_exactly_one(spark):
     assert counts == {"": 1, "exact_duplicate": 4999, "duplicate_key_conflict": 3000}
     kept = out.filter(F.size(REASONS_COL) == 0).first()
     assert kept[ROW_ID] == "h000000"
+
+
+def test_rows_with_a_key_of_their_own_do_not_travel(spark):
+    """Only rows that share a key, and a few more, are contested; the others stay where they are, whatever the join would do."""
+    from vetrow.operators.duplicates import contested, key_bitmap
+
+    rows = spark.range(40_000).select(F.col("id"), F.when(F.col("id") < 3_000, F.col("id") % 1_000).otherwise(F.col("id")).alias("k"))
+    keys = rows.groupBy("k").count().where("count > 1").select("k")
+    bits = 1 << 16
+    shared, alone = contested(rows, key_bitmap(keys, ["k"], bits), ["k"], bits)
+    met, other = ({r["id"] for r in df.collect()} for df in (shared, alone))
+    assert met.isdisjoint(other) and met | other == set(range(40_000))
+    assert set(range(3_000)) <= met and len(met) < 5_000
+    assert "hashpartitioning(id" not in alone._jdf.queryExecution().executedPlan().toString()
+
+
+def test_flags_are_the_same_when_nothing_is_broadcast_by_size(spark, monkeypatch):
+    from vetrow.operators import duplicates
+
+    monkeypatch.setattr(duplicates, "MAX_BITS", 1 << 15)
+    contracted = apply_contract(survey_rows(spark, SF_SMALL), BINDING)
+    brute = window_form(contracted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        judged = flag_duplicates(contracted, BINDING).select(
+            ROW_ID, F.when(F.size(REASONS_COL) == 1, F.element_at(REASONS_COL, 1)).alias("reason"))
+        flag = F.when(F.col("reason").isin("duplicate_key_conflict", "exact_duplicate"), F.col("reason"))
+        scale = judged.select(ROW_ID, flag.alias("flag"))
+        assert scale.exceptAll(brute).count() == 0
+        assert brute.exceptAll(scale).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
