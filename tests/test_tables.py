@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -269,3 +270,21 @@ def test_a_range_of_a_plain_folder_that_was_taken_over(spark, tmp_dir):
         got = versions.read_between(spark, path, "d", dt.date(2024, 1, 2), dt.date(2024, 1, 6))
         assert keys(got) == ["k02", "k03", "k04", "k05", "new"]
         versions.describe_files(spark, path, ["d"])
+
+
+def test_partitioned_writes_keep_files_open_instead_of_sorting(spark, tmp_dir):
+    conf = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(conf)
+    with pytest.raises(ValueError):
+        with versions.open_files(spark):
+            assert int(spark.conf.get(conf)) == versions.OPEN_FILES
+            raise ValueError
+    assert spark.conf.get(conf) == before
+    many = versions.OPEN_FILES + 5  # more partitions than files kept open
+    rows = spark.range(0, 5_000, 1, 2).select("id", (F.col("id") % many).cast("int").alias("part"))
+    tables.write_partitions(rows, f"{tmp_dir}/t", ["part"])
+    back = tables.read_table(spark, f"{tmp_dir}/t")
+    assert back.count() == 5_000 and back.groupBy("part").count().count() == many
+    assert back.exceptAll(rows.select(*back.columns)).count() == 0
+    held = versions.current(spark, f"{tmp_dir}/t").folders
+    assert all(".zstd." in n for f in held for n in os.listdir(f"{tmp_dir}/t/{f}") if n.endswith(".parquet"))
