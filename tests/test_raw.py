@@ -273,3 +273,27 @@ def test_digests_of_files_beyond_one_value(spark, tmp_dir):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == {k: hashlib.sha256(v).hexdigest() for k, v in contents.items()}
+
+
+def test_lines_are_not_shuffled_to_meet_the_listing(spark, tmp_path, monkeypatch):
+    """The listing counts by its own size, not by that of the files' content."""
+    folder = tmp_path / "dsan" / "all" / "2024"
+    folder.mkdir(parents=True)
+    for i in range(2):
+        (folder / f"f{i}.csv").write_text("a;b\n" + "x;y\n" * 50_000)
+    plans = {}
+    plain = rw.materialize
+
+    def noted(df, name="table", *args, **kwargs):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, name, *args, **kwargs)
+
+    monkeypatch.setattr(rw, "materialize", noted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        lines = rw.stage_lines(spark, rw.list_files(spark, str(tmp_path)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert lines.count() == 100_002
+    assert "BroadcastHashJoin" in plans["lines"] and "SortMergeJoin" not in plans["lines"]
