@@ -46,8 +46,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     ``LEAST_KNOWN_SHARE`` of its trigrams are shared by training texts of one."""
     sample = langid.training_sample(docs.where(crc_remainder("doc_id", 3) != 1), id_col="doc_id", text_col="text", lang_col="lang")
     texts, languages = [t for t, _ in sample], [y for _, y in sample]
-    predicted = langid.predict(_wrapped(docs), langid.fit(texts, languages), keep_columns=True)
-    shared = langid.with_known_share(predicted, langid.known_trigrams(texts, languages))
+    shared = langid.predict(_wrapped(docs), langid.fit(texts, languages), keep_columns=True, known=langid.known_trigrams(texts, languages))
     known = (F.col("_lang_pred") != langid.UNDETERMINED) & (F.col("_known") >= LEAST_KNOWN_SHARE)
     return _unwrapped(shared.where(known).drop("_lang_pred", "_score", "_known"), docs)
 

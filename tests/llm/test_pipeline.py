@@ -137,3 +137,11 @@ def test_language_and_unit_stages_against_plain_versions(spark):
     assert {r["doc_id"]: r["text"] for r in pipeline.keep_known_language(spark, docs, SF).collect()} == want
     got = {r["doc_id"]: r["text"] for r in pipeline.drop_repeated_units(spark, docs, SF).collect() if r["doc_id"] in rows}
     assert got == without_repeats(list(rows.items()))
+
+
+def test_language_stage_passes_texts_to_python_once(spark):
+    """A second pass in the same tasks takes another Python worker for each core, with its own copy of the batches."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = pipeline.keep_known_language(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert kept._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1

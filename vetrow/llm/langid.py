@@ -201,42 +201,31 @@ def train(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 
 
 def predict(docs: DataFrame, model: KernelModel, *, id_col: str = "doc_id", text_col: str = "text",
-            keep_columns: bool = False) -> DataFrame:
+            keep_columns: bool = False, known: np.ndarray | None = None) -> DataFrame:
     """``doc_id, lang_pred, score`` of every whole text, or all columns and ``_lang_pred, _score`` (replacing any of
-    these names).
+    these names). With ``known``, a map of trigrams, the ``known_share`` of the text follows as ``_known`` (0 of a null
+    one), from the same pass: a second one would hold another Python worker, and the texts once more, for each core.
 
     A null text, one without a letter, or any text when nothing was learned gets
     ``und`` with score 0; ties go to the language that sorts first; repeated
     rows are scored alike, whole texts are read at any length."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # slots x languages floats
-    rows = docs.drop("_lang_pred", "_score") if keep_columns else docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast((model, known))  # slots x languages floats, and half a megabyte
+    added = ["_lang_pred", "_score"] if keep_columns else ["lang_pred", "score"]
+    added += ["_known"] if known is not None else []
+    rows = docs.drop(*added) if keep_columns else docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     place = rows.columns.index(text_col if keep_columns else "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, trigrams = shared.value
         for batch in batches:
-            names, scores = shared.value.score([t or "" for t in batch.column(place).to_pylist()])
+            texts = [t or "" for t in batch.column(place).to_pylist()]
+            names, scores = scorer.score(texts)
             found = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            if keep_columns:
-                yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, "_lang_pred", "_score"])
-            else:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["doc_id", "lang_pred", "score"])
-
-    if keep_columns:
-        return map_batches(rows, run, T.StructType(
-            [*rows.schema.fields, T.StructField("_lang_pred", T.StringType()), T.StructField("_score", T.DoubleType())]))
-    return map_batches(rows, run, "doc_id long, lang_pred string, score double")
-
-
-def with_known_share(docs: DataFrame, known: np.ndarray, *, text_col: str = "text") -> DataFrame:
-    """All columns and ``_known`` (replaced where it exists), the ``known_share`` of every whole text; 0 for a null one."""
-    shared = docs.sparkSession.sparkContext.broadcast(known)  # half a megabyte
-    rows = docs.drop("_known")
-    place = rows.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shares = [known_share(t.as_py() or "", shared.value) for t in batch.column(place)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shares, pa.float64())], [*batch.schema.names, "_known"])
-
-    return map_batches(rows, run, T.StructType([*rows.schema.fields, T.StructField("_known", T.DoubleType())]))
+            if trigrams is not None:
+                found.append(pa.array([known_share(t, trigrams) for t in texts], pa.float64()))
+            carried = batch.columns if keep_columns else [batch.column(0)]
+            yield pa.RecordBatch.from_arrays([*carried, *found], [*batch.schema.names[: len(carried)], *added])
+
+    carried = rows.schema.fields if keep_columns else rows.schema.fields[:1]
+    kinds = [T.StringType(), T.DoubleType(), T.DoubleType()]
+    return map_batches(rows, run, T.StructType([*carried, *(T.StructField(n, k) for n, k in zip(added, kinds))]))
