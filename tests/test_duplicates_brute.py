@@ -131,3 +131,19 @@ def test_both_sides_of_a_split_read_flagged_rows_without_a_shuffle(spark):
         assert both[0].exceptAll(both[1]).count() == 0 and both[1].exceptAll(both[0]).count() == 0 and both[0].count() > 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_silver_between_writes_rows_that_were_judged_once(spark, monkeypatch):
+    """The key check, the sample of dates and the write read kept rows; each moved the contested ones to the verdicts anew."""
+    from vetrow.operators import tables
+    from vetrow.plans import catalog
+
+    upsert, plans = tables.upsert_table, []
+
+    def seen(session, path, source, *args, **named):
+        plans.append(source._jdf.queryExecution().optimizedPlan().toString())
+        return upsert(session, path, source, *args, **named)
+
+    monkeypatch.setattr(tables, "upsert_table", seen)
+    assert catalog.q_silver_between(spark, SF_SMALL).count() > 0
+    assert len(plans) == 1 and "Join" not in plans[0] and "Union" not in plans[0]
