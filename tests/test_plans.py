@@ -36,3 +36,20 @@ def test_gold_reads_only_what_it_needs(spark):
     plan = plan_of(QUERIES["weekly_price"](spark, SF_SMALL))
     schemas = [line for line in plan.splitlines() if line.startswith("ReadSchema:")]
     assert schemas and all("valor_de_venda" not in s and "municipio" not in s for s in schemas)
+
+
+def test_the_contract_is_generated_in_methods_that_the_jvm_compiles(spark, monkeypatch):
+    """HotSpot interprets methods over 8,000 bytes, which took most of the time of a first evaluation."""
+    from vetrow.plans import layers
+
+    written, real = [], layers.materialize
+    monkeypatch.setattr(layers, "materialize", lambda df, *a, **b: written.append(df) or real(df, *a, **b))
+    layers.evaluate_once(survey_rows(spark, SF_SMALL), BINDING, reused=True)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = written[0].select("*")._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [found.apply(i)._3().maxMethodCodeSize() for i in range(found.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(sizes) > 1 and max(sizes) < 8000, sizes
