@@ -224,3 +224,44 @@ def test_a_row_id_may_come_again_under_another_key(spark):
     key = list(NATURAL_KEY)
     rows = spark.createDataFrame([("a", "p", None, "1"), ("a", "p", None, "1"), ("a", "p", "d", "1"), ("b", "p", "d", "1")], [*key, ROW_ID])
     check_row_ids(rows, BINDING)
+
+
+def test_rows_that_no_published_row_meets_are_not_moved(spark, monkeypatch):
+    """The accepted side of a slice held against published rows lies where it was read; with too many marks rows are
+    joined by place instead, to the same result."""
+    import datetime
+
+    from vetrow.operators import duplicates
+    from vetrow.plans import layers
+
+    first = split(evaluate_once(survey_rows(spark, SF_SMALL).where("_source_year <= 1997"), BINDING)).accepted
+    published = layers.materialize(layers.prepare_silver(first, updated_at=datetime.datetime(2010, 1, 1)), "published")
+    repriced = F.regexp_extract("bairro", r"(\d+)$", 1).cast("int") % 2 == 0
+    later = survey_rows(spark, SF_SMALL).where("_source_year in (1997, 1998)").withColumns({
+        "_source_series": F.lit("dsas"), ROW_ID: F.concat(F.lit("again-"), ROW_ID),
+        "valor_de_venda": F.when(repriced, F.lit("9,9999")).otherwise(F.col("valor_de_venda"))})
+    plans, found, real = [], [], layers.materialize_observed
+
+    def written(df, name, *a, **b):
+        if name == "accepted":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name, *a, **b)
+
+    monkeypatch.setattr(layers, "materialize_observed", written)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for pieces in (duplicates.MAX_PIECES, -1):
+            monkeypatch.setattr(duplicates, "MAX_PIECES", pieces)
+            parts, metrics = layers.split_counted(later, BINDING, published=published, own_slice=F.col("_source_series") == "dsas")
+            found.append((metrics, sorted(r[0] for r in parts.accepted.select(ROW_ID).collect()),
+                          sorted((r[0], r[1], r[2] or "") for r in parts.rejected.select(ROW_ID, REASONS_COL, "_other_row").collect())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found[0] == found[1]
+    assert "hashpartitioning" not in plans[0]
+    kept = {r[0].removeprefix("again-") for r in parts.accepted.select(ROW_ID).collect()}
+    assert kept and not kept & {r[0] for r in published.select(ROW_ID).collect()}
+    marked = [r for r in found[0][2] if r[2]]
+    assert {tuple(r[1]) for r in marked} == {("exact_duplicate",), ("duplicate_key_conflict",)}
+    assert all(r[0] == "again-" + r[2] for r in marked if r[1] == ["exact_duplicate"])
