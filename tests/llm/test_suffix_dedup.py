@@ -107,3 +107,31 @@ def test_equal_strings_by_128_bits():
 
 def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(frame(spark, [])).collect() == []
+
+
+def test_payloads_of_a_large_input_are_not_too_many():
+    """Each batch has one for each bucket and each bucket one for each slot."""
+    text = 10 << 30
+    buckets, batches, slots = (-(-text // size) for size in (suffix_dedup.BUCKET_BYTES, suffix_dedup.BATCH_BYTES, suffix_dedup.SLOT_BYTES))
+    assert batches * buckets < 2_000_000 and buckets * slots < 3_000_000 and batches * slots < 2_000_000
+
+
+def test_strings_of_a_bucket_go_into_bounded_arrays(spark, monkeypatch):
+    """Anchors are kept whole, and what is found does not change."""
+    groups = [[b"a" * 60] * n for n in (3, 1, 9, 2, 2)]
+    bundled = list(suffix_dedup.bundles(groups, lambda s: len(s) - 49, 50))
+    assert [len(b) for b in bundled] == [4, 9, 4] and sum(bundled, []) == sum(groups, [])
+    assert list(suffix_dedup.bundles([], len)) == []
+    rng = random.Random(5)
+    strings = ["".join(rng.choice("abcdefgh") for _ in range(90)) for _ in range(40)]
+    rows = [(i, rng.choice(strings)[: rng.randint(50, 90)] + "".join(rng.choice("uvwxyz") for _ in range(30)) + rng.choice(strings)[rng.randint(0, 40):])
+            for i in range(120)]
+    found, documents = [], []
+    for s in strings:
+        for cut in (60, 70, 80):
+            documents.append(len(documents))
+            found.append(s[:cut].encode())
+    whole = suffix_dedup.repeated_strings(found, documents)
+    parts = [suffix_dedup.repeated_strings(b, documents[i * 3: i * 3 + 3]) for i, b in enumerate(suffix_dedup.bundles([found[i: i + 3] for i in range(0, 120, 3)], len, 1))]
+    assert sorted((3 * i + s, a, b) for i, p in enumerate(parts) for s, a, b in p) == whole
+    assert results(suffix_dedup.remove_repeats(frame(spark, rows))) == counted(repeated_bytes(rows))

@@ -43,9 +43,10 @@ MIN_BYTES = 50
 GRAM = 16
 SPAN = MIN_BYTES - GRAM + 1        # grams in a string, and most strings of one anchor
 SEGMENT = 1 << 18                  # bytes of text hashed at a time
-BUCKET_BYTES = 1 << 19             # of text for each bucket of anchors
-SLOT_BYTES = 1 << 22               # of text for each slot of documents
+BUCKET_BYTES = 1 << 22             # of text for each bucket of anchors: a batch has a payload for each bucket, ...
+SLOT_BYTES = 12 << 20              # ... and a bucket one for each slot of documents, so that small ones grow with the square
 BATCH_BYTES = 1 << 24              # of text whose strings are combined in a task
+ARRAY_SUFFIXES = 1 << 16           # of the strings that go into one suffix array, unless one anchor has more
 HOT_SHARE = 1000                   # an anchor in more than 1/HOT_SHARE of the documents is hot, ...
 HOT_LEAST = 20_000                 # ... but not below so many documents
 UID = np.uint64((1 << 40) - 1)     # bits of a row's hash that go with an anchor
@@ -307,8 +308,7 @@ def _find_shared(documents: DataFrame, buckets: int, slots: int, hot: int) -> Da
         return np.concatenate([u for u, _ in replies]), [np.concatenate([k for _, k in replies])]
 
     found = map_batches(documents, scan, ROW)
-    parts = max(12, buckets // 8)
-    return save(map_batches(found.repartition(parts, "bucket").sortWithinPartitions("bucket"), gather, ROW), "suffix-shared")
+    return save(map_batches(found.repartition(buckets, "bucket").sortWithinPartitions("bucket"), gather, ROW), "suffix-shared")
 
 
 def check_bits(doc_id) -> np.ndarray:
@@ -519,7 +519,8 @@ class SuffixArray:
         def merge(a, b):
             return a if a == b else None
 
-        for i in range(1, len(lcp) + 2):
+        near = self.lcp >= least  # elsewhere nothing is open and nothing opens
+        for i in (np.flatnonzero(np.append(near, False) | np.append(False, near)) + 1).tolist():
             now = lcp[i - 1] if i <= len(lcp) else 0
             if now < least and not stack:
                 continue
@@ -550,6 +551,21 @@ def repeated_strings(strings: list[bytes], documents: list[int], least: int = MI
     return sorted(out)
 
 
+def bundles(groups: list[list], suffixes, most: int = ARRAY_SUFFIXES) -> Iterator[list]:
+    """Groups put together up to ``most`` suffixes; a larger one is by itself. Strings of different anchors have no string of
+    MIN_BYTES in common, so nothing is lost between two arrays."""
+    held, size = [], 0
+    for group in groups:
+        own = sum(map(suffixes, group))
+        if held and size + own > most:
+            yield held
+            held, size = [], 0
+        held.extend(group)
+        size += own
+    if held:
+        yield held
+
+
 def _judge(dealt: DataFrame, slots: int, buckets: int) -> DataFrame:
     """Step 3. REMOVAL rows (slot; uid, start, end, check) from the strings of each bucket, and CLASH rows: anchors whose
     strings were taken for the same and are not."""
@@ -581,9 +597,8 @@ def _judge(dealt: DataFrame, slots: int, buckets: int) -> DataFrame:
         for key in found.held:
             if key[0] == VARIED:
                 groups[key[1]].append(key)
-        several = [key for keys in groups.values() if len(keys) > 1 for key in keys]
         removed = found.removed
-        if several:
+        for several in bundles([keys for keys in groups.values() if len(keys) > 1], lambda k: len(k[2]) - MIN_BYTES + 1):
             for s, a, b in repeated_strings([k[2] for k in several], [found.held[k][0] for k in several]):
                 doc_id, rows = found.held[several[s]]
                 for uid, starts in rows.items():
@@ -680,7 +695,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     doc_id = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     size = docs.agg(F.sum(F.octet_length(text)).alias("b"), F.count(F.lit(1)).alias("n")).first()
     total = size["b"] or 0
-    buckets, slots = tasks_for(total, BUCKET_BYTES, 96), tasks_for(total, SLOT_BYTES, 256)
+    buckets, slots = tasks_for(total, BUCKET_BYTES, 24), tasks_for(total, SLOT_BYTES, 64)
     uid = F.xxhash64(doc_id, text)
     rows = docs.select(
         F.lit(None).cast("int").alias("bucket"), F.lit(DOCUMENT).alias("kind"),
@@ -689,15 +704,14 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     shared = _find_shared(rows, buckets, slots, max(HOT_LEAST, size["n"] // HOT_SHARE))
     hot = [_load(r["payload"]) for r in shared.where(F.col("kind") == HOT).select("payload").collect()]
     hot_keys = np.concatenate(hot) if hot else np.zeros(0, np.uint64)  # at most HOT_SHARE times a document's anchors
-    parts = max(64, slots // 4)
 
     def with_documents(payloads: DataFrame) -> DataFrame:
-        return _packed(rows, slots, buckets).unionByName(payloads).repartition(parts, "slot").sortWithinPartitions("slot", "kind")
+        return _packed(rows, slots, buckets).unionByName(payloads).repartition(slots, "slot").sortWithinPartitions("slot", "kind")
 
     clashes = np.zeros(0, np.uint64)
     while True:
         cut = _cut_strings(with_documents(shared.where(F.col("kind") == REPLY)), buckets, slots, hot_keys, clashes)
-        dealt = cut.repartition(max(12, buckets // 8), "bucket").sortWithinPartitions("bucket")
+        dealt = cut.repartition(buckets, "bucket").sortWithinPartitions("bucket")
         removals = save(_judge(dealt, slots, buckets), "suffix-removals")
         found = [_load(r["payload"]) for r in removals.where(F.col("kind") == CLASH).select("payload").collect()]
         if not found:
