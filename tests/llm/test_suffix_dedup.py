@@ -135,3 +135,13 @@ def test_strings_of_a_bucket_go_into_bounded_arrays(spark, monkeypatch):
     parts = [suffix_dedup.repeated_strings(b, documents[i * 3: i * 3 + 3]) for i, b in enumerate(suffix_dedup.bundles([found[i: i + 3] for i in range(0, 120, 3)], len, 1))]
     assert sorted((3 * i + s, a, b) for i, p in enumerate(parts) for s, a, b in p) == whole
     assert results(suffix_dedup.remove_repeats(frame(spark, rows))) == counted(repeated_bytes(rows))
+
+
+def test_suffixes_are_in_the_order_of_their_bytes():
+    rng = random.Random(9)
+    strings = [bytes(rng.choice((0, 1, 97, 128, 255)) for _ in range(rng.randint(6, 20))) for _ in range(60)] + [b"\0" * 9, b"\0" * 8, b"a\0\0\0\0"]
+    array = suffix_dedup.SuffixArray(strings, least=4)
+    suffixes = [strings[s][o:] for s, o in zip(array.string.tolist(), array.offset.tolist())]
+    assert len(suffixes) == sum(len(s) - 3 for s in strings) and [s.ljust(24, b"\0") for s in suffixes] == sorted(s.ljust(24, b"\0") for s in suffixes)
+    for a, b, n in zip(suffixes, suffixes[1:], array.lcp.tolist()):
+        assert a[:n] == b[:n] and (n == min(len(a), len(b)) or a[n] != b[n])

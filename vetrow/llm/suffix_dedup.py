@@ -496,9 +496,8 @@ class SuffixArray:
         self.string = np.repeat(np.arange(len(strings)), count)
         self.offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         begin = self.string * stride + self.offset
-        held = flat[begin[:, None] + np.arange(width)]
-        words = held.view(">u8").astype(np.uint64)
-        order = np.lexsort(words.T[::-1])
+        held = np.lib.stride_tricks.sliding_window_view(flat, width)[begin]
+        order = np.argsort(held.view(f"S{width}").ravel(), kind="stable")  # as bytes, up to the padding
         self.string, self.offset, held = self.string[order], self.offset[order], held[order]
         size = sizes[self.string] - self.offset
         differ = held[1:] != held[:-1]
